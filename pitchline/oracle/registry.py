@@ -1,5 +1,6 @@
 """key -> DuckDB SQL text, for every query that SQL can express."""
 
+from pitchline.oracle import gamestate_sql as g
 from pitchline.oracle import team_sql as t
 
 
@@ -17,4 +18,14 @@ def oracle_sql() -> dict[str, str]:
         "np_shots_filter": t.NP_SHOTS_FILTER,
         "conditional_aggs": t.CONDITIONAL_AGGS,
         "ratio_metrics": t.RATIO_METRICS,
+        "events_timed": g.EVENTS_TIMED,
+        "score_timeline": g.SCORE_TIMELINE,
+        "score_segments": g.SCORE_SEGMENTS,
+        "state_durations": g.STATE_DURATIONS,
+        "gamestate_events": g.GAMESTATE_EVENTS,
+        "interval_join": g.INTERVAL_JOIN,
+        "mart_gamestate": g.MART_GAMESTATE,
+        "check_symmetry": g.CHECK_SYMMETRY,
+        "check_symmetry_strict": g.CHECK_SYMMETRY_STRICT,
+        "score_reconcile": g.SCORE_RECONCILE,
     }
