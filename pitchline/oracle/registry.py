@@ -1,6 +1,7 @@
 """key -> DuckDB SQL text, for every query that SQL can express."""
 
 from pitchline.oracle import gamestate_sql as g
+from pitchline.oracle import players_sql as p
 from pitchline.oracle import team_sql as t
 
 
@@ -28,4 +29,10 @@ def oracle_sql() -> dict[str, str]:
         "check_symmetry": g.CHECK_SYMMETRY,
         "check_symmetry_strict": g.CHECK_SYMMETRY_STRICT,
         "score_reconcile": g.SCORE_RECONCILE,
+        "lineup_segments": p.LINEUP_SEGMENTS,
+        "player_minutes": p.PLAYER_MINUTES,
+        "player_meta": p.PLAYER_META,
+        "player_counts": p.PLAYER_COUNTS,
+        "xa_self_join": p.XA_SELF_JOIN,
+        "mart_player_impact": p.MART_PLAYER_IMPACT,
     }

@@ -55,5 +55,5 @@ class Tables:
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the query modules registers their queries
-    from pitchline.plans import queries_gamestate, queries_team  # noqa: F401
+    from pitchline.plans import queries_gamestate, queries_players, queries_team  # noqa: F401
     return dict(QUERIES)
