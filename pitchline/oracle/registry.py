@@ -2,6 +2,7 @@
 
 from pitchline.oracle import gamestate_sql as g
 from pitchline.oracle import players_sql as p
+from pitchline.oracle import serving_sql as s
 from pitchline.oracle import team_sql as t
 
 
@@ -35,4 +36,23 @@ def oracle_sql() -> dict[str, str]:
         "player_counts": p.PLAYER_COUNTS,
         "xa_self_join": p.XA_SELF_JOIN,
         "mart_player_impact": p.MART_PLAYER_IMPACT,
+        "check_not_null": s.CHECK_NOT_NULL,
+        "check_unique": s.CHECK_UNIQUE,
+        "check_accepted": s.CHECK_ACCEPTED,
+        "check_feature_nulls": s.CHECK_FEATURE_NULLS,
+        "check_share_sum": s.CHECK_SHARE_SUM,
+        "dim_team_competition": s.DIM_TEAM_COMPETITION,
+        "leaderboards": s.LEADERBOARDS,
+        "topk_players": s.TOPK_PLAYERS,
+        "minmaxavg_minutes": s.MINMAXAVG_MINUTES,
+        "team_vs_average": s.TEAM_VS_AVERAGE,
+        "position_groups": s.POSITION_GROUPS,
+        "state_summary": s.STATE_SUMMARY,
+        "state_contrast": s.STATE_CONTRAST,
+        "first_value_window": s.FIRST_VALUE_WINDOW,
+        "export_manifest": s.EXPORT_MANIFEST,
+        "stage_rank": s.STAGE_RANK,
+        "ml_features": s.ML_FEATURES,
+        "ml_baseline": s.ML_BASELINE,
+        "stratified_folds": s.STRATIFIED_FOLDS,
     }

@@ -52,8 +52,39 @@ class Tables:
     def lineups(self) -> DataFrame:
         return fbsrc.fb_lineups(self.ev)
 
+    # marts, built on demand (each call returns a fresh plan)
+    def m1(self) -> DataFrame:
+        from pitchline.plans.team_marts import mart_attack_quality
+        return mart_attack_quality(self.ev, self.comps)
+
+    def m2(self) -> DataFrame:
+        from pitchline.plans.team_marts import mart_ball_progression
+        return mart_ball_progression(self.ev, self.comps)
+
+    def m3(self) -> DataFrame:
+        from pitchline.plans.team_marts import mart_defensive_pressure
+        return mart_defensive_pressure(self.ev, self.matches, self.comps)
+
+    def m4(self) -> DataFrame:
+        from pitchline.plans.team_marts import mart_set_piece
+        return mart_set_piece(self.ev, self.comps)
+
+    def m5(self) -> DataFrame:
+        from pitchline.plans.players import mart_player_impact
+        return mart_player_impact(self.ev, self.lineups, self.comps)
+
+    def m6(self) -> DataFrame:
+        from pitchline.plans.gamestate import mart_gamestate
+        return mart_gamestate(self.ev, self.matches, self.comps)
+
+    def marts(self) -> dict[str, DataFrame]:
+        return {"m1": self.m1(), "m2": self.m2(), "m3": self.m3(), "m4": self.m4(),
+                "m5": self.m5(), "m6": self.m6()}
+
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the query modules registers their queries
-    from pitchline.plans import queries_gamestate, queries_players, queries_team  # noqa: F401
+    from pitchline.plans import (  # noqa: F401
+        queries_gamestate, queries_players, queries_serving, queries_team,
+    )
     return dict(QUERIES)
