@@ -25,7 +25,9 @@ from pitchline.functions.exprs import period_clock
 
 col = F.col
 
-GOAL = (col("event_type") == "Shot") & (col("shot_outcome") == "Goal")
+def goal_pred() -> Column:
+    """A scoring event: a shot whose outcome is Goal (penalties included)."""
+    return (col("event_type") == "Shot") & (col("shot_outcome") == "Goal")
 
 
 def events_clock(ev: DataFrame, convention: str = "per_period") -> DataFrame:
@@ -55,13 +57,13 @@ def match_frame(timed: DataFrame, matches: DataFrame) -> DataFrame:
     return length.join(home_away(matches), "match_id", "inner")
 
 
-def scoring_seconds(timed: DataFrame, frame: DataFrame, goal: Column = GOAL) -> DataFrame:
+def scoring_seconds(timed: DataFrame, frame: DataFrame, goal: Column | None = None) -> DataFrame:
     """Goals per (match, scoring second) split by home/away.
 
     Goals sharing a second are summed first, so each tied goal is counted once (the SQL original
     joins goal rows to goal rows and would count each of them twice).
     """
-    g = (timed.where(goal).groupBy("match_id", "abs_seconds", "team")
+    g = (timed.where(goal_pred() if goal is None else goal).groupBy("match_id", "abs_seconds", "team")
          .agg(F.count(F.lit(1)).alias("n")))
     g = g.join(frame.select("match_id", "home_team", "away_team"), "match_id", "inner")
     return (g.groupBy("match_id", col("abs_seconds").alias("goal_seconds"))

@@ -142,7 +142,7 @@ def q_first_value_window(spark, sf):
     joined back on match_id (one row per match), not a whole-partition window frame."""
     t = Tables(spark, sf)
     timed = tl.events_timed(t.ev, t.matches)
-    goals = timed.where(tl.GOAL).select("match_id", col("abs_seconds").alias("goal_seconds"),
+    goals = timed.where(tl.goal_pred()).select("match_id", col("abs_seconds").alias("goal_seconds"),
                                         col("team").alias("scoring_team"), "home_team", "away_team")
     first = goals.groupBy("match_id").agg(F.min_by("home_team", "goal_seconds").alias("first_home_team"),
                                           F.min_by("away_team", "goal_seconds").alias("first_away_team"))

@@ -106,9 +106,9 @@ def mart_set_piece(ev: DataFrame, comps: DataFrame,
 
 
 # ---------------------------------------------------------------- M2 ball progression
-def end_x_for(event_type_col: Column = col("event_type")) -> Column:
+def end_x_for() -> Column:
     """Pass end for passes, carry end for carries (the FB view carries one ``end_x`` for both)."""
-    return F.when(event_type_col.isin("Pass", "Carry"), col("end_x"))
+    return F.when(col("event_type").isin("Pass", "Carry"), col("end_x"))
 
 
 def progression_flags(ev: DataFrame) -> DataFrame:
