@@ -1,5 +1,6 @@
 """key -> DuckDB SQL text, for every query that SQL can express."""
 
+from pitchline.oracle import bronze_sql as b
 from pitchline.oracle import gamestate_sql as g
 from pitchline.oracle import players_sql as p
 from pitchline.oracle import serving_sql as s
@@ -36,6 +37,19 @@ def oracle_sql() -> dict[str, str]:
         "player_counts": p.PLAYER_COUNTS,
         "xa_self_join": p.XA_SELF_JOIN,
         "mart_player_impact": p.MART_PLAYER_IMPACT,
+        "scan_sparse_union": b.SCAN_SPARSE_UNION,
+        "scan_hive_partitions": b.SCAN_HIVE_PARTITIONS,
+        "table_inventory": b.TABLE_INVENTORY,
+        "flatten_location": b.FLATTEN_LOCATION,
+        "flatten_lineups": b.FLATTEN_LINEUPS,
+        "union_all_matches": b.UNION_ALL_MATCHES,
+        "incremental_anti": b.INCREMENTAL_ANTI,
+        "quarantine_split": b.QUARANTINE_SPLIT,
+        "stg_events": b.STG_EVENTS,
+        "stg_matches": b.STG_MATCHES,
+        "stg_competitions": b.STG_COMPETITIONS,
+        "stg_lineups": b.STG_LINEUPS,
+        "sink_roundtrip": b.SINK_ROUNDTRIP,
         "check_not_null": s.CHECK_NOT_NULL,
         "check_unique": s.CHECK_UNIQUE,
         "check_accepted": s.CHECK_ACCEPTED,

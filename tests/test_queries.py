@@ -40,7 +40,7 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(ORACLE) <= set(QUERIES)
-    assert ROWS_ONLY == ["ml_cv", "ml_importance"]
+    assert ROWS_ONLY == ["bronze_profile", "ml_cv", "ml_importance"]
 
 
 def test_entry_smoke(spark):
