@@ -46,6 +46,16 @@ def round_half_away(x, n: int) -> Column:
     return F.round(dbl(x) * F.lit(scale), 0) / F.lit(scale)
 
 
+def exact_mean(x, digits: int = 6) -> Column:
+    """Mean of values that carry at most ``digits`` decimals, independent of summation order:
+    each value is scaled to an integer (exact in a double below 2**53), the integers are summed
+    exactly in any order, and the total is divided once. A plain ``avg`` of doubles can differ in
+    the last bit between plans, which flips a later rounding at a half (0.63375 -> 0.6337/0.6338).
+    """
+    scale = float(10 ** digits)
+    return F.sum(F.round(dbl(x) * F.lit(scale), 0)) / F.count(c(x)) / F.lit(scale)
+
+
 def per90(metric, minutes) -> Column:
     """Rate per 90 minutes; NULL for zero minutes."""
     return dbl(metric) * F.lit(90.0) / F.nullif(dbl(minutes), F.lit(0.0))

@@ -146,14 +146,16 @@ TOPK_PLAYERS = q("\nunion all\n".join([
 ]), "m5")
 
 MINMAXAVG_MINUTES = q("""
-select min(minutes_played) as min_min, max(minutes_played) as max_min, avg(minutes_played) as avg_min,
+select min(minutes_played) as min_min, max(minutes_played) as max_min,
+  sum(round(minutes_played * 1000000.0)) / count(minutes_played) / 1000000.0 as avg_min,
   count(*) as player_seasons from m5""", "m5")
 
 
 def _tva(src: str, metric: str) -> str:
     return (f"select team_comp_key, team_name, competition_name, '{metric}' as metric, "
             f"cast({metric} as double) as team_value, "
-            f"round((select avg({metric}) from {src}), 4) as all_rows_average from {src}")
+            f"round((select sum(round({metric} * 1000000.0)) / count({metric}) / 1000000.0 from {src}), 4) "
+            f"as all_rows_average from {src}")
 
 
 TEAM_VS_AVERAGE = q("\nunion all\n".join([
@@ -175,8 +177,10 @@ select position_group, count(*) as n_players from (
   from m5) group by position_group""", "m5")
 
 STATE_SUMMARY = q("""
-select game_state, count(*) as n_team_matches, round(avg(minutes_in_state), 1) as avg_minutes,
-  round(avg(xg_per_minute), 4) as avg_xg_per_min, round(avg(avg_field_position_x), 1) as mean_x
+select game_state, count(*) as n_team_matches,
+  round(sum(round(minutes_in_state * 1000000.0)) / count(minutes_in_state) / 1000000.0, 1) as avg_minutes,
+  round(sum(round(xg_per_minute * 1000000.0)) / count(xg_per_minute) / 1000000.0, 4) as avg_xg_per_min,
+  round(sum(round(avg_field_position_x * 1000000.0)) / count(avg_field_position_x) / 1000000.0, 1) as mean_x
 from m6 group by game_state""", "m6")
 
 STATE_CONTRAST = q("""

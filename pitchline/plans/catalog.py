@@ -25,32 +25,42 @@ def query(name: str):
 
 
 class Tables:
-    """Lazily built FB tables for one (spark, sf_dir); each is a DataFrame plan, not data."""
+    """The Silver tables for one (spark, sf_dir), read from their materialised Parquet copies
+    (see ``sources.warehouse``); each accessor returns a DataFrame plan, not data.
+
+    Setting ``_ev`` to an event DataFrame (tests) derives matches, competitions and lineups from
+    it instead.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._ev = None
+        self._silver = None
 
     def raw(self, name: str) -> DataFrame:
         return fbsrc.read_table(self.spark, self.sf_dir, name)
 
+    def _s(self, name: str) -> DataFrame:
+        if self._silver is None:
+            from pitchline.sources.warehouse import silver_tables
+            self._silver = silver_tables(self.spark, self.sf_dir)
+        return self._silver[name]
+
     @property
     def ev(self) -> DataFrame:
-        if self._ev is None:
-            self._ev = fbsrc.fb_events(self.raw("events"))
-        return self._ev
+        return self._ev if self._ev is not None else self._s("events")
 
     @property
     def matches(self) -> DataFrame:
-        return fbsrc.fb_matches(self.ev)
+        return fbsrc.fb_matches(self._ev) if self._ev is not None else self._s("matches")
 
     @property
     def comps(self) -> DataFrame:
-        return fbsrc.fb_competitions(self.ev)
+        return fbsrc.fb_competitions(self._ev) if self._ev is not None else self._s("competitions")
 
     @property
     def lineups(self) -> DataFrame:
-        return fbsrc.fb_lineups(self.ev)
+        return fbsrc.fb_lineups(self._ev) if self._ev is not None else self._s("lineups")
 
     # marts, built on demand (each call returns a fresh plan)
     def m1(self) -> DataFrame:

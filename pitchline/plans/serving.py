@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchline.functions.exprs import round_half_away as rnd
+from pitchline.functions.exprs import exact_mean, round_half_away as rnd
 
 col = F.col
 
@@ -70,7 +70,7 @@ def player_leaderboards(m5: DataFrame) -> DataFrame:
 
 def minutes_distribution(m5: DataFrame) -> DataFrame:
     return m5.agg(F.min("minutes_played").alias("min_min"), F.max("minutes_played").alias("max_min"),
-                  F.avg("minutes_played").alias("avg_min"),
+                  exact_mean("minutes_played").alias("avg_min"),
                   F.count(F.lit(1)).alias("player_seasons"))
 
 
@@ -91,8 +91,8 @@ def team_vs_average(marts: dict[str, DataFrame], team: str | None = None,
     parts = []
     for mart, metric in PROFILE_METRICS:
         m = marts[mart]
-        # displayed average, rounded to 4 places
-        avg_all = rnd(m.select(F.avg(metric)).scalar(), 4)
+        # displayed average of the displayed (rounded) values, to 4 places
+        avg_all = rnd(m.select(exact_mean(metric)).scalar(), 4)
         rows = m
         if team is not None:
             rows = rows.where(col("team_name") == team)
@@ -129,9 +129,9 @@ def state_summary(m6: DataFrame) -> DataFrame:
     """Per game state: team-match count, mean minutes, mean xG/min and mean field position."""
     return (m6.groupBy("game_state")
             .agg(F.count(F.lit(1)).alias("n_team_matches"),
-                 rnd(F.avg("minutes_in_state"), 1).alias("avg_minutes"),
-                 rnd(F.avg("xg_per_minute"), 4).alias("avg_xg_per_min"),
-                 rnd(F.avg("avg_field_position_x"), 1).alias("mean_x")))
+                 rnd(exact_mean("minutes_in_state"), 1).alias("avg_minutes"),
+                 rnd(exact_mean("xg_per_minute"), 4).alias("avg_xg_per_min"),
+                 rnd(exact_mean("avg_field_position_x"), 1).alias("mean_x")))
 
 
 def state_contrast(m6: DataFrame, k: int = 10) -> DataFrame:
