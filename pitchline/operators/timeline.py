@@ -48,10 +48,20 @@ def events_timed(ev: DataFrame, matches: DataFrame, convention: str = "per_perio
     return base.join(home_away(matches), "match_id", "inner")
 
 
+SECOND_KEYS = ["match_id", "team", "competition", "season", "abs_seconds"]
+
+
+def per_second(timed: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """Additive event ``metrics`` pre-aggregated to one row per (match, team, second): the
+    only full shuffle of the events in the game-state mart (partial aggregation runs map-side)."""
+    return timed.groupBy(*SECOND_KEYS).agg(*[e.alias(n) for n, e in metrics.items()])
+
+
 def match_frame(timed: DataFrame, matches: DataFrame) -> DataFrame:
     """One row per match: (match_id, match_end_seconds, home_team, away_team).
 
-    ``max`` is computed before the join, so only one row per match meets the matches table.
+    ``max`` is partially aggregated map-side (one row per match per task crosses the shuffle)
+    and computed before the join, so only one row per match meets the matches table.
     """
     length = timed.groupBy("match_id").agg(F.max("abs_seconds").alias("match_end_seconds"))
     return length.join(home_away(matches), "match_id", "inner")
@@ -60,15 +70,16 @@ def match_frame(timed: DataFrame, matches: DataFrame) -> DataFrame:
 def scoring_seconds(timed: DataFrame, frame: DataFrame, goal: Column | None = None) -> DataFrame:
     """Goals per (match, scoring second) split by home/away.
 
-    Goals sharing a second are summed first, so each tied goal is counted once (the SQL original
-    joins goal rows to goal rows and would count each of them twice).
+    The goal predicate is applied before any shuffle (and pushed to the Parquet scan), so only
+    goal rows move. Goals sharing a second are summed first, so each tied goal is counted once
+    (the SQL original joins goal rows to goal rows and would count each of them twice).
     """
-    g = (timed.where(goal_pred() if goal is None else goal).groupBy("match_id", "abs_seconds", "team")
-         .agg(F.count(F.lit(1)).alias("n")))
+    g = (timed.where(goal_pred() if goal is None else goal)
+         .groupBy("match_id", "abs_seconds", "team").agg(F.count(F.lit(1)).alias("goals")))
     g = g.join(frame.select("match_id", "home_team", "away_team"), "match_id", "inner")
     return (g.groupBy("match_id", col("abs_seconds").alias("goal_seconds"))
-            .agg(F.sum(F.when(col("team") == col("home_team"), col("n")).otherwise(0)).alias("home_goals"),
-                 F.sum(F.when(col("team") == col("away_team"), col("n")).otherwise(0)).alias("away_goals")))
+            .agg(F.sum(F.when(col("team") == col("home_team"), col("goals")).otherwise(0)).alias("home_goals"),
+                 F.sum(F.when(col("team") == col("away_team"), col("goals")).otherwise(0)).alias("away_goals")))
 
 
 def score_timeline(scoring: DataFrame) -> DataFrame:
@@ -159,8 +170,10 @@ def attribute_seconds(sec_rows: DataFrame, timeline: DataFrame, frame: DataFrame
 
 def attribute_events(timed: DataFrame, timeline: DataFrame, frame: DataFrame,
                      attribute: str = "after") -> DataFrame:
-    """Per-event game state: resolve the state once per distinct (match, team, second), then
-    equi-join events back on those three keys."""
+    """Per-event game state: resolve the state once per distinct (match, team, second) -- a
+    table bounded per match by the clock -- then equi-join the events back on those three keys.
+    The join is an equi-join, so a hot match is split by AQE's skew handling, and the window
+    never sees raw events."""
     secs = timed.select("match_id", "team", "abs_seconds").distinct()
     states = attribute_seconds(secs, timeline, frame, attribute)
     return timed.join(states, ["match_id", "team", "abs_seconds"], "inner")

@@ -14,37 +14,43 @@ col = F.col
 MIN_STATE_MINUTES = 3.0
 
 
-def timeline_parts(ev: DataFrame, matches: DataFrame, convention: str = "per_period"):
-    """(timed events, match frame, score timeline, per-team segments)."""
+def timeline_parts(ev: DataFrame, matches: DataFrame, convention: str = "per_period",
+                   metrics: dict | None = None):
+    """(timed events, per-second metrics or None, match frame, score timeline, per-team segments).
+
+    The match frame is one DataFrame reused by every branch, so Spark plans its exchange once
+    (ReusedExchange)."""
     timed = tl.events_clock(ev, convention)
+    sec = tl.per_second(timed, metrics) if metrics else None
     frame = tl.match_frame(timed, matches)
     timeline = tl.score_timeline(tl.scoring_seconds(timed, frame))
     per_team = tl.mirror_segments(tl.score_segments(timeline, frame))
-    return timed, frame, timeline, per_team
+    return timed, sec, frame, timeline, per_team
 
 
-def per_second_metrics(timed: DataFrame) -> DataFrame:
-    """Event metrics pre-aggregated per (match, team, second); every metric is additive."""
+def state_metrics() -> dict:
+    """Event metrics of the game-state mart; every one is additive over seconds."""
     et = col("event_type")
     ex = F.when(et.isin("Pass", "Carry"), col("end_x"))
-    return (timed.groupBy("match_id", "team", "competition", "season", "abs_seconds")
-            .agg(F.sum(F.when((et == "Shot") & (col("shot_type") != "Penalty"), col("xg"))
-                       .otherwise(F.lit(0.0))).alias("xg_generated"),
-                 count_when(et == "Pressure").alias("pressures"),
-                 count_when(et == "Pass").alias("passes_attempted"),
-                 count_when((et == "Pass") & col("pass_outcome").isNull()).alias("passes_completed"),
-                 F.sum("start_x").alias("sum_x"),
-                 F.count("start_x").alias("n_x"),
-                 count_when(et.isin("Pass", "Carry") & (col("start_x") < FINAL_THIRD_X)
-                            & (ex >= FINAL_THIRD_X)).alias("final_third_entries")))
+    return {
+        "xg_generated": F.sum(F.when((et == "Shot") & (col("shot_type") != "Penalty"), col("xg"))
+                              .otherwise(F.lit(0.0))),
+        "pressures": count_when(et == "Pressure"),
+        "passes_attempted": count_when(et == "Pass"),
+        "passes_completed": count_when((et == "Pass") & col("pass_outcome").isNull()),
+        "sum_x": F.sum("start_x"),
+        "n_x": F.count("start_x"),
+        "final_third_entries": count_when(et.isin("Pass", "Carry") & (col("start_x") < FINAL_THIRD_X)
+                                          & (ex >= FINAL_THIRD_X)),
+    }
 
 
 def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
                    convention: str = "per_period", attribute: str = "after",
                    min_minutes: float = MIN_STATE_MINUTES) -> DataFrame:
-    timed, frame, timeline, per_team = timeline_parts(ev, matches, convention)
+    _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics())
     durations = tl.state_durations(per_team)
-    secs = tl.attribute_seconds(per_second_metrics(timed), timeline, frame, attribute)
+    secs = tl.attribute_seconds(sec, timeline, frame, attribute)
     ea = (secs.groupBy("team", "competition", "season", "match_id", "game_state")
           .agg(F.sum("xg_generated").alias("xg_generated"),
                F.sum("pressures").alias("pressures"),

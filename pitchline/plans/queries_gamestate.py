@@ -23,28 +23,28 @@ def q_events_timed(spark, sf):
 @query("score_timeline")
 def q_score_timeline(spark, sf):
     t = Tables(spark, sf)
-    _, _, timeline, _ = gs.timeline_parts(t.ev, t.matches)
+    _, _, _, timeline, _ = gs.timeline_parts(t.ev, t.matches)
     return timeline
 
 
 @query("score_segments")
 def q_score_segments(spark, sf):
     t = Tables(spark, sf)
-    _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
+    _, _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
     return per_team
 
 
 @query("state_durations")
 def q_state_durations(spark, sf):
     t = Tables(spark, sf)
-    _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
+    _, _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
     return tl.state_durations(per_team)
 
 
 @query("gamestate_events")
 def q_gamestate_events(spark, sf):
     t = Tables(spark, sf)
-    timed, frame, timeline, _ = gs.timeline_parts(t.ev, t.matches)
+    timed, _, frame, timeline, _ = gs.timeline_parts(t.ev, t.matches)
     return tl.attribute_events(timed, timeline, frame).select(
         "event_id", "match_id", "team", "abs_seconds", "game_state")
 
@@ -53,7 +53,7 @@ def q_gamestate_events(spark, sf):
 def q_interval_join(spark, sf):
     """General range join: every timed event to the segment of its team containing it."""
     t = Tables(spark, sf)
-    timed, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
+    timed, _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
     pts = timed.select("event_id", "match_id", "team", col("abs_seconds").cast("double").alias("at"))
     return tl.interval_join(pts, per_team.select("match_id", "team", "seg_start", "seg_end", "game_state"),
                             ["match_id", "team"], "at").select(
@@ -74,7 +74,7 @@ def q_check_symmetry(spark, sf):
 @query("check_symmetry_strict")
 def q_check_symmetry_strict(spark, sf):
     t = Tables(spark, sf)
-    _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
+    _, _, _, _, per_team = gs.timeline_parts(t.ev, t.matches)
     return gs.check_symmetry_strict(tl.state_durations(per_team), match_sides(t.matches))
 
 
@@ -82,7 +82,7 @@ def q_check_symmetry_strict(spark, sf):
 def q_score_reconcile(spark, sf):
     """Score rebuilt from the timeline vs the score recorded on the match row."""
     t = Tables(spark, sf)
-    _, frame, timeline, _ = gs.timeline_parts(t.ev, t.matches)
+    _, _, frame, timeline, _ = gs.timeline_parts(t.ev, t.matches)
     final = timeline.groupBy("match_id").agg(F.max("home_score").alias("rh"), F.max("away_score").alias("ra"))
     rec = t.matches.select("match_id", col("home_score").cast("long").alias("recorded_home"),
                            col("away_score").cast("long").alias("recorded_away"))

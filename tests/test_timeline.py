@@ -8,13 +8,13 @@ from pitchline.plans import gamestate as gs
 
 
 def durations(ev, matches):
-    _, _, _, per_team = gs.timeline_parts(ev, matches)
+    _, _, _, _, per_team = gs.timeline_parts(ev, matches)
     return {(r.match_id, r.team, r.game_state): r.minutes_in_state
             for r in tl.state_durations(per_team).collect()}
 
 
 def states(ev, matches, attribute="after"):
-    timed, frame, timeline, _ = gs.timeline_parts(ev, matches)
+    timed, _, frame, timeline, _ = gs.timeline_parts(ev, matches)
     return {r.event_id: r.game_state
             for r in tl.attribute_events(timed, timeline, frame, attribute).collect()}
 
@@ -41,7 +41,7 @@ def test_same_second_goals_counted_once(make_events, make_matches):
     # Two home goals in one second give 2-0, not 4-0
     ev = make_events([ev_row(1, 1, 1, 0, 0), goal(2, 1, 1, 20, 0, "H"), goal(3, 1, 1, 20, 0, "H"),
                       goal(4, 1, 1, 30, 0, "A"), goal(5, 1, 1, 30, 0, "H"), ev_row(6, 1, 2, 0, 0)])
-    timed, frame, timeline, _ = gs.timeline_parts(ev, make_matches([1]))
+    _, _, _, timeline, _ = gs.timeline_parts(ev, make_matches([1]))
     rows = sorted((r.goal_seconds, r.home_score, r.away_score) for r in timeline.collect())
     assert rows == [(1200, 2, 0), (1800, 3, 1)]
 
@@ -55,7 +55,7 @@ def test_equaliser_and_lead_is_symmetric(make_events, make_matches):
     assert d[(1, "H", "Winning")] == 20.0 and d[(1, "A", "Losing")] == 20.0
     assert d[(1, "H", "Drawing")] == 20.0 and d[(1, "A", "Drawing")] == 20.0
     from pitchline.plans.team_marts import match_sides
-    _, _, _, per_team = gs.timeline_parts(ev, m)
+    _, _, _, _, per_team = gs.timeline_parts(ev, m)
     strict = gs.check_symmetry_strict(tl.state_durations(per_team), match_sides(m)).collect()
     assert len(strict) == 2 and all(r.win_lose_diff == 0.0 for r in strict)
 
@@ -76,7 +76,7 @@ def test_three_minute_gate_on_unrounded_minutes(spark, make_events, make_matches
 def test_stoppage_overlap_and_shootout(make_events, make_matches):
     # Period 1 at 47:00 lies after period 2 at 00:30 on the absolute clock; period 5 is ignored
     ev = make_events([ev_row(1, 1, 1, 47, 0), ev_row(2, 1, 2, 0, 30), ev_row(3, 1, 5, 0, 10)])
-    timed, frame, _, _ = gs.timeline_parts(ev, make_matches([1]))
+    timed, _, frame, _, _ = gs.timeline_parts(ev, make_matches([1]))
     assert frame.collect()[0].match_end_seconds == 2820
     assert sorted(r.abs_seconds for r in timed.collect()) == [2730, 2820]
 
@@ -84,8 +84,8 @@ def test_stoppage_overlap_and_shootout(make_events, make_matches):
 def test_clock_conventions(make_events, make_matches):
     # The same events read as per-period or cumulative minutes
     ev = make_events([ev_row(1, 1, 1, 10, 0), ev_row(2, 1, 2, 50, 0)])
-    per = gs.timeline_parts(ev, make_matches([1]), "per_period")[1].collect()[0]
-    cum = gs.timeline_parts(ev, make_matches([1]), "cumulative")[1].collect()[0]
+    per = gs.timeline_parts(ev, make_matches([1]), "per_period")[2].collect()[0]
+    cum = gs.timeline_parts(ev, make_matches([1]), "cumulative")[2].collect()[0]
     assert per.match_end_seconds == 2700 + 3000 and cum.match_end_seconds == 3000
 
 
@@ -101,7 +101,7 @@ def test_interval_join_matches_window_attribution(make_events, make_matches):
     ev = make_events([ev_row(1, 1, 1, 0, 0), goal(2, 1, 1, 10, 0, "H"), ev_row(3, 1, 1, 10, 0, team="A"),
                       goal(4, 1, 1, 15, 0, "A"), ev_row(5, 1, 1, 20, 0), ev_row(6, 1, 1, 30, 0)])
     m = make_matches([1])
-    timed, frame, timeline, per_team = gs.timeline_parts(ev, m)
+    timed, _, frame, timeline, per_team = gs.timeline_parts(ev, m)
     pts = timed.select("event_id", "match_id", "team", F.col("abs_seconds").cast("double").alias("at"))
     ij = tl.interval_join(pts, per_team, ["match_id", "team"], "at")
     assert {r.event_id: r.game_state for r in ij.collect()} == states(ev, m)
