@@ -60,3 +60,8 @@ select match_id, competition_folder_name, season_year, team_name, player_id, pla
 from fb_lineups""")
 
 SINK_ROUNDTRIP = t.MART_ATTACK_QUALITY
+
+STREAM_INCREMENTAL_LANDING = with_fb("""
+select competition, season, count(*) as n_events, count(distinct event_id) as n_distinct_events,
+  count(distinct match_id) as n_matches
+from fb group by competition, season""")

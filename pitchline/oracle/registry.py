@@ -50,6 +50,7 @@ def oracle_sql() -> dict[str, str]:
         "stg_competitions": b.STG_COMPETITIONS,
         "stg_lineups": b.STG_LINEUPS,
         "sink_roundtrip": b.SINK_ROUNDTRIP,
+        "stream_incremental_landing": b.STREAM_INCREMENTAL_LANDING,
         "check_not_null": s.CHECK_NOT_NULL,
         "check_unique": s.CHECK_UNIQUE,
         "check_accepted": s.CHECK_ACCEPTED,
