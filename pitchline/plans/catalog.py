@@ -87,6 +87,12 @@ class Tables:
         from pitchline.plans.gamestate import mart_gamestate
         return mart_gamestate(self.ev, self.matches, self.comps)
 
+    def reused(self, name: str) -> DataFrame:
+        """A mart that one query reads several times, computed once: written to the shared
+        checkpoint folder (``checkpoint()``, lineage cut), so later reads scan that small
+        team-grain table instead of re-deriving the mart from the events each time."""
+        return getattr(self, name)().checkpoint(eager=True)
+
     def marts(self) -> dict[str, DataFrame]:
         return {"m1": self.m1(), "m2": self.m2(), "m3": self.m3(), "m4": self.m4(),
                 "m5": self.m5(), "m6": self.m6()}

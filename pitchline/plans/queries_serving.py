@@ -102,12 +102,12 @@ def q_dim_team_competition(spark, sf):
 @query("leaderboards")
 def q_leaderboards(spark, sf):
     t = Tables(spark, sf)
-    return serving.team_leaderboards(t.m1(), t.m2(), t.m3(), t.m4())
+    return serving.team_leaderboards(t.m1(), t.reused("m2"), t.reused("m3"), t.reused("m4"))
 
 
 @query("topk_players")
 def q_topk_players(spark, sf):
-    return serving.player_leaderboards(Tables(spark, sf).m5())
+    return serving.player_leaderboards(Tables(spark, sf).reused("m5"))
 
 
 @query("minmaxavg_minutes")
@@ -118,7 +118,7 @@ def q_minmaxavg_minutes(spark, sf):
 @query("team_vs_average")
 def q_team_vs_average(spark, sf):
     t = Tables(spark, sf)
-    return serving.team_vs_average({"m1": t.m1(), "m2": t.m2(), "m3": t.m3()})
+    return serving.team_vs_average({"m1": t.reused("m1"), "m2": t.reused("m2"), "m3": t.reused("m3")})
 
 
 @query("position_groups")
@@ -158,10 +158,13 @@ def q_export_manifest(spark, sf):
     root = shared_scratch(spark, f"exports/{uuid.uuid4().hex}")
     marts = t.marts()
     outputs = {EXPORT_NAMES[k]: df for k, df in marts.items()}
-    outputs["dim_team_competition"] = serving.dim_team_competition(marts["m1"])
+    # the dimension is read back from the exported attack mart instead of recomputing it
+    outputs["dim_team_competition"] = None
     parts = []
     for name, df in outputs.items():
         path = f"{root}/{name}.parquet"
+        if df is None:
+            df = serving.dim_team_competition(spark.read.parquet(f"{root}/{EXPORT_NAMES['m1']}.parquet"))
         df.write.mode("overwrite").parquet(path)
         parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
                      .select(F.lit(name).alias("export_name"), "rows"))
