@@ -137,32 +137,40 @@ def possession_flags(ev: DataFrame) -> DataFrame:
 
 
 def mart_ball_progression(ev: DataFrame, comps: DataFrame) -> DataFrame:
+    """M2 from ONE scan of the events: a possession-grain aggregate carries both the possession
+    flags and the action counts, and is rolled up to team grain (two-level aggregate)."""
     located = (col("event_type").isin("Pass", "Carry") & col("start_x").isNotNull())
     ex = end_x_for()
     prog = located & is_progressive(col("start_x"), ex)
     is_pass = col("event_type") == "Pass"
-    # one pass over the events for the action counts; matches counted only over located actions
-    actions = (ev.groupBy(*TEAM_KEYS)
-               .agg(F.count_distinct(F.when(located, col("match_id"))).alias("matches_played"),
-                    count_when(located).alias("n_actions"),
-                    count_when(prog & is_pass).alias("progressive_passes"),
-                    count_when(prog & (col("event_type") == "Carry")).alias("progressive_carries"),
-                    count_when(located & is_zone_entry(col("start_x"), ex)).alias("final_third_entries"),
-                    count_when(prog & is_pass & col("pass_outcome").isNull()).alias("prog_completed"),
-                    count_when(prog & is_pass).alias("prog_attempted"))
-               .where(col("n_actions") > 0).drop("n_actions"))
-    poss = (possession_flags(ev).groupBy(*TEAM_KEYS)
-            .agg(F.sum("reached_final_third").cast("long").alias("possessions_reaching_f3"),
-                 count_when((col("reached_final_third") == 1) & (col("ended_with_shot") == 1))
-                 .alias("possessions_f3_with_shot")))
-    a = actions.join(poss, TEAM_KEYS, "inner")
+    poss = (ev.groupBy(*TEAM_KEYS, "match_id", "possession_sequence")
+            .agg(any_flag(col("start_x") >= FINAL_THIRD_X).alias("reached_final_third"),
+                 any_flag(col("event_type") == "Shot").alias("ended_with_shot"),
+                 count_when(located).alias("n_actions"),
+                 count_when(prog & is_pass).alias("progressive_passes"),
+                 count_when(prog & (col("event_type") == "Carry")).alias("progressive_carries"),
+                 count_when(located & is_zone_entry(col("start_x"), ex)).alias("final_third_entries"),
+                 count_when(prog & is_pass & col("pass_outcome").isNull()).alias("prog_completed")))
+    a = (poss.groupBy(*TEAM_KEYS)
+         # matches counted only over located passes and carries
+         .agg(F.count_distinct(F.when(col("n_actions") > 0, col("match_id"))).alias("matches_played"),
+              F.sum("n_actions").alias("n_actions"),
+              F.sum("progressive_passes").cast("long").alias("progressive_passes"),
+              F.sum("progressive_carries").cast("long").alias("progressive_carries"),
+              F.sum("final_third_entries").cast("long").alias("final_third_entries"),
+              F.sum("prog_completed").cast("long").alias("prog_completed"),
+              F.sum("reached_final_third").cast("long").alias("possessions_reaching_f3"),
+              count_when((col("reached_final_third") == 1) & (col("ended_with_shot") == 1))
+              .alias("possessions_f3_with_shot"))
+         # teams without a located pass or carry drop out (inner join in the SQL original)
+         .where(col("n_actions") > 0))
     m = col("matches_played")
     out = a.select(
         *TEAM_KEYS, "matches_played",
         rnd(ratio("progressive_passes", m), 2).alias("progressive_passes_per_match"),
         rnd(ratio("progressive_carries", m), 2).alias("progressive_carries_per_match"),
         rnd(ratio("final_third_entries", m), 2).alias("final_third_entries_per_match"),
-        rnd(ratio("prog_completed", "prog_attempted"), 3).alias("progressive_pass_completion_rate"),
+        rnd(ratio("prog_completed", "progressive_passes"), 3).alias("progressive_pass_completion_rate"),
         rnd(ratio("possessions_f3_with_shot", "possessions_reaching_f3"), 3)
         .alias("final_third_to_shot_rate"),
         "progressive_passes", "progressive_carries", "final_third_entries",
