@@ -51,6 +51,10 @@ def oracle_sql() -> dict[str, str]:
         "stg_lineups": b.STG_LINEUPS,
         "sink_roundtrip": b.SINK_ROUNDTRIP,
         "stream_incremental_landing": b.STREAM_INCREMENTAL_LANDING,
+        "dashboard_lists": s.DASHBOARD_LISTS,
+        "xg_vs_goals": s.XG_VS_GOALS,
+        "score_chasers": s.SCORE_CHASERS,
+        "deep_run_lines": s.DEEP_RUN_LINES,
         "check_not_null": s.CHECK_NOT_NULL,
         "check_unique": s.CHECK_UNIQUE,
         "check_accepted": s.CHECK_ACCEPTED,

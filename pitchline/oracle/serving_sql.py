@@ -228,3 +228,34 @@ select team_comp_key, outcome_class,
   cast((row_number() over (partition by outcome_class order by md5(team_comp_key || ':42'), team_comp_key) - 1) % 5
        as integer) as fold
 from ml_dataset""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
+
+DASHBOARD_LISTS = q("\nunion all\n".join([
+    _board("overview_set_piece_share", "m4", "", "sp_xg_share_of_total",
+           "sp_xg_share_of_total desc nulls last, team_comp_key", 12, TL),
+    _board("overview_f3_entries", "m2", "", "final_third_entries_per_match",
+           "final_third_entries_per_match desc nulls last, team_comp_key", 12, TL),
+    _board("overview_lowest_ppda", "m3", "", "ppda", "ppda asc nulls last, team_comp_key", 15, TL),
+    _board("players_top30", "(select *, player_name as p_name from m5)", "", "np_xg_per_90 + xa_per_90",
+           "np_xg_per_90 + xa_per_90 desc nulls last, player_id, team_comp_key", 30,
+           "team_comp_key, p_name as team_name, competition_name"),
+]), "m2", "m3", "m4", "m5")
+
+XG_VS_GOALS = q("""select team_comp_key, team_name, competition_name, xg_total, goals, xg_overperformance
+from m1""", "m1")
+
+SCORE_CHASERS = q("""
+select team_name, competition_name, xg_losing, minutes_losing,
+  round(xg_losing / nullif(minutes_losing, 0), 4) as xg_per_min_losing
+from (select team_name, competition_name, sum(xg_raw) as xg_losing,
+             sum(round(minutes_in_state * 10.0)) / 10.0 as minutes_losing
+      from m6 where game_state = 'Losing' group by team_name, competition_name)
+order by xg_per_min_losing desc nulls last, team_name, competition_name nulls last limit 10""", "m6")
+
+DEEP_RUN_LINES = q("""
+select m.team_comp_key, m.team_name, m.game_state,
+  round(sum(round(m.avg_field_position_x * 1000000.0)) / count(m.avg_field_position_x) / 1000000.0, 1) as mean_x,
+  count(*) as n_matches
+from m6 m
+where m.team_comp_key in (select team_comp_key from team_outcomes
+                          order by max_stage_rank desc, team_comp_key limit 6)
+group by m.team_comp_key, m.team_name, m.game_state""", "m6", extra=(OUTCOMES_CTE,))

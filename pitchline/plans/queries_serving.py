@@ -203,3 +203,25 @@ def q_ml_importance(spark, sf):
     imp.coalesce(1).write.mode("overwrite").option("header", True).csv(
         shared_scratch(spark, f"exports/{uuid.uuid4().hex}/feature_importance.csv"))
     return imp
+
+
+@query("dashboard_lists")
+def q_dashboard_lists(spark, sf):
+    t = Tables(spark, sf)
+    return serving.dashboard_lists(t.m2(), t.m3(), t.m4(), t.m5())
+
+
+@query("xg_vs_goals")
+def q_xg_vs_goals(spark, sf):
+    return serving.xg_vs_goals(Tables(spark, sf).m1())
+
+
+@query("score_chasers")
+def q_score_chasers(spark, sf):
+    return serving.score_chasers(Tables(spark, sf).m6())
+
+
+@query("deep_run_lines")
+def q_deep_run_lines(spark, sf):
+    t = Tables(spark, sf)
+    return serving.deep_run_lines(t.m6(), outcomes.team_outcomes(t.matches))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchline.functions.exprs import exact_mean, round_half_away as rnd
+from pitchline.functions.exprs import exact_mean, round_half_away as rnd  # noqa: F401
 
 col = F.col
 
@@ -151,3 +151,52 @@ def dim_team_competition(m1: DataFrame) -> DataFrame:
         F.concat(col("team_name"), F.lit("|"), col("competition_folder_name"), F.lit("|"),
                  col("season_year").cast("string")).alias("team_comp_key"),
         "team_name", "competition_name", "competition_folder_name", "season_year").distinct()
+
+
+def dashboard_lists(m2: DataFrame, m3: DataFrame, m4: DataFrame, m5: DataFrame) -> DataFrame:
+    """Overview and player page lists: top 12 set-piece xG share, top 12 final-third entries per
+    match, top 15 lowest PPDA, top 30 players by npxG + xA per 90."""
+    lab = ["team_comp_key", "team_name", "competition_name"]
+    tie = col("team_comp_key").asc()
+    xgxa = col("np_xg_per_90") + col("xa_per_90")
+    return reduce(DataFrame.unionByName, [
+        top_k(m4, [col("sp_xg_share_of_total").desc_nulls_last(), tie], 12, "overview_set_piece_share",
+              col("sp_xg_share_of_total"), lab),
+        top_k(m2, [col("final_third_entries_per_match").desc_nulls_last(), tie], 12, "overview_f3_entries",
+              col("final_third_entries_per_match"), lab),
+        top_k(m3, [col("ppda").asc_nulls_last(), tie], 15, "overview_lowest_ppda", col("ppda"), lab),
+        top_k(m5.withColumn("team_name", col("player_name")),
+              [xgxa.desc_nulls_last(), col("player_id").asc(), tie], 30, "players_top30", xgxa, lab),
+    ])
+
+
+def xg_vs_goals(m1: DataFrame) -> DataFrame:
+    """The overview scatter: every team-tournament's xG, goals and their difference."""
+    return m1.select("team_comp_key", "team_name", "competition_name", "xg_total", "goals",
+                     "xg_overperformance")
+
+
+def _exact_sum(x, digits: int) -> Column:
+    """Sum of values with at most ``digits`` decimals, independent of summation order."""
+    scale = float(10 ** digits)
+    return F.sum(F.round(col(x) * F.lit(scale), 0)) / F.lit(scale)
+
+
+def score_chasers(m6: DataFrame, k: int = 10) -> DataFrame:
+    """Teams with the most xG per minute while losing (summed over their matches)."""
+    losing = (m6.where(col("game_state") == "Losing")
+              .groupBy("team_name", "competition_name")
+              .agg(F.sum("xg_raw").alias("xg_losing"), _exact_sum("minutes_in_state", 1).alias("minutes_losing")))
+    out = losing.withColumn("xg_per_min_losing", rnd(col("xg_losing") / F.nullif(col("minutes_losing"), F.lit(0.0)), 4))
+    return out.orderBy(col("xg_per_min_losing").desc_nulls_last(), col("team_name"),
+                       col("competition_name").asc_nulls_last()).limit(k)
+
+
+def deep_run_lines(m6: DataFrame, outcomes: DataFrame, n_teams: int = 6) -> DataFrame:
+    """Mean field position per game state for the ``n_teams`` deepest tournament runs."""
+    deepest = (outcomes.orderBy(col("max_stage_rank").desc(), col("team_comp_key")).limit(n_teams)
+               .select("team_comp_key"))
+    rows = m6.join(deepest, "team_comp_key", "left_semi")
+    return (rows.groupBy("team_comp_key", "team_name", "game_state")
+            .agg(rnd(exact_mean("avg_field_position_x"), 1).alias("mean_x"),
+                 F.count(F.lit(1)).alias("n_matches")))
