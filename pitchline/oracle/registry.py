@@ -55,6 +55,7 @@ def oracle_sql() -> dict[str, str]:
         "xg_vs_goals": s.XG_VS_GOALS,
         "score_chasers": s.SCORE_CHASERS,
         "deep_run_lines": s.DEEP_RUN_LINES,
+        "findings": s.FINDINGS,
         "check_not_null": s.CHECK_NOT_NULL,
         "check_unique": s.CHECK_UNIQUE,
         "check_accepted": s.CHECK_ACCEPTED,

@@ -259,3 +259,12 @@ from m6 m
 where m.team_comp_key in (select team_comp_key from team_outcomes
                           order by max_stage_rank desc, team_comp_key limit 6)
 group by m.team_comp_key, m.team_name, m.game_state""", "m6", extra=(OUTCOMES_CTE,))
+
+FINDINGS = q("\nunion all\n".join([
+    _board("trophies_vs_xg", "(select * from m1 where team_comp_key in (select team_comp_key from team_outcomes "
+           "where outcome_class = 'Finalist'))", "", "xg_overperformance",
+           "xg_overperformance asc nulls last, team_comp_key", 10, TL),
+    _board("set_piece_waste", "m4", "sp_shots_total >= 8", "sp_conversion_rate",
+           "sp_conversion_rate asc nulls last, sp_xg_per_match desc nulls last, team_comp_key", 5, TL),
+    _board("low_block", "m3", "matches_played >= 3", "ppda", "ppda desc nulls last, team_comp_key", 5, TL),
+]), "m1", "m3", "m4", extra=(OUTCOMES_CTE,))

@@ -225,3 +225,9 @@ def q_score_chasers(spark, sf):
 def q_deep_run_lines(spark, sf):
     t = Tables(spark, sf)
     return serving.deep_run_lines(t.m6(), outcomes.team_outcomes(t.matches))
+
+
+@query("findings")
+def q_findings(spark, sf):
+    t = Tables(spark, sf)
+    return serving.findings(t.m1(), t.m3(), t.m4(), outcomes.team_outcomes(t.matches))

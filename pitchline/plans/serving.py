@@ -200,3 +200,23 @@ def deep_run_lines(m6: DataFrame, outcomes: DataFrame, n_teams: int = 6) -> Data
     return (rows.groupBy("team_comp_key", "team_name", "game_state")
             .agg(rnd(exact_mean("avg_field_position_x"), 1).alias("mean_x"),
                  F.count(F.lit(1)).alias("n_matches")))
+
+
+def findings(m1: DataFrame, m3: DataFrame, m4: DataFrame, outcomes: DataFrame, k: int = 5) -> DataFrame:
+    """The findings page as three fixed extracts (rows tagged by ``finding``):
+    trophies vs xG (finalists' xG against goals), set-piece waste (most set-piece xG per match
+    with the lowest conversion, at least 8 set-piece shots) and low block (highest PPDA among
+    teams with at least 3 matches)."""
+    lab = ["team_comp_key", "team_name", "competition_name"]
+    tie = col("team_comp_key").asc()
+    finalists = m1.join(outcomes.where(col("outcome_class") == "Finalist").select("team_comp_key"),
+                        "team_comp_key", "left_semi")
+    return reduce(DataFrame.unionByName, [
+        top_k(finalists, [col("xg_overperformance").asc_nulls_last(), tie], 2 * k, "trophies_vs_xg",
+              col("xg_overperformance"), lab),
+        top_k(m4.where(col("sp_shots_total") >= 8),
+              [col("sp_conversion_rate").asc_nulls_last(), col("sp_xg_per_match").desc_nulls_last(), tie],
+              k, "set_piece_waste", col("sp_conversion_rate"), lab),
+        top_k(m3.where(col("matches_played") >= 3), [col("ppda").desc_nulls_last(), tie], k, "low_block",
+              col("ppda"), lab),
+    ])
