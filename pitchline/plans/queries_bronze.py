@@ -104,7 +104,7 @@ def q_flatten_lineups(spark, sf):
     root, _ = land_all(spark, sf)
     flat = br.flatten_lineups(spark.read.parquet(f"{root}/lineups"))
     return flat.select("match_id", "competition", "season", "team_name", "player_id", "player_name",
-                       "player_nickname", F.size("positions").alias("n_segments"))
+                       "player_nickname", F.size("positions").cast("long").alias("n_segments"))
 
 
 @query("union_all_matches")
@@ -169,7 +169,7 @@ def q_stg_competitions(spark, sf):
 def q_stg_lineups(spark, sf):
     root, _ = land_all(spark, sf)
     s = sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{root}/lineups")))
-    return s.withColumn("positions", F.size("positions")).withColumnRenamed("positions", "n_segments")
+    return s.withColumn("positions", F.size("positions").cast("long")).withColumnRenamed("positions", "n_segments")
 
 
 @query("sink_roundtrip")

@@ -23,7 +23,7 @@ def top_k(df: DataFrame, order: list[Column], k: int, board: str, value: Column,
     """The first k rows by ``order`` as (board, rank, labels..., metric_value)."""
     top = df.orderBy(*order).limit(k)
     w = Window.orderBy(*order)  # numbers at most k rows, after the limit
-    return top.select(F.lit(board).alias("board"), F.row_number().over(w).alias("rank"),
+    return top.select(F.lit(board).alias("board"), F.row_number().over(w).cast("long").alias("rank"),
                       *label_cols, value.cast("double").alias("metric_value"))
 
 

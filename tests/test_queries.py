@@ -11,6 +11,9 @@ from conftest import SF0001, SF001
 from pitchline.plans import catalog
 from pitchline.sources import fb as fbsrc
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
+
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 ROWS_ONLY = sorted(set(QUERIES) - set(ORACLE))
@@ -53,9 +56,13 @@ def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF001)
     cols = sorted(df.columns)
     got = _sort([tuple(_norm(r[c]) for c in cols) for r in df.collect()])
-    rel = duck.execute(ORACLE[key])
-    ocols = [d[0] for d in rel.description]
+    rel = duck.sql(ORACLE[key])
+    ocols = rel.columns
     assert sorted(ocols) == cols
+    # column types agree too (Spark simple type name -> DuckDB type name)
+    spark_types = {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
     idx = [ocols.index(c) for c in cols]
     want = _sort([tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()])
     assert got == want
