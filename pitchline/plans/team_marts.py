@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pitchline.functions.exprs import (
     FINAL_THIRD_X, HALFWAY_X, OPEN_PLAY_PATTERNS, PPDA_OPP_MAX_X, PPDA_OWN_MIN_X,
     SET_PIECE_CHAIN_PATTERNS, SET_PIECE_PATTERNS, any_flag, count_when, is_progressive,
-    is_zone_entry, ratio, round_half_away as rnd, sum_when, team_key,
+    is_zone_entry, ratio, round_half_away as rnd, team_key,
 )
 
 TEAM_KEYS = ["team", "competition", "season"]

@@ -24,6 +24,8 @@ BASE_CONF = {
     # PySpark 4 records the Python call site of every API call (a JVM round trip each) for
     # error messages; plan construction is several times faster without it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # reliable checkpoints of per-query intermediates are deleted once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

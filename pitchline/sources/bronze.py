@@ -54,7 +54,6 @@ BRONZE_EVENT_SCHEMA = T.StructType([
     T.StructField("shot_outcome", T.StringType()), T.StructField("counterpress", T.BooleanType()),
     T.StructField("duel_type", T.StringType()), T.StructField("dribble_outcome", T.StringType()),
 ])
-PARTITIONS = ["type", "competition", "season"]
 
 
 def _float_id(c: Column) -> Column:
