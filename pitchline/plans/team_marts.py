@@ -8,7 +8,7 @@ skew of the input. The competition dimension is joined last, to the aggregated r
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.exprs import (
@@ -210,27 +210,46 @@ def opponent_ratio_counts(ev: DataFrame, matches: DataFrame, event_pred: Column,
 
 
 def mart_defensive_pressure(ev: DataFrame, matches: DataFrame, comps: DataFrame) -> DataFrame:
+    """M3 from ONE scan of the events.
+
+    Located events are aggregated per (team, match) -- own pressing counts plus the team's passes
+    in the opponent's PPDA zone. That table has about two rows per match; joined to the match's
+    home/away pair, the opponent's zone passes are the match total minus the team's own (a window
+    over those two rows), so no second pass over the events and no join of raw events is needed.
+    """
     located = col("start_x").isNotNull()
     et = col("event_type")
-    press = located & (et == "Pressure")
-    high = press & (col("start_x") >= HALFWAY_X)
+    press = et == "Pressure"
     cp = press & col("counterpress")
-    own_zone = col("start_x") >= PPDA_OWN_MIN_X
-    td = (ev.where(located).groupBy(*TEAM_KEYS)
-          .agg(F.count_distinct("match_id").alias("matches_played"),
-               count_when(press).alias("pressures_total"),
-               count_when(high).alias("pressures_high"),
-               count_when(cp).alias("counterpresses_total"),
-               count_when(cp & (col("start_x") >= HALFWAY_X)).alias("counterpresses_high"),
-               count_when(et == "Duel").alias("duels_total"),
-               count_when(et == "Foul Committed").alias("fouls_total"),
-               count_when(et == "Ball Recovery").alias("recoveries_total"),
-               count_when(((et == "Pressure") | ((et == "Duel") & (col("duel_type") == "Tackle"))
-                           | (et == "Foul Committed")) & own_zone).alias("ppda_denom_raw")))
-    opp = opponent_ratio_counts(
-        ev, matches, (et == "Pass") & located & (col("start_x") <= PPDA_OPP_MAX_X),
-        "opp_passes_in_zone_raw")
-    a = td.join(opp, TEAM_KEYS, "inner")
+    per_match = (ev.where(located).groupBy(*TEAM_KEYS, "match_id")
+                 .agg(count_when(press).alias("pressures_total"),
+                      count_when(press & (col("start_x") >= HALFWAY_X)).alias("pressures_high"),
+                      count_when(cp).alias("counterpresses_total"),
+                      count_when(cp & (col("start_x") >= HALFWAY_X)).alias("counterpresses_high"),
+                      count_when(et == "Duel").alias("duels_total"),
+                      count_when(et == "Foul Committed").alias("fouls_total"),
+                      count_when(et == "Ball Recovery").alias("recoveries_total"),
+                      count_when((press | ((et == "Duel") & (col("duel_type") == "Tackle"))
+                                  | (et == "Foul Committed")) & (col("start_x") >= PPDA_OWN_MIN_X))
+                      .alias("ppda_denom_raw"),
+                      count_when((et == "Pass") & (col("start_x") <= PPDA_OPP_MAX_X)).alias("zone_passes")))
+    pairs = matches.select("match_id", col("competition_folder_name").alias("competition"),
+                           col("season_year").alias("season"), "home_team_name", "away_team_name")
+    j = per_match.join(pairs, ["match_id", "competition", "season"], "left")
+    side = col("team").isin(col("home_team_name"), col("away_team_name"))
+    in_pair = F.coalesce(side, F.lit(False))
+    own = F.when(in_pair, col("zone_passes")).otherwise(F.lit(0))
+    by_match = Window.partitionBy("match_id", "competition", "season")   # about two rows each
+    j = j.withColumn("opp_zone", F.when(in_pair, F.sum(own).over(by_match) - own).otherwise(F.lit(0)))
+    counts = ["pressures_total", "pressures_high", "counterpresses_total", "counterpresses_high",
+              "duels_total", "fouls_total", "recoveries_total", "ppda_denom_raw"]
+    a = (j.groupBy(*TEAM_KEYS)
+         .agg(F.count(F.lit(1)).alias("matches_played"),
+              *[F.sum(c).cast("long").alias(c) for c in counts],
+              F.sum("opp_zone").cast("long").alias("opp_passes_in_zone_raw"),
+              F.max(in_pair.cast("int")).alias("_has_pair"))
+         # as the inner joins of the SQL original: a team needs a match pair and opponent zone passes
+         .where((col("_has_pair") == 1) & (col("opp_passes_in_zone_raw") > 0)))
     m = col("matches_played")
     out = a.select(
         *TEAM_KEYS, "matches_played",
