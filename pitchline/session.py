@@ -54,17 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     The cluster names it; we only create one when it is unset, which happens in local tests.
+    (A core config cannot be changed through ``spark.conf`` at runtime, so the fallback is set on
+    the SparkContext only.)
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="pitchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        current = tempfile.mkdtemp(prefix="pitchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def shared_scratch(spark: SparkSession, name: str) -> str:

@@ -58,7 +58,13 @@ def materialise(spark: SparkSession, sf_dir: str) -> str:
     root = shared_scratch(spark, f"silver/{input_fingerprint(spark, events_path)}")
     if all(_exists(spark, f"{root}/{t}/_SUCCESS") for t in SILVER):
         return root
-    ev = fbsrc.fb_events(fbsrc.read_table(spark, sf_dir, "events"))
+    raw = fbsrc.read_table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if raw.rdd.getNumPartitions() < cores:
+        # an input of very few row groups would map in one task; spread it over the cores
+        # (at scale the input has far more splits than cores and this does nothing)
+        raw = raw.repartition(cores)
+    ev = fbsrc.fb_events(raw)
     tmp = f"{root}/.tmp-{uuid.uuid4().hex}"
     (ev.sortWithinPartitions("match_id", "event_id")
      .write.partitionBy("competition", "season").parquet(f"{tmp}/events"))
