@@ -62,36 +62,60 @@ class Tables:
     def lineups(self) -> DataFrame:
         return fbsrc.fb_lineups(self._ev) if self._ev is not None else self._s("lineups")
 
-    # marts, built on demand (each call returns a fresh plan)
-    def m1(self) -> DataFrame:
+    # marts: ``build_mN`` returns the plan that computes mart N from the Silver tables;
+    # ``mN`` reads it materialised (built on first use per input), as consumers of a mart do
+    def build_m1(self) -> DataFrame:
         from pitchline.plans.team_marts import mart_attack_quality
         return mart_attack_quality(self.ev, self.comps)
 
-    def m2(self) -> DataFrame:
+    def build_m2(self) -> DataFrame:
         from pitchline.plans.team_marts import mart_ball_progression
         return mart_ball_progression(self.ev, self.comps)
 
-    def m3(self) -> DataFrame:
+    def build_m3(self) -> DataFrame:
         from pitchline.plans.team_marts import mart_defensive_pressure
         return mart_defensive_pressure(self.ev, self.matches, self.comps)
 
-    def m4(self) -> DataFrame:
+    def build_m4(self) -> DataFrame:
         from pitchline.plans.team_marts import mart_set_piece
         return mart_set_piece(self.ev, self.comps)
 
-    def m5(self) -> DataFrame:
+    def build_m5(self) -> DataFrame:
         from pitchline.plans.players import mart_player_impact
         return mart_player_impact(self.ev, self.lineups, self.comps)
 
-    def m6(self) -> DataFrame:
+    def build_m6(self) -> DataFrame:
         from pitchline.plans.gamestate import mart_gamestate
         return mart_gamestate(self.ev, self.matches, self.comps)
 
+    def _gold(self, name: str) -> DataFrame:
+        build = getattr(self, f"build_{name}")
+        if self._ev is not None:           # injected events (tests): no materialisation
+            return build()
+        from pitchline.sources.warehouse import gold_table
+        return gold_table(self.spark, self.sf_dir, name, build)
+
+    def m1(self) -> DataFrame:
+        return self._gold("m1")
+
+    def m2(self) -> DataFrame:
+        return self._gold("m2")
+
+    def m3(self) -> DataFrame:
+        return self._gold("m3")
+
+    def m4(self) -> DataFrame:
+        return self._gold("m4")
+
+    def m5(self) -> DataFrame:
+        return self._gold("m5")
+
+    def m6(self) -> DataFrame:
+        return self._gold("m6")
+
     def reused(self, name: str) -> DataFrame:
-        """A mart that one query reads several times, computed once: written to the shared
-        checkpoint folder (``checkpoint()``, lineage cut), so later reads scan that small
-        team-grain table instead of re-deriving the mart from the events each time."""
-        return getattr(self, name)().checkpoint(eager=True)
+        """A mart one query reads several times: the materialised table (read, never recomputed)."""
+        return getattr(self, name)()
 
     def marts(self) -> dict[str, DataFrame]:
         return {"m1": self.m1(), "m2": self.m2(), "m3": self.m3(), "m4": self.m4(),

@@ -105,3 +105,17 @@ class SilverTables:
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> SilverTables:
     return SilverTables(spark, sf_dir)
+
+
+def gold_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A mart materialised once per input under the Silver folder (``<root>/gold/<name>``) and
+    read by every later consumer -- checks, serving lists, exports, outcome features -- the way
+    the SQL original's tests and reports read its mart tables. ``build()`` returns the mart plan.
+    """
+    root = materialise(spark, sf_dir)
+    path = f"{root}/gold/{name}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        tmp = f"{root}/gold/.tmp-{name}-{uuid.uuid4().hex}"
+        build().write.parquet(tmp)
+        _publish(spark, tmp, path)
+    return read_silver(spark, root, f"gold/{name}")
