@@ -1,8 +1,8 @@
 """Registered queries for the bronze landing and silver staging layers.
 
-Each query lands the FB tables as raw-shaped Parquet into a fresh folder under the shared
-checkpoint location (``spark.checkpoint.dir``) and reads them back, so the whole
-land -> read -> clean path runs on every check.
+The FB tables are landed as raw-shaped Parquet once per input (the ingestion run) under the shared
+checkpoint location, and the bronze / silver queries read and clean those files. Scenarios that
+need their own landing history (incremental re-runs, sink round trips) land into fresh folders.
 """
 
 from __future__ import annotations
@@ -30,14 +30,20 @@ def _root(spark) -> str:
     return shared_scratch(spark, f"bronze/{uuid.uuid4().hex}")
 
 
-def land_all(spark, sf) -> tuple[str, Tables]:
-    t = Tables(spark, sf)
-    root = _root(spark)
+def land_into(t: Tables, root: str) -> None:
+    """B1 + B2: the full raw-shaped landing of one input."""
     br.land_events(t.ev, root)
     br.land_matches(t.matches, root)
     br.land_lineups(t.lineups, root)
     br.land_competitions(t.comps, root)
-    return root, t
+
+
+def land_all(spark, sf) -> tuple[str, Tables]:
+    """The input's bronze landing, written once per input (like one ingestion run) and read by
+    every bronze / silver query."""
+    from pitchline.sources.warehouse import landed_bronze
+    t = Tables(spark, sf)
+    return landed_bronze(spark, sf, lambda root: land_into(t, root)), t
 
 
 def _silver_matches(spark, root: str) -> DataFrame:

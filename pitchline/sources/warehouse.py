@@ -119,3 +119,15 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         build().write.parquet(tmp)
         _publish(spark, tmp, path)
     return read_silver(spark, root, f"gold/{name}")
+
+
+def landed_bronze(spark: SparkSession, sf_dir: str, land) -> str:
+    """The raw-shaped bronze landing of this input, written once (``land(folder)`` writes all
+    datasets) and published atomically by renaming the finished folder; returns its path."""
+    root = materialise(spark, sf_dir)
+    path = f"{root}/bronze"
+    if not _exists(spark, path):
+        tmp = f"{root}/.tmp-bronze-{uuid.uuid4().hex}"
+        land(tmp)
+        _publish(spark, tmp, path)
+    return path
