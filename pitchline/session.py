@@ -26,8 +26,26 @@ BASE_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # reliable checkpoints of per-query intermediates are deleted once no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # file splits and post-shuffle partitions sized for executor memory; AQE coalesces small ones
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
+
+
+def size_for_input(spark: SparkSession, path: str) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input's size: about one partition per 256 MB
+    of input (the widest shuffle here moves far less than the input after partial aggregation,
+    and AQE coalesces what is too small), never fewer than 3x the cores. Returns the value."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(p).getLength()
+    n = max(3 * spark.sparkContext.defaultParallelism, -(-size // SHUFFLE_BYTES_PER_PARTITION))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "pitchline", extra: dict | None = None) -> SparkSession:
