@@ -102,7 +102,8 @@ def load_fb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fb_events(read_table(spark, sf_dir, "events"))
 
 
-def is_goal(df_or_none=None) -> Column:
+def is_goal() -> Column:
+    """A shot whose outcome is Goal."""
     return (F.col("event_type") == "Shot") & (F.col("shot_outcome") == "Goal")
 
 
