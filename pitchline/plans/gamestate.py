@@ -15,15 +15,16 @@ MIN_STATE_MINUTES = 3.0
 
 
 def timeline_parts(ev: DataFrame, matches: DataFrame, convention: str = "per_period",
-                   metrics: dict | None = None):
+                   metrics: dict | None = None, goal=None):
     """(timed events, per-second metrics or None, match frame, score timeline, per-team segments).
 
     The match frame is one DataFrame reused by every branch, so Spark plans its exchange once
-    (ReusedExchange)."""
+    (ReusedExchange). ``goal`` overrides what counts as a scoring event (default: a shot whose
+    outcome is Goal, penalties included -- e.g. to add own goals when the feed has them, T12)."""
     timed = tl.events_clock(ev, convention)
     sec = tl.per_second(timed, metrics) if metrics else None
     frame = tl.match_frame(timed, matches)
-    timeline = tl.score_timeline(tl.scoring_seconds(timed, frame))
+    timeline = tl.score_timeline(tl.scoring_seconds(timed, frame, goal))
     per_team = tl.mirror_segments(tl.score_segments(timeline, frame))
     return timed, sec, frame, timeline, per_team
 
@@ -47,8 +48,8 @@ def state_metrics() -> dict:
 
 def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
                    convention: str = "per_period", attribute: str = "after",
-                   min_minutes: float = MIN_STATE_MINUTES) -> DataFrame:
-    _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics())
+                   min_minutes: float = MIN_STATE_MINUTES, goal=None) -> DataFrame:
+    _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics(), goal)
     durations = tl.state_durations(per_team)
     secs = tl.attribute_seconds(sec, timeline, frame, attribute)
     ea = (secs.groupBy("team", "competition", "season", "match_id", "game_state")

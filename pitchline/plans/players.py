@@ -31,11 +31,24 @@ def lineup_segments(lineups: DataFrame, open_end: str = OPEN_SEGMENT_END) -> Dat
             .withColumn("seg_seconds", mmss_to_seconds("to_ts") - mmss_to_seconds("from_ts")))
 
 
-def lineup_minutes(lineups: DataFrame, open_end: str = OPEN_SEGMENT_END) -> DataFrame:
+def lineup_minutes(lineups: DataFrame, open_end: str = OPEN_SEGMENT_END,
+                   match_end: DataFrame | None = None) -> DataFrame:
     """Minutes per lineup row, summed over its segments with a higher-order ``aggregate`` --
-    no explode and no shuffle; rows without segments are dropped like an inner UNNEST."""
+    no explode and no shuffle; rows without segments are dropped like an inner UNNEST.
+
+    An open segment (NULL ``to``) ends at ``open_end`` ('120:00', as the original), or -- when
+    ``match_end`` (match_id, match_end_seconds) is given -- at that match's last recorded second,
+    which avoids crediting 120 minutes to a 90-minute starter (T10). ``match_end`` has one row per
+    match and is joined before the per-row sum.
+    """
+    if match_end is not None:
+        lineups = lineups.join(match_end.select("match_id", "match_end_seconds"), "match_id", "left")
+        end_secs = F.coalesce(col("match_end_seconds").cast("int"), mmss_to_seconds(F.lit(open_end)))
+    else:
+        end_secs = mmss_to_seconds(F.lit(open_end))
+
     def seg_secs(s):
-        return mmss_to_seconds(F.coalesce(s["to"], F.lit(open_end))) - mmss_to_seconds(s["from"])
+        return F.coalesce(mmss_to_seconds(s["to"]), end_secs) - mmss_to_seconds(s["from"])
 
     # SUM semantics: NULL segment lengths are skipped; all-NULL gives NULL
     secs = F.aggregate("positions", F.lit(None).cast("long"),
@@ -45,8 +58,8 @@ def lineup_minutes(lineups: DataFrame, open_end: str = OPEN_SEGMENT_END) -> Data
             .select(*_lineup_keys(lineups), (secs.cast("double") / F.lit(60.0)).alias("minutes_in_match")))
 
 
-def player_minutes(lineups: DataFrame) -> DataFrame:
-    return (lineup_minutes(lineups).groupBy(*PLAYER_KEYS)
+def player_minutes(lineups: DataFrame, match_end: DataFrame | None = None) -> DataFrame:
+    return (lineup_minutes(lineups, match_end=match_end).groupBy(*PLAYER_KEYS)
             .agg(F.count_distinct("match_id").alias("matches_played"),
                  F.sum("minutes_in_match").alias("total_minutes")))
 

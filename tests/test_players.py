@@ -37,3 +37,16 @@ def test_xa_skips_penalties_and_other_matches(make_events):
             ev_row(8, 1, 1, 3, 5, "Shot", xg=0.25, shot_type=None)]                  # NULL type
     out = pl.expected_assists(make_events(rows)).collect()
     assert len(out) == 1 and out[0].total_xa == 0.5
+
+
+def test_open_segment_can_end_at_match_end(spark):
+    # A starter with an open segment in a match that ended at 94:30
+    lu = spark.createDataFrame([(1, 7, "H", "c", 2024, [("00:00", None, 1, None)]),
+                                (2, 7, "H", "c", 2024, [("10:00", None, 1, None)])],
+                               f"match_id long, player_id long, team_name string, "
+                               f"competition_folder_name string, season_year int, positions {SEG}")
+    ends = spark.createDataFrame([(1, 94 * 60 + 30)], "match_id long, match_end_seconds long")
+    by_default = pl.player_minutes(lu).collect()[0].total_minutes
+    to_end = pl.player_minutes(lu, match_end=ends).collect()[0].total_minutes
+    assert by_default == 120.0 + 110.0
+    assert to_end == 94.5 + 110.0      # match 2 has no known end: falls back to 120:00
