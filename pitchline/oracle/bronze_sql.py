@@ -5,7 +5,7 @@ from pitchline.oracle.base import with_fb
 
 SCAN_SPARSE_UNION = with_fb("""
 select event_id as id, event_type as type, competition, season, match_id, team, pass_outcome,
-  xg as shot_statsbomb_xg, case when counterpress then true end as counterpress, duel_type
+  xg as shot_expected_goals, case when counterpress then true end as counterpress, duel_type
 from fb""")
 
 SCAN_HIVE_PARTITIONS = with_fb("""

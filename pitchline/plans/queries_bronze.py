@@ -55,7 +55,7 @@ def q_scan_sparse_union(spark, sf):
     root, _ = land_all(spark, sf)
     b = br.read_bronze_events(spark, root)
     return b.select("id", "type", "competition", "season", "match_id", "team", "pass_outcome",
-                    "shot_statsbomb_xg", "counterpress", "duel_type")
+                    "shot_expected_goals", "counterpress", "duel_type")
 
 
 @query("scan_hive_partitions")

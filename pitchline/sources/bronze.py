@@ -27,7 +27,7 @@ col = F.col
 KIND_COLUMNS = {
     "Pass": ["pass_end_location", "pass_outcome", "pass_assisted_shot_id"],
     "Carry": ["carry_end_location"],
-    "Shot": ["shot_statsbomb_xg", "shot_type", "shot_outcome"],
+    "Shot": ["shot_expected_goals", "shot_type", "shot_outcome"],
     "Pressure": ["counterpress"],
     "Duel": ["duel_type"],
     "Dribble": ["dribble_outcome"],
@@ -50,7 +50,7 @@ BRONZE_EVENT_SCHEMA = T.StructType([
     T.StructField("pass_outcome", T.StringType()),
     T.StructField("pass_assisted_shot_id", T.DoubleType()),
     T.StructField("carry_end_location", T.ArrayType(T.DoubleType())),
-    T.StructField("shot_statsbomb_xg", T.DoubleType()), T.StructField("shot_type", T.StringType()),
+    T.StructField("shot_expected_goals", T.DoubleType()), T.StructField("shot_type", T.StringType()),
     T.StructField("shot_outcome", T.StringType()), T.StructField("counterpress", T.BooleanType()),
     T.StructField("duel_type", T.StringType()), T.StructField("dribble_outcome", T.StringType()),
 ])
@@ -74,7 +74,7 @@ def raw_events(fb: DataFrame) -> DataFrame:
         F.when(col("event_type") == "Pass", _float_id(col("pass_assisted_shot_id")))
         .alias("pass_assisted_shot_id"),
         F.when(col("event_type") == "Carry", loc("end_x")).alias("carry_end_location"),
-        col("xg").alias("shot_statsbomb_xg"), "shot_type", "shot_outcome",
+        col("xg").alias("shot_expected_goals"), "shot_type", "shot_outcome",
         # sparse boolean: present only where true, as the raw feed omits false flags
         F.when(col("counterpress"), F.lit(True)).alias("counterpress"),
         "duel_type", "dribble_outcome")

@@ -12,7 +12,7 @@ col = F.col
 # Raw -> silver names (reserved or unclear raw names are renamed).
 EVENT_RENAMES = {"id": "event_id", "type": "event_type", "possession": "possession_sequence",
                  "player": "player_name", "position": "player_position",
-                 "shot_statsbomb_xg": "xg"}
+                 "shot_expected_goals": "xg"}
 # Sparse booleans where NULL means false.
 SPARSE_FLAGS = ["counterpress"]
 
