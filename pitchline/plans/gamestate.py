@@ -50,19 +50,25 @@ def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
                    convention: str = "per_period", attribute: str = "after",
                    min_minutes: float = MIN_STATE_MINUTES, goal=None) -> DataFrame:
     _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics(), goal)
-    durations = tl.state_durations(per_team)
     secs = tl.attribute_seconds(sec, timeline, frame, attribute)
-    ea = (secs.groupBy("team", "competition", "season", "match_id", "game_state")
-          .agg(F.sum("xg_generated").alias("xg_generated"),
-               F.sum("pressures").alias("pressures"),
-               F.sum("passes_attempted").alias("passes_attempted"),
-               F.sum("passes_completed").alias("passes_completed"),
-               F.sum("sum_x").alias("sum_x"), F.sum("n_x").alias("n_x"),
-               F.sum("final_third_entries").alias("final_third_entries")))
-    sd = durations.where(col("minutes_in_state") >= min_minutes)
-    j = (sd.join(ea, ["match_id", "team", "game_state"], "left")
-         .join(comps, (col("competition") == col("competition_folder_name"))
-               & (col("season") == col("season_year")), "left"))
+    # durations and event metrics share the key (match, team, state): one union + ONE aggregation
+    # instead of two aggregations and a join. Duration rows carry seconds, event rows carry
+    # metrics and the event-side competition labels (NULL for a state without events, as the
+    # original's left join gives).
+    metric_cols = ["xg_generated", "pressures", "passes_attempted", "passes_completed", "sum_x", "n_x",
+                   "final_third_entries"]
+    dur_rows = per_team.select("match_id", "team", "game_state",
+                               (col("seg_end") - col("seg_start")).alias("_seconds"))
+    ev_rows = secs.select("match_id", "team", "game_state", "competition", "season", *metric_cols)
+    both = (dur_rows.unionByName(ev_rows, allowMissingColumns=True)
+            .groupBy("match_id", "team", "game_state")
+            .agg((F.sum("_seconds") / F.lit(60.0)).alias("minutes_in_state"),
+                 F.max("competition").alias("competition"), F.max("season").alias("season"),
+                 *[F.sum(c).alias(c) for c in metric_cols])
+            # NULL minutes (no duration rows) fail the gate like the original's left join from durations
+            .where(col("minutes_in_state") >= min_minutes))
+    j = both.join(comps, (col("competition") == col("competition_folder_name"))
+                  & (col("season") == col("season_year")), "left")
     mins = col("minutes_in_state")
     z = lambda c: F.coalesce(col(c), F.lit(0))
     return j.select(
