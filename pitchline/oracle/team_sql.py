@@ -1,188 +1,180 @@
-"""Oracle SQL for the team-grain marts, in the original style: several aggregates joined."""
+"""Oracle SQL for the team-grain marts (DuckDB).
 
-from pitchline.oracle.base import with_fb
-
-SHOTS = """shots as (
-  select team, competition, season, match_id, xg, shot_outcome, play_pattern, shot_type
-  from fb where event_type = 'Shot' and shot_type != 'Penalty')"""
+Written as single-pass FILTER aggregates per team; M2 is rolled up from a possession-grain table
+and M3's opponent passes come from per-(match, team) rows joined through the match pairing.
+DuckDB evaluates it with its own semantics (decimal literals, HUGEINT sums, rounding), which is
+what makes the comparison with the Spark plans meaningful.
+"""
 
-MATCHES_PLAYED = """mp as (
-  select team, competition, season, count(distinct match_id) as matches_played
-  from fb group by team, competition, season)"""
+from pitchline.oracle.base import with_fb
 
-IDENT = """x.team || '|' || c.competition_folder_name || '|' || cast(c.season_year as varchar) as team_comp_key,
-  x.team as team_name, c.competition_name, c.competition_folder_name, c.season_year"""
+NP = "event_type = 'Shot' and shot_type <> 'Penalty'"
+KEY = "t.team || '|' || d.competition_folder_name || '|' || cast(d.season_year as varchar)"
+DIM = "join fb_competitions d on d.competition_folder_name = t.competition and d.season_year = t.season"
+LABELS = f"{KEY} as team_comp_key, t.team as team_name, d.competition_name, d.competition_folder_name, d.season_year"
 
 MART_ATTACK_QUALITY = with_fb(f"""
-select {IDENT.replace('x.', 'a.')},
-  m.matches_played,
-  a.shots_total,
-  round(a.shots_total * 1.0 / m.matches_played, 2) as shots_per_match,
-  round(a.xg_total, 2) as xg_total,
-  round(a.xg_total / m.matches_played, 2) as xg_per_match,
-  round(a.xg_total / nullif(a.shots_total, 0), 3) as xg_per_shot,
-  a.goals,
-  round(a.goals - a.xg_total, 2) as xg_overperformance,
-  round(a.xg_open_play / nullif(a.xg_total, 0), 3) as open_play_xg_share,
-  round(a.xg_set_piece / nullif(a.xg_total, 0), 3) as set_piece_xg_share
-from agg a
-join mp m on a.team = m.team and a.competition = m.competition and a.season = m.season
-join fb_competitions c on a.competition = c.competition_folder_name and a.season = c.season_year
-""", SHOTS, MATCHES_PLAYED, """agg as (
+select {LABELS},
+  t.matches_played, t.shots_total,
+  round(t.shots_total / t.matches_played, 2) as shots_per_match,
+  round(t.xg, 2) as xg_total,
+  round(t.xg / t.matches_played, 2) as xg_per_match,
+  round(t.xg / nullif(t.shots_total, 0), 3) as xg_per_shot,
+  t.goals,
+  round(t.goals - t.xg, 2) as xg_overperformance,
+  round(t.xg_open / nullif(t.xg, 0), 3) as open_play_xg_share,
+  round(t.xg_sp / nullif(t.xg, 0), 3) as set_piece_xg_share
+from per_team t {DIM}
+where t.shots_total > 0""", f"""per_team as (
   select team, competition, season,
-    count(*) as shots_total,
-    sum(xg) as xg_total,
-    cast(sum(case when shot_outcome = 'Goal' then 1 else 0 end) as bigint) as goals,
-    sum(case when play_pattern in ('Regular Play', 'From Counter', 'From Kick Off') then xg else 0 end) as xg_open_play,
-    sum(case when play_pattern in ('From Corner', 'From Free Kick') then xg else 0 end) as xg_set_piece
-  from shots group by team, competition, season)""")
-
+    count(distinct match_id) as matches_played,
+    count(*) filter (where {NP}) as shots_total,
+    sum(xg) filter (where {NP}) as xg,
+    count(*) filter (where {NP} and shot_outcome = 'Goal') as goals,
+    sum(if(play_pattern in ('Regular Play', 'From Counter', 'From Kick Off'), xg, 0)) filter (where {NP}) as xg_open,
+    sum(if(play_pattern in ('From Corner', 'From Free Kick'), xg, 0)) filter (where {NP}) as xg_sp
+  from fb group by all)""")
+
+SP = f"{NP} and play_pattern in ('From Corner', 'From Free Kick', 'From Throw In')"
 MART_SET_PIECE = with_fb(f"""
-select {IDENT.replace('x.', 'sp.')},
-  m.matches_played,
-  round(sp.sp_xg_total / m.matches_played, 2) as sp_xg_per_match,
-  round(sp.sp_goals * 1.0 / m.matches_played, 2) as sp_goals_per_match,
-  round(sp.sp_shots_total * 1.0 / m.matches_played, 2) as sp_shots_per_match,
-  round(sp.sp_xg_total / nullif(sp.sp_shots_total, 0), 3) as sp_xg_per_shot,
-  round(sp.sp_goals * 1.0 / nullif(sp.sp_shots_total, 0), 3) as sp_conversion_rate,
-  round(sp.sp_xg_total / nullif(a.total_xg, 0), 3) as sp_xg_share_of_total,
-  sp.sp_shots_total,
-  round(sp.sp_xg_total, 2) as sp_xg_total,
-  sp.sp_goals,
-  round(a.total_xg, 2) as total_xg
-from sp_shots sp
-join mp m on sp.team = m.team and sp.competition = m.competition and sp.season = m.season
-join all_shots a on sp.team = a.team and sp.competition = a.competition and sp.season = a.season
-join fb_competitions c on sp.competition = c.competition_folder_name and sp.season = c.season_year
-""", SHOTS, MATCHES_PLAYED, """sp_shots as (
-  select team, competition, season, count(*) as sp_shots_total, sum(xg) as sp_xg_total,
-         cast(sum(case when shot_outcome = 'Goal' then 1 else 0 end) as bigint) as sp_goals
-  from shots where play_pattern in ('From Corner', 'From Free Kick', 'From Throw In')
-  group by team, competition, season)""", """all_shots as (
-  select team, competition, season, sum(xg) as total_xg from shots group by team, competition, season)""")
-
-PROGRESSION_CTES = ["""pa as (
-  select team, competition, season, match_id, event_id, event_type, start_x,
-    case when event_type = 'Pass' then end_x when event_type = 'Carry' then end_x end as end_x,
-    case when event_type = 'Pass' and end_x - start_x >= 10 and end_x >= 80 then 1
-         when event_type = 'Carry' and end_x - start_x >= 10 and end_x >= 80 then 1 else 0 end as is_progressive,
-    case when event_type = 'Pass' and start_x < 80 and end_x >= 80 then 1
-         when event_type = 'Carry' and start_x < 80 and end_x >= 80 then 1 else 0 end as is_final_third_entry,
-    case when event_type = 'Pass' and pass_outcome is null then 1
-         when event_type = 'Pass' and pass_outcome is not null then 0 else null end as is_completed_pass
-  from fb where event_type in ('Pass', 'Carry') and start_x is not null)""", """poss as (
+select {LABELS},
+  t.matches_played,
+  round(t.sp_xg / t.matches_played, 2) as sp_xg_per_match,
+  round(t.sp_goals / t.matches_played, 2) as sp_goals_per_match,
+  round(t.sp_shots_total / t.matches_played, 2) as sp_shots_per_match,
+  round(t.sp_xg / nullif(t.sp_shots_total, 0), 3) as sp_xg_per_shot,
+  round(t.sp_goals / nullif(t.sp_shots_total, 0), 3) as sp_conversion_rate,
+  round(t.sp_xg / nullif(t.np_xg, 0), 3) as sp_xg_share_of_total,
+  t.sp_shots_total, round(t.sp_xg, 2) as sp_xg_total, t.sp_goals, round(t.np_xg, 2) as total_xg
+from per_team t {DIM}
+where t.sp_shots_total > 0""", f"""per_team as (
+  select team, competition, season,
+    count(distinct match_id) as matches_played,
+    count(*) filter (where {SP}) as sp_shots_total,
+    sum(xg) filter (where {SP}) as sp_xg,
+    count(*) filter (where {SP} and shot_outcome = 'Goal') as sp_goals,
+    sum(xg) filter (where {NP}) as np_xg
+  from fb group by all)""")
+
+# --------------------------------------------------------------------- ball progression (M2)
+LOCATED = "event_type in ('Pass', 'Carry') and start_x is not null"
+PROG = f"{LOCATED} and end_x - start_x >= 10 and end_x >= 80"
+PA_CTE = f"""pa as (
+  select team, competition, season, match_id, event_id, event_type, start_x, end_x,
+    cast(coalesce(end_x - start_x >= 10 and end_x >= 80, false) as integer) as is_progressive,
+    cast(coalesce(start_x < 80 and end_x >= 80, false) as integer) as is_final_third_entry,
+    if(event_type = 'Pass', cast(pass_outcome is null as integer), null) as is_completed_pass
+  from fb where {LOCATED})"""
+POSS_CTE = f"""poss as (
   select team, competition, season, match_id, possession_sequence,
-    max(case when start_x >= 80 then 1 else 0 end) as reached_final_third,
-    max(case when event_type = 'Shot' then 1 else 0 end) as ended_with_shot
-  from fb group by team, competition, season, match_id, possession_sequence)"""]
-
-PROGRESSION_ACTIONS = with_fb("select * from pa", *PROGRESSION_CTES[:1])
-POSSESSION_FLAGS = with_fb("select * from poss", *PROGRESSION_CTES[1:])
+    cast(coalesce(bool_or(start_x >= 80), false) as integer) as reached_final_third,
+    cast(bool_or(event_type = 'Shot') as integer) as ended_with_shot,
+    count(*) filter (where {LOCATED}) as n_actions,
+    count(*) filter (where {PROG} and event_type = 'Pass') as prog_passes,
+    count(*) filter (where {PROG} and event_type = 'Carry') as prog_carries,
+    count(*) filter (where {LOCATED} and start_x < 80 and end_x >= 80) as entries,
+    count(*) filter (where {PROG} and event_type = 'Pass' and pass_outcome is null) as prog_completed
+  from fb group by all)"""
+
+PROGRESSION_ACTIONS = with_fb("select * from pa", PA_CTE)
+POSSESSION_FLAGS = with_fb("""select team, competition, season, match_id, possession_sequence,
+  reached_final_third, ended_with_shot from poss""", POSS_CTE)
 
 MART_BALL_PROGRESSION = with_fb(f"""
-select {IDENT.replace('x.', 'p.')},
-  p.matches_played,
-  round(p.progressive_passes * 1.0 / p.matches_played, 2) as progressive_passes_per_match,
-  round(p.progressive_carries * 1.0 / p.matches_played, 2) as progressive_carries_per_match,
-  round(p.final_third_entries * 1.0 / p.matches_played, 2) as final_third_entries_per_match,
-  round(p.prog_passes_completed * 1.0 / nullif(p.prog_passes_attempted, 0), 3) as progressive_pass_completion_rate,
-  round(pos.possessions_f3_with_shot * 1.0 / nullif(pos.possessions_reaching_f3, 0), 3) as final_third_to_shot_rate,
-  p.progressive_passes, p.progressive_carries, p.final_third_entries,
-  pos.possessions_reaching_f3, pos.possessions_f3_with_shot
-from pagg p
-join posagg pos on p.team = pos.team and p.competition = pos.competition and p.season = pos.season
-join fb_competitions c on p.competition = c.competition_folder_name and p.season = c.season_year
-""", *PROGRESSION_CTES, """pagg as (
-  select team, competition, season, count(distinct match_id) as matches_played,
-    cast(sum(case when event_type = 'Pass' then is_progressive else 0 end) as bigint) as progressive_passes,
-    cast(sum(case when event_type = 'Carry' then is_progressive else 0 end) as bigint) as progressive_carries,
-    cast(sum(is_final_third_entry) as bigint) as final_third_entries,
-    sum(case when event_type = 'Pass' and is_progressive = 1 then is_completed_pass else 0 end) as prog_passes_completed,
-    sum(case when event_type = 'Pass' and is_progressive = 1 then 1 else 0 end) as prog_passes_attempted
-  from pa group by team, competition, season)""", """posagg as (
-  select team, competition, season,
-    cast(sum(reached_final_third) as bigint) as possessions_reaching_f3,
-    cast(sum(case when reached_final_third = 1 and ended_with_shot = 1 then 1 else 0 end) as bigint)
-      as possessions_f3_with_shot
-  from poss group by team, competition, season)""")
-
-MATCH_PAIRS = """match_pairs as (
-  select match_id, competition_folder_name as competition, season_year as season,
-         home_team_name as team, away_team_name as opponent, true as is_home from fb_matches
-  union all
+select {LABELS},
+  t.matches_played,
+  round(t.prog_passes / t.matches_played, 2) as progressive_passes_per_match,
+  round(t.prog_carries / t.matches_played, 2) as progressive_carries_per_match,
+  round(t.entries / t.matches_played, 2) as final_third_entries_per_match,
+  round(t.prog_completed / nullif(t.prog_passes, 0), 3) as progressive_pass_completion_rate,
+  round(t.f3_shot / nullif(t.f3, 0), 3) as final_third_to_shot_rate,
+  t.prog_passes as progressive_passes, t.prog_carries as progressive_carries,
+  t.entries as final_third_entries, t.f3 as possessions_reaching_f3, t.f3_shot as possessions_f3_with_shot
+from (select team, competition, season,
+        count(distinct match_id) filter (where n_actions > 0) as matches_played,
+        sum(n_actions) as n_actions,
+        cast(sum(prog_passes) as bigint) as prog_passes, cast(sum(prog_carries) as bigint) as prog_carries,
+        cast(sum(entries) as bigint) as entries, sum(prog_completed) as prog_completed,
+        cast(sum(reached_final_third) as bigint) as f3,
+        count(*) filter (where reached_final_third = 1 and ended_with_shot = 1) as f3_shot
+      from poss group by all) t {DIM}
+where t.n_actions > 0""", POSS_CTE)
+
+# --------------------------------------------------------------------- defensive pressure (M3)
+PAIRS_CTE = """pairs as (
   select match_id, competition_folder_name as competition, season_year as season,
-         away_team_name as team, home_team_name as opponent, false as is_home from fb_matches)"""
-
-OPP_PASSES = """opp as (
-  select mp.team, mp.competition, mp.season, count(*) as opp_passes_in_zone
-  from match_pairs mp
-  join fb e on e.match_id = mp.match_id and e.team = mp.opponent
-           and e.competition = mp.competition and e.season = mp.season
-  where e.event_type = 'Pass' and e.start_x <= 72 and e.start_x is not null
-  group by mp.team, mp.competition, mp.season)"""
-
-MATCH_SIDES = with_fb("select * from match_pairs", MATCH_PAIRS)
-OPPONENT_ZONE_PASSES = with_fb("select team, competition, season, opp_passes_in_zone as opp_passes_in_zone_raw from opp",
-                               MATCH_PAIRS, OPP_PASSES)
-
+         unnest([home_team_name, away_team_name]) as team,
+         unnest([away_team_name, home_team_name]) as opponent,
+         unnest([true, false]) as is_home
+  from fb_matches)"""
+ZONE_CTE = """zone as (
+  select match_id, competition, season, team, count(*) as n
+  from fb where event_type = 'Pass' and start_x <= 72 group by all)"""
+OPP_CTE = """opp as (
+  select p.team, p.competition, p.season, sum(z.n) as opp_passes_in_zone_raw
+  from pairs p join zone z on z.match_id = p.match_id and z.team = p.opponent
+                          and z.competition = p.competition and z.season = p.season
+  group by all)"""
+
+MATCH_SIDES = with_fb("select * from pairs", PAIRS_CTE)
+OPPONENT_ZONE_PASSES = with_fb("""select team, competition, season,
+  cast(opp_passes_in_zone_raw as bigint) as opp_passes_in_zone_raw from opp""", PAIRS_CTE, ZONE_CTE, OPP_CTE)
+
+PRESS = "event_type = 'Pressure'"
 MART_DEFENSIVE_PRESSURE = with_fb(f"""
-select {IDENT.replace('x.', 'td.')},
-  td.matches_played,
-  round(td.pressures_total * 1.0 / td.matches_played, 2) as pressures_per_match,
-  round(td.pressures_high * 1.0 / nullif(td.pressures_total, 0), 3) as high_press_share,
-  round(td.counterpresses_total * 1.0 / nullif(td.pressures_total, 0), 3) as counterpress_share,
-  round(op.opp_passes_in_zone * 1.0 / nullif(td.ppda_pressures + td.ppda_tackles + td.ppda_fouls, 0), 2) as ppda,
-  round((td.pressures_total + td.duels_total + td.fouls_total + td.recoveries_total) * 1.0 / td.matches_played, 2)
-    as defensive_actions_per_match,
-  round(td.counterpresses_high * 1.0 / nullif(td.pressures_high, 0), 3) as high_press_regain_rate,
-  td.pressures_total, td.pressures_high, td.counterpresses_total, td.counterpresses_high,
-  op.opp_passes_in_zone as opp_passes_in_zone_raw,
-  cast(td.ppda_pressures + td.ppda_tackles + td.ppda_fouls as bigint) as ppda_denom_raw
-from td
-join opp op on td.team = op.team and td.competition = op.competition and td.season = op.season
-join fb_competitions c on td.competition = c.competition_folder_name and td.season = c.season_year
-""", MATCH_PAIRS, OPP_PASSES, """td as (
-  select team, competition, season, count(distinct match_id) as matches_played,
-    cast(sum(case when event_type = 'Pressure' then 1 else 0 end) as bigint) as pressures_total,
-    cast(sum(case when event_type = 'Pressure' and start_x >= 60 then 1 else 0 end) as bigint) as pressures_high,
-    cast(sum(case when event_type = 'Pressure' and counterpress = true then 1 else 0 end) as bigint) as counterpresses_total,
-    cast(sum(case when event_type = 'Pressure' and counterpress = true and start_x >= 60 then 1 else 0 end) as bigint)
-      as counterpresses_high,
-    sum(case when event_type = 'Duel' then 1 else 0 end) as duels_total,
-    sum(case when event_type = 'Foul Committed' then 1 else 0 end) as fouls_total,
-    sum(case when event_type = 'Ball Recovery' then 1 else 0 end) as recoveries_total,
-    sum(case when event_type = 'Pressure' and start_x >= 48 then 1 else 0 end) as ppda_pressures,
-    sum(case when event_type = 'Duel' and duel_type = 'Tackle' and start_x >= 48 then 1 else 0 end) as ppda_tackles,
-    sum(case when event_type = 'Foul Committed' and start_x >= 48 then 1 else 0 end) as ppda_fouls
-  from fb where start_x is not null group by team, competition, season)""")
-
-MATCHES_PLAYED_Q = with_fb("select * from mp", MATCHES_PLAYED)
-
-NP_SHOTS_FILTER = with_fb("""
-select event_id, match_id, team, xg, shot_type, shot_outcome, play_pattern
-from fb where event_type = 'Shot' and shot_type != 'Penalty'""")
+select {LABELS},
+  t.matches_played,
+  round(t.pressures_total / t.matches_played, 2) as pressures_per_match,
+  round(t.pressures_high / nullif(t.pressures_total, 0), 3) as high_press_share,
+  round(t.counterpresses_total / nullif(t.pressures_total, 0), 3) as counterpress_share,
+  round(o.opp_passes_in_zone_raw / nullif(t.ppda_denom_raw, 0), 2) as ppda,
+  round((t.pressures_total + t.duels + t.fouls + t.recoveries) / t.matches_played, 2) as defensive_actions_per_match,
+  round(t.counterpresses_high / nullif(t.pressures_high, 0), 3) as high_press_regain_rate,
+  t.pressures_total, t.pressures_high, t.counterpresses_total, t.counterpresses_high,
+  cast(o.opp_passes_in_zone_raw as bigint) as opp_passes_in_zone_raw, t.ppda_denom_raw
+from (select team, competition, season,
+        count(distinct match_id) as matches_played,
+        count(*) filter (where {PRESS}) as pressures_total,
+        count(*) filter (where {PRESS} and start_x >= 60) as pressures_high,
+        count(*) filter (where {PRESS} and counterpress) as counterpresses_total,
+        count(*) filter (where {PRESS} and counterpress and start_x >= 60) as counterpresses_high,
+        count(*) filter (where event_type = 'Duel') as duels,
+        count(*) filter (where event_type = 'Foul Committed') as fouls,
+        count(*) filter (where event_type = 'Ball Recovery') as recoveries,
+        count(*) filter (where start_x >= 48 and (event_type in ('Pressure', 'Foul Committed')
+                                  or (event_type = 'Duel' and duel_type = 'Tackle'))) as ppda_denom_raw
+      from fb where start_x is not null group by all) t
+join opp o on o.team = t.team and o.competition = t.competition and o.season = t.season
+{DIM}""", PAIRS_CTE, ZONE_CTE, OPP_CTE)
+
+# --------------------------------------------------------------------- building blocks
+MATCHES_PLAYED_Q = with_fb("""
+select team, competition, season, count(distinct match_id) as matches_played from fb group by all""")
+
+NP_SHOTS_FILTER = with_fb(f"""
+select event_id, match_id, team, xg, shot_type, shot_outcome, play_pattern from fb where {NP}""")
 
 CONDITIONAL_AGGS_CTE = """ca as (
   select team, competition, season, count(*) as n_events,
-    cast(sum(case when event_type = 'Pass' then 1 else 0 end) as bigint) as passes,
-    cast(sum(case when event_type = 'Pass' and pass_outcome is null then 1 else 0 end) as bigint) as passes_completed,
-    cast(sum(case when event_type = 'Pressure' then 1 else 0 end) as bigint) as pressures,
-    cast(sum(case when event_type = 'Pressure' and counterpress then 1 else 0 end) as bigint) as counterpresses,
-    cast(sum(case when event_type = 'Shot' then 1 else 0 end) as bigint) as shots,
-    cast(sum(case when event_type = 'Shot' and shot_type != 'Penalty' then 1 else 0 end) as bigint) as np_shots,
-    sum(case when event_type = 'Shot' then xg else 0 end) as xg_all,
-    cast(sum(case when event_type = 'Dribble' and dribble_outcome = 'Complete' then 1 else 0 end) as bigint) as dribbles_won,
-    cast(sum(case when event_type = 'Duel' and duel_type = 'Tackle' then 1 else 0 end) as bigint) as tackles
-  from fb group by team, competition, season)"""
+    count(*) filter (where event_type = 'Pass') as passes,
+    count(*) filter (where event_type = 'Pass' and pass_outcome is null) as passes_completed,
+    count(*) filter (where event_type = 'Pressure') as pressures,
+    count(*) filter (where event_type = 'Pressure' and counterpress) as counterpresses,
+    count(*) filter (where event_type = 'Shot') as shots,
+    count(*) filter (where event_type = 'Shot' and shot_type <> 'Penalty') as np_shots,
+    coalesce(sum(xg) filter (where event_type = 'Shot'), 0) as xg_all,
+    count(*) filter (where event_type = 'Dribble' and dribble_outcome = 'Complete') as dribbles_won,
+    count(*) filter (where event_type = 'Duel' and duel_type = 'Tackle') as tackles
+  from fb group by all)"""
 
 CONDITIONAL_AGGS = with_fb("select * from ca", CONDITIONAL_AGGS_CTE)
 
 RATIO_METRICS = with_fb("""
 select team, competition, season,
-  round(passes_completed * 1.0 / nullif(passes, 0), 3) as pass_completion,
-  round(counterpresses * 1.0 / nullif(pressures, 0), 4) as counterpress_share,
+  round(passes_completed / nullif(passes, 0), 3) as pass_completion,
+  round(counterpresses / nullif(pressures, 0), 4) as counterpress_share,
   round(xg_all / nullif(shots, 0), 2) as xg_per_shot,
-  round(dribbles_won * 1.0 / nullif(tackles - tackles, 0), 2) as always_null,
-  round(n_events * 1.0 / 7, 1) as events_per_7,
-  round(np_shots * 1.0 / nullif(shots, 0), 0) as np_share_r0
+  round(dribbles_won / nullif(tackles - tackles, 0), 2) as always_null,
+  round(n_events / 7, 1) as events_per_7,
+  round(np_shots / nullif(shots, 0), 0) as np_share_r0
 from ca""", CONDITIONAL_AGGS_CTE)

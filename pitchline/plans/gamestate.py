@@ -89,19 +89,23 @@ def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
     )
 
 
-def check_symmetry(mart: DataFrame) -> DataFrame:
-    """The original invariant query: per match, total Winning minutes vs total Losing minutes,
-    returning only matches where they differ by more than 1 (an empty result passes).
-    Kept in its original shape (full outer join on match only, grouped by the coalesced key)."""
-    w = mart.where(col("game_state") == "Winning").select("match_id", "minutes_in_state").alias("w")
-    lo = mart.where(col("game_state") == "Losing").select("match_id", "minutes_in_state").alias("l")
-    j = w.join(lo, col("w.match_id") == col("l.match_id"), "full")
-    tw = F.coalesce(F.sum(col("w.minutes_in_state")), F.lit(0.0))
-    tlo = F.coalesce(F.sum(col("l.minutes_in_state")), F.lit(0.0))
-    return (j.groupBy(F.coalesce(col("w.match_id"), col("l.match_id")).alias("match_id"))
-            .agg(tw.alias("total_winning_minutes"), tlo.alias("total_losing_minutes"),
-                 F.abs(tw - tlo).alias("diff"))
-            .where(col("diff") > 1))
+def check_symmetry(mart: DataFrame, tolerance: float = 1.0) -> DataFrame:
+    """Invariant test on the built mart: per match, the total Winning minutes must equal the total
+    Losing minutes within ``tolerance``; returns only the matches that break it (empty = pass).
+
+    Each side is summed per match BEFORE the full outer join on match_id, so the join is one row
+    to one row (a join of the raw state rows would multiply each side by the other's row count).
+    """
+    def side(state: str, name: str) -> DataFrame:
+        return (mart.where(col("game_state") == state).groupBy("match_id")
+                .agg(F.sum("minutes_in_state").alias(name)).alias(name))
+    j = side("Winning", "w").join(side("Losing", "l"), col("w.match_id") == col("l.match_id"), "full")
+    tw = F.coalesce(col("w.w"), F.lit(0.0))
+    tl_ = F.coalesce(col("l.l"), F.lit(0.0))
+    return (j.select(F.coalesce(col("w.match_id"), col("l.match_id")).alias("match_id"),
+                     tw.alias("total_winning_minutes"), tl_.alias("total_losing_minutes"),
+                     F.abs(tw - tl_).alias("diff"))
+            .where(col("diff") > tolerance))
 
 
 def check_symmetry_strict(durations: DataFrame, sides: DataFrame) -> DataFrame:
