@@ -1,8 +1,8 @@
 """DuckDB text of the FB view and its derived tables, used as CTEs by every oracle query.
 
-These are written independently of the Spark code (SQL in the reference's style: joins and
-self-joins where the Spark plans use single aggregates and windows), so a match between the two
-is evidence that both compute the intended thing.
+The oracle queries are written in DuckDB's own idiom (FILTER aggregates, list functions, ASOF
+joins) and evaluated by a different engine with its own numeric and NULL semantics, so a match
+between the two is evidence that both compute the intended thing.
 """
 
 from __future__ import annotations
