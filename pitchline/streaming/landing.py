@@ -22,13 +22,16 @@ from pyspark.sql.streaming import StreamingQuery
 col = F.col
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _ledger(spark: SparkSession, root: str, before_epoch: int) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        led = spark.read.parquet(f"{root}/ledger")
-    except AnalysisException:  # nothing landed yet
+    if not _exists(spark, f"{root}/ledger"):  # nothing landed yet
         return spark.createDataFrame([], "match_id long")
-    return led.where(col("epoch") < before_epoch).select("match_id")
+    return spark.read.parquet(f"{root}/ledger").where(col("epoch") < before_epoch).select("match_id")
 
 
 def land_batch(batch: DataFrame, epoch_id: int, root: str, partitions=("competition", "season")) -> None:
