@@ -48,6 +48,7 @@ def _unique(table: str, df: DataFrame, c: str) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], specs: dict[str, TableChecks]) -> DataFrame:
+    """All checks of all tables as one DataFrame (table_name, check_name, column_name, failures)."""
     parts = []
     for name, spec in specs.items():
         df = tables[name]

@@ -49,6 +49,9 @@ def state_metrics() -> dict:
 def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
                    convention: str = "per_period", attribute: str = "after",
                    min_minutes: float = MIN_STATE_MINUTES, goal=None) -> DataFrame:
+    """M6, grain (team, match, game_state): minutes in each state and the team's event rates
+    while in it. States with under ``min_minutes`` (unrounded) are dropped; competition labels
+    come from the events, so a state without events keeps NULL labels."""
     _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics(), goal)
     secs = tl.attribute_seconds(sec, timeline, frame, attribute)
     # durations and event metrics share the key (match, team, state): one union + ONE aggregation

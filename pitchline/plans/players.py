@@ -59,6 +59,7 @@ def lineup_minutes(lineups: DataFrame, open_end: str = OPEN_SEGMENT_END,
 
 
 def player_minutes(lineups: DataFrame, match_end: DataFrame | None = None) -> DataFrame:
+    """Matches and total minutes per (player, team, competition, season)."""
     return (lineup_minutes(lineups, match_end=match_end).groupBy(*PLAYER_KEYS)
             .agg(F.count_distinct("match_id").alias("matches_played"),
                  F.sum("minutes_in_match").alias("total_minutes")))
@@ -102,6 +103,8 @@ def expected_assists(ev: DataFrame) -> DataFrame:
 
 def mart_player_impact(ev: DataFrame, lineups: DataFrame, comps: DataFrame,
                        min_minutes: float = MIN_MINUTES) -> DataFrame:
+    """M5, grain (player, team, competition, season): per-90 rates for players with at least
+    ``min_minutes`` from their lineup segments; xA is optional (left join, 0 when absent)."""
     pm = player_minutes(lineups).where(col("total_minutes") >= min_minutes)
     j = (pm.join(player_event_stats(ev), PLAYER_KEYS, "inner")
          .join(expected_assists(ev), PLAYER_KEYS, "left")

@@ -58,6 +58,8 @@ def attack_counts(ev: DataFrame) -> DataFrame:
 
 
 def mart_attack_quality(ev: DataFrame, comps: DataFrame) -> DataFrame:
+    """M1, grain (team, competition, season): non-penalty shot volume, xG, goals and the share
+    of xG from open play and from set pieces (buckets are not exhaustive)."""
     a = attack_counts(ev)
     m = col("matches_played")
     out = a.select(

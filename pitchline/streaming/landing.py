@@ -35,6 +35,8 @@ def _ledger(spark: SparkSession, root: str, before_epoch: int) -> DataFrame:
 
 
 def land_batch(batch: DataFrame, epoch_id: int, root: str, partitions=("competition", "season")) -> None:
+    """One micro-batch: skip matches already in the ledger, drop duplicate events, write the new
+    events and ledger rows under ``epoch=<id>`` (overwrite, so a retry replaces its own output)."""
     spark = batch.sparkSession
     new = batch.join(_ledger(spark, root, epoch_id), "match_id", "left_anti")
     # the same match delivered twice inside one batch (two drops) is landed once: duplicate
