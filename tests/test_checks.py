@@ -22,3 +22,20 @@ def test_quarantine_split(spark):
                                          "bad_date": F.try_to_timestamp("d").isNull()})
     assert [r.id for r in good.collect()] == [1]
     assert sorted(r.reject_reason for r in bad.collect()) == ["bad_date", "missing_id"]
+
+
+def test_symmetry_checks_catch_a_broken_mart(spark):
+    from pitchline.plans import gamestate as gs
+    mart = spark.createDataFrame(
+        [(1, "H", "Winning", 30.0), (1, "A", "Losing", 30.0),      # symmetric
+         (2, "H", "Winning", 30.0), (2, "A", "Losing", 27.5),      # off by 2.5 minutes
+         (3, "H", "Drawing", 90.0), (3, "A", "Drawing", 90.0)],    # no winner at all
+        "match_id long, team_name string, game_state string, minutes_in_state double")
+    bad = gs.check_symmetry(mart).collect()
+    assert [(r.match_id, r.diff) for r in bad] == [(2, 2.5)]
+    durations = mart.withColumnRenamed("team_name", "team")
+    sides = spark.createDataFrame([(m, t, o) for m in (1, 2, 3) for t, o in (("H", "A"), ("A", "H"))],
+                                  "match_id long, team string, opponent string")
+    strict = {(r.match_id, r.team): r.win_lose_diff
+              for r in gs.check_symmetry_strict(durations, sides).collect()}
+    assert strict[(2, "H")] == 2.5 and strict[(1, "H")] == 0.0 and strict[(3, "H")] == 0.0
