@@ -74,3 +74,15 @@ def stg_lineups(flat: DataFrame) -> DataFrame:
         col("season").alias("season_year"), "team_name",
         float_id_to_long(col("player_id")).alias("player_id"), "player_name",
         nan_text_to_null(col("player_nickname")).alias("player_nickname"), "positions")
+
+
+def split_matches(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """D5 + B10 for match metadata: rows whose date does not parse (``try_to_date``, which never
+    raises) or which lack a team name go to quarantine with a reason; the rest are cleaned by
+    ``stg_matches``. One pass; nothing is dropped silently."""
+    from pitchline.operators.quality import bad_record_split
+    good, bad = bad_record_split(raw, {
+        "bad_match_date": F.try_to_date(col("match_date"), "yyyy-MM-dd").isNull(),
+        "missing_team": col("home_team_name").isNull() | col("away_team_name").isNull(),
+    })
+    return stg_matches(good), bad

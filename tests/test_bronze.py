@@ -69,3 +69,17 @@ def test_streaming_landing_is_exactly_once_with_overlapping_drops(spark):
                           files_per_batch=1000).awaitTermination()
     out = landing.read_landed(spark, f"{base}/out")
     assert out.count() == ev.count() == out.select("event_id").distinct().count()
+
+
+def test_bad_match_dates_are_quarantined_not_fatal(spark):
+    raw = spark.createDataFrame(
+        [(1, "c", 2024, "2024-06-14", "H", "A", 1.0, 0.0, "Final", "nan"),
+         (2, "c", 2024, "14/06/2024", "H", "B", 0.0, 0.0, "Final", "Ref"),
+         (3, "c", 2024, "2024-06-15", None, "B", 0.0, 2.0, "Final", "Ref")],
+        "match_id long, competition_folder_name string, season_year int, match_date string, "
+        "home_team_name string, away_team_name string, home_score double, away_score double, "
+        "competition_stage_name string, referee string")
+    good, bad = sv.split_matches(raw)
+    g = good.collect()
+    assert [(r.match_id, str(r.match_date), r.home_score, r.referee) for r in g] == [(1, "2024-06-14", 1, None)]
+    assert sorted((r.match_id, r.reject_reason) for r in bad.collect()) == [(2, "bad_match_date"), (3, "missing_team")]
