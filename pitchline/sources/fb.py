@@ -137,6 +137,13 @@ def fb_competitions(ev: DataFrame) -> DataFrame:
             .withColumn("competition_name", F.upper("competition_folder_name")))
 
 
+def competitions_from_matches(matches: DataFrame) -> DataFrame:
+    """The same dimension from the one-row-per-match table (every event belongs to a match), so
+    building it does not read the events again."""
+    return (matches.select("competition_folder_name", "season_year").distinct()
+            .withColumn("competition_name", F.upper("competition_folder_name")))
+
+
 SEGMENT_TYPE = "array<struct<from:string,to:string,from_period:int,to_period:int>>"
 
 

@@ -71,7 +71,7 @@ def materialise(spark: SparkSession, sf_dir: str) -> str:
     written = spark.read.parquet(f"{tmp}/events")
     # the derived tables are built from the written events, not from the raw JSON again
     fbsrc.fb_matches(written).write.parquet(f"{tmp}/matches")
-    fbsrc.fb_competitions(written).write.parquet(f"{tmp}/competitions")
+    fbsrc.competitions_from_matches(spark.read.parquet(f"{tmp}/matches")).write.parquet(f"{tmp}/competitions")
     fbsrc.fb_lineups(written).write.parquet(f"{tmp}/lineups")
     for t in SILVER:
         _publish(spark, f"{tmp}/{t}", f"{root}/{t}")
