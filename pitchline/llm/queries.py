@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitchline.llm import golay_simhash
+from pitchline.llm import golay_simhash, repeat_tree
 from pitchline.llm.common import table
 
 
+def op8_repeat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeat_tree.dedup(table(spark, sf_dir, "documents"), length=100)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES = {
+    "op8_repeat_tree": op8_repeat_tree,
     "op10_golay_simhash": op10_golay_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
