@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import golay_simhash, repeat_tree
+from pitchline.llm import golay_simhash, repeat_tree, swap_packing
 from pitchline.llm.common import table
 
 
@@ -14,12 +15,18 @@ def op8_repeat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swap_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             limit=1024, end_id=2)
+
+
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES = {
     "op8_repeat_tree": op8_repeat_tree,
+    "op9_swap_packing": op9_swap_packing,
     "op10_golay_simhash": op10_golay_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
