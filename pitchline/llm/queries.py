@@ -6,10 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import golay_simhash, repeat_tree, swap_packing
+from pitchline.llm import compression_quality, golay_simhash, repeat_tree, swap_packing, toxicity_fm
 from pitchline.llm.common import table
 
 
+def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                folds=3, fold=1, threshold=0.7)
+
+
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                        folds=5, fold=0, threshold=0.3)
+
+
 def op8_repeat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeat_tree.dedup(table(spark, sf_dir, "documents"), length=100)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -25,6 +35,8 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity_fm": op2_toxicity_fm,
+    "op6_compression_quality": op6_compression_quality,
     "op8_repeat_tree": op8_repeat_tree,
     "op9_swap_packing": op9_swap_packing,
     "op10_golay_simhash": op10_golay_simhash,
