@@ -8,7 +8,7 @@ further labelled rows turns both into a calibrated score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.llm.common import process_cache, text_bytes
 from pitchline.llm.labelled import held_out, logistic, probability, sampled, training_ids
@@ -85,8 +86,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int
     return Model(*d, tuple(logistic(x, np.array([v for _, v in rest], float)).tolist()))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score): the probability of good quality of every whole text."""
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, score): the probability of good quality of every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries: bounded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,20 +99,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             view = memoryview(raw)
             x = np.array([c.features(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(probability(x.reshape(-1, 2), w))], ["doc_id", "score"])
+                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(probability(x.reshape(-1, 2), w))],
+                ["doc_id", *keep, "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long"), *keep, *({"text"} - set(keep)))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)), T.StructField("score", T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3,
-             fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``.
+             fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, held_out, score, predicted) for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not looked at. A null text counts as
     empty and gets the score of features zero. Null ids are scored and never learned from;
     repeated rows are scored each. Fitting reads a bounded sample, scoring every whole text.
     """
     model = fit(docs, labels, folds, fold, fit_rows, calibration_rows)
-    return score(docs, model).select(
-        "doc_id", held_out(folds, fold).alias("held_out"), "score",
+    return score(docs, model, keep).select(
+        "doc_id", *keep, held_out(folds, fold).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -5,7 +5,7 @@ earlier (smaller doc_id, or same document and earlier start).
 
 1. **Anchors.** In every window of ``length`` bytes the ``k``-gram with the least hash is its
    anchor. That depends on nothing but the window, so equal windows meet at equal anchors. Around
-   an anchor lies its context: all bytes of the windows that hold it whole.
+   an anchor lies its context: all bytes of the windows whose anchor it is.
 2. **Equal contexts.** Copies within a batch are told at once; the rest is sorted by (hash, 128-bit context hash, place). Every context
    but the first of a class of equal ones is a copy from end to end. Only the first goes on, and
    only if the same anchor has other contexts too.
@@ -14,7 +14,9 @@ earlier (smaller doc_id, or same document and earlier start).
    common-prefix intervals from the inside out. An interval of ``length`` bytes or more whose
    occurrences have differing bytes on their left is a maximal repeat: a group with *all* its
    occurrences. One whose left bytes all agree is part of a longer repeat and is not given out.
-4. In each group all but the first occurrence are marked; marked spans are joined per document.
+4. In each group all but the first occurrence are marked. The scan hands each interval's first
+   occurrence on to the interval around it, so an occurrence is marked once, with the longest
+   repeat in which it isn't first. Marked spans are joined per document.
 
 A task holds a few whole anchor groups at a time. An anchor with more than ``hot`` differing
 contexts is not sorted in one task: its windows are hashed and dealt out one by one instead
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.llm.common import group_starts, sorted_groups, text_bytes, written
@@ -99,7 +101,7 @@ def _anchors(data: np.ndarray, ends: np.ndarray, hasher: _Hasher, length: int, k
         return none, none, none.astype(_U), none, none
     prefix = hasher.prefix(data)
     grams = n - k + 1
-    h = _mixed((prefix[k:] - prefix[:grams]) * hasher.down[:grams])
+    h = _mixed((prefix[k:] - prefix[:grams]) * hasher.down[:grams]) | _U(1)  # 0 stands for no window
     least = _sliding(h, w, np.minimum)  # by window start
     starts = np.concatenate(([0], ends[:-1]))
     whole = np.zeros(len(least) + 1, np.int32)  # windows that lie in one text
@@ -108,11 +110,28 @@ def _anchors(data: np.ndarray, ends: np.ndarray, hasher: _Hasher, length: int, k
     np.add.at(whole, ends[has] - length + 1, -1)
     least[np.cumsum(whole[:-1]) == 0] = 0
     padded = np.concatenate((np.zeros(w - 1, _U), least, np.zeros(w - 1, _U)))
-    at = np.flatnonzero((_sliding(padded, w, np.maximum) == h) & (h != 0))
-    text = np.searchsorted(ends, at, side="right")
-    low = np.maximum(at + k - length, starts[text])
-    high = np.minimum(at + length, ends[text])
-    return text, at, h[at], low, high
+    at = np.flatnonzero(_sliding(padded, w, np.maximum) == h)
+    edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    first, last = edge, np.append(edge[1:], len(least)) - 1  # runs of windows with the same least hash
+    first, last = first[least[first] > 0], last[least[first] > 0]
+    low, high, anchor = [], [], []
+    number, run, before = np.searchsorted(at, first), np.arange(len(first)), np.full(len(first), -1)
+    while len(run):  # of ties in a window the first is its anchor: a run's anchors, one a round
+        inside = number < len(at)
+        inside[inside] = at[number[inside]] <= last[run[inside]] + w - 1
+        number, run = number[inside], run[inside]
+        a = at[number]
+        its = h[a] == least[first[run]]
+        from_ = np.maximum(np.maximum(first[run], a - w + 1), before[run] + 1)
+        to = np.minimum(last[run], a)
+        before[run[its]] = a[its]
+        its &= from_ <= to
+        low.append(from_[its])
+        high.append(to[its] + length)
+        anchor.append(a[its])
+        number = number + 1
+    low, high, anchor = np.concatenate(low or [none]), np.concatenate(high or [none]), np.concatenate(anchor or [none])
+    return np.searchsorted(ends, low, side="right"), anchor, h[anchor], low, high
 
 
 def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -200,9 +219,18 @@ def _classed(found: DataFrame, hot: int) -> DataFrame:
     return order.mapInArrow(run, "doc_id long, low int, high int, h long, contexts long")
 
 
+def _span() -> Column:
+    """A span in one long: start in the upper, end in the lower half."""
+    return F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
+
+
+def _unpacked(span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return span >> 32, span & 0xFFFFFFFF
+
+
 def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, doc_id, low, contexts, context): the bytes of the wanted contexts."""
-    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high", "h", "contexts")).alias("places"))
+    """(h, doc_id, low, context): the bytes of the wanted contexts."""
+    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(_span().alias("span"), "h")).alias("places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,27 +239,22 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             flat = lists.flatten()
             number = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
             base = offsets[:-1][number]
-            low, high = flat.field("low").to_numpy(), flat.field("high").to_numpy()
+            low, high = _unpacked(flat.field("span").to_numpy())
             for at in range(0, len(low), 20_000):
                 some = slice(at, at + 20_000)
                 cuts = [raw[s:e].tobytes() for s, e in zip(
                     (base[some] + low[some]).tolist(), (base[some] + high[some]).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [flat.field("h")[some], batch.column("doc_id").take(pa.array(number[some])), flat.field("low")[some],
-                     flat.field("contexts")[some], pa.array(cuts, pa.binary())], ["h", "doc_id", "low", "contexts", "context"])
+                    [flat.field("h")[some], batch.column("doc_id").take(pa.array(number[some])),
+                     pa.array(low[some].astype(np.int32)), pa.array(cuts, pa.binary())], ["h", "doc_id", "low", "context"])
 
     return docs.join(places, "doc_id").mapInArrow(
-        run, "h long, doc_id long, low int, contexts long, context binary")
+        run, "h long, doc_id long, low int, context binary")
 
 
-def maximal_repeats(strings: list[bytes], group: np.ndarray, length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(repeat length, [(string number, start), ...]) of the maximal repeats of at least
-    ``length`` bytes, with all occurrences, within each group of strings.
-
-    A repeat is given out if it can't be made longer on either side: to the right since it is an
-    interval of the common-prefix tree, to the left since the bytes before it differ (the start
-    of a string differs from everything).
-    """
+def _suffix_groups(strings: list[bytes], group: np.ndarray, length: int) -> Iterator[list[tuple[bytes, int, int, int]]]:
+    """Sorted suffixes (bytes, byte before or -1, string number, start) in lots: those of a group
+    that agree in their first ``length`` bytes and may begin a maximal repeat."""
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
     data = np.frombuffer(b"".join(strings), np.uint8)
     ends = np.cumsum(sizes)
@@ -251,11 +274,57 @@ def maximal_repeats(strings: list[bytes], group: np.ndarray, length: int) -> Ite
     # a first look: windows that occur once, or always after the same byte, can't begin a repeat
     useful = (many > 1) & ((np.minimum.reduceat(lefts, runs) != np.maximum.reduceat(lefts, runs))
                            | (np.minimum.reduceat(lefts, runs) < 0))
-    for run, size in zip(runs[useful].tolist(), many[useful].tolist(), strict=True):
-        members = order[run : run + size].tolist()
-        suffix = [(strings[owner[m]][start[m] :], int(left[m]), (int(owner[m]), int(start[m]))) for m in members]
-        suffix.sort()
-        yield from _intervals(suffix, length)
+    picked = order[np.repeat(useful, many)]
+    lots = np.append(0, np.cumsum(many[useful])).tolist()
+    own, begin, before = owner[picked].tolist(), start[picked].tolist(), left[picked].tolist()
+    suffixes = [(strings[n][i:], b, n, i) for n, i, b in zip(own, begin, before, strict=True)]
+    for s, e in zip(lots[:-1], lots[1:], strict=True):
+        lot = suffixes[s:e]
+        lot.sort()
+        yield lot
+
+
+Node = tuple[int, int, int, int, list[int]]
+
+
+def interval_tree(lot: list[tuple[bytes, int, int, int]], rank: list, length: int) -> Iterator[Node]:
+    """Stack scan over sorted suffixes: the intervals of a common prefix of ``length`` or more
+    whose left bytes differ, inner before outer, as (common prefix, first suffix, last suffix,
+    number of the suffix of least rank, those that are first in an inner interval only)."""
+    stack: list[list] = []  # [common prefix, first suffix, left byte or -1, least, others]
+    final = len(lot) - 1
+    for i in range(final + 1):
+        depth = _common(lot[i][0], lot[i + 1][0]) if i < final else 0
+        first, same, least = i, lot[i][1], i
+        while stack and stack[-1][0] > depth:
+            value, first, before, other, lost = stack.pop()
+            if rank[other] < rank[least]:
+                other, least = least, other
+            lost.append(other)
+            same = before if before == same else -1
+            if value >= length and same < 0:
+                yield value, first, i, least, lost
+        if stack and stack[-1][0] == depth:
+            top = stack[-1]
+            top[2] = top[2] if top[2] == same else -1
+            if rank[least] < rank[top[3]]:
+                top[3], least = least, top[3]
+            top[4].append(least)
+        elif depth:
+            stack.append([depth, first, same, least, []])
+
+
+def maximal_repeats(strings: list[bytes], group: np.ndarray, length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(repeat length, [(string number, start), ...]) of the maximal repeats of at least
+    ``length`` bytes, with all occurrences, within each group of strings.
+
+    A repeat is given out if it can't be made longer on either side: to the right since it is an
+    interval of the common-prefix tree, to the left since the bytes before it differ (the start
+    of a string differs from everything).
+    """
+    for lot in _suffix_groups(strings, group, length):
+        for size, first, last, _, _ in interval_tree(lot, list(range(len(lot))), length):
+            yield size, [(n, i) for _, _, n, i in lot[first : last + 1]]
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -272,34 +341,16 @@ def _common(a: bytes, b: bytes) -> int:
     return low
 
 
-def _intervals(suffix: list[tuple[bytes, int, tuple[int, int]]], length: int
-               ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """Stack scan over sorted suffixes: their common-prefix intervals of ``length`` or more,
-    inner before outer, those with differing left bytes."""
-    lcp = [_common(suffix[i - 1][0], suffix[i][0]) for i in range(1, len(suffix))] + [0]
-    stack: list[list[int]] = []  # [common prefix, first suffix, left byte or -1 once they differ]
-    for i, depth in enumerate(lcp):
-        first, same = i, suffix[i][1]
-        while stack and stack[-1][0] > depth:
-            value, first, before = stack.pop()
-            same = before if before == same else -1
-            if value >= length and same < 0:
-                yield value, [s[2] for s in suffix[first : i + 1]]
-        if stack and stack[-1][0] == depth:
-            stack[-1][2] = stack[-1][2] if stack[-1][2] == same else -1
-        elif depth:
-            stack.append([depth, first, same])
-
-
 def _tree_marks(cut: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sorted_groups(batches, "h", 20_000):
             ids, low = part.column("doc_id").to_pylist(), part.column("low").to_pylist()
             out: set[tuple[int, int, int]] = set()
-            for size, places in maximal_repeats(part.column("context").to_pylist(), part.column("h").to_numpy().view(_U), length):
-                real = sorted({(ids[n], low[n] + s) for n, s in places})
-                out.update((d, s, s + size) for d, s in real[1:])
-            d, s, e = np.array(sorted(out), np.int64).reshape(-1, 3).T
+            for lot in _suffix_groups(part.column("context").to_pylist(), part.column("h").to_numpy().view(_U), length):
+                places = [(ids[n], low[n] + i) for _, _, n, i in lot]
+                for size, _, _, _, lost in interval_tree(lot, places, length):
+                    out.update((*places[x], places[x][1] + size) for x in lost)
+            d, s, e = np.array(list(out), np.int64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["doc_id", "low", "high"])
 
@@ -356,14 +407,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT, who
     is left out. A text shorter than ``length`` bytes is kept whole.
     """
     texts, spans = repeated_spans(docs, length, k, hot)
-    per_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list(_span()).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, raw = text_bytes(batch.column("text"))
             lists = batch.column("spans")
             flat, counts = lists.flatten(), lists.value_lengths().fill_null(0).to_numpy()
-            low, high = flat.field("low").to_numpy(), flat.field("high").to_numpy()
+            low, high = _unpacked(flat.to_numpy(zero_copy_only=False).astype(np.int64))
             after = np.cumsum(counts)
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
             for i, (s, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):

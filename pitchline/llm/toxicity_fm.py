@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.llm.common import process_cache, texts
 from pitchline.llm.labelled import held_out, logistic, probability, sampled, training_ids
@@ -219,8 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int
     return Model(terms, linear, factors, bias, (float(w[0]), float(w[1])))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score): the probability that a whole text is toxic."""
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, score): the probability that a whole text is toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # terms of a bounded sample
     key = ("toxicity", sent.id if hasattr(sent, "id") else id(sent), zlib.crc32(model.linear.tobytes()))
 
@@ -232,20 +233,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 some = batch.slice(at, 512)
                 z = np.array([scorer.logit(t) for t in texts(some)])
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), pa.array(probability(z.reshape(-1, 1), w))], ["doc_id", "score"])
+                    [some.column("doc_id"), *(some.column(c) for c in keep), pa.array(probability(z.reshape(-1, 1), w))],
+                    ["doc_id", *keep, "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long"), *keep, *({"text"} - set(keep)))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)), T.StructField("score", T.DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7,
-             fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``.
+             fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, held_out, score, predicted) for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not looked at. A null or empty text
     has the bias for a logit. Null ids are scored and never learned from; repeated rows are
     scored each. Fitting reads a bounded sample, scoring every whole text.
     """
     model = fit(docs, labels, folds, fold, fit_rows, calibration_rows)
-    return score(docs, model).select(
-        "doc_id", held_out(folds, fold).alias("held_out"), "score",
+    return score(docs, model, keep).select(
+        "doc_id", *keep, held_out(folds, fold).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
