@@ -6,10 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import compression_quality, golay_simhash, repeat_tree, swap_packing, toxicity_fm
+from pitchline.llm import (
+    compression_quality,
+    golay_simhash,
+    repeat_tree,
+    sentencepiece_bpe,
+    swap_packing,
+    toxicity_fm,
+)
 from pitchline.llm.common import table
 
 
+def op1_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "matches_library")
+
+
 def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                                 folds=3, fold=1, threshold=0.7)
@@ -35,6 +49,7 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece_bpe": op1_sentencepiece_bpe,
     "op2_toxicity_fm": op2_toxicity_fm,
     "op6_compression_quality": op6_compression_quality,
     "op8_repeat_tree": op8_repeat_tree,
