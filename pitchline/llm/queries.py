@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pitchline.llm import (
     compression_quality,
     golay_simhash,
+    projection_neardup,
     repeat_tree,
     sentencepiece_bpe,
     swap_packing,
@@ -34,6 +35,10 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         folds=5, fold=0, threshold=0.3)
 
 
+def op7_projection_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_neardup.neardup(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_repeat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeat_tree.dedup(table(spark, sf_dir, "documents"), length=100)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -52,6 +57,7 @@ QUERIES = {
     "op1_sentencepiece_bpe": op1_sentencepiece_bpe,
     "op2_toxicity_fm": op2_toxicity_fm,
     "op6_compression_quality": op6_compression_quality,
+    "op7_projection_neardup": op7_projection_neardup,
     "op8_repeat_tree": op8_repeat_tree,
     "op9_swap_packing": op9_swap_packing,
     "op10_golay_simhash": op10_golay_simhash,
