@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.llm.common import texts, written
-from pitchline.llm.word_tokens import encoder
+from pitchline.llm.byte_tokens import encoder
 
 SHARD_ROWS = 20_000
 

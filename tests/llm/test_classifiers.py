@@ -29,7 +29,7 @@ def test_quality_on_held_out(spark):
 
 
 def test_toxicity_on_held_out(spark):
-    assert accuracy(spark, queries.op2_toxicity_fm, SF.replace("0.01", "0.1"), "toxic", 3, 1, 0.7) > 0.99
+    assert accuracy(spark, queries.op2_toxicity_fm, SF.replace("0.01", "0.1"), "toxic", 3, 1, 0.7) > 0.96
 
 
 def test_pairs_are_learned():

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from pitchline.llm import swap_packing as s
-from pitchline.llm.word_tokens import Encoder
+from pitchline.llm.byte_tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,6 +28,14 @@ def test_ids_are_the_librarys():
     more = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
     texts = [t or "" for t in TEXTS] + more
     want = [np.array(e.ids, "<u4").tobytes() for e in library().encode_batch(texts, add_special_tokens=False)]
+    encoder = Encoder(PATH)
+    assert encoder.fast is not None
+    assert encoder.packed(texts) == want
+
+
+def test_ids_on_the_given_texts(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library().encode_batch(texts, add_special_tokens=False)]
     assert Encoder(PATH).packed(texts) == want
 
 
