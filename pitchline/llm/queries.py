@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pitchline.llm import (
     compression_quality,
     golay_simhash,
+    html_host,
+    permutation_ann,
     projection_neardup,
     repeat_tree,
     sentencepiece_bpe,
@@ -30,6 +32,14 @@ def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 folds=3, fold=1, threshold=0.7)
 
 
+def op3_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op5_html_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_host.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                                         folds=5, fold=0, threshold=0.3)
@@ -56,6 +66,8 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece_bpe": op1_sentencepiece_bpe,
     "op2_toxicity_fm": op2_toxicity_fm,
+    "op3_permutation_ann": op3_permutation_ann,
+    "op5_html_host": op5_html_host,
     "op6_compression_quality": op6_compression_quality,
     "op7_projection_neardup": op7_projection_neardup,
     "op8_repeat_tree": op8_repeat_tree,
