@@ -14,6 +14,7 @@ from pitchline.llm import (
     projection_neardup,
     repeat_tree,
     sentencepiece_bpe,
+    stupid_backoff,
     swap_packing,
     toxicity_fm,
 )
@@ -36,6 +37,11 @@ def op3_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = stupid_backoff.score(table(spark, sf_dir, "documents"), order=3, backoff=0.4)
+    return rated.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"))
+
+
 def op5_html_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_host.extract(table(spark, sf_dir, "pages"))
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op1_sentencepiece_bpe": op1_sentencepiece_bpe,
     "op2_toxicity_fm": op2_toxicity_fm,
     "op3_permutation_ann": op3_permutation_ann,
+    "op4_stupid_backoff": op4_stupid_backoff,
     "op5_html_host": op5_html_host,
     "op6_compression_quality": op6_compression_quality,
     "op7_projection_neardup": op7_projection_neardup,
@@ -74,4 +81,35 @@ QUERIES = {
     "op9_swap_packing": op9_swap_packing,
     "op10_golay_simhash": op10_golay_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_stupid_backoff": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        places AS (SELECT doc_id, unnest(ws) AS c, generate_subscripts(ws, 1) AS i FROM split),
+        grams AS (
+            SELECT doc_id, i, c, lag(c) OVER d AS b, lag(c, 2) OVER d AS a
+            FROM places WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        one AS (SELECT doc_id, c, sum(count(*)) OVER (PARTITION BY c) - count(*) AS n FROM grams GROUP BY doc_id, c),
+        two AS (
+            SELECT doc_id, b, c, sum(count(*)) OVER (PARTITION BY b, c) - count(*) AS n
+            FROM grams WHERE b IS NOT NULL GROUP BY doc_id, b, c),
+        three AS (
+            SELECT doc_id, a, b, c, sum(count(*)) OVER (PARTITION BY a, b, c) - count(*) AS n
+            FROM grams WHERE a IS NOT NULL GROUP BY doc_id, a, b, c),
+        rest AS (SELECT doc_id, len(ws) AS size, sum(len(ws)) OVER () - len(ws) AS n FROM split),
+        logs AS (
+            SELECT g.doc_id, CASE
+                WHEN t3.n > 0 THEN ln(t3.n / x2.n)
+                WHEN t2.n > 0 THEN ln(t2.n / x1.n) + (least(i, 3) - 2) * ln(0.4)
+                WHEN t1.n > 0 THEN ln(t1.n / r.n) + (least(i, 3) - 1) * ln(0.4)
+                ELSE least(i, 3) * ln(0.4) - ln(greatest(r.n, 1)) END AS s
+            FROM grams g JOIN rest r ON r.doc_id = g.doc_id
+            JOIN one t1 ON t1.doc_id = g.doc_id AND t1.c = g.c
+            LEFT JOIN two t2 ON t2.doc_id = g.doc_id AND t2.b = g.b AND t2.c = g.c
+            LEFT JOIN three t3 ON t3.doc_id = g.doc_id AND t3.a = g.a AND t3.b = g.b AND t3.c = g.c
+            LEFT JOIN one x1 ON x1.doc_id = g.doc_id AND x1.c = g.b
+            LEFT JOIN two x2 ON x2.doc_id = g.doc_id AND x2.b = g.a AND x2.c = g.b)
+        SELECT r.doc_id, r.size AS n_tokens, round(coalesce(sum(s), 0.0), 4) AS log_score
+        FROM rest r LEFT JOIN logs l ON l.doc_id = r.doc_id GROUP BY r.doc_id, r.size
+    """,
+}
