@@ -66,4 +66,4 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    return process_cache(("byte_bpe", path), lambda: Encoder(path))
+    return process_cache("byte_bpe", path, lambda: Encoder(path))

@@ -28,13 +28,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def process_cache(key: Any, build: Callable[[], Any]) -> Any:
-    """One object for each Python worker process, built on first use; workers serve many tasks."""
+def process_cache(kind: str, key: Any, build: Callable[[], Any]) -> Any:
+    """One object of each kind for each Python worker process, built on first use and anew when
+    ``key`` changes; workers serve many tasks. ``key`` must tell different contents apart."""
     name = "pitchline_llm_process_cache"
     store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if key not in store:
-        store[key] = build()
-    return store[key]
+    if kind not in store or store[kind][0] != key:
+        store[kind] = (key, build())
+    return store[kind][1]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

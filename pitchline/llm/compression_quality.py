@@ -8,6 +8,7 @@ further labelled rows turns both into a calibrated score.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -90,9 +91,11 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, columns of ``keep``, score): the probability of good quality of every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries: bounded
 
+    key = hashlib.sha256(model.good + b"/" + model.bad).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        c = process_cache(("quality", hash(m)), lambda: Compressors(m.good, m.bad))
+        c = process_cache("quality", key, lambda: Compressors(m.good, m.bad))
         w = np.array(m.weights)
         for batch in batches:
             offsets, raw = text_bytes(batch.column("text"))

@@ -60,7 +60,7 @@ def _patterns() -> list[tuple[int, ...]]:
 
 def segment_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For 23-bit words: (n x 6 codeword indices, n x 6 mask of those that count)."""
-    parity, table, counts = process_cache("golay", _code_tables)
+    parity, table, counts = process_cache("golay", None, _code_tables)
     syndrome = parity[words >> 11] ^ (words & 0x7FF)
     index = (words[:, None] ^ table[syndrome]) >> 11
     return index, np.arange(6)[None, :] < counts[syndrome][:, None]

@@ -182,7 +182,7 @@ def _posted(classes: DataFrame, count: int, projections: int, depth: int) -> Dat
                 part = batch.slice(at, 1024)
                 x = np.array(part.column("embedding").to_pylist(), np.float64)
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                a = process_cache(("directions", projections, x.shape[1]), lambda d=x.shape[1]: directions(projections, d))
+                a = process_cache("directions", (projections, x.shape[1]), lambda d=x.shape[1]: directions(projections, d))
                 token, value = postings(unit, a, depth)
                 used = max(1, token.shape[1] - count + 1)
                 row = np.repeat(np.arange(len(x)), used)

@@ -15,6 +15,7 @@ classes of the fitting sample, which bounds the model by that sample.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -40,7 +41,7 @@ HEADS = (4, 5, 6)
 FIT_ROWS = 2500
 CALIBRATION_ROWS = 4000
 #: Words whose hash a worker remembers.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 #: Weights below this, on both the linear and the pair side, are as good as none.
 SMALL = 0.02
 RIDGE = 0.01
@@ -117,38 +118,62 @@ def logits(window: np.ndarray, row: np.ndarray, linear: np.ndarray, factors: np.
     return bias + np.add.reduceat(linear[row], starts) + pairs
 
 
-def _telling(split: list[list[str]], labels: list[int]) -> np.ndarray:
-    """Terms whose share of texts differs between the classes by ``TELLING`` standard errors.
-    Both partners of a toxic pair differ, if less than a word that is toxic alone."""
-    seen = [{t for w in set(ws) for t in terms_of(w)} for ws in split]
-    of = [np.array([t for s, y in zip(seen, labels, strict=True) if y == want for t in s], np.int64) for want in (0, 1)]
-    terms = np.unique(np.concatenate(of))
-    n = [max(1, labels.count(0)), max(1, labels.count(1))]
-    clean, toxic = (np.bincount(np.searchsorted(terms, x), minlength=len(terms)) for x in of)
-    p = (clean + toxic) / sum(n)
-    z = (toxic / n[1] - clean / n[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
-    return terms[(np.abs(z) > TELLING) & (clean + toxic > 1)]
+class _Sample:
+    """The words of the fitting sample as numbers, and the terms of each distinct word: a row of
+    hashes, -1 where a word is too short for a head."""
+
+    def __init__(self, labelled: list[tuple[str, int]]) -> None:
+        number: dict[str, int] = {}
+        self.texts = []
+        for text, _ in labelled:
+            ws = words(text)
+            self.texts.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
+        self.labels = np.array([y for _, y in labelled])
+        self.terms = np.full((len(number), 1 + len(HEADS)), -1, np.int64)
+        for word, n in number.items():
+            found = terms_of(word)
+            self.terms[n, : len(found)] = found
+
+    def telling(self) -> np.ndarray:
+        """Terms whose share of texts differs between the classes by ``TELLING`` standard errors.
+        Both partners of a toxic pair differ, if less than a word that is toxic alone."""
+        of = [np.concatenate([np.zeros(0, np.int64), *(np.unique(self.terms[np.unique(t)])
+                             for t, y in zip(self.texts, self.labels, strict=True) if y == want)]) for want in (0, 1)]
+        terms, back = np.unique(np.concatenate(of), return_inverse=True)
+        clean, toxic = (np.bincount(x, minlength=len(terms)) for x in np.split(back, [len(of[0])]))
+        n = [max(1, int((self.labels == want).sum())) for want in (0, 1)]
+        p = (clean + toxic) / sum(n)
+        z = (toxic / n[1] - clean / n[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
+        return terms[(np.abs(z) > TELLING) & (clean + toxic > 1) & (terms >= 0)]
+
+    def windows(self, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, row of ``terms``) of each text."""
+        place = np.minimum(np.searchsorted(terms, self.terms), max(len(terms) - 1, 0))
+        rows = np.where(terms[place] == self.terms, place, -1) if len(terms) else np.full(self.terms.shape, -1)
+        for text in self.texts:
+            mine = rows[text]
+            at, column = np.nonzero(mine >= 0)
+            yield windows(at, mine[at, column], len(text))
 
 
 def fit_machine(labelled: list[tuple[str, int]], epochs: int = EPOCHS, sharper: int = SHARPER, seed: int = 11
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(terms, linear, factors, bias) by AdaGrad on the windows of the texts."""
-    split = [words(t) for t, _ in labelled]
-    terms = _telling(split, [y for _, y in labelled])
-    known, win, row, owner, base = Rows(terms), [], [], [], 0
-    for number, ws in enumerate(split):
-        a, b = windows(*known.of(ws), len(ws))
+    sample = _Sample(labelled)
+    terms = sample.telling()
+    win, row, owner, base = [], [], [], 0
+    for number, (a, b) in enumerate(sample.windows(terms)):
         n = int(a[-1]) + 1 if len(a) else 0
         win.append(a + base)
         row.append(b)
-        owner += [number] * n
+        owner.append(np.full(n, number))
         base += n
     rng = np.random.default_rng(seed)
     linear, factors, bias = np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS)), 0.0
     if not base or not len(terms):
         return terms, linear, factors * 0, bias
-    win, row, owner = np.concatenate(win), np.concatenate(row), np.array(owner)
-    toxic = np.array([y for _, y in labelled], float)
+    win, row, owner = np.concatenate(win), np.concatenate(row), np.concatenate(owner)
+    toxic = sample.labels.astype(float)
     y = toxic[owner]
     first = np.searchsorted(win, np.arange(base + 1))
     filled = np.flatnonzero(np.diff(first))
@@ -223,10 +248,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int
 def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, columns of ``keep``, score): the probability that a whole text is toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # terms of a bounded sample
-    key = ("toxicity", sent.id if hasattr(sent, "id") else id(sent), zlib.crc32(model.linear.tobytes()))
+    key = hashlib.sha256(b"/".join(x.tobytes() for x in (model.terms, model.linear, model.factors))
+                         + repr((model.bias, model.weights)).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = process_cache(key, lambda: Scorer(sent.value))
+        scorer = process_cache("toxicity", key, lambda: Scorer(sent.value))
         w = np.array(scorer.model.weights)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
