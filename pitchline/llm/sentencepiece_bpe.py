@@ -6,18 +6,17 @@ neighbours join the agenda, and pairs whose symbols are gone are passed over. Ch
 piece become byte pieces. Where no piece has a space mark behind other characters, merges never
 cross into the next space-led chunk, so each distinct chunk is encoded once per worker.
 
-Every Arrow batch is checked against the sentencepiece library, ids and decoded text.
+In every Arrow batch the ids of all chunks that are new to the worker are checked against the
+sentencepiece library; ``matches_library`` tells the texts all of whose chunks agree.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +25,26 @@ from pitchline.llm.common import process_cache, texts
 
 #: Fixed value: the character that stands for a space inside pieces.
 SPACE = "▁"
-#: Chunks that a worker remembers; it starts anew when there are more.
-CACHE_ENTRIES = 400_000
+#: Chunks, and as many atoms, that a worker remembers; it starts anew when there are more.
+CACHE_ENTRIES = 600_000
 #: Texts that are encoded, checked and sent on in one go.
 ROWS = 256
 
 _CHUNK = re.compile(r" +[^ ]*")
 
 
+class _Learned(dict):
+    """Packed ids of what has been met; anything new is learned when it is asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.learn(key)
+        return value
+
+
 class Codec:
     """Encodes and decodes with the pieces and scores of a model file."""
 
@@ -46,54 +57,65 @@ class Codec:
             raise ValueError("vocabularies with unused pieces are not supported")
         special = {i for i in ids if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)}
         piece = {i: sp.id_to_piece(i) for i in ids}
-        self.score = {piece[i]: sp.get_score(i) for i in ids if i not in special}
+        self.rank = {piece[i]: -sp.get_score(i) for i in ids if i not in special}  # least is merged first
         self.id = {piece[i]: i for i in ids if i not in special}
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(i == sp.unk_id() for i in self.byte_id):
             raise ValueError("vocabularies without byte pieces are not supported")
         self.piece_bytes = [b"" if sp.is_control(i) else bytes([int(piece[i][3:5], 16)]) if sp.is_byte(i)
                             else piece[i].replace(SPACE, " ").encode() for i in ids]
-        self.chunked = not any(SPACE in p.lstrip(SPACE) for p in self.score)
+        #: Pairs of characters that stand side by side in some piece.
+        self.pairs = {a + b for p in self.rank for a, b in zip(p[:-1], p[1:], strict=True)}
+        self.chunked = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.pairs)
         self.bos, self.eos = sp.bos_id(), sp.eos_id()
-        self.ids_of: dict[str, bytes] = {}
-        self.text_of: dict[str, bytes] = {}
+        self.unchecked: list[str] = []
+        self.wrong: set[str] = set()
+        self.chunks, self.atoms = _Learned(self._chunk), _Learned(self._atom)
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a text whose spaces are marked."""
-        score, symbol = self.score, list(text)
-        n = len(symbol)
+        symbol, n, rank = list(text), len(text), self.rank.get
+        joints = [a + b for a, b in zip(text[:-1], text[1:], strict=True)]
+        agenda = [(r, left, left + 1, joint) for left, (r, joint) in enumerate(zip(map(rank, joints), joints, strict=True)) if r is not None]
+        if not agenda:
+            return symbol
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for left in range(n - 1):
-            joint = symbol[left] + symbol[left + 1]
-            if joint in score:
-                agenda.append((-score[joint], left, left + 1, joint))
         heapify(agenda)
         while agenda:
             _, left, right, joint = heappop(agenda)
-            if not symbol[left] or not symbol[right] or len(symbol[left]) + len(symbol[right]) != len(joint):
+            a, b = symbol[left], symbol[right]
+            if not a or not b or len(a) + len(b) != len(joint):
                 continue  # one of the two has been merged since
             symbol[left], symbol[right] = joint, ""
             next_ = after[left] = after[right]
             if next_ < n:
                 before[next_] = left
                 pair = joint + symbol[next_]
-                if pair in score:
-                    heappush(agenda, (-score[pair], left, next_, pair))
+                r = rank(pair)
+                if r is not None:
+                    heappush(agenda, (r, left, next_, pair))
             previous = before[left]
             if previous >= 0:
                 pair = symbol[previous] + joint
-                if pair in score:
-                    heappush(agenda, (-score[pair], previous, left, pair))
+                r = rank(pair)
+                if r is not None:
+                    heappush(agenda, (r, previous, left, pair))
         return [s for s in symbol if s]
 
-    def _learn(self, chunk: str) -> None:
+    def _atom(self, text: str) -> bytes:
         ids: list[int] = []
-        for piece in self.merge(SPACE + chunk.replace(" ", SPACE)):
+        for piece in self.merge(text):
             known = self.id.get(piece)
             ids += [known] if known is not None else [self.byte_id[b] for b in piece.encode()]
-        self.ids_of[chunk] = array("I", ids).tobytes()
-        self.text_of[chunk] = b"".join([self.piece_bytes[i] for i in ids])
+        return array("I", ids).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        self.unchecked.append(chunk)
+        text, pairs = SPACE + chunk.replace(" ", SPACE), self.pairs
+        cuts = [i for i, (a, b) in enumerate(zip(text[:-1], text[1:], strict=True), 1) if a + b not in pairs]
+        if not cuts:
+            return self.atoms[text]
+        return b"".join([self.atoms[text[s:e]] for s, e in zip([0, *cuts], [*cuts, len(text)], strict=True)])
 
     def _chunks(self, text: str) -> list[str]:
         """The text cut before each run of spaces, less the first space of each chunk."""
@@ -109,26 +131,30 @@ class Codec:
 
     def round_trip(self, some: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids with begin and end as unsigned 32-bit integers, text decoded from them) of texts."""
-        if len(self.ids_of) > CACHE_ENTRIES:
-            self.ids_of.clear()
-            self.text_of.clear()
-        cut = [self._chunks(t) for t in some]
-        for chunk in set(chain.from_iterable(cut)).difference(self.ids_of):
-            self._learn(chunk)
-        begin, end = array("I", [self.bos]).tobytes(), array("I", [self.eos]).tobytes()
-        ids, text = self.ids_of.__getitem__, self.text_of.__getitem__
-        return [(begin + b"".join(map(ids, c)) + end, b"".join(map(text, c))[1:]) for c in cut]
+        for learned in (self.chunks, self.atoms):
+            if len(learned) > CACHE_ENTRIES:
+                learned.clear()
+        begin, end, find = array("I", [self.bos]).tobytes(), array("I", [self.eos]).tobytes(), self.chunks.__getitem__
+        coded = [begin + b"".join(map(find, self._chunks(t))) + end for t in some]
+        return [(ids, self._decoded(array("I", ids))) for ids in coded]
+
+    def _decoded(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.piece_bytes.__getitem__, ids)).removeprefix(b" ")
 
     def decode(self, ids: list[int]) -> str:
         """Text of any ids: begin and end count nothing, the space put in front goes, bytes that
         form no character become U+FFFD."""
-        joined = b"".join([self.piece_bytes[i] for i in ids])
-        return joined.removeprefix(b" ").decode("utf-8", "replace")
+        return self._decoded(ids).decode("utf-8", "replace")
 
-    def library_agrees(self, some: list[str], mine: list[tuple[bytes, bytes]]) -> list[bool]:
-        theirs = self.library.encode(some, add_bos=True, add_eos=True, num_threads=1)
-        back = self.library.decode(theirs, num_threads=1) if theirs else []
-        return [np.array(a, np.uint32).tobytes() == i and b.encode() == t for a, b, (i, t) in zip(theirs, back, mine, strict=True)]
+    def library_agrees(self, some: list[str]) -> list[bool]:
+        """Whether the library gives the same ids for every chunk of each text. Chunks are checked
+        once, in the batch that a worker first meets them in."""
+        new, self.unchecked = [c for c in self.unchecked if c], []  # the library has no ids for an empty text
+        theirs = self.library.encode(new, num_threads=1) if new else []
+        self.wrong.update(c for c, ids in zip(new, theirs, strict=True) if array("I", ids).tobytes() != self.chunks[c])
+        if not self.wrong:
+            return [True] * len(some)
+        return [self.wrong.isdisjoint(self._chunks(t)) for t in some]
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -141,7 +167,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = process_cache(("sentencepiece", model), lambda: Codec(model))
+        codec = process_cache("sentencepiece", model, lambda: Codec(model))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -150,7 +176,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([i for i, _ in mine], pa.binary()),
                      pa.array([t for _, t in mine], pa.binary()).cast(pa.string()),
-                     pa.array(codec.library_agrees(some, mine))], ["doc_id", "ids", "decoded", "matches_library"])
+                     pa.array(codec.library_agrees(some))], ["doc_id", "ids", "decoded", "matches_library"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, ids binary, decoded string, matches_library boolean")

@@ -25,6 +25,11 @@ def test_agenda_equals_library():
     for text, ids, (mine, back) in zip(texts, want, codec.round_trip(texts)):
         assert np.frombuffer(mine, "<u4").tolist() == ids, text
         assert back.decode() == lib.decode(ids) == codec.decode(ids)
+    assert all(codec.library_agrees(texts)) and not codec.unchecked
+    off = s.Codec(PATH)
+    del off.rank["▁the"], off.id["▁the"]
+    off.round_trip(["of the", "of"])
+    assert off.library_agrees(["of the", "of"]) == [False, True]
     whole = s.Codec(PATH)
     whole.chunked = False
     short = [t for t in texts if len(t) < 1000]
