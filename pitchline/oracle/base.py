@@ -45,6 +45,7 @@ select event_id, match_id, ts,
        then greatest(0.0, least(120.0, sx + (k % 40) - 8)) end as end_x,
   case when kind = 'Pass' and k % 4 = 0 then 'Incomplete' end as pass_outcome,
   case when kind = 'Pass' and k % 5 = 0 then event_id + 1 end as pass_assisted_shot_id,
+  coalesce(kind = 'Pass' and k % 10 = 0, false) as pass_shot_assist,
   case when kind = 'Shot' then floor(value * 2) / 1024 end as xg,
   case when kind = 'Shot' then case when k % 13 = 0 then 'Penalty' when k % 13 = 1 then 'Free Kick'
        when k % 13 = 12 then null else 'Open Play' end end as shot_type,

@@ -4,8 +4,15 @@ from pitchline.oracle import team_sql as t
 from pitchline.oracle.base import with_fb
 
 SCAN_SPARSE_UNION = with_fb("""
-select event_id as id, event_type as type, competition, season, match_id, team, pass_outcome,
-  xg as shot_expected_goals, case when counterpress then true end as counterpress, duel_type
+select event_id as id, ts, match_id, period, minute, second, possession_sequence as possession, team,
+  coalesce(player_id, 'nan'::double) as player_id, player_name as player, player_position as position, play_pattern,
+  case when start_x is not null then [start_x] end as location,
+  case when event_type = 'Pass' and end_x is not null then [end_x] end as pass_end_location, pass_outcome,
+  case when event_type = 'Pass' then coalesce(pass_assisted_shot_id, 'nan'::double) end as pass_assisted_shot_id,
+  case when pass_shot_assist then true end as pass_shot_assist,
+  case when event_type = 'Carry' and end_x is not null then [end_x] end as carry_end_location,
+  xg as shot_expected_goals, shot_type, shot_outcome, case when counterpress then true end as counterpress,
+  duel_type, dribble_outcome, event_type as type, competition, season
 from fb""")
 
 SCAN_HIVE_PARTITIONS = with_fb("""
@@ -49,7 +56,7 @@ select outcome, count(*) as rows from (
 STG_EVENTS = with_fb("""
 select event_id, match_id, competition, season, period, minute, second, event_type, possession_sequence,
   team, player_id, player_name, player_position, play_pattern, start_x, end_x, pass_outcome,
-  pass_assisted_shot_id, xg, shot_type, shot_outcome, counterpress, duel_type, dribble_outcome
+  pass_assisted_shot_id, pass_shot_assist, xg, shot_type, shot_outcome, counterpress, duel_type, dribble_outcome, ts
 from fb""")
 
 STG_COMPETITIONS = with_fb("select * from fb_competitions")

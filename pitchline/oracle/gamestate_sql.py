@@ -1,9 +1,8 @@
 """Oracle SQL for the score timeline and the game-state mart (DuckDB).
 
-The running score and segment ends use window functions; events are matched to their team's
-segment with an ASOF join (latest segment start at or before the event, then the half-open end
-is checked). That is a different algorithm from the Spark plan, which resolves states with a
-running ``last`` over a union of scoring seconds and event seconds.
+Everything follows from one list per match, the goals with their second and team. The score at any
+second is the number of list entries up to it, so the state of an event is read off the list, with
+no timeline join; segments are the gaps between the list's distinct seconds.
 
 Shared conventions (documented in the README): goals in one second form one score change, and
 state minutes are whole seconds summed, then divided by 60.
@@ -11,54 +10,42 @@ state minutes are whole seconds summed, then divided by 60.
 
 from pitchline.oracle.base import with_fb
 
+GOAL = "event_type = 'Shot' and shot_outcome = 'Goal'"
+
+
+def tally(team: str, upto: str) -> str:
+    """Goals of a team up to a second, from the match's list ``gl``."""
+    return f"len(list_filter(gl, lambda g: g.t <= {upto} and g.side = {team}))"
+
+
+def state(team: str, upto: str) -> str:
+    other = f"if({team} = home_team, away_team, home_team)"
+    return f"['Losing', 'Drawing', 'Winning'][2 + sign({tally(team, upto)} - {tally(other, upto)})]"
+
+
 TIMELINE_CTES = [
-    """clock as (
-  select e.event_id, e.match_id, e.competition, e.season, e.team, e.period, e.minute, e.second,
-         e.event_type, e.xg, e.shot_outcome, e.shot_type, e.pass_outcome, e.start_x, e.end_x,
-         m.home_team_name as home_team, m.away_team_name as away_team,
-         [0, 2700, 5400, 6300][e.period] + 60 * e.minute + e.second as abs_seconds
-  from fb e join fb_matches m using (match_id)
-  where e.period between 1 and 4 and e.minute is not null and e.second is not null)""",
-    """ends as (
-  select match_id, max(abs_seconds) as match_end_seconds, min(home_team) as home_team,
-         min(away_team) as away_team
-  from clock group by all)""",
-    """goals as (
-  select match_id, abs_seconds as goal_seconds, team as scoring_team, home_team, away_team
-  from clock where event_type = 'Shot' and shot_outcome = 'Goal')""",
-    """scores as (
-  select match_id, goal_seconds,
-         cast(sum(h) over w as bigint) as home_score, cast(sum(a) over w as bigint) as away_score
-  from (select match_id, goal_seconds,
-               count(*) filter (where scoring_team = home_team) as h,
-               count(*) filter (where scoring_team = away_team) as a
-        from goals group by all)
-  window w as (partition by match_id order by goal_seconds rows between unbounded preceding and current row))""",
-    """segs as (
-  select b.match_id, cast(b.seg_start as double) as seg_start,
-         cast(coalesce(lead(b.seg_start) over (partition by b.match_id order by b.seg_start, b.ord),
-                       n.match_end_seconds) as double) as seg_end,
-         b.home_score, b.away_score, n.home_team, n.away_team
-  from (select match_id, 0 as seg_start, 0 as ord, cast(0 as bigint) as home_score,
-               cast(0 as bigint) as away_score from ends
-        union all
-        select match_id, goal_seconds, 1, home_score, away_score from scores) b
-  join ends n using (match_id))""",
-    """spt as (
-  select match_id, seg_start, seg_end, duration_minutes, p.team as team,
-         case when p.gf > p.ga then 'Winning' when p.gf < p.ga then 'Losing' else 'Drawing' end as game_state
-  from (select match_id, seg_start, seg_end, (seg_end - seg_start) / 60.0 as duration_minutes,
-               unnest([{'team': home_team, 'gf': home_score, 'ga': away_score},
-                       {'team': away_team, 'gf': away_score, 'ga': home_score}]) as p
-        from segs))""",
-    """sd as (
-  select match_id, team, game_state, sum(seg_end - seg_start) / 60.0 as minutes_in_state
-  from spt group by all)""",
-    """ec as (
-  select c.*, s.game_state, s.seg_start, s.seg_end
-  from clock c asof join (select * from spt where seg_end > seg_start) s
-    on c.match_id = s.match_id and c.team = s.team and c.abs_seconds >= s.seg_start
-  where c.abs_seconds < s.seg_end)""",
+    """ev as (
+  select e.* exclude (home_team, away_team), home_team_name as home_team, away_team_name as away_team,
+         60 * minute + second + 2700 * least(period - 1, 2) + 900 * cast(period = 4 as integer) as abs_seconds
+  from fb e natural join (select match_id, home_team_name, away_team_name from fb_matches)
+  where period in (1, 2, 3, 4) and minute + second is not null)""",
+    f"""board as (
+  select match_id, home_team, away_team, max(abs_seconds) as final_second,
+         coalesce(list({{'t': abs_seconds, 'side': team}}) filter (where {GOAL}), []) as gl
+  from ev group by match_id, home_team, away_team)""",
+    """changes as (select *, list_sort(list_distinct(list_transform(gl, lambda g: g.t))) as flips from board)""",
+    f"""spt as (
+  select match_id, cast(list_prepend(0, flips)[i] as double) as seg_start,
+         cast(list_append(flips, final_second)[i] as double) as seg_end,
+         (seg_end - seg_start) / 60.0 as duration_minutes, team,
+         {state('team', 'if(i = 1, -1, flips[i - 1])')} as game_state
+  from (select *, unnest(range(1, len(flips) + 2)) as i from changes) cross join lateral (select unnest([home_team, away_team]) as team))""",
+    f"""ec as (
+  select ev.*, cast(coalesce(list_max(list_filter(flips, lambda x: x <= abs_seconds)), 0) as double) as seg_start,
+         cast(coalesce(list_min(list_filter(flips, lambda x: x > abs_seconds)), final_second) as double) as seg_end,
+         {state('team', 'abs_seconds')} as game_state
+  from ev join (select match_id, gl, flips, final_second from changes) using (match_id)
+  where team in (home_team, away_team) and abs_seconds < final_second)""",
 ]
 
 
@@ -67,76 +54,71 @@ def tl_sql(body: str, *more: str) -> str:
 
 
 EVENTS_TIMED = tl_sql("""select event_id, match_id, team, event_type, period, minute, second, abs_seconds,
-  home_team, away_team from clock""")
+  home_team, away_team from ev""")
+
+SCORE_TIMELINE = tl_sql(f"""select match_id, goal_seconds, {tally('home_team', 'goal_seconds')} as home_score,
+  {tally('away_team', 'goal_seconds')} as away_score
+from (select *, unnest(flips) as goal_seconds from changes)""")
 
-SCORE_TIMELINE = tl_sql("select match_id, goal_seconds, home_score, away_score from scores")
+SCORE_SEGMENTS = tl_sql("from spt")
 
-SCORE_SEGMENTS = tl_sql("select match_id, seg_start, seg_end, duration_minutes, team, game_state from spt")
+STATE_CTE = """sd as (
+  select match_id, team, game_state, sum(seg_end - seg_start) / 60.0 as minutes_in_state from spt group by all)"""
 
-STATE_DURATIONS = tl_sql("select * from sd")
+STATE_DURATIONS = tl_sql("from sd", STATE_CTE)
 
 GAMESTATE_EVENTS = tl_sql("select event_id, match_id, team, abs_seconds, game_state from ec")
 
 INTERVAL_JOIN = tl_sql("select event_id, match_id, team, seg_start, seg_end, game_state from ec")
 
-EA_CTE = """ea as (
-  select match_id, team, game_state, min(competition) as competition, min(season) as season,
-    coalesce(sum(xg) filter (where event_type = 'Shot' and shot_type <> 'Penalty'), 0) as xg_generated,
-    count(*) filter (where event_type = 'Pressure') as pressures,
-    count(*) filter (where event_type = 'Pass') as passes_attempted,
-    count(*) filter (where event_type = 'Pass' and pass_outcome is null) as passes_completed,
-    avg(start_x) as avg_x,
-    count(*) filter (where event_type in ('Pass', 'Carry') and start_x < 80 and end_x >= 80) as entries
-  from ec group by all)"""
-
-MART_CTE = """mart as (
-select s.team || '|' || d.competition_folder_name || '|' || cast(d.season_year as varchar) as team_comp_key,
-  s.team as team_name, d.competition_name, d.competition_folder_name, d.season_year,
-  s.match_id, s.game_state,
-  round(s.minutes_in_state, 1) as minutes_in_state,
-  round(coalesce(a.xg_generated, 0) / s.minutes_in_state, 4) as xg_per_minute,
-  round(coalesce(a.pressures, 0) / s.minutes_in_state, 3) as pressures_per_minute,
-  round(coalesce(a.entries, 0) / s.minutes_in_state, 3) as f3_entries_per_minute,
-  round(a.passes_completed / nullif(a.passes_attempted, 0), 3) as pass_completion_rate,
-  round(a.avg_x, 1) as avg_field_position_x,
-  coalesce(a.xg_generated, 0) as xg_raw,
-  coalesce(a.pressures, 0) as pressures_raw,
-  coalesce(a.passes_attempted, 0) as passes_attempted,
-  coalesce(a.passes_completed, 0) as passes_completed,
-  coalesce(a.entries, 0) as f3_entries_raw
-from sd s
-left join ea a using (match_id, team, game_state)
-left join fb_competitions d on d.competition_folder_name = a.competition and d.season_year = a.season
-where s.minutes_in_state >= 3.0)"""
-
-MART_GAMESTATE = tl_sql("select * from mart", EA_CTE, MART_CTE)
+#: One pile of segments and events, summed once: seconds from the former, counts from the latter.
+MART_CTES = ["""pile as (
+  select match_id, team, game_state, seg_end - seg_start as secs, null as competition, null as season, null as x,
+         0.0 as xg, 0 as press, 0 as tries, 0 as hits, 0 as entry from spt
+  union all
+  select match_id, team, game_state, 0, competition, season, start_x,
+         if(event_type = 'Shot' and shot_type <> 'Penalty', xg, 0.0), cast(event_type = 'Pressure' as integer),
+         cast(event_type = 'Pass' as integer), cast(event_type = 'Pass' and pass_outcome is null as integer),
+         cast(event_type in ('Pass', 'Carry') and start_x < 80 and end_x >= 80 as integer) from ec)""",
+    """mart as (
+  select concat_ws('|', team, competition_folder_name, season_year) as key_text, p.*, d.* from (
+    select match_id, team, game_state, sum(secs) / 60.0 as mins, min(competition) as c, min(season) as s, avg(x) as x,
+           coalesce(sum(xg), 0) as xg, sum(press)::bigint as press, sum(tries)::bigint as tries, sum(hits)::bigint as hits,
+           coalesce(sum(entry), 0)::bigint as entry
+    from pile group by all having mins >= 3.0) p
+  left join fb_competitions d on (c, s) = (competition_folder_name, season_year))""",
+    """rows_out as (
+  select if(competition_folder_name is null, null, key_text) as team_comp_key, team as team_name, competition_name,
+         competition_folder_name, season_year, match_id, game_state, round(mins, 1) as minutes_in_state,
+         round(xg / mins, 4) as xg_per_minute, round(press / mins, 3) as pressures_per_minute,
+         round(entry / mins, 3) as f3_entries_per_minute, round(hits / nullif(tries, 0), 3) as pass_completion_rate,
+         round(x, 1) as avg_field_position_x, xg as xg_raw, press as pressures_raw, tries as passes_attempted,
+         hits as passes_completed, entry as f3_entries_raw
+  from mart)"""]
+
+MART_CTE = ",\n".join(MART_CTES)
+
+MART_GAMESTATE = tl_sql("from rows_out", MART_CTE)
 
 CHECK_SYMMETRY = tl_sql("""
 select match_id, w as total_winning_minutes, l as total_losing_minutes, abs(w - l) as diff
-from (select match_id,
-             coalesce(sum(minutes_in_state) filter (where game_state = 'Winning'), 0) as w,
-             coalesce(sum(minutes_in_state) filter (where game_state = 'Losing'), 0) as l,
-             count(*) filter (where game_state in ('Winning', 'Losing')) as n
-      from mart group by all)
-where n > 0 and abs(w - l) > 1""", EA_CTE, MART_CTE)
+from (pivot (select match_id, game_state, minutes_in_state from rows_out where game_state <> 'Drawing')
+      on game_state in ('Winning' as w0, 'Losing' as l0) using sum(minutes_in_state))
+cross join lateral (select coalesce(w0, 0) as w, coalesce(l0, 0) as l)
+where abs(w - l) > 1""", MART_CTE)
 
 CHECK_SYMMETRY_STRICT = tl_sql("""
-select me.match_id, me.team, them.team as opponent, me.win as winning_minutes,
-       them.lose as opponent_losing_minutes, abs(me.win - them.lose) as win_lose_diff
-from per_team me
-join fb_matches m on m.match_id = me.match_id and me.team in (m.home_team_name, m.away_team_name)
-join per_team them on them.match_id = me.match_id
-  and them.team = if(me.team = m.home_team_name, m.away_team_name, m.home_team_name)""", """per_team as (
-  select match_id, team,
-         coalesce(sum(minutes_in_state) filter (where game_state = 'Winning'), 0) as win,
-         coalesce(sum(minutes_in_state) filter (where game_state = 'Losing'), 0) as lose
-  from sd group by all)""")
-
-SCORE_RECONCILE = tl_sql("""
-select n.match_id,
-  coalesce(f.h, 0) as rebuilt_home, coalesce(f.a, 0) as rebuilt_away,
-  cast(m.home_score as bigint) as recorded_home, cast(m.away_score as bigint) as recorded_away,
-  coalesce(f.h, 0) = m.home_score and coalesce(f.a, 0) = m.away_score as reconciled
-from ends n
-left join (select match_id, max(home_score) as h, max(away_score) as a from scores group by all) f using (match_id)
-join fb_matches m using (match_id)""")
+select match_id, team, if(team = home_team, away_team, home_team) as opponent, wins[team] as winning_minutes,
+       losses[opponent] as opponent_losing_minutes, abs(winning_minutes - opponent_losing_minutes) as win_lose_diff
+from (select match_id, home_team, away_team, unnest([home_team, away_team]) as team, wins, losses
+      from board join (
+        select match_id, map_from_entries(list((team, win))) as wins, map_from_entries(list((team, lose))) as losses
+        from (select match_id, team, coalesce(sum(minutes_in_state) filter (game_state = 'Winning'), 0) as win,
+                     coalesce(sum(minutes_in_state) filter (game_state = 'Losing'), 0) as lose
+              from sd group by all) group by match_id) using (match_id))""", STATE_CTE)
+
+SCORE_RECONCILE = tl_sql(f"""
+select match_id, {tally('home_team', 'final_second')} as rebuilt_home, {tally('away_team', 'final_second')} as rebuilt_away,
+  home_score::bigint as recorded_home, away_score::bigint as recorded_away,
+  (rebuilt_home, rebuilt_away) = (recorded_home, recorded_away) as reconciled
+from board join (select match_id, home_score, away_score from fb_matches) using (match_id)""")

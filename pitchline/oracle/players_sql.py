@@ -41,7 +41,7 @@ CTES = [
     """xa as (
   select p.player_id, p.team, p.competition, p.season, sum(s.xg) as total_xa
   from fb p join fb s on s.match_id = p.match_id and s.event_id = p.pass_assisted_shot_id
-  where p.event_type = 'Pass' and p.player_id is not null and s.shot_type <> 'Penalty'
+  where p.event_type = 'Pass' and p.pass_shot_assist and p.player_id is not null and s.shot_type <> 'Penalty'
   group by all)""",
 ]
 

@@ -85,10 +85,8 @@ FEATURES_CTE = """ml_dataset as (
 FEAT = ("m1", "m2", "m3", "m4")
 
 CHECK_FEATURE_NULLS = q("""
-select cast(sum(case when matches_played is null then 1 else 0 end) as bigint) as missing_matches,
-  cast(sum(case when xg_per_match is null then 1 else 0 end) as bigint) as missing_xg,
-  cast(sum(case when ppda is null then 1 else 0 end) as bigint) as missing_ppda,
-  cast(sum(case when sp_xg_per_match is null then 1 else 0 end) as bigint) as missing_sp_xg
+select count(*) - count(matches_played) as missing_matches, count(*) - count(xg_per_match) as missing_xg,
+  count(*) - count(ppda) as missing_ppda, count(*) - count(sp_xg_per_match) as missing_sp_xg
 from ml_dataset""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
 
 CHECK_SHARE_SUM = q("""
@@ -178,23 +176,17 @@ select game_state, count(*) as n_team_matches,
 from m6 group by game_state""", "m6")
 
 STATE_CONTRAST = q("""
-select team_name, competition_name,
-  max(case when game_state = 'Losing' then xg_per_minute end) as xg_per_min_losing,
-  max(case when game_state = 'Winning' then xg_per_minute end) as xg_per_min_winning,
-  round(max(case when game_state = 'Losing' then xg_per_minute end)
-        - max(case when game_state = 'Winning' then xg_per_minute end), 4) as delta
-from tt group by team_name, competition_name
-having max(case when game_state = 'Losing' then xg_per_minute end) is not null
-   and max(case when game_state = 'Winning' then xg_per_minute end) is not null
-order by delta desc nulls last, team_name, competition_name nulls last limit 10""", "m6", extra=(
-    """tt as (select team_name, competition_name, game_state, xg_per_minute from m6
-            where game_state in ('Winning', 'Losing'))""",))
-
-FIRST_VALUE_WINDOW = g.tl_sql("""
-select match_id, goal_seconds, scoring_team,
-  first_value(home_team) over (partition by match_id order by goal_seconds) as first_home_team,
-  first_value(away_team) over (partition by match_id order by goal_seconds) as first_away_team
-from goals""")
+select team_name, competition_name, losing as xg_per_min_losing, winning as xg_per_min_winning,
+  round(losing - winning, 4) as delta
+from (pivot (select team_name, competition_name, game_state, xg_per_minute from m6)
+      on game_state in ('Losing' as losing, 'Winning' as winning) using max(xg_per_minute))
+where losing + winning is not null
+order by delta desc, team_name, competition_name nulls last limit 10""", "m6")
+
+FIRST_VALUE_WINDOW = g.tl_sql(f"""
+select match_id, abs_seconds as goal_seconds, team as scoring_team,
+  first(home_team order by abs_seconds) over w as first_home_team, first(away_team order by abs_seconds) over w as first_away_team
+from ev where {g.GOAL} window w as (partition by match_id)""")
 
 EXPORT_MANIFEST = q("""
 select 'mart_team_attack_quality' as export_name, count(*) as rows from m1
@@ -255,9 +247,9 @@ where m.team_comp_key in (select team_comp_key from team_outcomes
 group by m.team_comp_key, m.team_name, m.game_state""", "m6", extra=(OUTCOMES_CTE,))
 
 FINDINGS = q("\nunion all\n".join([
-    _board("trophies_vs_xg", "(select * from m1 where team_comp_key in (select team_comp_key from team_outcomes "
-           "where outcome_class = 'Finalist'))", "", "xg_overperformance",
-           "xg_overperformance asc nulls last, team_comp_key", 10, TL),
+    "select 'trophies_vs_xg' as board, rank() over (partition by competition_folder_name, season_year "
+    f"order by xg_overperformance nulls last, team_comp_key) as rank, {TL}, cast(xg_overperformance as double) as metric_value "
+    "from m1 semi join (from team_outcomes where outcome_class = 'Finalist') using (team_comp_key)",
     _board("set_piece_waste", "m4", "sp_shots_total >= 8", "sp_conversion_rate",
            "sp_conversion_rate asc nulls last, sp_xg_per_match desc nulls last, team_comp_key", 5, TL),
     _board("low_block", "m3", "matches_played >= 3", "ppda", "ppda desc nulls last, team_comp_key", 5, TL),

@@ -66,16 +66,15 @@ def player_minutes(lineups: DataFrame, match_end: DataFrame | None = None) -> Da
 
 
 def player_event_stats(ev: DataFrame) -> DataFrame:
-    """Name, modal position and event counts per player in ONE aggregation.
+    """Name, modal position and event counts per player, from one scan.
 
-    ``mode(..., deterministic=True)`` returns the smallest of tied values; its per-group state is
-    one counter per distinct position, so a hot group does not grow it.
+    Plain sums by (player, position) first, which combine map-side in a hash aggregate, then one
+    row per player; the modal position is the smallest of the most frequent ones, NULL left out.
     """
     et = col("event_type")
     np_shot = (et == "Shot") & (col("shot_type") != "Penalty")
-    return (ev.where(col("player_id").isNotNull()).groupBy(*PLAYER_KEYS)
-            .agg(F.min("player_name").alias("player_name"),
-                 F.mode("player_position", deterministic=True).alias("primary_position"),
+    by_position = (ev.where(col("player_id").isNotNull()).groupBy(*PLAYER_KEYS, "player_position")
+            .agg(F.min("player_name").alias("player_name"), F.count(F.lit(1)).alias("_n"),
                  count_when(np_shot & (col("shot_outcome") == "Goal")).alias("np_goals"),
                  F.sum(F.when(np_shot, col("xg")).otherwise(F.lit(0.0))).alias("np_xg"),
                  count_when((et == "Carry") & is_progressive(col("start_x"), col("end_x")))
@@ -84,6 +83,12 @@ def player_event_stats(ev: DataFrame) -> DataFrame:
                  .alias("successful_dribbles"),
                  count_when(et == "Pressure").alias("pressures"),
                  count_when(et == "Ball Recovery").alias("ball_recoveries")))
+    known = col("player_position").isNotNull()
+    sums = [c for c in by_position.columns if c not in (*PLAYER_KEYS, "player_position", "player_name", "_n")]
+    return by_position.groupBy(*PLAYER_KEYS).agg(
+        F.min("player_name").alias("player_name"),
+        F.min_by("player_position", F.when(known, F.struct(-col("_n"), col("player_position")))).alias("primary_position"),
+        *[F.sum(c).alias(c) for c in sums])
 
 
 def expected_assists(ev: DataFrame) -> DataFrame:
@@ -92,8 +97,8 @@ def expected_assists(ev: DataFrame) -> DataFrame:
     Both sides are filtered and pruned before an equi-join on (match_id, shot event id); the
     key is unique per shot, so no key is hot however skewed matches are.
     """
-    passes = (ev.where((col("event_type") == "Pass") & col("pass_assisted_shot_id").isNotNull()
-                       & col("player_id").isNotNull())
+    passes = (ev.where((col("event_type") == "Pass") & col("pass_shot_assist")
+                       & col("pass_assisted_shot_id").isNotNull() & col("player_id").isNotNull())
               .select("match_id", col("pass_assisted_shot_id").alias("shot_event_id"), *PLAYER_KEYS))
     shots = (ev.where(col("shot_type") != "Penalty")
              .select("match_id", col("event_id").alias("shot_event_id"), col("xg").alias("assisted_xg")))

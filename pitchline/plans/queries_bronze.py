@@ -22,10 +22,6 @@ from pitchline.sources import silver as sv
 
 col = F.col
 
-# The competitions configured for landing (the FB view's three).
-CONFIGURED_COMPETITIONS = ["comp_0", "comp_1", "comp_2"]
-
-
 def _root(spark) -> str:
     return shared_scratch(spark, f"bronze/{uuid.uuid4().hex}")
 
@@ -53,9 +49,7 @@ def _silver_matches(spark, root: str) -> DataFrame:
 @query("scan_sparse_union")
 def q_scan_sparse_union(spark, sf):
     root, _ = land_all(spark, sf)
-    b = br.read_bronze_events(spark, root)
-    return b.select("id", "type", "competition", "season", "match_id", "team", "pass_outcome",
-                    "shot_expected_goals", "counterpress", "duel_type")
+    return br.read_bronze_events(spark, root)
 
 
 @query("scan_hive_partitions")
@@ -72,7 +66,7 @@ def q_bronze_profile(spark, sf):
     the number of file groups whose footer holds the column (one aggregation pass)."""
     root, _ = land_all(spark, sf)
     b = br.read_bronze_events(spark, root)
-    groups = {k: set(br.COMMON_COLUMNS + cols) for k, cols in br.KIND_COLUMNS.items()}
+    groups = [set(spark.read.parquet(p).columns) for p in br.event_groups(spark, root) if br.has_data(spark, p)]
     fields = [f for f in b.schema.fields if f.name not in ("type", "competition", "season")]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):
@@ -82,7 +76,7 @@ def q_bronze_profile(spark, sf):
     entries = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
                         col(f"c{i}").alias("non_null"), (1 - col(f"c{i}") / col("_n")).alias("null_share"),
                         col(f"s{i}").alias("sample_value"),
-                        F.lit(sum(f.name in g for g in groups.values())).alias("file_groups_with_column"))
+                        F.lit(sum(f.name in g for g in groups)).alias("file_groups_with_column"))
                for i, f in enumerate(fields)]
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
@@ -115,10 +109,9 @@ def q_flatten_lineups(spark, sf):
 
 @query("union_all_matches")
 def q_union_all_matches(spark, sf):
-    """C4: the configured competitions' match files read one by one and concatenated."""
+    """C4: every landed competition's match files read one by one and concatenated."""
     root, _ = land_all(spark, sf)
-    frames = [spark.read.option("basePath", f"{root}/matches")
-              .parquet(f"{root}/matches/competition_folder_name={c}") for c in CONFIGURED_COMPETITIONS]
+    frames = [spark.read.option("basePath", f"{root}/matches").parquet(p) for p in br.match_groups(spark, root)]
     return sv.stg_matches(br.union_all(frames))
 
 
@@ -156,7 +149,7 @@ def q_quarantine_split(spark, sf):
 @query("stg_events")
 def q_stg_events(spark, sf):
     root, _ = land_all(spark, sf)
-    return sv.stg_events(br.read_bronze_events(spark, root)).drop("ts")
+    return sv.stg_events(br.read_bronze_events(spark, root))
 
 
 @query("stg_matches")

@@ -21,11 +21,12 @@ def q_stream_incremental_landing(spark, sf):
     base = shared_scratch(spark, f"stream/{uuid.uuid4().hex}")
     incoming, root, ckpt = f"{base}/incoming", f"{base}/landed", f"{base}/checkpoint"
     ev = t.ev.drop("ts")
-    ev.where(col("season") == 2022).write.parquet(f"{incoming}/drop=1")
-    q = landing.start_landing(spark, f"{incoming}/drop=1", ev.schema, root, ckpt)
+    # matches are spread over the files of a drop and the files over several batches
+    ev.where(col("season") == 2022).repartition(4, "event_id").write.parquet(f"{incoming}/drop=1")
+    q = landing.start_landing(spark, f"{incoming}/drop=1", ev.schema, root, ckpt, files_per_batch=3)
     q.awaitTermination()
-    ev.write.parquet(f"{incoming}/drop=2")
-    q = landing.start_landing(spark, f"{incoming}/drop=*", ev.schema, root, ckpt)
+    ev.repartition(4, "event_id").write.parquet(f"{incoming}/drop=2")
+    q = landing.start_landing(spark, f"{incoming}/drop=*", ev.schema, root, ckpt, files_per_batch=3)
     q.awaitTermination()
     landed = landing.read_landed(spark, root)
     return (landed.groupBy("competition", "season")

@@ -204,7 +204,7 @@ def deep_run_lines(m6: DataFrame, outcomes: DataFrame, n_teams: int = 6) -> Data
 
 def findings(m1: DataFrame, m3: DataFrame, m4: DataFrame, outcomes: DataFrame, k: int = 5) -> DataFrame:
     """The findings page as three fixed extracts (rows tagged by ``finding``):
-    trophies vs xG (finalists' xG against goals), set-piece waste (most set-piece xG per match
+    trophies vs xG (all finalists' xG against goals, ranked in their tournament), set-piece waste (most set-piece xG per match
     with the lowest conversion, at least 8 set-piece shots) and low block (highest PPDA among
     teams with at least 3 matches)."""
     lab = ["team_comp_key", "team_name", "competition_name"]
@@ -212,8 +212,11 @@ def findings(m1: DataFrame, m3: DataFrame, m4: DataFrame, outcomes: DataFrame, k
     finalists = m1.join(outcomes.where(col("outcome_class") == "Finalist").select("team_comp_key"),
                         "team_comp_key", "left_semi")
     return reduce(DataFrame.unionByName, [
-        top_k(finalists, [col("xg_overperformance").asc_nulls_last(), tie], 2 * k, "trophies_vs_xg",
-              col("xg_overperformance"), lab),
+        finalists.select(
+            F.lit("trophies_vs_xg").alias("board"),
+            F.row_number().over(Window.partitionBy("competition_folder_name", "season_year").orderBy(
+                col("xg_overperformance").asc_nulls_last(), tie)).cast("long").alias("rank"),
+            *lab, col("xg_overperformance").cast("double").alias("metric_value")),
         top_k(m4.where(col("sp_shots_total") >= 8),
               [col("sp_conversion_rate").asc_nulls_last(), col("sp_xg_per_match").desc_nulls_last(), tie],
               k, "set_piece_waste", col("sp_conversion_rate"), lab),

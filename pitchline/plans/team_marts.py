@@ -28,11 +28,12 @@ def np_shot() -> Column:
 
 def with_dim(agg: DataFrame, comps: DataFrame) -> DataFrame:
     """Inner join aggregated team rows to the competition dimension and add the identity columns.
+    Rows without a team have no identity and drop out, as in a join on the team.
 
     No broadcast hint: both sides are aggregates and AQE measures them at runtime, broadcasting
     only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
     """
-    j = agg.join(comps, (agg.competition == comps.competition_folder_name)
+    j = agg.where(col("team").isNotNull()).join(comps, (agg.competition == comps.competition_folder_name)
                  & (agg.season == comps.season_year), "inner")
     return j.select(
         team_key(col("team"), col("competition_folder_name"), col("season_year")).alias("team_comp_key"),
@@ -214,10 +215,10 @@ def opponent_ratio_counts(ev: DataFrame, matches: DataFrame, event_pred: Column,
 def mart_defensive_pressure(ev: DataFrame, matches: DataFrame, comps: DataFrame) -> DataFrame:
     """M3 from ONE scan of the events.
 
-    Located events are aggregated per (team, match) -- own pressing counts plus the team's passes
-    in the opponent's PPDA zone. That table has about two rows per match; joined to the match's
-    home/away pair, the opponent's zone passes are the match total minus the team's own (a window
-    over those two rows), so no second pass over the events and no join of raw events is needed.
+    Located events are aggregated per (team, match): own pressing counts, and the team's passes in
+    the opponent's PPDA zone. That table has about two rows per match. The opponent's zone passes
+    come from joining every match side to its opponent's row, so they count also where the team
+    itself has no located event in the match. No raw events cross a join.
     """
     located = col("start_x").isNotNull()
     et = col("event_type")
@@ -235,23 +236,15 @@ def mart_defensive_pressure(ev: DataFrame, matches: DataFrame, comps: DataFrame)
                                   | (et == "Foul Committed")) & (col("start_x") >= PPDA_OWN_MIN_X))
                       .alias("ppda_denom_raw"),
                       count_when((et == "Pass") & (col("start_x") <= PPDA_OPP_MAX_X)).alias("zone_passes")))
-    pairs = matches.select("match_id", col("competition_folder_name").alias("competition"),
-                           col("season_year").alias("season"), "home_team_name", "away_team_name")
-    j = per_match.join(pairs, ["match_id", "competition", "season"], "left")
-    side = col("team").isin(col("home_team_name"), col("away_team_name"))
-    in_pair = F.coalesce(side, F.lit(False))
-    own = F.when(in_pair, col("zone_passes")).otherwise(F.lit(0))
-    by_match = Window.partitionBy("match_id", "competition", "season")   # about two rows each
-    j = j.withColumn("opp_zone", F.when(in_pair, F.sum(own).over(by_match) - own).otherwise(F.lit(0)))
     counts = ["pressures_total", "pressures_high", "counterpresses_total", "counterpresses_high",
               "duels_total", "fouls_total", "recoveries_total", "ppda_denom_raw"]
-    a = (j.groupBy(*TEAM_KEYS)
-         .agg(F.count(F.lit(1)).alias("matches_played"),
-              *[F.sum(c).cast("long").alias(c) for c in counts],
-              F.sum("opp_zone").cast("long").alias("opp_passes_in_zone_raw"),
-              F.max(in_pair.cast("int")).alias("_has_pair"))
-         # as the inner joins of the SQL original: a team needs a match pair and opponent zone passes
-         .where((col("_has_pair") == 1) & (col("opp_passes_in_zone_raw") > 0)))
+    own = per_match.groupBy(*TEAM_KEYS).agg(
+        F.count(F.lit(1)).alias("matches_played"), *[F.sum(c).cast("long").alias(c) for c in counts])
+    against = per_match.where(col("zone_passes") > 0).select(
+        "match_id", "competition", "season", col("team").alias("opponent"), "zone_passes")
+    faced = (match_sides(matches).join(against, ["match_id", "opponent", "competition", "season"])
+             .groupBy(*TEAM_KEYS).agg(F.sum("zone_passes").cast("long").alias("opp_passes_in_zone_raw")))
+    a = own.join(faced, TEAM_KEYS)
     m = col("matches_played")
     out = a.select(
         *TEAM_KEYS, "matches_played",

@@ -31,21 +31,6 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
-SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
-
-
-def size_for_input(spark: SparkSession, path: str) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input's size: about one partition per 256 MB
-    of input (the widest shuffle here moves far less than the input after partial aggregation,
-    and AQE coalesces what is too small), never fewer than 3x the cores. Returns the value."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(p).getLength()
-    n = max(3 * spark.sparkContext.defaultParallelism, -(-size // SHUFFLE_BYTES_PER_PARTITION))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n
-
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "pitchline", extra: dict | None = None) -> SparkSession:
@@ -71,7 +56,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names it; we only create one when it is unset, which happens in local tests.
+    The cluster names it; one is made only where it is unset and the master is local, as in tests.
     (A core config cannot be changed through ``spark.conf`` at runtime, so the fallback is set on
     the SparkContext only.)
     """
@@ -80,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="pitchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

@@ -25,7 +25,7 @@ col = F.col
 
 # The event kinds and the kind-specific raw columns each kind's files carry.
 KIND_COLUMNS = {
-    "Pass": ["pass_end_location", "pass_outcome", "pass_assisted_shot_id"],
+    "Pass": ["pass_end_location", "pass_outcome", "pass_assisted_shot_id", "pass_shot_assist"],
     "Carry": ["carry_end_location"],
     "Shot": ["shot_expected_goals", "shot_type", "shot_outcome"],
     "Pressure": ["counterpress"],
@@ -39,7 +39,7 @@ COMMON_COLUMNS = ["id", "ts", "match_id", "period", "minute", "second", "possess
 
 # Declared bronze schema: the type every reader casts to, whatever a file group holds.
 BRONZE_EVENT_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("match_id", T.LongType()), T.StructField("period", T.IntegerType()),
     T.StructField("minute", T.LongType()), T.StructField("second", T.LongType()),
     T.StructField("possession", T.LongType()), T.StructField("team", T.StringType()),
@@ -49,6 +49,7 @@ BRONZE_EVENT_SCHEMA = T.StructType([
     T.StructField("pass_end_location", T.ArrayType(T.DoubleType())),
     T.StructField("pass_outcome", T.StringType()),
     T.StructField("pass_assisted_shot_id", T.DoubleType()),
+    T.StructField("pass_shot_assist", T.BooleanType()),
     T.StructField("carry_end_location", T.ArrayType(T.DoubleType())),
     T.StructField("shot_expected_goals", T.DoubleType()), T.StructField("shot_type", T.StringType()),
     T.StructField("shot_outcome", T.StringType()), T.StructField("counterpress", T.BooleanType()),
@@ -73,6 +74,7 @@ def raw_events(fb: DataFrame) -> DataFrame:
         "pass_outcome",
         F.when(col("event_type") == "Pass", _float_id(col("pass_assisted_shot_id")))
         .alias("pass_assisted_shot_id"),
+        F.when(col("pass_shot_assist"), F.lit(True)).alias("pass_shot_assist"),
         F.when(col("event_type") == "Carry", loc("end_x")).alias("carry_end_location"),
         col("xg").alias("shot_expected_goals"), "shot_type", "shot_outcome",
         # sparse boolean: present only where true, as the raw feed omits false flags
@@ -80,21 +82,57 @@ def raw_events(fb: DataFrame) -> DataFrame:
         "duel_type", "dribble_outcome")
 
 
-def land_events(fb: DataFrame, root: str, kinds: list[str] | None = None) -> list[str]:
-    """B1: write one sparse file group per event kind, partitioned by competition and season.
-    Overwrites only the partitions being written (dynamic partition overwrite).
-    Returns the per-kind folders (one footer schema each)."""
+def _write_events(rows: DataFrame, path: str, parts: list[str], salts: int) -> None:
+    """Partitioned, sorted by match inside each file. The keys are salted by match, so a large
+    competition is written by ``salts`` tasks; the sort leads with the partition columns because
+    the writer would otherwise sort by them anew and lose the order."""
+    salt = F.pmod(F.xxhash64("match_id"), F.lit(salts))
+    (rows.repartition(*parts, salt).sortWithinPartitions(*parts, "match_id", "id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
+def land_events(fb: DataFrame, root: str, salts: int = 8) -> None:
+    """B1: write one sparse file group per known event kind, partitioned by competition and
+    season, and every other kind (also a missing one) with all columns, partitioned by kind too.
+    Overwrites only the partitions being written (dynamic partition overwrite)."""
     raw = raw_events(fb)
-    paths = []
-    for kind in kinds or list(KIND_COLUMNS):
-        path = f"{root}/events/type={kind}"
-        cols = COMMON_COLUMNS + KIND_COLUMNS[kind] + ["competition", "season"]
-        (raw.where(col("type") == kind).select(*cols)
-         .repartition("competition", "season").sortWithinPartitions("match_id", "id")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("competition", "season").parquet(path))
-        paths.append(path)
-    return paths
+    for kind, extra in KIND_COLUMNS.items():
+        cols = COMMON_COLUMNS + extra + ["competition", "season"]
+        _write_events(raw.where(col("type") == kind).select(*cols), f"{root}/events/type={kind}",
+                      ["competition", "season"], salts)
+    other = F.coalesce(~col("type").isin(list(KIND_COLUMNS)), F.lit(True))
+    _write_events(raw.where(other), f"{root}/events", ["type", "competition", "season"], salts)
+
+
+def _listed(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def event_groups(spark: SparkSession, root: str) -> list[str]:
+    """The event file groups that were landed, one folder for each kind, found by listing."""
+    p, fs = _listed(spark, f"{root}/events")
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)
+                  if s.isDirectory() and s.getPath().getName().startswith("type="))
+
+
+def match_groups(spark: SparkSession, root: str) -> list[str]:
+    """The match-metadata folders that were landed, one for each competition, found by listing."""
+    p, fs = _listed(spark, f"{root}/matches")
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)
+                  if s.isDirectory() and s.getPath().getName().startswith("competition_folder_name="))
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds any data file. A missing folder raises."""
+    p, fs = _listed(spark, path)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def read_sparse_union(spark: SparkSession, paths: list[str], schema: T.StructType,
@@ -104,16 +142,15 @@ def read_sparse_union(spark: SparkSession, paths: list[str], schema: T.StructTyp
     Each group (a folder whose files share one footer schema) is read on its own, every declared
     column present is cast to its declared type and absent ones become typed NULLs, then the groups
     are unioned by name. ``mergeSchema`` alone cannot do this: it fails on long-vs-double.
-    Partition columns discovered under ``base_path`` are kept as they are.
+    Partition columns discovered under ``base_path`` are kept as they are. A group without any
+    data file has no rows; a missing or unreadable group raises. ``schema`` lists the columns that
+    are there even if no group has them.
     """
-    from pyspark.errors import AnalysisException
-
-    parts = []
+    parts = [spark.createDataFrame([], schema)]
     for p in paths:
-        try:
-            r = spark.read.option("basePath", base_path).parquet(p) if base_path else spark.read.parquet(p)
-        except AnalysisException:
-            continue  # an empty group (no data files) contributes no rows
+        if not has_data(spark, p):
+            continue
+        r = spark.read.option("basePath", base_path).parquet(p) if base_path else spark.read.parquet(p)
         declared = {f.name: f.dataType for f in schema.fields}
         sel = [col(f"`{c}`").cast(declared[c]).alias(c) if c in r.columns else
                F.lit(None).cast(declared[c]).alias(c) for c in declared]
@@ -124,13 +161,15 @@ def read_sparse_union(spark: SparkSession, paths: list[str], schema: T.StructTyp
 
 def read_bronze_events(spark: SparkSession, root: str) -> DataFrame:
     """A1 + A2: all event file groups with ``type``, ``competition`` and ``season`` from the path."""
-    paths = [f"{root}/events/type={k}" for k in KIND_COLUMNS]
-    return read_sparse_union(spark, paths, BRONZE_EVENT_SCHEMA, base_path=f"{root}/events")
+    return read_sparse_union(spark, event_groups(spark, root), BRONZE_EVENT_SCHEMA, base_path=f"{root}/events")
 
 
 def read_bronze_merged(spark: SparkSession, root: str) -> DataFrame:
-    """A1 via Spark's own footer merge (``mergeSchema``), valid while types agree across groups."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{root}/events")
+    """A1 + A2 with the declared schema: no footer is read to find columns, missing ones are NULL.
+    Valid while the groups' types are the declared ones."""
+    parts = [T.StructField("type", T.StringType()), T.StructField("competition", T.StringType()),
+             T.StructField("season", T.IntegerType())]
+    return spark.read.schema(T.StructType([*BRONZE_EVENT_SCHEMA.fields, *parts])).parquet(f"{root}/events")
 
 
 def raw_matches(matches: DataFrame) -> DataFrame:
@@ -212,7 +251,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def complete_matches(spark: SparkSession, root: str) -> DataFrame:
     """Match ids landed in ALL three datasets (events, lineups, metadata): a run that crashed after
     the events leaves the match incomplete, so it is retried instead of skipped forever."""
-    ev = spark.read.option("mergeSchema", "true").parquet(f"{root}/events").select("match_id").distinct()
+    ev = read_bronze_merged(spark, root).select("match_id").distinct()
     lu = spark.read.parquet(f"{root}/lineups").select("match_id").distinct()
     mt = spark.read.parquet(f"{root}/matches").select("match_id").distinct()
     return ev.join(lu, "match_id", "left_semi").join(mt, "match_id", "left_semi")

@@ -87,6 +87,7 @@ def fb_events(events: DataFrame) -> DataFrame:
                F.greatest(F.lit(0.0), F.least(F.lit(120.0), sx + (k % 40) - 8))).alias("end_x"),
         F.when((kind == "Pass") & (k % 4 == 0), F.lit("Incomplete")).alias("pass_outcome"),
         F.when((kind == "Pass") & (k % 5 == 0), col("event_id") + 1).alias("pass_assisted_shot_id"),
+        F.coalesce((kind == "Pass") & (k % 10 == 0), F.lit(False)).alias("pass_shot_assist"),
         F.when(is_shot, F.floor(col("value") * 2) / 1024).alias("xg"),
         F.when(is_shot, F.when(k % 13 == 0, "Penalty").when(k % 13 == 1, "Free Kick")
                .when(k % 13 == 12, F.lit(None)).otherwise("Open Play")).alias("shot_type"),

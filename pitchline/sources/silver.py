@@ -14,7 +14,7 @@ EVENT_RENAMES = {"id": "event_id", "type": "event_type", "possession": "possessi
                  "player": "player_name", "position": "player_position",
                  "shot_expected_goals": "xg"}
 # Sparse booleans where NULL means false.
-SPARSE_FLAGS = ["counterpress"]
+SPARSE_FLAGS = ["pass_shot_assist", "counterpress"]
 
 
 def float_id_to_long(c: Column) -> Column:

@@ -2,19 +2,21 @@
 
 The SQL original materialises its staging models as tables and builds the marts on them. Here the
 four Silver tables (events, matches, competitions, lineups) derived from the raw ``events`` table
-are written once as Parquet under the shared checkpoint folder, keyed by the input's path, size and
-modification time, and then read by every query. Marts therefore scan a plain columnar table
+are written once as Parquet under the shared checkpoint folder, keyed by the input's files (path,
+size, modification time) and the version of the code, and then read by every query. Marts therefore scan a plain columnar table
 (JSON parsing and the football mapping run once, not once per mart), filters and column pruning
 reach that scan, and a lost executor re-reads files instead of replaying the derivation.
 
 Layout: events partitioned by (competition, season) and sorted by match inside each file, so
-Parquet row-group statistics stay selective for match filters.
+Parquet row-group statistics stay selective for match filters (a test reads the files).
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +32,23 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+@lru_cache(maxsize=1)
+def _code_version() -> str:
+    """Hash of the package's source: tables of another version of the code are not served."""
+    digest = hashlib.sha1()
+    for file in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
+        digest.update(file.read_bytes())
+    return digest.hexdigest()
+
+
 def input_fingerprint(spark: SparkSession, path: str) -> str:
-    """Path + total size + latest modification time of the input (file or folder)."""
+    """Path, size and modification time of every file of the input, and the version of the code."""
     p, fs = _fs(spark, path)
-    status = fs.getFileStatus(p)
-    summary = fs.getContentSummary(p)
-    key = f"{fs.makeQualified(p).toString()}|{summary.getLength()}|{status.getModificationTime()}"
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    key = "\n".join([fs.makeQualified(p).toString(), _code_version(), *sorted(found)])
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
@@ -45,11 +58,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _publish(spark: SparkSession, tmp: str, final: str) -> None:
-    """Move a finished folder into place; if another job published first, keep theirs."""
+    """Move a finished folder into place; if another job published first, keep theirs. Where a
+    rename into an existing folder nests instead of failing, the nested copy is taken out again."""
     src, fs = _fs(spark, tmp)
     dst, _ = _fs(spark, final)
+    if not fs.exists(dst) and fs.rename(src, dst):
+        nested, _ = _fs(spark, f"{final}/{src.getName()}")
+        if fs.exists(nested):
+            fs.delete(nested, True)
+        return
     if not fs.exists(dst):
-        fs.rename(src, dst)
+        raise OSError(f"could not publish {tmp} as {final}")
+    fs.delete(src, True)
 
 
 def materialise(spark: SparkSession, sf_dir: str) -> str:
@@ -58,15 +78,10 @@ def materialise(spark: SparkSession, sf_dir: str) -> str:
     root = shared_scratch(spark, f"silver/{input_fingerprint(spark, events_path)}")
     if all(_exists(spark, f"{root}/{t}/_SUCCESS") for t in SILVER):
         return root
-    raw = fbsrc.read_table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() < cores:
-        # an input of very few row groups would map in one task; spread it over the cores
-        # (at scale the input has far more splits than cores and this does nothing)
-        raw = raw.repartition(cores)
-    ev = fbsrc.fb_events(raw)
+    ev = fbsrc.fb_events(fbsrc.read_table(spark, sf_dir, "events"))
     tmp = f"{root}/.tmp-{uuid.uuid4().hex}"
-    (ev.sortWithinPartitions("match_id", "event_id")
+    # the sort leads with the partition columns: the writer would otherwise sort by them anew
+    (ev.sortWithinPartitions("competition", "season", "match_id", "event_id")
      .write.partitionBy("competition", "season").parquet(f"{tmp}/events"))
     written = spark.read.parquet(f"{tmp}/events")
     # the derived tables are built from the written events, not from the raw JSON again
@@ -126,8 +141,10 @@ def landed_bronze(spark: SparkSession, sf_dir: str, land) -> str:
     datasets) and published atomically by renaming the finished folder; returns its path."""
     root = materialise(spark, sf_dir)
     path = f"{root}/bronze"
-    if not _exists(spark, path):
+    if not _exists(spark, f"{path}/_LANDED"):
         tmp = f"{root}/.tmp-bronze-{uuid.uuid4().hex}"
         land(tmp)
+        done, fs = _fs(spark, f"{tmp}/_LANDED")
+        fs.create(done).close()
         _publish(spark, tmp, path)
     return path

@@ -4,13 +4,15 @@ The original loader re-runs over all matches and skips those already landed. Her
 files dropped into an incoming folder are a streaming file source: the checkpoint records which
 files were processed (each file exactly once), and every micro-batch
 
-1. anti-joins its rows against the ledger of matches landed by EARLIER batches, so a match that
-   arrives again in a later drop is not landed twice;
-2. writes the new events and the new ledger rows under ``epoch=<batch id>`` with overwrite,
-   so a retried batch replaces its own output instead of duplicating it.
-
-The ledger holds one row per match (not per event), so the anti-join's small side grows with the
-number of matches only.
+1. drops the events it holds twice and those that EARLIER batches landed, by event id, so an
+   event that arrives again in a later drop is not landed twice, while a match whose files are
+   spread over any number of batches arrives whole;
+2. writes the new events under ``epoch=<batch id>`` with overwrite, so a retried batch replaces
+   its own output instead of duplicating it;
+3. writes the ledger, one row per match of the batch, from the events it has just written.
+
+The ledger tells which matches have been met before: only their earlier events are read for the
+comparison, so a batch of new matches compares with nothing.
 """
 
 from __future__ import annotations
@@ -28,22 +30,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _ledger(spark: SparkSession, root: str, before_epoch: int) -> DataFrame:
-    if not _exists(spark, f"{root}/ledger"):  # nothing landed yet
-        return spark.createDataFrame([], "match_id long")
-    return spark.read.parquet(f"{root}/ledger").where(col("epoch") < before_epoch).select("match_id")
+def _landed(spark: SparkSession, root: str, before_epoch: int) -> DataFrame | None:
+    """(match_id, event_id) of earlier batches, for matches the ledger has from them."""
+    if before_epoch == 0 or not _exists(spark, f"{root}/ledger") or not _exists(spark, f"{root}/events"):
+        return None
+    return spark.read.parquet(f"{root}/events").where(col("epoch") < before_epoch).select("match_id", "event_id")
 
 
 def land_batch(batch: DataFrame, epoch_id: int, root: str, partitions=("competition", "season")) -> None:
-    """One micro-batch: skip matches already in the ledger, drop duplicate events, write the new
-    events and ledger rows under ``epoch=<id>`` (overwrite, so a retry replaces its own output)."""
+    """One micro-batch: land the events that no earlier batch has landed, once each, then the
+    ledger rows of their matches, both under ``epoch=<id>`` (overwrite: a retry replaces its own)."""
     spark = batch.sparkSession
-    new = batch.join(_ledger(spark, root, epoch_id), "match_id", "left_anti")
-    # the same match delivered twice inside one batch (two drops) is landed once: duplicate
-    # events are dropped by id (a shuffle on a unique key, so no hot partition)
-    new = new.dropDuplicates(["event_id"])
-    new.write.mode("overwrite").partitionBy(*partitions).parquet(f"{root}/events/epoch={epoch_id}")
-    new.select("match_id").distinct().write.mode("overwrite").parquet(f"{root}/ledger/epoch={epoch_id}")
+    new = batch.dropDuplicates(["event_id"])  # a shuffle on a unique key, so no hot partition
+    landed = _landed(spark, root, epoch_id)
+    if landed is not None:
+        met = spark.read.parquet(f"{root}/ledger").where(col("epoch") < epoch_id).select("match_id")
+        again = batch.select("match_id").distinct().join(met.distinct(), "match_id", "left_semi")
+        new = new.join(landed.join(again, "match_id", "left_semi"), "event_id", "left_anti").select(*batch.columns)
+    events = f"{root}/events/epoch={epoch_id}"
+    new.write.mode("overwrite").partitionBy(*partitions).parquet(events)
+    written = spark.read.schema(batch.schema).parquet(events)
+    written.select("match_id").distinct().write.mode("overwrite").parquet(f"{root}/ledger/epoch={epoch_id}")
 
 
 def start_landing(spark: SparkSession, incoming: str, schema, root: str, checkpoint: str,

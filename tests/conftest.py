@@ -22,7 +22,7 @@ EVENT_SCHEMA = ("event_id long, match_id long, competition string, season int, p
                 "second long, event_type string, team string, start_x double, end_x double, "
                 "pass_outcome string, xg double, shot_type string, shot_outcome string, "
                 "player_id long, player_name string, player_position string, play_pattern string, "
-                "pass_assisted_shot_id long, counterpress boolean, duel_type string, dribble_outcome string, "
+                "pass_assisted_shot_id long, pass_shot_assist boolean, counterpress boolean, duel_type string, dribble_outcome string, "
                 "possession_sequence long")
 
 EVENT_COLS = [f.split()[0] for f in EVENT_SCHEMA.split(", ")]
@@ -35,7 +35,7 @@ def ev_row(event_id, match_id, period, minute, second, event_type="Pass", team="
                 xg=0.25 if event_type == "Shot" else None,
                 shot_type="Open Play" if event_type == "Shot" else None,
                 shot_outcome=None, player_id=None, player_name=None, player_position=None,
-                play_pattern="Regular Play", pass_assisted_shot_id=None, counterpress=False,
+                play_pattern="Regular Play", pass_assisted_shot_id=None, pass_shot_assist=kw.get("pass_assisted_shot_id") is not None, counterpress=False,
                 duel_type=None, dribble_outcome=None, possession_sequence=0)
     base.update(kw)
     return tuple(base[c] for c in EVENT_COLS)

@@ -1,5 +1,6 @@
 """Bronze fixtures: type drift across sparse file groups, idempotent incremental landing."""
 
+import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -65,10 +66,103 @@ def test_streaming_landing_is_exactly_once_with_overlapping_drops(spark):
     # both drops in ONE batch, overlapping on the 2022 matches, each split over several files
     ev.where(F.col("season") == 2022).repartition(3).write.parquet(f"{base}/in/drop=1")
     ev.repartition(4).write.parquet(f"{base}/in/drop=2")
-    landing.start_landing(spark, f"{base}/in/drop=*", ev.schema, f"{base}/out", f"{base}/ckpt",
-                          files_per_batch=1000).awaitTermination()
-    out = landing.read_landed(spark, f"{base}/out")
-    assert out.count() == ev.count() == out.select("event_id").distinct().count()
+    # all files in one batch, and one file per batch
+    for files in (1000, 1):
+        landing.start_landing(spark, f"{base}/in/drop=*", ev.schema, f"{base}/out{files}", f"{base}/ckpt{files}",
+                              files_per_batch=files).awaitTermination()
+        out = landing.read_landed(spark, f"{base}/out{files}")
+        assert out.count() == ev.count() == out.select("event_id").distinct().count()
+
+
+def test_unlisted_kinds_and_null_kinds_are_landed(spark):
+    t = Tables(spark, SF0001)
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    kind = F.when(F.col("event_type") == "Duel", "Half Start").when(F.col("event_type") != "Dribble", F.col("event_type"))
+    ev = t.ev.withColumn("event_type", kind)
+    br.land_events(ev, root)
+    for back in (br.read_bronze_events(spark, root), br.read_bronze_merged(spark, root)):
+        got = {r["type"]: r["count"] for r in back.groupBy("type").count().collect()}
+        want = {r["event_type"]: r["count"] for r in ev.groupBy("event_type").count().collect()}
+        assert got == want and "Half Start" in got and None in got
+    lost = back.where("type = 'Half Start'").select("duel_type").distinct().count()
+    assert lost == 2  # unlisted kinds keep every column
+
+
+def test_missing_group_raises_and_empty_group_does_not(spark):
+    import pytest
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    spark.createDataFrame([(1, 5)], "id long, n long").write.parquet(f"{root}/p1")
+    os.makedirs(f"{root.removeprefix('file:')}/p2")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
+    assert br.read_sparse_union(spark, [f"{root}/p1", f"{root}/p2"], schema).count() == 1
+    with pytest.raises(Exception):
+        br.read_sparse_union(spark, [f"{root}/p1", f"{root}/gone"], schema).count()
+
+
+def test_written_event_files_are_sorted_by_match(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from pitchline.sources.warehouse import materialise
+    t = Tables(spark, SF0001)
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    br.land_events(t.ev, root)
+    files = glob.glob(f"{root.removeprefix('file:')}/events/**/*.parquet", recursive=True)
+    files += glob.glob(f"{materialise(spark, SF0001).removeprefix('file:')}/events/**/*.parquet", recursive=True)
+    assert len(files) > 10
+    for f in files:
+        m = pq.ParquetFile(f).read(columns=["match_id"])["match_id"].to_pylist()
+        assert m == sorted(m)
+
+
+def test_a_rewritten_nested_file_changes_the_fingerprint(spark, tmp_path):
+    import os
+
+    from pitchline.sources.warehouse import input_fingerprint
+    (tmp_path / "in" / "a").mkdir(parents=True)
+    f = tmp_path / "in" / "a" / "part"
+    f.write_text("one")
+    before = input_fingerprint(spark, str(tmp_path / "in"))
+    f.write_text("two")
+    os.utime(f, (1, 1))
+    assert input_fingerprint(spark, str(tmp_path / "in")) != before
+
+
+def test_publishing_keeps_the_first_copy(spark, tmp_path):
+    from pitchline.sources.warehouse import _publish
+    for name in ("t1", "t2"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x").write_text(name)
+    _publish(spark, str(tmp_path / "t1"), str(tmp_path / "final"))
+    _publish(spark, str(tmp_path / "t2"), str(tmp_path / "final"))
+    assert (tmp_path / "final" / "x").read_text() == "t1" and not (tmp_path / "t2").exists()
+    assert [p.name for p in (tmp_path / "final").iterdir() if not p.name.startswith(".")] == ["x"]
+
+
+def test_no_local_folder_on_a_cluster():
+    import pytest
+
+    from pitchline.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
 
 
 def test_bad_match_dates_are_quarantined_not_fatal(spark):

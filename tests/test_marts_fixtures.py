@@ -60,3 +60,17 @@ def test_stage_unknown_has_no_class(spark):
         "season_year int, competition_stage_name string, home_score int, away_score int")
     got = {r.team_name: (r.max_stage_rank, r.outcome_class) for r in outcomes.team_outcomes(matches).collect()}
     assert got == {"H": (6, "Finalist"), "A": (0, None), "B": (6, "Finalist")}
+
+
+def test_opponent_passes_count_without_own_located_event(spark, make_events, make_matches):
+    # match 1: H has a pressure and A one zone pass; match 2: H has no located event, A ten zone passes
+    rows = [ev_row(1, 1, 1, 0, 0, "Pressure", "H", start_x=70.0), ev_row(2, 1, 1, 1, 0, "Pass", "A", start_x=50.0)]
+    rows += [ev_row(10 + i, 2, 1, 2, i, "Pass", "A", start_x=50.0) for i in range(10)]
+    rows += [ev_row(30, 2, 1, 3, 0, "Foul Committed", "H", start_x=None)]
+    m3 = {r.team_name: r for r in tm.mart_defensive_pressure(make_events(rows), make_matches([1, 2]), comps(spark)).collect()}
+    assert m3["H"].opp_passes_in_zone_raw == 11 and m3["H"].ppda == 11.0
+
+
+def test_rows_without_a_team_drop_out(spark, make_events):
+    ev = make_events([ev_row(1, 1, 1, 0, 0, "Shot", "H"), ev_row(2, 1, 1, 1, 0, "Shot", None)])
+    assert {r.team_name for r in tm.mart_attack_quality(ev, comps(spark)).collect()} == {"H"}
