@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import sorted_groups, written
+from pitchline.llm.common import sorted_groups
 
 #: Tokens in which two suffixes must agree.
 RUN = 6
@@ -135,9 +135,10 @@ def blocks(page: str) -> list[tuple[str, str]]:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, page, host, sure, rest): the text that markup is sure of, and the blocks
-    beside it."""
+    """(page_id, url, key, page, host, sure, rest, undecided): the text that markup is sure of, and
+    the blocks beside it. ``key`` is made from a row's contents: equal rows are alike in all."""
     kind = pages.select("page_id").schema["page_id"].dataType.simpleString()
+    columns = ["page_id", "url", "key", "page", "host"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,16 +148,19 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 rest = pa.array([[{"open": z == OPEN, "text": t} for z, t in b if z != MAIN] for b in cut],
                                 pa.list_(pa.struct([("open", pa.bool_()), ("text", pa.string())])))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("page_id"), some.column("url"), pa.array([" ".join(t for z, t in b if z == MAIN) for b in cut]), rest],
-                    ["page_id", "url", "sure", "rest"])
+                    [*(some.column(c) for c in columns), pa.array([" ".join(t for z, t in b if z == MAIN) for b in cut], pa.string()),
+                     rest, pa.array([any(z == OPEN for z, _ in b) for b in cut], pa.bool_())],
+                    [*columns, "sure", "rest", "undecided"])
 
-    cut = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
-        run, f"page_id {kind}, url string, sure string, rest array<struct<open boolean, text string>>")
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
-    row = F.monotonically_increasing_id()
-    return cut.withColumn("host", host).withColumn("row", row).withColumn(
-        "page", F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("row "), "row")))).withColumn(
-        "undecided", F.exists("rest", lambda b: b["open"]))
+    url, text = F.col("url").cast("string"), F.col("html").cast("string")
+    host = F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
+    named = F.col("page_id").cast("string")
+    return pages.select(
+        "page_id", url.alias("url"), F.xxhash64(named, url, text).alias("key"),
+        F.when(named.isNotNull(), F.xxhash64(named)).otherwise(F.xxhash64(text, F.lit("no id"))).alias("page"),
+        host.alias("host"), text.alias("html")).mapInArrow(
+        run, f"page_id {kind}, url string, key long, page long, host string, sure string, "
+        "rest array<struct<open boolean, text string>>, undecided boolean")
 
 
 def _stream(rest: list[dict]) -> list[str]:
@@ -164,7 +168,7 @@ def _stream(rest: list[dict]) -> list[str]:
 
 
 def _suffixes(cut: DataFrame, run: int) -> DataFrame:
-    """(head, page, row, at, known): suffixes by the hash of (host, first tokens). What repeats on
+    """(head, page, key, at, known, settled): suffixes by the hash of (host, first tokens). What repeats on
     two pages of a batch is known at once; one suffix of each head goes on to tell the others."""
     odd = np.random.default_rng(7).integers(1, 1 << 63, run, dtype=np.uint64) | np.uint64(1)
 
@@ -173,7 +177,7 @@ def _suffixes(cut: DataFrame, run: int) -> DataFrame:
 
         for batch in batches:
             heads, pages, rows, ats = [], [], [], []
-            page, row = batch.column("page").to_numpy(), batch.column("row").to_numpy()
+            page, row = batch.column("page").to_numpy(), batch.column("key").to_numpy()
             for i, (host, rest) in enumerate(zip(batch.column("host").to_pylist(), batch.column("rest").to_pylist(), strict=True)):
                 words = _stream(rest)
                 if len(words) < run:
@@ -199,14 +203,14 @@ def _suffixes(cut: DataFrame, run: int) -> DataFrame:
             h = np.where(known & ~first, (r.astype(np.uint64) << np.uint64(20)) + a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(p), pa.array(r), pa.array(a), pa.array(known), pa.array(known & ~first)],
-                ["head", "page", "row", "at", "known", "settled"])
+                ["head", "page", "key", "at", "known", "settled"])
 
-    return cut.select("host", "page", "row", "rest").mapInArrow(
-        go, "head long, page long, row long, at int, known boolean, settled boolean")
+    return cut.select("host", "page", "key", "rest").mapInArrow(
+        go, "head long, page long, key long, at int, known boolean, settled boolean")
 
 
 def _repeated(suffixes: DataFrame) -> DataFrame:
-    """(row, at) of the suffixes whose first tokens also begin a suffix of another page."""
+    """(key, at) of the suffixes whose first tokens also begin a suffix of another page."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sorted_groups(batches, "head", 50_000):
@@ -219,9 +223,9 @@ def _repeated(suffixes: DataFrame) -> DataFrame:
             most = np.maximum.reduceat(np.where(settled, np.int64(-(2**63)), page), starts)
             told = np.repeat((least < most) & (least != 2**63 - 1) | np.logical_or.reduceat(known & ~settled, starts), sizes)
             keep = pa.array(settled | told)
-            yield pa.RecordBatch.from_arrays([part["row"].filter(keep).combine_chunks(), part["at"].filter(keep).combine_chunks()], ["row", "at"])
+            yield pa.RecordBatch.from_arrays([part["key"].filter(keep).combine_chunks(), part["at"].filter(keep).combine_chunks()], ["key", "at"])
 
-    return suffixes.repartition("head").sortWithinPartitions("head").mapInArrow(go, "row long, at int")
+    return suffixes.repartition("head").sortWithinPartitions("head").mapInArrow(go, "key long, at int")
 
 
 def _unique(rest: list[dict], marks: list[int] | None, run: int, copy: float) -> str:
@@ -238,27 +242,26 @@ def _unique(rest: list[dict], marks: list[int] | None, run: int, copy: float) ->
 
 
 def extract(pages: DataFrame, run: int = RUN, copy: float = COPY) -> DataFrame:
-    """(page_id, url, text, n_chars, n_repeated) for every row of ``pages``.
+    """(page_id, url, text, n_chars) for every row of ``pages``.
 
     ``pages`` needs ``page_id``, ``url`` and ``html``; other columns are ignored. Null or empty
-    html gives an empty text; a null url is a host of its own name "". Rows of the same page_id
-    are the same page, so they don't make each other's text repeat. ``n_repeated`` counts the
-    suffixes outside the sure text that also occur on another page of the host.
+    html gives an empty text; a null url is a host of its own name "". Rows of the same page_id,
+    and rows without one that have the same html, are the same page, so they don't make each
+    other's text repeat. Texts that the markup decides are not shuffled; the pages are read once
+    for them and once for the hosts' token streams.
     """
-    cut = written(_parsed(pages), "blocks")
-    marks = _repeated(_suffixes(cut, run)).groupBy("row").agg(
-        F.count("*").alias("n"), F.collect_list("at").alias("marks"))  # as many as the page has tokens
-    found = cut.select("row", "page_id", "url", "sure", F.when(F.col("undecided"), F.col("rest")).alias("rest")).join(marks, "row", "left")
+    cut = _parsed(pages)
+    marks = _repeated(_suffixes(cut, run)).groupBy("key").agg(F.collect_set("at").alias("marks"))  # as many as tokens
+    open_ = cut.where("undecided").select("key", "page_id", "url", "rest").join(marks, "key", "left")
     kind = cut.schema["page_id"].dataType.simpleString()
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [s if rest is None else _unique(rest, m, run, copy) for s, rest, m in zip(
-                batch.column("sure").to_pylist(), batch.column("rest").to_pylist(), batch.column("marks").to_pylist(), strict=True)]
+            text = [_unique(rest, m, run, copy) for rest, m in zip(
+                batch.column("rest").to_pylist(), batch.column("marks").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), batch.column("n").fill_null(0)],
-                ["page_id", "url", "text", "n_repeated"])
+                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    return found.select("page_id", "url", "sure", "rest", F.when(F.col("rest").isNotNull(), F.col("marks")).alias("marks"), "n").mapInArrow(
-        go, f"page_id {kind}, url string, text string, n_repeated long").select(
-        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
+    told = open_.select("page_id", "url", "rest", "marks").mapInArrow(go, f"page_id {kind}, url string, text string")
+    sure = cut.where("not undecided").select("page_id", "url", F.col("sure").alias("text"))
+    return sure.unionByName(told).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
