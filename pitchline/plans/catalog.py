@@ -25,7 +25,7 @@ def query(name: str):
 
 
 class Tables:
-    """The Silver tables for one (spark, sf_dir), read from their materialised Parquet copies
+    """The staging models for one (spark, sf_dir), read from their materialised Parquet copies
     (see ``sources.warehouse``); each accessor returns a DataFrame plan, not data.
 
     Setting ``_ev`` to an event DataFrame (tests) derives matches, competitions and lineups from
@@ -42,8 +42,8 @@ class Tables:
 
     def _s(self, name: str) -> DataFrame:
         if self._silver is None:
-            from pitchline.sources.warehouse import silver_tables
-            self._silver = silver_tables(self.spark, self.sf_dir)
+            from pitchline.sources.warehouse import StagedTables
+            self._silver = StagedTables(self.spark, self.sf_dir)
         return self._silver[name]
 
     @property

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.operators import quality as dq
 from pitchline.plans import team_marts as tm
@@ -19,6 +20,7 @@ from pitchline.session import shared_scratch
 from pitchline.sources import bronze as br
 from pitchline.sources import fb as fbsrc
 from pitchline.sources import silver as sv
+from pitchline.sources.warehouse import landed_bronze, silver_tables
 
 col = F.col
 
@@ -26,30 +28,42 @@ def _root(spark) -> str:
     return shared_scratch(spark, f"bronze/{uuid.uuid4().hex}")
 
 
-def land_into(t: Tables, root: str) -> None:
-    """B1 + B2: the full raw-shaped landing of one input."""
-    br.land_events(t.ev, root)
-    br.land_matches(t.matches, root)
-    br.land_lineups(t.lineups, root)
-    br.land_competitions(t.comps, root)
-
-
 def land_all(spark, sf) -> tuple[str, Tables]:
     """The input's bronze landing, written once per input (like one ingestion run) and read by
     every bronze / silver query."""
-    from pitchline.sources.warehouse import landed_bronze
-    t = Tables(spark, sf)
-    return landed_bronze(spark, sf, lambda root: land_into(t, root)), t
+    return landed_bronze(spark, sf), Tables(spark, sf)
 
 
 def _silver_matches(spark, root: str) -> DataFrame:
     return sv.stg_matches(spark.read.parquet(f"{root}/matches"))
 
 
+def _fields_as_text(names: list[str]):
+    return lambda x: F.concat_ws(",", *[F.coalesce(x[n].cast("string"), F.lit("null")) for n in names])
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column, with those whose values engines print or compare differently as plain text:
+    arrays joined by '|', doubles that may be NaN in lower case, timestamps to the microsecond."""
+    out = []
+    for f in df.schema.fields:
+        c = col(f"`{f.name}`")
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            c = F.array_join(F.transform(c, _fields_as_text(f.dataType.elementType.names)), "|")
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(F.transform(c, lambda x: x.cast("string")), "|", "null")
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif f.name.endswith("_id") and isinstance(f.dataType, T.DoubleType):
+            c = F.lower(c.cast("string"))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 @query("scan_sparse_union")
 def q_scan_sparse_union(spark, sf):
     root, _ = land_all(spark, sf)
-    return br.read_bronze_events(spark, root)
+    return as_text(br.read_bronze_events(spark, root))
 
 
 @query("scan_hive_partitions")
@@ -94,17 +108,19 @@ def q_table_inventory(spark, sf):
 
 @query("flatten_location")
 def q_flatten_location(spark, sf):
-    """C1 / K10 on a real array column: the first three embedding components, 1-based."""
-    emb = fbsrc.read_table(spark, sf, "embeddings")
-    return br.flatten_location(emb, {"embedding": 3})
+    """Every ``*_location`` array of the landed events, the shot's with its z; a bare
+    ``location`` is not one of them."""
+    root, _ = land_all(spark, sf)
+    b = br.read_bronze_events(spark, root)
+    ends = [c for c in b.columns if c.endswith("_location")]
+    return br.flatten_location(b.select("id", *ends))
 
 
 @query("flatten_lineups")
 def q_flatten_lineups(spark, sf):
     root, _ = land_all(spark, sf)
     flat = br.flatten_lineups(spark.read.parquet(f"{root}/lineups"))
-    return flat.select("match_id", "competition", "season", "team_name", "player_id", "player_name",
-                       "player_nickname", F.size("positions").cast("long").alias("n_segments"))
+    return as_text(flat)
 
 
 @query("union_all_matches")
@@ -112,7 +128,7 @@ def q_union_all_matches(spark, sf):
     """C4: every landed competition's match files read one by one and concatenated."""
     root, _ = land_all(spark, sf)
     frames = [spark.read.option("basePath", f"{root}/matches").parquet(p) for p in br.match_groups(spark, root)]
-    return sv.stg_matches(br.union_all(frames))
+    return as_text(sv.stg_matches(br.union_all(frames)))
 
 
 @query("incremental_anti")
@@ -120,15 +136,15 @@ def q_incremental_anti(spark, sf):
     """An earlier run landed every 2022 match completely and crashed on comp_1
     2024 after its events; the pending list is every incoming match not landed in all three
     datasets."""
-    t = Tables(spark, sf)
+    t = silver_tables(spark, sf)
     root = _root(spark)
     first = col("season") == 2022
-    br.land_events(t.ev.where(first), root)
-    br.land_matches(t.matches.where(col("season_year") == 2022), root)
-    br.land_lineups(t.lineups.where(col("season_year") == 2022), root)
+    br.land_events(t["events"].where(first), root)
+    br.land_matches(t["matches"].where(col("season_year") == 2022), root)
+    br.land_lineups(t["lineups"].where(col("season_year") == 2022), root)
     # the interrupted run: events only; dynamic overwrite leaves the 2022 partitions in place
-    br.land_events(t.ev.where(col("competition") == "comp_1"), root)
-    pending = br.pending_matches(t.matches, br.complete_matches(spark, root))
+    br.land_events(t["events"].where(col("competition") == "comp_1"), root)
+    pending = br.pending_matches(t["matches"], br.complete_matches(spark, root))
     return pending.select("match_id", "competition_folder_name", "season_year")
 
 
@@ -149,13 +165,13 @@ def q_quarantine_split(spark, sf):
 @query("stg_events")
 def q_stg_events(spark, sf):
     root, _ = land_all(spark, sf)
-    return sv.stg_events(br.read_bronze_events(spark, root))
+    return as_text(sv.stg_events(br.read_bronze_events(spark, root)))
 
 
 @query("stg_matches")
 def q_stg_matches(spark, sf):
     root, _ = land_all(spark, sf)
-    return _silver_matches(spark, root)
+    return as_text(_silver_matches(spark, root))
 
 
 @query("stg_competitions")
@@ -167,8 +183,7 @@ def q_stg_competitions(spark, sf):
 @query("stg_lineups")
 def q_stg_lineups(spark, sf):
     root, _ = land_all(spark, sf)
-    s = sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{root}/lineups")))
-    return s.withColumn("positions", F.size("positions").cast("long")).withColumnRenamed("positions", "n_segments")
+    return as_text(sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{root}/lineups"))))
 
 
 @query("sink_roundtrip")

@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pitchline.plans.catalog import Tables, query
+from pitchline.plans.catalog import query
 from pitchline.session import shared_scratch
+from pitchline.sources.warehouse import silver_tables
 from pitchline.streaming import landing
 
 col = F.col
@@ -17,10 +18,9 @@ col = F.col
 def q_stream_incremental_landing(spark, sf):
     """Two drops of raw event files -- first the 2022 matches, then ALL matches again -- are
     landed by two scheduled streaming runs; every event must be landed exactly once."""
-    t = Tables(spark, sf)
     base = shared_scratch(spark, f"stream/{uuid.uuid4().hex}")
     incoming, root, ckpt = f"{base}/incoming", f"{base}/landed", f"{base}/checkpoint"
-    ev = t.ev.drop("ts")
+    ev = silver_tables(spark, sf)["events"].drop("ts")
     # matches are spread over the files of a drop and the files over several batches
     ev.where(col("season") == 2022).repartition(4, "event_id").write.parquet(f"{incoming}/drop=1")
     q = landing.start_landing(spark, f"{incoming}/drop=1", ev.schema, root, ckpt, files_per_batch=3)

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchline.sources.wide import LINEUP_RULES, LOCATION_Y, MATCH_RULES, RULES, rule
+
 col = F.col
 
 # The event kinds and the kind-specific raw columns each kind's files carry.
@@ -34,9 +36,15 @@ KIND_COLUMNS = {
     "Ball Recovery": [],
     "Foul Committed": [],
 }
-COMMON_COLUMNS = ["id", "ts", "match_id", "period", "minute", "second", "possession", "team",
+for _name, (_kind, _, _) in RULES.items():
+    if _kind is not None:
+        KIND_COLUMNS[_kind].append(_name)
+COMMON_COLUMNS = [*[n for n, (k, _, _) in RULES.items() if k is None], "id", "ts", "match_id", "period", "minute", "second", "possession", "team",
                   "player_id", "player", "position", "play_pattern", "location"]
 
+_TYPES = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
+          "array<string>": T.ArrayType(T.StringType()), "array<double>": T.ArrayType(T.DoubleType())}
+
 # Declared bronze schema: the type every reader casts to, whatever a file group holds.
 BRONZE_EVENT_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -54,6 +62,7 @@ BRONZE_EVENT_SCHEMA = T.StructType([
     T.StructField("shot_expected_goals", T.DoubleType()), T.StructField("shot_type", T.StringType()),
     T.StructField("shot_outcome", T.StringType()), T.StructField("counterpress", T.BooleanType()),
     T.StructField("duel_type", T.StringType()), T.StructField("dribble_outcome", T.StringType()),
+    *[T.StructField(n, _TYPES[t]) for n, (_, t, _) in RULES.items()],
 ])
 
 
@@ -64,7 +73,7 @@ def _float_id(c: Column) -> Column:
 
 def raw_events(fb: DataFrame) -> DataFrame:
     """FB view -> raw bronze column names and shapes (all kinds, all columns)."""
-    loc = lambda c: F.when(col(c).isNotNull(), F.array(col(c)))
+    loc = lambda c: F.when(col(c).isNotNull(), F.array(col(c), F.expr(LOCATION_Y)))
     return fb.select(
         col("event_id").alias("id"), "ts", "match_id", "competition", "season", "period", "minute",
         "second", col("event_type").alias("type"), col("possession_sequence").alias("possession"),
@@ -79,7 +88,8 @@ def raw_events(fb: DataFrame) -> DataFrame:
         col("xg").alias("shot_expected_goals"), "shot_type", "shot_outcome",
         # sparse boolean: present only where true, as the raw feed omits false flags
         F.when(col("counterpress"), F.lit(True)).alias("counterpress"),
-        "duel_type", "dribble_outcome")
+        "duel_type", "dribble_outcome",
+        *[F.expr(rule(n, "array")).cast(t).alias(n) for n, (_, t, _) in RULES.items()])
 
 
 def _write_events(rows: DataFrame, path: str, parts: list[str], salts: int) -> None:
@@ -173,14 +183,15 @@ def read_bronze_merged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def raw_matches(matches: DataFrame) -> DataFrame:
-    """Match metadata in raw shape: date as text, scores as floats, 'nan' for a missing referee."""
+    """Match metadata in raw shape: dates as text, scores as floats, 'nan' for missing texts."""
     return matches.select(
         "match_id", "competition_folder_name", "season_year",
         F.date_format("match_date", "yyyy-MM-dd").alias("match_date"),
         "home_team_name", "away_team_name",
         col("home_score").cast("double").alias("home_score"),
         col("away_score").cast("double").alias("away_score"),
-        "competition_stage_name", F.lit("nan").alias("referee"))
+        "competition_stage_name",
+        *[F.expr(sql).cast(t).alias(n) for n, (t, sql) in MATCH_RULES.items()])
 
 
 def land_matches(matches: DataFrame, root: str) -> str:
@@ -203,7 +214,8 @@ def nest_lineups(lineups: DataFrame) -> DataFrame:
     per_team = (lineups.groupBy("match_id", "competition_folder_name", "season_year", "team_name")
                 .agg(F.collect_list(F.struct(
                     _float_id(col("player_id")).alias("player_id"), col("player_name"),
-                    F.lit("nan").alias("player_nickname"), col("positions"))).alias("players")))
+                    *[F.expr(sql.replace("ARR(", "array(")).cast(t).alias(n) for n, (t, sql) in LINEUP_RULES.items()],
+                    col("positions"))).alias("players")))
     return (per_team.groupBy("match_id", col("competition_folder_name").alias("competition"),
                              col("season_year").alias("season"))
             .agg(F.map_from_entries(F.collect_list(F.struct("team_name", "players"))).alias("teams")))
@@ -215,6 +227,14 @@ def land_lineups(lineups: DataFrame, root: str) -> str:
     return path
 
 
+def land(tables, root: str) -> None:
+    """B1 + B2: the full raw-shaped landing of one input's events, matches, lineups, competitions."""
+    land_events(tables["events"], root)
+    land_matches(tables["matches"], root)
+    land_lineups(tables["lineups"], root)
+    land_competitions(tables["competitions"], root)
+
+
 def flatten_lineups(nested: DataFrame) -> DataFrame:
     """Team -> players map to one flat frame with ``team_name`` (one row per player-match)."""
     return (nested.select("match_id", "competition", "season",

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.exprs import array_at
+from pitchline.sources.bronze import flatten_location
 
 col = F.col
 
-# Raw -> silver names (reserved or unclear raw names are renamed).
-EVENT_RENAMES = {"id": "event_id", "type": "event_type", "possession": "possession_sequence",
-                 "player": "player_name", "position": "player_position",
-                 "shot_expected_goals": "xg"}
-# Sparse booleans where NULL means false.
-SPARSE_FLAGS = ["pass_shot_assist", "counterpress"]
+# Raw -> silver names (reserved, invalid or unclear raw names are renamed).
+EVENT_RENAMES = {"id": "event_id", "index": "event_index", "timestamp": "match_time", "type": "event_type",
+                 "possession": "possession_sequence", "player": "player_name", "position": "player_position",
+                 "out": "is_out", "50_50": "fifty_fifty", "pass_recipient": "pass_recipient_name",
+                 "shot_expected_goals": "xg", "ball_recovery_recovery_failure": "ball_recovery_failure",
+                 "substitution_replacement": "substitution_replacement_name"}
+# Float ids that become bigint.
+FLOAT_IDS = ["player_id", "pass_recipient_id", "pass_assisted_shot_id", "substitution_outcome_id",
+             "substitution_replacement_id"]
+# Silver columns that stay nested.
+NESTED = ["location", "related_events", "shot_freeze_frame", "tactics"]
 
 
 def float_id_to_long(c: Column) -> Column:
@@ -27,7 +34,8 @@ def nan_text_to_null(c: Column) -> Column:
 
 
 def stg_events(bronze: DataFrame, sort_within_match: bool = True) -> DataFrame:
-    """Rename, NULL flags -> false, float ids -> bigint, arrays -> coordinates.
+    """Rename, NULL flags -> false, float ids -> bigint, end locations -> coordinates,
+    other nested columns left as they are; plus ``start_x`` and ``end_x``, which the marts use.
 
     ``sort_within_match`` sorts each partition by (match, event) instead of imposing a total
     order: written files hold per-match runs, so Parquet min/max statistics stay selective for
@@ -35,45 +43,50 @@ def stg_events(bronze: DataFrame, sort_within_match: bool = True) -> DataFrame:
     match (say a third of all rows) to a single task.
     """
     df = bronze.withColumnsRenamed(EVENT_RENAMES)
-    out = df.select(
-        "event_id", "match_id", "ts", "competition", "season", "period", "minute", "second",
-        "event_type", "possession_sequence", "team",
-        float_id_to_long(col("player_id")).alias("player_id"), "player_name", "player_position",
-        "play_pattern",
-        array_at("location", 1).alias("start_x"),
-        F.coalesce(array_at("pass_end_location", 1), array_at("carry_end_location", 1)).alias("end_x"),
-        "pass_outcome",
-        float_id_to_long(col("pass_assisted_shot_id")).alias("pass_assisted_shot_id"),
-        "xg", "shot_type", "shot_outcome",
-        *[F.coalesce(col(f), F.lit(False)).alias(f) for f in SPARSE_FLAGS],
-        "duel_type", "dribble_outcome")
+    ends = F.coalesce(array_at("pass_end_location", 1), array_at("carry_end_location", 1))
+    df = df.withColumns({"start_x": array_at("location", 1), "end_x": ends})
+    flat = flatten_location(df)  # every ``*_location`` array; ``location`` itself stays nested
+    flags = [f.name for f in flat.schema.fields if f.dataType == T.BooleanType()]
+    out = flat.withColumns({**{c: F.coalesce(col(c), F.lit(False)) for c in flags},
+                            **{c: float_id_to_long(col(c)) for c in FLOAT_IDS}})
     if sort_within_match:
-        out = out.sortWithinPartitions("match_id", "event_id")
+        out = out.sortWithinPartitions("match_id", "period", "minute", "second", "event_index")
     return out
 
 
+# Raw -> silver names of the match metadata.
+MATCH_RENAMES = {"kick_off": "kick_off_time", "stadium": "stadium_name", "referee": "referee_name",
+                 "last_updated": "last_updated_at"}
+
+
 def stg_matches(raw: DataFrame) -> DataFrame:
-    """Dates parsed, float scores -> int, 'nan' text -> NULL."""
-    return raw.select(
-        "match_id", "competition_folder_name", col("season_year").cast("int").alias("season_year"),
-        F.to_date("match_date").alias("match_date"), "home_team_name", "away_team_name",
-        col("home_score").cast("int").alias("home_score"), col("away_score").cast("int").alias("away_score"),
-        "competition_stage_name", nan_text_to_null(col("referee")).alias("referee"))
+    """Dates and update times parsed, float ids and scores -> integers, 'nan' text -> NULL."""
+    df = raw.withColumnsRenamed(MATCH_RENAMES)
+    return df.withColumns({
+        "season_year": col("season_year").cast("int"),
+        "match_date": F.to_date("match_date"),
+        "home_manager_dob": F.to_date("home_manager_dob"), "away_manager_dob": F.to_date("away_manager_dob"),
+        "last_updated_at": F.to_timestamp_ntz("last_updated_at", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        "home_score": col("home_score").cast("int"), "away_score": col("away_score").cast("int"),
+        "referee_id": float_id_to_long(col("referee_id")),
+        "referee_country_id": float_id_to_long(col("referee_country_id")),
+        **{c: nan_text_to_null(col(c)) for c in ("referee_name", "home_manager_nickname", "away_manager_nickname")}})
 
 
 def stg_competitions(matches: DataFrame) -> DataFrame:
     """Distinct competition dimension from the match metadata."""
-    return (matches.select("competition_folder_name", "season_year").distinct()
-            .withColumn("competition_name", F.upper("competition_folder_name")))
+    return matches.select("competition_id", "competition_name", "competition_folder_name",
+                          "competition_country_name", "season_id", "season_year").distinct()
 
 
 def stg_lineups(flat: DataFrame) -> DataFrame:
-    """Typed player-match rows; nested positions passed through unchanged."""
+    """Typed player-match rows; nested cards and positions passed through unchanged."""
     return flat.select(
         "match_id", col("competition").alias("competition_folder_name"),
         col("season").alias("season_year"), "team_name",
         float_id_to_long(col("player_id")).alias("player_id"), "player_name",
-        nan_text_to_null(col("player_nickname")).alias("player_nickname"), "positions")
+        nan_text_to_null(col("player_nickname")).alias("player_nickname"), "jersey_number",
+        col("country").alias("player_country"), "cards", "positions")
 
 
 def split_matches(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchline.session import shared_scratch
+from pitchline.sources import bronze as br
 from pitchline.sources import fb as fbsrc
+from pitchline.sources import silver as sv
 
 SILVER = ("events", "matches", "competitions", "lineups")
 
@@ -118,6 +120,38 @@ class SilverTables:
         return read_silver(self.spark, self.root, table)
 
 
+class StagedTables:
+    """The staging models, built once from the landed files and read by the checks and marts."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.root = spark, staged(spark, sf_dir)
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return read_silver(self.spark, self.root, table)
+
+
+def staged(spark: SparkSession, sf_dir: str) -> str:
+    """Write the four staging models of an input's landed files, and the match rows that did not
+    pass under ``quarantine``, if they are not there yet; return their folder."""
+    bronze = landed_bronze(spark, sf_dir)
+    path = f"{materialise(spark, sf_dir)}/staging"
+    if _exists(spark, f"{path}/_STAGED"):
+        return path
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    (sv.stg_events(br.read_bronze_events(spark, bronze), sort_within_match=False)
+     .sortWithinPartitions("competition", "season", "match_id", "period", "minute", "second", "event_index")
+     .write.partitionBy("competition", "season").parquet(f"{tmp}/events"))
+    good, bad = sv.split_matches(spark.read.parquet(f"{bronze}/matches"))
+    good.write.parquet(f"{tmp}/matches")
+    bad.write.parquet(f"{tmp}/quarantine")
+    sv.stg_competitions(spark.read.parquet(f"{tmp}/matches")).write.parquet(f"{tmp}/competitions")
+    sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{bronze}/lineups"))).write.parquet(f"{tmp}/lineups")
+    done, fs = _fs(spark, f"{tmp}/_STAGED")
+    fs.create(done).close()
+    _publish(spark, tmp, path)
+    return path
+
+
 def silver_tables(spark: SparkSession, sf_dir: str) -> SilverTables:
     return SilverTables(spark, sf_dir)
 
@@ -136,14 +170,14 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return read_silver(spark, root, f"gold/{name}")
 
 
-def landed_bronze(spark: SparkSession, sf_dir: str, land) -> str:
-    """The raw-shaped bronze landing of this input, written once (``land(folder)`` writes all
-    datasets) and published atomically by renaming the finished folder; returns its path."""
+def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """The raw-shaped bronze landing of this input, written once and published by renaming the
+    finished folder; returns its path."""
     root = materialise(spark, sf_dir)
     path = f"{root}/bronze"
     if not _exists(spark, f"{path}/_LANDED"):
         tmp = f"{root}/.tmp-bronze-{uuid.uuid4().hex}"
-        land(tmp)
+        br.land(SilverTables(spark, sf_dir), tmp)
         done, fs = _fs(spark, f"{tmp}/_LANDED")
         fs.create(done).close()
         _publish(spark, tmp, path)

@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF0001
-from pitchline.plans.catalog import Tables
 from pitchline.session import shared_scratch
 from pitchline.sources import bronze as br
 from pitchline.sources import silver as sv
+from pitchline.sources.warehouse import materialise, read_silver
+
+
+class Fb:
+    """The football view's tables, before landing."""
+
+    def __init__(self, spark, sf_dir):
+        root = materialise(spark, sf_dir)
+        self.ev, self.matches, self.lineups = (read_silver(spark, root, n) for n in ("events", "matches", "lineups"))
 
 
 def test_sparse_types_union(spark):
@@ -32,7 +40,7 @@ def test_nan_values_become_null(spark):
 
 
 def test_incremental_landing_is_idempotent(spark):
-    t = Tables(spark, SF0001)
+    t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     # partial_match: events landed for everything, lineups and metadata only for 2022
     br.land_events(t.ev, root)
@@ -48,11 +56,12 @@ def test_incremental_landing_is_idempotent(spark):
 
 
 def test_silver_events_round_trip(spark):
-    t = Tables(spark, SF0001)
+    t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     br.land_events(t.ev, root)
     silver = sv.stg_events(br.read_bronze_events(spark, root))
-    cols = [c for c in silver.columns if c != "ts"]
+    cols = [c for c in t.ev.columns if c not in ("home_team", "away_team")]
+    assert len(silver.columns) == 104 + 3
     a = sorted(tuple(r) for r in silver.select(*cols).collect())
     b = sorted(tuple(r) for r in t.ev.select(*cols).collect())
     assert a == b
@@ -60,7 +69,7 @@ def test_silver_events_round_trip(spark):
 
 def test_streaming_landing_is_exactly_once_with_overlapping_drops(spark):
     from pitchline.streaming import landing
-    t = Tables(spark, SF0001)
+    t = Fb(spark, SF0001)
     base = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     ev = t.ev.drop("ts")
     # both drops in ONE batch, overlapping on the 2022 matches, each split over several files
@@ -75,7 +84,7 @@ def test_streaming_landing_is_exactly_once_with_overlapping_drops(spark):
 
 
 def test_unlisted_kinds_and_null_kinds_are_landed(spark):
-    t = Tables(spark, SF0001)
+    t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     kind = F.when(F.col("event_type") == "Duel", "Half Start").when(F.col("event_type") != "Dribble", F.col("event_type"))
     ev = t.ev.withColumn("event_type", kind)
@@ -104,8 +113,7 @@ def test_written_event_files_are_sorted_by_match(spark):
 
     import pyarrow.parquet as pq
 
-    from pitchline.sources.warehouse import materialise
-    t = Tables(spark, SF0001)
+    t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     br.land_events(t.ev, root)
     files = glob.glob(f"{root.removeprefix('file:')}/events/**/*.parquet", recursive=True)
@@ -167,13 +175,18 @@ def test_no_local_folder_on_a_cluster():
 
 def test_bad_match_dates_are_quarantined_not_fatal(spark):
     raw = spark.createDataFrame(
-        [(1, "c", 2024, "2024-06-14", "H", "A", 1.0, 0.0, "Final", "nan"),
-         (2, "c", 2024, "14/06/2024", "H", "B", 0.0, 0.0, "Final", "Ref"),
-         (3, "c", 2024, "2024-06-15", None, "B", 0.0, 2.0, "Final", "Ref")],
+        [(1, "c", 2024, "2024-06-14", "H", "A", 1.0, 0.0, "Final", "nan", float("nan"), "1950-01-02"),
+         (2, "c", 2024, "14/06/2024", "H", "B", 0.0, 0.0, "Final", "Ref", 4.0, None),
+         (3, "c", 2024, "2024-06-15", None, "B", 0.0, 2.0, "Final", "Ref", 4.0, None)],
         "match_id long, competition_folder_name string, season_year int, match_date string, "
         "home_team_name string, away_team_name string, home_score double, away_score double, "
-        "competition_stage_name string, referee string")
+        "competition_stage_name string, referee string, referee_id double, home_manager_dob string")
+    raw = raw.withColumns({"away_manager_dob": F.lit(None).cast("string"), "last_updated": F.lit("2024-01-01T10:00:00.250000"),
+                           "referee_country_id": F.lit(3.0), "home_manager_nickname": F.lit("nan"),
+                           "away_manager_nickname": F.lit("Nick")})
     good, bad = sv.split_matches(raw)
     g = good.collect()
-    assert [(r.match_id, str(r.match_date), r.home_score, r.referee) for r in g] == [(1, "2024-06-14", 1, None)]
+    assert [(r.match_id, str(r.match_date), r.home_score, r.referee_name, r.referee_id, str(r.home_manager_dob),
+             r.home_manager_nickname, r.away_manager_nickname, str(r.last_updated_at)) for r in g] == [
+        (1, "2024-06-14", 1, None, None, "1950-01-02", None, "Nick", "2024-01-01 10:00:00.250000")]
     assert sorted((r.match_id, r.reject_reason) for r in bad.collect()) == [(2, "bad_match_date"), (3, "missing_team")]
