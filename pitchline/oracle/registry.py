@@ -3,12 +3,23 @@
 from pitchline.oracle import bronze_sql as b
 from pitchline.oracle import gamestate_sql as g
 from pitchline.oracle import players_sql as p
+from pitchline.oracle import products_sql as d
 from pitchline.oracle import serving_sql as s
 from pitchline.oracle import team_sql as t
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "state_by_team": d.STATE_BY_TEAM,
+        "class_distribution": d.CLASS_DISTRIBUTION,
+        "finalists": d.FINALISTS,
+        "tournament_matrix": d.TOURNAMENT_MATRIX,
+        "findings_recap": d.FINDINGS_RECAP,
+        "players_by_position": d.PLAYERS_BY_POSITION,
+        "players_sliced": d.PLAYERS_SLICED,
+        "catalog_sample": d.CATALOG_SAMPLE,
+        "ml_export": d.ML_EXPORT,
+        "check_symmetry_violation": d.CHECK_SYMMETRY_VIOLATION,
         "mart_attack_quality": t.MART_ATTACK_QUALITY,
         "mart_set_piece": t.MART_SET_PIECE,
         "mart_ball_progression": t.MART_BALL_PROGRESSION,

@@ -206,14 +206,14 @@ ML_FEATURES = q("select * from ml_dataset", *FEAT, extra=(OUTCOMES_CTE, FEATURES
 ML_BASELINE = q("""
 select cast(sum(n) as bigint) as n_samples, cast(max(n) as bigint) as majority_count,
   max(n) / sum(n) as baseline_accuracy
-from (select outcome_class, count(*) as n from ml_dataset group by outcome_class)""",
+from (select outcome_class, count(*) as n from ml_dataset where outcome_class is not null group by outcome_class)""",
                 *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
 
 STRATIFIED_FOLDS = q("""
 select team_comp_key, outcome_class,
   cast((row_number() over (partition by outcome_class order by md5(team_comp_key || ':42'), team_comp_key) - 1) % 5
        as integer) as fold
-from ml_dataset""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
+from ml_dataset where outcome_class is not null""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
 
 DASHBOARD_LISTS = q("\nunion all\n".join([
     _board("overview_set_piece_share", "m4", "", "sp_xg_share_of_total",

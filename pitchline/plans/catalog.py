@@ -125,7 +125,7 @@ class Tables:
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the query modules registers their queries
     from pitchline.plans import (  # noqa: F401
-        queries_bronze, queries_gamestate, queries_players, queries_serving, queries_streaming,
-        queries_team,
+        queries_bronze, queries_gamestate, queries_players, queries_products, queries_serving,
+        queries_streaming, queries_team,
     )
     return dict(QUERIES)

@@ -21,9 +21,14 @@ SEED = 42
 N_FOLDS = 5
 
 
+def labelled(features: DataFrame) -> DataFrame:
+    """The rows every model, fold and baseline is about: those with a known class."""
+    return features.where(col("outcome_class").isNotNull())
+
+
 def majority_baseline(features: DataFrame) -> DataFrame:
     """Accuracy of always predicting the most frequent class."""
-    counts = features.groupBy("outcome_class").agg(F.count(F.lit(1)).alias("n"))
+    counts = labelled(features).groupBy("outcome_class").agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.sum("n").cast("long").alias("n_samples"),
                       F.max("n").cast("long").alias("majority_count"),
                       (F.max("n") / F.sum("n")).alias("baseline_accuracy"))
@@ -35,7 +40,7 @@ def stratified_folds(features: DataFrame, k: int = N_FOLDS, seed: int = SEED) ->
     The window is per class over team-grain rows (a few per team and tournament)."""
     shuffle_key = F.md5(F.concat(col("team_comp_key"), F.lit(f":{seed}")))
     w = Window.partitionBy("outcome_class").orderBy(shuffle_key, col("team_comp_key"))
-    return features.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    return labelled(features).withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
 
 
 def _prepared(features: DataFrame) -> DataFrame:
@@ -43,7 +48,7 @@ def _prepared(features: DataFrame) -> DataFrame:
     ``spark.checkpoint.dir``): iterative fitting then reads this small table instead of
     re-deriving every mart from the events on each optimiser step, and an executor loss does
     not replay that lineage. NULL features (a team absent from one mart) are set to 0.0."""
-    return (features.where(col("outcome_class").isNotNull()).na.fill(0.0, subset=FEATURES)
+    return (labelled(features).na.fill(0.0, subset=FEATURES)
             .checkpoint(eager=True))
 
 

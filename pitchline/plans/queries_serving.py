@@ -77,6 +77,9 @@ def _features(t: Tables) -> DataFrame:
     return outcomes.ml_features(outcomes.team_outcomes(t.matches), t.m1(), t.m2(), t.m3(), t.m4())
 
 
+features_of = _features
+
+
 @query("check_feature_nulls")
 def q_check_feature_nulls(spark, sf):
     return dq.null_counts(_features(Tables(spark, sf)), {
