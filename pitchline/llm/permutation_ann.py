@@ -23,19 +23,31 @@ from pitchline.llm.projection_neardup import usable
 
 #: PIVOTS * WINDOW must stay below 2**15.
 PIVOTS = 128
-WINDOW = 48
+WINDOW = 64
+#: Distinct vectors among which the pivots are chosen.
+SAMPLE = 2048
 #: Share of a block's vectors that is reranked, and the least number.
-SHARE, LEAST = 0.1, 600
+SHARE, LEAST = 0.12, 600
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 
 
-def pivots(vectors: DataFrame, count: int) -> np.ndarray:
-    """Up to ``count`` distinct unit vectors, chosen by a hash of their components: a bounded
-    sample of the table."""
-    rows = vectors.select("embedding").distinct().orderBy(F.xxhash64("embedding"), "embedding").limit(count).collect()
+def pivots(vectors: DataFrame, count: int, sample: int = SAMPLE) -> np.ndarray:
+    """Up to ``count`` unit vectors that lie far apart: out of a bounded sample, chosen by a hash of
+    the components, always the one whose angle to the lines of those taken is largest. A group of
+    near copies, however large, gives one pivot and not its share of them."""
+    rows = vectors.select("embedding").distinct().orderBy(F.xxhash64("embedding"), "embedding").limit(sample).collect()
     x = np.array([r.embedding for r in rows], np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x
+    if not len(x):
+        return x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    taken = [0]
+    near = np.abs(x @ x[0])
+    while len(taken) < min(count, len(x)):
+        near[taken[-1]] = np.inf
+        taken.append(int(np.argmin(near)))
+        near = np.maximum(near, np.abs(x @ x[taken[-1]]))
+    return x[taken]
 
 
 def positions(x: np.ndarray, pivot: np.ndarray) -> np.ndarray:
