@@ -112,7 +112,7 @@ def score_segments(timeline: DataFrame, frame: DataFrame) -> DataFrame:
         "home_score", "away_score")
 
 
-def _state(for_score: Column, against_score: Column) -> Column:
+def game_state(for_score: Column, against_score: Column) -> Column:
     return (F.when(for_score > against_score, F.lit("Winning"))
             .when(for_score < against_score, F.lit("Losing")).otherwise(F.lit("Drawing")))
 
@@ -123,9 +123,9 @@ def mirror_segments(segments: DataFrame) -> DataFrame:
     ``explode(array(home, away))`` reads the segments once instead of a UNION ALL of two scans.
     """
     home = F.struct(col("home_team").alias("team"),
-                    _state(col("home_score"), col("away_score")).alias("game_state"))
+                    game_state(col("home_score"), col("away_score")).alias("game_state"))
     away = F.struct(col("away_team").alias("team"),
-                    _state(col("away_score"), col("home_score")).alias("game_state"))
+                    game_state(col("away_score"), col("home_score")).alias("game_state"))
     return (segments.select("match_id", "seg_start", "seg_end",
                             ((col("seg_end") - col("seg_start")) / F.lit(60.0)).alias("duration_minutes"),
                             F.explode(F.array(home, away)).alias("p"))
@@ -162,8 +162,8 @@ def attribute_seconds(sec_rows: DataFrame, timeline: DataFrame, frame: DataFrame
     j = scored.join(frame, "match_id", "inner")
     j = j.where((col("abs_seconds") < col("match_end_seconds"))
                 & ((col("team") == col("home_team")) | (col("team") == col("away_team"))))
-    state = F.when(col("team") == col("home_team"), _state(col("hs"), col("as_"))) \
-        .otherwise(_state(col("as_"), col("hs")))
+    state = F.when(col("team") == col("home_team"), game_state(col("hs"), col("as_"))) \
+        .otherwise(game_state(col("as_"), col("hs")))
     return j.withColumn("game_state", state).drop("hs", "as_", "match_end_seconds",
                                                   "home_team", "away_team")
 

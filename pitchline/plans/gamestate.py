@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.exprs import (
     FINAL_THIRD_X, count_when, ratio, round_half_away as rnd, team_key,
@@ -51,24 +52,51 @@ def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
                    min_minutes: float = MIN_STATE_MINUTES, goal=None) -> DataFrame:
     """M6, grain (team, match, game_state): minutes in each state and the team's event rates
     while in it. States with under ``min_minutes`` (unrounded) are dropped; competition labels
-    come from the events, so a state without events keeps NULL labels."""
-    _, sec, frame, timeline, per_team = timeline_parts(ev, matches, convention, state_metrics(), goal)
-    secs = tl.attribute_seconds(sec, timeline, frame, attribute)
-    # durations and event metrics share the key (match, team, state): one union + ONE aggregation
-    # instead of two aggregations and a join. Duration rows carry seconds, event rows carry
-    # metrics and the event-side competition labels (NULL for a state without events, as the
-    # original's left join gives).
-    metric_cols = ["xg_generated", "pressures", "passes_attempted", "passes_completed", "sum_x", "n_x",
-                   "final_third_entries"]
-    dur_rows = per_team.select("match_id", "team", "game_state",
-                               (col("seg_end") - col("seg_start")).alias("_seconds"))
-    ev_rows = secs.select("match_id", "team", "game_state", "competition", "season", *metric_cols)
-    both = (dur_rows.unionByName(ev_rows, allowMissingColumns=True)
+    come from the events, so a state without events keeps NULL labels.
+
+    The events are read once. Reduced to one row per (match, team, second), which the clock bounds,
+    every row gets its match's goals (a few structs) and last second by a window over the match. The
+    row's own state follows from the goals so far; the first row of a match gives out its segments."""
+    goals_here = count_when(tl.goal_pred() if goal is None else goal)
+    sec = tl.per_second(tl.events_clock(ev, convention), {**state_metrics(), "_goals": goals_here})
+    match = Window.partitionBy("match_id")
+    scorer = F.struct(col("abs_seconds").alias("at"), "team", col("_goals").alias("n"))
+    sec = (sec.join(tl.home_away(matches), "match_id")
+           .withColumn("_scored", F.collect_list(F.when(col("_goals") > 0, scorer)).over(match))
+           .withColumn("_end", F.max("abs_seconds").over(match))
+           .withColumn("_first", F.row_number().over(match.orderBy("abs_seconds", "team", "competition", "season")) == 1))
+
+    def tally(team, upto):
+        return F.aggregate(F.filter("_scored", lambda g: (g["at"] <= upto) & (g["team"] == team)),
+                           F.lit(0).cast("long"), lambda total, g: total + g["n"])
+
+    def state(team, upto):
+        other = F.when(team == col("home_team"), col("away_team")).otherwise(col("home_team"))
+        return tl.game_state(tally(team, upto), tally(other, upto))
+
+    metric_cols = list(state_metrics())
+    labels = ["competition", "season"]
+    nothing = [F.lit(None).cast(sec.schema[c].dataType).alias(c) for c in (*labels, *metric_cols)]
+    seen = col("abs_seconds") if attribute == "after" else col("abs_seconds") - 1
+    event = F.struct("team", state(col("team"), seen).alias("game_state"),
+                     F.lit(None).cast("long").alias("seconds"), *labels, *metric_cols)
+    inside = (col("abs_seconds") < col("_end")) & col("team").isin(col("home_team"), col("away_team"))
+    starts = F.array_sort(F.array_distinct(F.transform("_scored", lambda g: g["at"])))
+    # a 0-0 segment from second 0, then one from each scoring second, each up to the next or the end
+    spans = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(-1).cast("long").alias("upto"))),
+                     F.transform(starts, lambda x: F.struct(x.alias("low"), x.alias("upto"))))
+    ends = F.concat(starts, F.array(col("_end")))
+    segment = lambda team: F.transform(spans, lambda x, i: F.struct(
+        team.alias("team"), state(team, x["upto"]).alias("game_state"), (F.get(ends, i) - x["low"]).alias("seconds"), *nothing))
+    none = F.array().cast(T.ArrayType(sec.select(event.alias("r")).schema["r"].dataType))
+    rows = F.concat(F.when(inside, F.array(event)).otherwise(none),
+                    F.when(col("_first"), F.concat(segment(col("home_team")), segment(col("away_team")))).otherwise(none))
+    both = (sec.select("match_id", F.explode(rows).alias("r")).select("match_id", "r.*")
             .groupBy("match_id", "team", "game_state")
-            .agg((F.sum("_seconds") / F.lit(60.0)).alias("minutes_in_state"),
+            .agg((F.sum("seconds").cast("double") / F.lit(60.0)).alias("minutes_in_state"),
                  F.max("competition").alias("competition"), F.max("season").alias("season"),
                  *[F.sum(c).alias(c) for c in metric_cols])
-            # NULL minutes (no duration rows) fail the gate like the original's left join from durations
+            # NULL minutes (no segment) fail the gate like the original's left join from durations
             .where(col("minutes_in_state") >= min_minutes))
     j = both.join(comps, (col("competition") == col("competition_folder_name"))
                   & (col("season") == col("season_year")), "left")
