@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -12,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.session import shared_scratch
+from pitchline.session import temporary_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +22,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back: cuts lineage and
     survives the loss of executors."""
     spark = df.sparkSession
-    path = shared_scratch(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    path = temporary_folder(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -17,6 +17,8 @@ is a row for almost every token of the corpus:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -28,9 +30,9 @@ from pitchline.llm.common import text_bytes
 ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text a block holds, which bounds a task's memory.
-BLOCK_BYTES = 16 << 20
-#: Most parts of the hash range.
-BUCKETS = 1024
+BLOCK_BYTES = 10 << 20
+#: Most parts of the hash range; each holds about as many keys as a block while there are fewer.
+BUCKETS = 8192
 
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -65,14 +67,15 @@ class Grams:
         ids, sizes = [], []
         for text in texts:
             ws = text.split()  # at ASCII white space, as bytes
-            ids.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)))
+            ids.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
             sizes.append(len(ws))
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), _U, len(number))
         del number
-        word = hashes[np.concatenate([np.zeros(0, np.int64), *ids])]
+        word = hashes[np.concatenate([np.zeros(0, np.int32), *ids])]
+        del ids
         self.sizes = np.array(sizes, np.int64)
-        self.text = np.repeat(np.arange(len(texts)), self.sizes)
-        self.at = np.arange(len(word)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
+        self.at = (np.arange(len(word)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)).astype(np.int32)
         self.keys: list[np.ndarray] = []  # distinct keys of each order
         self.counts: list[np.ndarray] = []
         self.index: list[np.ndarray] = []  # of each position's n-gram among them, -1 if it has none
@@ -93,19 +96,19 @@ class Grams:
         new_own = new_key.copy()
         new_own[1:] |= t[1:] != t[:-1]
         starts = np.flatnonzero(new_key)
-        index, own = np.full(len(gram), -1), np.zeros(len(gram), np.int64)
-        index[where[order]] = np.cumsum(new_key) - 1
+        index, own = np.full(len(gram), -1, np.int32), np.zeros(len(gram), np.int32)
+        index[where[order]] = np.cumsum(new_key, dtype=np.int32) - 1
         runs = np.diff(np.append(np.flatnonzero(new_own), len(g)))
         own[where[order]] = np.repeat(runs, runs)
         self.keys.append(g[starts])
-        self.counts.append(np.diff(np.append(starts, len(g))))
+        self.counts.append(np.diff(np.append(starts, len(g))).astype(np.int32))
         self.index.append(index)
         self.own.append(own)
 
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(keys, counts, order to restore) of all orders and the empty n-gram, keys ascending."""
         keys = np.concatenate([np.array([_EMPTY]), *self.keys])
-        counts = np.concatenate([np.array([len(self.text)]), *self.counts])
+        counts = np.concatenate([np.array([len(self.text)], np.int32), *self.counts])
         order = np.argsort(keys, kind="stable")
         return keys[order], counts[order], order
 
@@ -147,9 +150,18 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_b
     width = -(-(1 << 64) // buckets)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)), F.lit(blocks)).cast("int"))
 
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            offsets, raw = text_bytes(batch.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("doc_id"),
+                 pa.array([press.compress(raw[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.binary())],
+                ["block", "doc_id", "text"])
+
     def grams(table: pa.Table) -> Grams:
-        offsets, raw = text_bytes(table["text"])
-        return Grams([raw[s:e].tobytes() for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], order)
+        press = zstandard.ZstdDecompressor()
+        return Grams([press.decompress(t) for t in table["text"].to_pylist()], order)
 
     def edges(keys: np.ndarray) -> np.ndarray:
         return np.searchsorted(keys, np.array([b * width for b in range(buckets)], _U)).tolist() + [len(keys)]
@@ -188,7 +200,7 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_b
         log = block.scores(back, backoff)
         return pa.table({"doc_id": table["doc_id"].combine_chunks(), "n_tokens": pa.array(block.sizes), "log_score": pa.array(log)})
 
-    by_block = dealt.groupBy("block")
+    by_block = dealt.select("block", "doc_id", "text").mapInArrow(shrink, "block int, doc_id long, text binary").groupBy("block")
     counted = by_block.applyInArrow(explode, "bucket int, block int, keys binary, counts binary").groupBy("bucket").applyInArrow(
         total, "block int, bucket int, totals binary")
     rated = by_block.cogroup(counted.groupBy("block")).applyInArrow(rate, "doc_id long, n_tokens long, log_score double")
