@@ -37,6 +37,28 @@ select event_id as id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, match_id, per
   {", ".join(f'{_wide(n)} as "{n}"' for n in RULES)}
 from fb""")
 
+# Types of the raw columns that come from the football view, and those of one kind only.
+BASE_TYPES = {"id": "bigint", "ts": "timestamp_ntz", "match_id": "bigint", "period": "int", "minute": "bigint", "second": "bigint",
+              "possession": "bigint", "team": "string", "player_id": "double", "player": "string", "position": "string",
+              "play_pattern": "string", "location": "array<double>", "pass_end_location": "array<double>", "pass_outcome": "string",
+              "pass_assisted_shot_id": "double", "pass_shot_assist": "boolean", "carry_end_location": "array<double>",
+              "shot_expected_goals": "double", "shot_type": "string", "shot_outcome": "string", "counterpress": "boolean",
+              "duel_type": "string", "dribble_outcome": "string"}
+ONE_KIND = ("pass_", "carry_", "shot_", "counterpress", "duel_", "dribble_")
+
+
+def _profile(name: str, kind: str, groups: int) -> str:
+    c = f'"{name}"'
+    text = f"min({c})" if kind == "string" else "null::varchar"
+    return (f"select '{name}' as column_name, '{kind}' as data_type, count({c}) as non_null, "
+            f"round(1 - count({c}) / count(*), 6) as null_share, {text} as sample_value, "
+            f"{groups}::bigint as file_groups_with_column from landed")
+
+
+BRONZE_PROFILE = (f"with landed as materialized ({SCAN_SPARSE_UNION}) " + " union all ".join(
+    [_profile(n, t, 1 if n.startswith(ONE_KIND) else 8) for n, t in BASE_TYPES.items()]
+    + [_profile(n, t, 8 if k is None else 1) for n, (k, t, _) in RULES.items()]))
+
 SCAN_HIVE_PARTITIONS = with_fb("""
 select event_type as type, competition, season, count(*) as n_events, count(distinct match_id) as n_matches
 from fb group by all""")

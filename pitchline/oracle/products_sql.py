@@ -53,3 +53,19 @@ CHECK_SYMMETRY_VIOLATION = q("""
 select match_id from m6 where match_id % 3 = 0 group by match_id
 having abs(coalesce(sum(minutes_in_state + 5) filter (game_state = 'Winning'), 0)
            - coalesce(sum(minutes_in_state) filter (game_state = 'Losing'), 0)) > 1""", "m6")
+
+# The model's features.
+_FEATURES = """shots_per_match xg_per_match xg_per_shot open_play_xg_share set_piece_xg_share progressive_passes_per_match
+progressive_carries_per_match final_third_entries_per_match progressive_pass_completion_rate final_third_to_shot_rate
+pressures_per_match high_press_share counterpress_share ppda high_press_regain_rate sp_xg_per_match sp_conversion_rate""".split()
+
+SCALED_FEATURES = q(f"""
+select team_comp_key, {", ".join(f"round(coalesce(({c} - avg({c}) over ()) / nullif(stddev_samp({c}) over (), 0), 0.0), 5) as {c}" for c in _FEATURES)}
+from (select team_comp_key, {", ".join(f"coalesce({c}, 0.0) as {c}" for c in _FEATURES)} from ml_dataset
+      where outcome_class is not null)""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
+
+FOLD_SIZES = q("""
+select cast(fold as integer) as fold, outcome_class, count(*) as teams
+from (select outcome_class, (row_number() over (partition by outcome_class order by md5(concat(team_comp_key, ':42')), team_comp_key) - 1) % 5 as fold
+      from ml_dataset where outcome_class is not null)
+group by all""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))

@@ -10,6 +10,8 @@ from pitchline.oracle import team_sql as t
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "scaled_features": d.SCALED_FEATURES,
+        "fold_sizes": d.FOLD_SIZES,
         "state_by_team": d.STATE_BY_TEAM,
         "class_distribution": d.CLASS_DISTRIBUTION,
         "finalists": d.FINALISTS,
@@ -48,6 +50,7 @@ def oracle_sql() -> dict[str, str]:
         "player_counts": p.PLAYER_COUNTS,
         "xa_self_join": p.XA_SELF_JOIN,
         "mart_player_impact": p.MART_PLAYER_IMPACT,
+        "bronze_profile": b.BRONZE_PROFILE,
         "scan_sparse_union": b.SCAN_SPARSE_UNION,
         "scan_hive_partitions": b.SCAN_HIVE_PARTITIONS,
         "table_inventory": b.TABLE_INVENTORY,

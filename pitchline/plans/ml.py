@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +67,15 @@ def _stages(model: str, n_rows: int):
                                              seed=SEED)]
 
 
+def scaled_features(features: DataFrame) -> DataFrame:
+    """What the logistic regression sees, one column a feature: mean 0, sample deviation 1."""
+    data = _prepared(features)
+    idx, asm, scaler, _ = _stages("logistic_regression", 1)
+    out = Pipeline(stages=[asm, scaler]).fit(data).transform(data)
+    values = vector_to_array("features")
+    return out.select("team_comp_key", *[F.get(values, i).alias(c) for i, c in enumerate(FEATURES)])
+
+
 def cross_validate(features: DataFrame, k: int = N_FOLDS) -> DataFrame:
     """Per model: mean and std of accuracy over the stratified folds (``CrossValidator`` with a
     fold column, so the folds are exactly ``stratified_folds``)."""

@@ -7,16 +7,15 @@ need their own landing history (incremental re-runs, sink round trips) land into
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchline.functions.exprs import round_half_away as rnd
 from pitchline.operators import quality as dq
 from pitchline.plans import team_marts as tm
 from pitchline.plans.catalog import Tables, query
-from pitchline.session import shared_scratch
+from pitchline.session import temporary_folder
 from pitchline.sources import bronze as br
 from pitchline.sources import fb as fbsrc
 from pitchline.sources import silver as sv
@@ -25,7 +24,7 @@ from pitchline.sources.warehouse import landed_bronze, silver_tables
 col = F.col
 
 def _root(spark) -> str:
-    return shared_scratch(spark, f"bronze/{uuid.uuid4().hex}")
+    return temporary_folder(spark, "bronze")
 
 
 def land_all(spark, sf) -> tuple[str, Tables]:
@@ -76,7 +75,7 @@ def q_scan_hive_partitions(spark, sf):
 
 @query("bronze_profile")
 def q_bronze_profile(spark, sf):
-    """Per bronze column -- type, non-NULL count, NULL share, smallest value as a sample and
+    """Per bronze column -- type, non-NULL count, NULL share, smallest text as a sample and
     the number of file groups whose footer holds the column (one aggregation pass)."""
     root, _ = land_all(spark, sf)
     b = br.read_bronze_events(spark, root)
@@ -85,12 +84,12 @@ def q_bronze_profile(spark, sf):
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):
         aggs += [F.count(col(f"`{f.name}`")).alias(f"c{i}"),
-                 F.min(col(f"`{f.name}`").cast("string")).alias(f"s{i}")]
+                 (F.min(col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.lit(None).cast("string")).alias(f"s{i}")]
     row = b.agg(*aggs)
     entries = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                        col(f"c{i}").alias("non_null"), (1 - col(f"c{i}") / col("_n")).alias("null_share"),
+                        col(f"c{i}").alias("non_null"), rnd(1 - col(f"c{i}") / col("_n"), 6).alias("null_share"),
                         col(f"s{i}").alias("sample_value"),
-                        F.lit(sum(f.name in g for g in groups)).alias("file_groups_with_column"))
+                        F.lit(sum(f.name in g for g in groups)).cast("long").alias("file_groups_with_column"))
                for i, f in enumerate(fields)]
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -10,10 +9,10 @@ from pyspark.sql import functions as F
 
 from pitchline.functions.exprs import exact_mean, ratio
 from pitchline.functions.exprs import round_half_away as rnd
-from pitchline.plans import outcomes
+from pitchline.plans import ml, outcomes
 from pitchline.plans.catalog import Tables, query
 from pitchline.plans.queries_serving import features_of
-from pitchline.session import shared_scratch
+from pitchline.session import temporary_folder
 from pitchline.sources import fb as fbsrc
 
 col = F.col
@@ -113,11 +112,24 @@ def q_catalog_sample(spark, sf):
 @query("ml_export")
 def q_ml_export(spark, sf):
     """The feature table written as Parquet and read back the way a model reads it."""
-    path = shared_scratch(spark, f"exports/{uuid.uuid4().hex}/ml_dataset")
+    path = f"{temporary_folder(spark, "exports")}/ml_dataset"
     features_of(Tables(spark, sf)).write.parquet(path)
     return spark.read.parquet(path)
 
 
+@query("scaled_features")
+def q_scaled_features(spark, sf):
+    scaled = ml.scaled_features(features_of(Tables(spark, sf)))
+    return scaled.select("team_comp_key", *[rnd(c, 5).alias(c) for c in scaled.columns[1:]])
+
+
+@query("fold_sizes")
+def q_fold_sizes(spark, sf):
+    """The folds the models are validated on: rows of each class in each."""
+    folds = ml.stratified_folds(features_of(Tables(spark, sf)))
+    return folds.groupBy("fold", "outcome_class").agg(F.count(F.lit(1)).alias("teams"))
+
+
 @query("check_symmetry_violation")
 def q_check_symmetry_violation(spark, sf):
     """The symmetry check on a mart that is wrong by a known amount: five minutes are added to every

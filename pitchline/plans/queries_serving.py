@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,7 +11,7 @@ from pitchline.operators import quality as dq
 from pitchline.operators import timeline as tl
 from pitchline.plans import ml, outcomes, serving
 from pitchline.plans.catalog import Tables, query
-from pitchline.session import shared_scratch
+from pitchline.session import temporary_folder
 
 col = F.col
 
@@ -158,7 +157,7 @@ def q_export_manifest(spark, sf):
     """Write the six marts and the team dimension as Parquet under the shared scratch folder,
     then count each export from the written files."""
     t = Tables(spark, sf)
-    root = shared_scratch(spark, f"exports/{uuid.uuid4().hex}")
+    root = temporary_folder(spark, "exports")
     marts = t.marts()
     outputs = {EXPORT_NAMES[k]: df for k, df in marts.items()}
     # the dimension is read back from the exported attack mart instead of recomputing it
@@ -204,7 +203,7 @@ def q_ml_importance(spark, sf):
     """Random-forest importances; also written as CSV with a header (the original's export)."""
     imp = ml.feature_importance(_features(Tables(spark, sf)))
     imp.coalesce(1).write.mode("overwrite").option("header", True).csv(
-        shared_scratch(spark, f"exports/{uuid.uuid4().hex}/feature_importance.csv"))
+        f"{temporary_folder(spark, "exports")}/feature_importance.csv")
     return imp
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from pitchline.plans.catalog import query
-from pitchline.session import shared_scratch
+from pitchline.session import temporary_folder
 from pitchline.sources.warehouse import silver_tables
 from pitchline.streaming import landing
 
@@ -18,7 +16,7 @@ col = F.col
 def q_stream_incremental_landing(spark, sf):
     """Two drops of raw event files -- first the 2022 matches, then ALL matches again -- are
     landed by two scheduled streaming runs; every event must be landed exactly once."""
-    base = shared_scratch(spark, f"stream/{uuid.uuid4().hex}")
+    base = temporary_folder(spark, "stream")
     incoming, root, ckpt = f"{base}/incoming", f"{base}/landed", f"{base}/checkpoint"
     ev = silver_tables(spark, sf)["events"].drop("ts")
     # matches are spread over the files of a drop and the files over several batches

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +78,26 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+_TEMPORARY: list[tuple[SparkSession, str]] = []
+
+
+def temporary_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared location for tables that only this application reads; it is
+    removed when the application's driver ends."""
+    path = shared_scratch(spark, f"{name}/{uuid.uuid4().hex}")
+    if not _TEMPORARY:
+        atexit.register(_remove_temporary)
+    _TEMPORARY.append((spark, path))
+    return path
+
+
+def _remove_temporary() -> None:
+    for spark, path in _TEMPORARY:
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session is gone: nothing left to ask
+            return
+    _TEMPORARY.clear()
