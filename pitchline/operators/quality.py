@@ -64,13 +64,18 @@ def null_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.agg(*[F.count_if(col(c).isNull()).cast("long").alias(a) for a, c in columns.items()])
 
 
-def bad_record_split(df: DataFrame, rules: dict[str, object]) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (good, quarantine). ``rules`` maps a reason to a Column that is TRUE when
-    the row is bad. Quarantined rows carry ``reject_reason`` (the first failing rule) -- the
-    per-record isolation of the original loader, as two DataFrames from one pass of rules."""
+def tag_bad_records(df: DataFrame, rules: dict[str, object]) -> DataFrame:
+    """Rows with ``reject_reason``, the first rule that is TRUE for the row, NULL for good rows."""
     reason = None
     for r, bad in rules.items():
         reason = F.when(bad, F.lit(r)) if reason is None else reason.when(bad, F.lit(r))
-    tagged = df.withColumn("reject_reason", reason)
+    return df.withColumn("reject_reason", reason)
+
+
+def bad_record_split(df: DataFrame, rules: dict[str, object]) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (good, quarantine). ``rules`` maps a reason to a Column that is TRUE when
+    the row is bad. Quarantined rows carry ``reject_reason`` (the first failing rule) -- the
+    per-record isolation of the original loader, for two sinks."""
+    tagged = tag_bad_records(df, rules)
     return (tagged.where(col("reject_reason").isNull()).drop("reject_reason"),
             tagged.where(col("reject_reason").isNotNull()))

@@ -149,16 +149,15 @@ def q_incremental_anti(spark, sf):
 
 @query("quarantine_split")
 def q_quarantine_split(spark, sf):
-    """Bronze events split into accepted rows and quarantined rows with a reason."""
+    """Bronze events by the reason they are quarantined for, or accepted; one pass."""
     root, _ = land_all(spark, sf)
     b = br.read_bronze_events(spark, root)
-    good, bad = dq.bad_record_split(b, {
+    tagged = dq.tag_bad_records(b, {
         "missing_location": col("location").isNull(),
         "shootout_period": ~col("period").between(1, 4),
         "missing_player": F.isnan("player_id") | col("player_id").isNull()})
-    return br.union_all([
-        good.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("accepted").alias("outcome"), "rows"),
-        bad.groupBy(col("reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))])
+    outcome = F.coalesce("reject_reason", F.lit("accepted"))
+    return tagged.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("stg_events")

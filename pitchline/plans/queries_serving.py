@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.operators import quality as dq
@@ -140,16 +140,13 @@ def q_state_contrast(spark, sf):
 
 @query("first_value_window")
 def q_first_value_window(spark, sf):
-    """Each goal with its match's first home/away value: the per-match value is an aggregate
-    joined back on match_id (one row per match), not a whole-partition window frame."""
+    """Each goal with its match's first home/away value; the window holds a match's goals only."""
     t = Tables(spark, sf)
-    timed = tl.events_timed(t.ev, t.matches)
-    goals = timed.where(tl.goal_pred()).select("match_id", col("abs_seconds").alias("goal_seconds"),
-                                        col("team").alias("scoring_team"), "home_team", "away_team")
-    first = goals.groupBy("match_id").agg(F.min_by("home_team", "goal_seconds").alias("first_home_team"),
-                                          F.min_by("away_team", "goal_seconds").alias("first_away_team"))
-    return goals.join(first, "match_id").select("match_id", "goal_seconds", "scoring_team",
-                                                "first_home_team", "first_away_team")
+    goals = tl.events_timed(t.ev.where(tl.goal_pred()), t.matches)
+    w = Window.partitionBy("match_id").orderBy("abs_seconds")
+    return goals.select("match_id", col("abs_seconds").alias("goal_seconds"), col("team").alias("scoring_team"),
+                        F.first("home_team").over(w).alias("first_home_team"),
+                        F.first("away_team").over(w).alias("first_away_team"))
 
 
 @query("export_manifest")
