@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of a sampled text that are used for fitting. Scoring always reads whole texts.
-FIT_BYTES = 1 << 16
+FIT_BYTES = 1 << 15
 
 
 def held_out(folds: int, fold: int) -> Column:

@@ -112,4 +112,21 @@ ORACLE_SQL: dict[str, str] = {
         SELECT r.doc_id, r.size AS n_tokens, round(coalesce(sum(s), 0.0), 4) AS log_score
         FROM rest r LEFT JOIN logs l ON l.doc_id = r.doc_id GROUP BY r.doc_id, r.size
     """,
+    "op7_projection_neardup": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        reached AS (
+            SELECT vec_id AS s, vec_id AS t FROM embeddings
+            UNION
+            SELECT reached.s, links.b FROM reached JOIN links ON links.a = reached.t),
+        classes AS (SELECT s, min(t) AS component_id FROM reached GROUP BY s),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN classes ON s = vec_id LEFT JOIN degrees ON a = vec_id
+    """,
 }

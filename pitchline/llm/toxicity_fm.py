@@ -137,14 +137,18 @@ class _Sample:
     def telling(self) -> np.ndarray:
         """Terms whose share of texts differs between the classes by ``TELLING`` standard errors.
         Both partners of a toxic pair differ, if less than a word that is toxic alone."""
-        of = [np.concatenate([np.zeros(0, np.int64), *(np.unique(self.terms[np.unique(t)])
-                             for t, y in zip(self.texts, self.labels, strict=True) if y == want)]) for want in (0, 1)]
+        def distinct(text: np.ndarray) -> np.ndarray:
+            found = np.unique(self.terms[np.unique(text)])
+            return found[found >= 0].astype(np.uint32)
+
+        of = [np.concatenate([np.zeros(0, np.uint32), *(distinct(t) for t, y in zip(self.texts, self.labels, strict=True) if y == want)])
+              for want in (0, 1)]
         terms, back = np.unique(np.concatenate(of), return_inverse=True)
         clean, toxic = (np.bincount(x, minlength=len(terms)) for x in np.split(back, [len(of[0])]))
         n = [max(1, int((self.labels == want).sum())) for want in (0, 1)]
         p = (clean + toxic) / sum(n)
         z = (toxic / n[1] - clean / n[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
-        return terms[(np.abs(z) > TELLING) & (clean + toxic > 1) & (terms >= 0)]
+        return terms[(np.abs(z) > TELLING) & (clean + toxic > 1)].astype(np.int64)
 
     def windows(self, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(window, row of ``terms``) of each text."""
