@@ -2,8 +2,8 @@
 
 One dictionary is built from good, one from bad labelled text. A text is compressed in small
 blocks with either and with none. The difference of the two sizes per byte says which class its
-strings come from; the size without a dictionary says how repetitive it is. A logistic fit on
-further labelled rows turns both into a calibrated score.
+strings come from; the size without a dictionary says how repetitive it is. A logistic fit of
+second degree on further labelled rows turns both into a calibrated score.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ CALIBRATION_ROWS = 4000
 class Model:
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]  # of the two features and the intercept
+    weights: tuple[float, ...]  # of the terms of ``expanded`` and the intercept
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -73,6 +73,13 @@ class Compressors:
         return (bad - good) / n, alone / n
 
 
+def expanded(x: np.ndarray) -> np.ndarray:
+    """Both features, bounded, with their squares and product: how much a difference counts
+    depends on how repetitive the text is."""
+    a, b = np.clip(x[:, 0], -0.3, 0.3), np.clip(x[:, 1], 0.0, 1.0)
+    return np.c_[a, b, a * a, a * b, b * b]
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int = FIT_ROWS,
         calibration_rows: int = CALIBRATION_ROWS) -> Model:
     """The model from labelled rows outside the held-out fold. With rows of one class only, the
@@ -80,11 +87,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int
     rows, rest = sampled(docs, training_ids(docs, labels, "quality", folds, fold), fit_rows, calibration_rows)
     good, bad = ([t for t, v in rows if v == want] for want in (1, 0))
     if not good or not bad:
-        return Model(b"", b"", (0.0, 0.0, 0.0 if not rows else 30.0 if good else -30.0))
+        return Model(b"", b"", (0.0,) * 5 + (0.0 if not rows else 30.0 if good else -30.0,))
     d = _dictionary(_samples(good, bad)), _dictionary(_samples(bad, good))
     c = Compressors(*d)
     x = np.array([c.features(t.encode()) for t, _ in rest])
-    return Model(*d, tuple(logistic(x, np.array([v for _, v in rest], float)).tolist()))
+    return Model(*d, tuple(logistic(expanded(x), np.array([v for _, v in rest], float)).tolist()))
 
 
 def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
@@ -102,7 +109,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
             view = memoryview(raw)
             x = np.array([c.features(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(probability(x.reshape(-1, 2), w))],
+                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(probability(expanded(x.reshape(-1, 2)), w))],
                 ["doc_id", *keep, "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), *keep, *({"text"} - set(keep)))
