@@ -48,9 +48,10 @@ _CLASS_WORDS = frozenset(
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|xmp|noframes)\b[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[\s/]++|[^\s\"'>/=]++(?:\s*+=\s*+"
+    r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)?+)?+|[\"'=])*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")

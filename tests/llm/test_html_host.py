@@ -25,7 +25,8 @@ def test_markup():
     (None, ""), ("", ""), ("plain text", ""), ("<article>open", "open"), ("<article><p><b>x<br><p>y</p><p>z</article><footer>f", "x y z"),
     ("<article>a < b & c &am", "a < b & c &am"), ("<article><a title='>'>q</a> <i>r</i></article>", "q r"), ("<ARTICLE>Up</ARTICLE>", "Up"),
     ("<article>one</article><article>two</article>", "one two"), ("<div role=main>r</div>", "r"), ("<article>" + "w " * 50_000, ("w " * 50_000).strip()),
-    ("<article><p>a</b></p><p>b</p></article>c", "a b"), ("<article><!-- open", ""), ("<article>x<script>never closed", "x")])
+    ("<article><p>a</b></p><p>b</p></article>c", "a b"), ("<article><p title=don't>it's</p> x='y'</article>", "it's x='y'"), ("<article><a href=/x/>l</a><p class=\"ad>z</article>", "l z"),
+    ("<article><p " + "a='b' " * 20_000 + ">x</article>", "x"), ("<article>" + "<a '" * 3000, ""), ("<article><!-- open", ""), ("<article>x<script>never closed", "x")])
 def test_odd_pages(page, want):
     assert main(page or "") == want
 
