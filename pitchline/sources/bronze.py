@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchline.session import temporary_folder
 from pitchline.sources.wide import LINEUP_RULES, LOCATION_Y, MATCH_RULES, RULES, rule
 
 col = F.col
@@ -105,8 +106,13 @@ def _write_events(rows: DataFrame, path: str, parts: list[str], salts: int) -> N
 def land_events(fb: DataFrame, root: str, salts: int = 8) -> None:
     """B1: write one sparse file group per known event kind, partitioned by competition and
     season, and every other kind (also a missing one) with all columns, partitioned by kind too.
-    Overwrites only the partitions being written (dynamic partition overwrite)."""
+    Overwrites only the partitions being written (dynamic partition overwrite).
+
+    The input is read once and dealt out by kind; each kind then reads its own part alone."""
     raw = raw_events(fb)
+    spread = temporary_folder(fb.sparkSession, "landing")
+    raw.write.partitionBy("type").parquet(spread)
+    raw = fb.sparkSession.read.schema(raw.schema).parquet(spread)
     for kind, extra in KIND_COLUMNS.items():
         cols = COMMON_COLUMNS + extra + ["competition", "season"]
         _write_events(raw.where(col("type") == kind).select(*cols), f"{root}/events/type={kind}",

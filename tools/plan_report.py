@@ -1,4 +1,4 @@
-"""Execute every registered query and summarise its final (AQE) physical plan into PLANS.md.
+"""Execute every warehouse query and summarise its final (AQE) physical plan into PLANS.md.
 
     python tools/plan_report.py [--sf /root/testdata/sf0.01]
 
@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from pitchline.plans.catalog import load_all  # noqa: E402
 from pitchline.session import build_session  # noqa: E402
 
 PATTERNS = {
@@ -42,7 +42,7 @@ def main():
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
     spark = build_session("local[8]", 8)
-    qs = entry.queries()
+    qs = load_all()
     rows, pushed = [], {}
     for k in a.keys or sorted(qs):
         if k in ("ml_cv", "ml_importance"):
