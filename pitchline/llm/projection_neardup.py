@@ -54,6 +54,11 @@ def postings(unit: np.ndarray, a: np.ndarray, depth: int) -> tuple[np.ndarray, n
             np.take_along_axis(np.take_along_axis(size, top, 1), order, 1).astype(np.float32))
 
 
+def values_at(unit: np.ndarray, a: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """The values that postings have on their tokens, row by row: the same wherever a row goes."""
+    return (np.einsum("ij,ikj->ik", unit, a[token >> 1]) * (1 - 2 * (token & 1))).astype(np.float32)
+
+
 def _collisions(tx: np.ndarray, vx: np.ndarray, ty: np.ndarray, vy: np.ndarray, width: float) -> np.ndarray:
     """Pairs by depth: whether x's posting collides with one of y's."""
     hit = (tx[:, :, None] == ty[:, None, :]) & (np.abs(vx[:, :, None] - vy[:, None, :]) <= width)
@@ -119,7 +124,7 @@ def _local_roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _grouped(posted: DataFrame, threshold: float, count: int, width: float, block: int) -> DataFrame:
+def _grouped(posted: DataFrame, threshold: float, count: int, width: float, block: int, projections: int, kind: str) -> DataFrame:
     """(node, links, root) of every group, for nodes that have links there."""
     hot = posted.groupBy("token").count().where(F.col("count") > block).select(
         "token", F.ceil(F.col("count") / block).cast("int").alias("n"))
@@ -135,9 +140,10 @@ def _grouped(posted: DataFrame, threshold: float, count: int, width: float, bloc
             part = part.combine_chunks()
             node, weight = part["node"].to_numpy(), part["weight"].to_numpy()
             own, cross, here = part["own"].to_numpy(), part["cross"].to_numpy(), part["token"].to_numpy()
-            token = np.array([np.frombuffer(b, np.int32) for b in part["tokens"].to_pylist()])
-            value = np.array([np.frombuffer(b, np.float32) for b in part["values"].to_pylist()])
-            unit = np.array([np.frombuffer(b, np.float64) for b in part["unit"].to_pylist()])
+            token = np.array([np.frombuffer(b, np.int16) for b in part["tokens"].to_pylist()]).astype(np.int32)
+            unit = _unit(np.array([np.frombuffer(b, kind) for b in part["vector"].to_pylist()]))
+            a = process_cache("directions", (projections, unit.shape[1]), lambda d=unit.shape[1]: directions(projections, d))
+            value = values_at(unit, a, token)
             starts = group_starts(part["key"].to_numpy())
             out: list[tuple[np.ndarray, ...]] = []
             for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
@@ -145,54 +151,58 @@ def _grouped(posted: DataFrame, threshold: float, count: int, width: float, bloc
                 x, y = _candidates(t, v, width, count)
                 found = []
                 for at in range(0, len(x), 20_000):
-                    a, b = x[at : at + 20_000], y[at : at + 20_000]
-                    close = np.einsum("ij,ij->i", unit[s:e][a], unit[s:e][b]) >= threshold
+                    i, j = x[at : at + 20_000], y[at : at + 20_000]
+                    close = np.einsum("ij,ij->i", unit[s:e][i], unit[s:e][j]) >= threshold
                     if cross[s]:
-                        close &= own[s:e][a] != own[s:e][b]
-                    a, b = a[close], b[close]
+                        close &= own[s:e][i] != own[s:e][j]
+                    i, j = i[close], j[close]
                     # the pair counts in the group of its first collision
-                    first = np.argmax(_collisions(t[a], v[a], t[b], v[b], width), axis=1) if len(a) else a
-                    here_first = t[a, first] == here[s] if len(a) else close[close]
-                    found.append((a[here_first], b[here_first]))
+                    first = np.argmax(_collisions(t[i], v[i], t[j], v[j], width), axis=1) if len(i) else i
+                    here_first = t[i, first] == here[s] if len(i) else close[close]
+                    found.append((i[here_first], j[here_first]))
                 if not found:
                     continue
-                a, b = (np.concatenate(z) for z in zip(*found, strict=True))
-                if not len(a):
+                i, j = (np.concatenate(z) for z in zip(*found, strict=True))
+                if not len(i):
                     continue
-                links = np.bincount(a, weight[s:e][b], e - s) + np.bincount(b, weight[s:e][a], e - s)
+                links = np.bincount(i, weight[s:e][j], e - s) + np.bincount(j, weight[s:e][i], e - s)
                 order = np.argsort(node[s:e], kind="stable")  # roots are least nodes
                 place = np.empty(e - s, np.int64)
                 place[order] = np.arange(e - s)
-                roots = node[s:e][order][_local_roots(e - s, place[a], place[b])][place]
+                roots = node[s:e][order][_local_roots(e - s, place[i], place[j])][place]
                 some = links > 0
                 out.append((node[s:e][some], links[some].astype(np.int64), roots[some]))
             columns = [np.concatenate(z) for z in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(z) for z in columns], ["node", "links", "root"])
 
-    sent = dealt.select("key", "token", "own", "cross", "node", "weight", "tokens", "values", "unit")
+    sent = dealt.select("key", "token", "own", "cross", "node", "weight", "tokens", "vector")
     return sent.repartition("key").sortWithinPartitions("key").mapInArrow(run, "node long, links long, root long")
 
 
-def _posted(classes: DataFrame, count: int, projections: int, depth: int) -> DataFrame:
-    """(token, node, weight, tokens, values, unit): a row for each of a vector's first postings."""
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _posted(classes: DataFrame, count: int, projections: int, depth: int, kind: str) -> DataFrame:
+    """(token, node, weight, tokens, vector): a row for each of a vector's first postings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                x = np.array(part.column("embedding").to_pylist(), np.float64)
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = np.array(part.column("embedding").to_pylist(), kind)
                 a = process_cache("directions", (projections, x.shape[1]), lambda d=x.shape[1]: directions(projections, d))
-                token, value = postings(unit, a, depth)
+                token, _ = postings(_unit(x), a, depth)
                 used = max(1, token.shape[1] - count + 1)
                 row = np.repeat(np.arange(len(x)), used)
-                blobs = [pa.array([z.tobytes() for z in m], pa.binary()).take(pa.array(row)) for m in (token, value, unit)]
+                blobs = [pa.array([z.tobytes() for z in m], pa.binary()).take(pa.array(row)) for m in (token.astype(np.int16), x)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token[:, :used].ravel()), part.column("node").take(pa.array(row)),
-                     part.column("weight").take(pa.array(row)), *blobs], ["token", "node", "weight", "tokens", "values", "unit"])
+                     part.column("weight").take(pa.array(row)), *blobs], ["token", "node", "weight", "tokens", "vector"])
 
     return classes.select("embedding", "node", "weight").mapInArrow(
-        run, "token int, node long, weight long, tokens binary, values binary, unit binary")
+        run, "token int, node long, weight long, tokens binary, vector binary")
 
 
 def usable(column: str = "embedding"):
@@ -212,17 +222,20 @@ def neardup(vectors: DataFrame, threshold: float = 0.9, depth: int = DEPTH, widt
     vector. A null id takes no part: no links, null component. ``projections`` follows from the
     number of vectors unless given.
     """
+    if projections is not None and not 0 < projections < 1 << 14:
+        raise ValueError("projections must lie between 1 and 16383")
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding")).where("vec_id is not null")
     members = written(rows.where(usable()).distinct().groupBy("vec_id").agg(F.first("embedding").alias("embedding")), "vectors")
     # a zero may have either sign: adding zero gives the positive one, so that equal vectors have equal keys
     members = members.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0).cast("float")))
     classes = written(members.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "classes")
     dims = {r.d: r.n for r in classes.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).collect()}
+    kind = "<f4" if rows.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     found = None
     for dim, n in sorted(dims.items()):
         m = projections or int(min(4096, max(256, 2 ** np.ceil(np.log2(4 * np.sqrt(n))))))
         count = calibrated(m, dim, threshold, depth, width, recall)
-        one = _grouped(_posted(classes.where(F.size("embedding") == dim), count, m, depth), threshold, count, width, block)
+        one = _grouped(_posted(classes.where(F.size("embedding") == dim), count, m, depth, kind), threshold, count, width, block, m, kind)
         found = one if found is None else found.unionByName(one)
     every = vectors.select(F.col("vec_id").cast("long"))
     if found is None:
