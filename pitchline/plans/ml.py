@@ -38,10 +38,19 @@ def majority_baseline(features: DataFrame) -> DataFrame:
 def stratified_folds(features: DataFrame, k: int = N_FOLDS, seed: int = SEED) -> DataFrame:
     """Deterministic stratified k-fold assignment: within each class, rows are shuffled by an
     md5 of (key, seed) and dealt round-robin, so every class is balanced to +-1 per fold.
-    The window is per class over team-grain rows (a few per team and tournament)."""
-    shuffle_key = F.md5(F.concat(col("team_comp_key"), F.lit(f":{seed}")))
-    w = Window.partitionBy("outcome_class").orderBy(shuffle_key, col("team_comp_key"))
-    return labelled(features).withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+
+    The rank within a class comes in two levels: rows are numbered within (class, first digits of
+    the md5), and each such bucket starts after the rows of the buckets before it. So a class is
+    numbered by many tasks, however large."""
+    key = F.md5(F.concat(col("team_comp_key"), F.lit(f":{seed}")))
+    rows = labelled(features).withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, 3))
+    sizes = rows.groupBy("outcome_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("outcome_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # 4,096 at most
+    starts = sizes.select("outcome_class", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("outcome_class", "_bucket").orderBy("_key", "team_comp_key")
+    place = col("_start") + F.row_number().over(within) - 1
+    return rows.join(starts, ["outcome_class", "_bucket"]).withColumn("fold", (place % k).cast("int")).select(
+        *features.columns, "fold")
 
 
 def _prepared(features: DataFrame) -> DataFrame:
