@@ -1,20 +1,26 @@
-"""Main text of web pages: what the markup says, and for the rest the host's suffix array.
+"""Main text of web pages: what the markup says, less what the host's pages repeat.
 
 A page is cut into blocks of visible text. Blocks inside the main element (article, main) that no
-menu, header, footer, sidebar, notice, advert, form or comment part encloses are its text. Where a page
-has no main element, the markup leaves blocks undecided, and repetition decides: the token streams
-of a host's pages, laid end to end, are sorted by suffix. Neighbours that agree in at least
-``run`` tokens and lie on distinct pages are a repeated substring. Runs covered by such substrings
-are boilerplate and go; the unique runs stay. A page of which nearly all repeats is a copy of
-another one and keeps its text.
-
-The suffix array is dealt out by the hash of (host, first ``run`` tokens), so a large host is
-shared by all tasks, and a batch settles what repeats within it before anything is shuffled.
+menu, header, footer, sidebar, notice, advert, form or comment part encloses are its text; where a
+page has no main element, all blocks that nothing encloses are. From either text goes what the host
+repeats: whole blocks (of ``run`` tokens or more, short ones with their neighbours) and substrings
+of ``long`` tokens or more that stand on half of the host's pages, five at least. Where no main
+element bounds the text, the word next to such a block goes with it if ``run`` tokens with that word
+stand on another page. A page of which nearly all stands on another page too is a copy and keeps its
+text.
+
+Grouping the suffixes of a host by their first ``long`` tokens marks what a sorted suffix array
+with common prefixes of ``long`` or more does: a longer repeat is the union of its windows of that
+length. A window (on one side of the text's bounds) is looked at only if its anchor, the run of
+``ANCHOR`` tokens with the smallest hash, stands on two pages: equal windows have equal anchors, so
+none is lost and an eighth of the positions are dealt out first. All is dealt by hashes of (host,
+tokens).
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 
@@ -23,10 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import sorted_groups
+from pitchline.llm.common import sorted_groups, written
 
-#: Tokens in which two suffixes must agree.
+#: Tokens that whole repeated blocks must have together.
 RUN = 6
+#: Tokens of a repeated substring that may begin and end inside blocks.
+LONG = 24
+#: Tokens of the anchor of such a substring.
+ANCHOR = 10
+#: Distinct pages, and share of the host's pages, on which boilerplate stands at least: a frequent line of
+#: ordinary text stands on up to 0.39 of a host's pages in the given tables.
+PAGES, SHARE = 5, 0.5
 #: Share of repeated tokens from which a page counts as a copy.
 COPY = 0.95
 
@@ -135,134 +148,191 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, key, page, host, sure, rest, undecided): the text that markup is sure of, and
-    the blocks beside it. ``key`` is made from a row's contents: equal rows are alike in all."""
-    kind = pages.select("page_id").schema["page_id"].dataType.simpleString()
-    columns = ["page_id", "url", "key", "page", "host"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                cut = [blocks(p) for p in some.column("html").fill_null("").to_pylist()]
-                rest = pa.array([[{"open": z == OPEN, "text": t} for z, t in b if z != MAIN] for b in cut],
-                                pa.list_(pa.struct([("open", pa.bool_()), ("text", pa.string())])))
-                yield pa.RecordBatch.from_arrays(
-                    [*(some.column(c) for c in columns), pa.array([" ".join(t for z, t in b if z == MAIN) for b in cut], pa.string()),
-                     rest, pa.array([any(z == OPEN for z, _ in b) for b in cut], pa.bool_())],
-                    [*columns, "sure", "rest", "undecided"])
-
+def _pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, key, page, host, html). ``key`` is made from a row's contents: equal rows are alike in all."""
     url, text = F.col("url").cast("string"), F.col("html").cast("string")
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
     named = F.col("page_id").cast("string")
     return pages.select(
         "page_id", url.alias("url"), F.xxhash64(named, url, text).alias("key"),
         F.when(named.isNotNull(), F.xxhash64(named)).otherwise(F.xxhash64(text, F.lit("no id"))).alias("page"),
-        host.alias("host"), text.alias("html")).mapInArrow(
-        run, f"page_id {kind}, url string, key long, page long, host string, sure string, "
-        "rest array<struct<open boolean, text string>>, undecided boolean")
+        host.alias("host"), text.alias("html"))
 
 
-def _stream(rest: list[dict]) -> list[str]:
-    return [w for b in rest for w in b["text"].split()]
+def _cut(page: str | None) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
+    """(tokens, offsets of the blocks, whether a token belongs to the text, whether no main element bounds it)."""
+    found = [(zone, text.split()) for zone, text in blocks(page or "")]
+    sizes = [len(ws) for _, ws in found]
+    return ([w for _, ws in found for w in ws], np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))),
+            np.repeat(np.array([zone != BOILERPLATE for zone, _ in found], bool), sizes), any(zone == OPEN for zone, _ in found))
 
 
-def _suffixes(cut: DataFrame, run: int) -> DataFrame:
-    """(head, page, key, at, known, settled): suffixes by the hash of (host, first tokens). What repeats on
-    two pages of a batch is known at once; one suffix of each head goes on to tell the others."""
-    odd = np.random.default_rng(7).integers(1, 1 << 63, run, dtype=np.uint64) | np.uint64(1)
+#: Kinds of places: repeats that go whole, anchors of windows, runs that reach one token past whole blocks.
+WHOLE, ANCHORS, EDGE = 0, 1, 2
+#: An odd base of the polynomial token hashes and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+class _Hashes:
+    """Hashes of any substrings of a page's tokens, told apart by host and length."""
+
+    def __init__(self, host: str, tokens: list[str]) -> None:
         import xxhash
 
+        n = len(tokens)
+        self.seed = np.uint64(xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass")))
+        token = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in tokens), np.uint64, n)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(token * _powers(_BASE, n), dtype=np.uint64)))
+        self.back = _powers(_INVERSE, n + 1)
+
+    def of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        h = (self.sums[start + size] - self.sums[start]) * self.back[start]
+        h = (h ^ self.seed ^ size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ h >> np.uint64(29)
+
+
+def _anchors(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Position of the smallest hash (the first, if several) of each window of ``width`` hashes."""
+    view = np.lib.stride_tricks.sliding_window_view(hashes, width)
+    return view.argmin(1) + np.arange(len(view))
+
+
+def _units(offsets: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of the shortest sequences of whole blocks from and up to each block that
+    have ``run`` tokens."""
+    ends = np.searchsorted(offsets, offsets[:-1] + run)
+    starts = np.searchsorted(offsets, offsets[1:] - run, side="right") - 1
+    fits, reaches = ends < len(offsets), starts >= 0
+    pairs = np.unique(np.concatenate((
+        np.stack((offsets[:-1][fits], offsets[ends[fits]]), 1), np.stack((offsets[starts[reaches]], offsets[1:][reaches]), 1))), axis=0)
+    return pairs[:, 0], pairs[:, 1] - pairs[:, 0]
+
+
+def _dealt(pages: DataFrame, run: int, long: int, marked: bool) -> DataFrame:
+    """(head, page, key, place): hash and place of the sequences of whole blocks and of the anchors of all
+    windows, or if ``marked`` of the windows whose anchors are among the page's marks. A place is
+    start << 32 | size << 3 | kind << 1 | touches the text."""
+    short = min(ANCHOR, long)
+
+    def places(host: str, page: str | None, found: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+        tokens, offsets, text, undecided = _cut(page)
+        n, before = len(tokens), np.concatenate(([0], np.cumsum(text)))
+        if n < min(run, long):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        hashes, anchors, starts = _Hashes(host, tokens), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if n >= long:
+            at = np.arange(n - short + 1)
+            inside = before[long:] - before[: n - long + 1]
+            starts = np.flatnonzero((inside == 0) | (inside == long))
+            anchors = _anchors(hashes.of(at, np.full(len(at), short)), long - short + 1)[starts]
+        if marked:
+            start = starts[np.isin(anchors, [m["place"] >> 32 for m in found or ()])]
+            size, kind = np.full(len(start), long), np.zeros(len(start), np.int64)
+        else:
+            anchors = np.unique(anchors)
+            start, size = _units(offsets, run)
+            edges = np.unique(np.concatenate((start[start > 0] - 1, (start + size)[start + size < n] - run + 1))) if undecided else start[:0]
+            kind = np.repeat([WHOLE, ANCHORS, EDGE], [len(start), len(anchors), len(edges)])
+            start = np.concatenate((start, anchors, edges))
+            size = np.concatenate((size, np.full(len(anchors), short), np.full(len(edges), run)))
+        # different kinds of as many tokens are different things
+        return hashes.of(start, size) ^ kind.astype(np.uint64), start << 32 | size << 3 | kind << 1 | (before[start + size] > before[start])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads, pages, rows, ats = [], [], [], []
-            page, row = batch.column("page").to_numpy(), batch.column("key").to_numpy()
-            for i, (host, rest) in enumerate(zip(batch.column("host").to_pylist(), batch.column("rest").to_pylist(), strict=True)):
-                words = _stream(rest)
-                if len(words) < run:
-                    continue
-                seed = xxhash.xxh32_intdigest(host.encode())
-                token = np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in words], np.uint64)
-                n = len(token) - run + 1
-                heads.append(sum((token[j : j + n] * odd[j] for j in range(run)), np.zeros(n, np.uint64)))
-                pages.append(np.full(n, page[i]))
-                rows.append(np.full(n, row[i]))
-                ats.append(np.arange(n, dtype=np.int32))
-            if not heads:
-                continue
-            h, p, r, a = (np.concatenate(x) for x in (heads, pages, rows, ats))
-            h ^= h >> np.uint64(31)
-            order = np.lexsort((p, h))
-            h, p, r, a = h[order], p[order], r[order], a[order]
-            first = np.concatenate(([True], h[1:] != h[:-1]))
-            starts = np.flatnonzero(first)
-            sizes = np.diff(np.append(starts, len(h)))
-            known = np.repeat(p[starts] != p[starts + sizes - 1], sizes)
-            # settled suffixes but the first of their head need to meet no other: they get a key of their own
-            h = np.where(known & ~first, (r.astype(np.uint64) << np.uint64(20)) + a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), h)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(p), pa.array(r), pa.array(a), pa.array(known), pa.array(known & ~first)],
-                ["head", "page", "key", "at", "known", "settled"])
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                given = some.column("marks").to_pylist() if marked else [None] * some.num_rows
+                out = [places(*x) for x in zip(some.column("host").to_pylist(), some.column("html").to_pylist(), given, strict=True)]
+                sizes = [len(h) for h, _ in out]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([h for h, _ in out]).view(np.int64)), pa.array(np.repeat(some.column("page").to_numpy(), sizes)),
+                     pa.array(np.repeat(some.column("key").to_numpy(), sizes)), pa.array(np.concatenate([p for _, p in out]))],
+                    ["head", "page", "key", "place"])
 
-    return cut.select("host", "page", "key", "rest").mapInArrow(
-        go, "head long, page long, key long, at int, known boolean, settled boolean")
+    return pages.select("host", "page", "key", "html", *(["marks"] if marked else [])).mapInArrow(
+        go, "head long, page long, key long, place long")
 
 
-def _repeated(suffixes: DataFrame) -> DataFrame:
-    """(key, at) of the suffixes whose first tokens also begin a suffix of another page."""
+def _repeated(dealt: DataFrame) -> DataFrame:
+    """(key, marks): a row's places of heads that stand on two or more distinct pages (n), if they touch the
+    text; of anchors all places, if one of them does."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sorted_groups(batches, "head", 50_000):
-            head, page = part["head"].to_numpy(), part["page"].to_numpy()
-            settled, known = part["settled"].to_numpy(), part["known"].to_numpy()
+            head, page, place = (part[c].to_numpy() for c in ("head", "page", "place"))
+            new = np.concatenate(([True], (head[1:] != head[:-1]) | (page[1:] != page[:-1])))
             starts = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
             sizes = np.diff(np.append(starts, len(head)))
-            inside = np.where(settled, np.int64(2**63 - 1), page)
-            least = np.minimum.reduceat(inside, starts)
-            most = np.maximum.reduceat(np.where(settled, np.int64(-(2**63)), page), starts)
-            told = np.repeat((least < most) & (least != 2**63 - 1) | np.logical_or.reduceat(known & ~settled, starts), sizes)
-            keep = pa.array(settled | told)
-            yield pa.RecordBatch.from_arrays([part["key"].filter(keep).combine_chunks(), part["at"].filter(keep).combine_chunks()], ["key", "at"])
-
-    return suffixes.repartition("head").sortWithinPartitions("head").mapInArrow(go, "key long, at int")
-
-
-def _unique(rest: list[dict], marks: list[int] | None, run: int, copy: float) -> str:
-    """The open text less its repeated runs, or all of it on a page that is a copy."""
-    words = [w for b in rest for w in b["text"].split()]
-    open_ = np.repeat([b["open"] for b in rest], [len(b["text"].split()) for b in rest]) if rest else np.zeros(0, bool)
-    covered = np.zeros(len(words), bool)
-    for a in marks or ():
-        covered[a : a + run] = True
-    total = int(open_.sum())
-    if total and (covered & open_).sum() >= copy * total:
-        covered[:] = False
-    return " ".join(w for w, o, c in zip(words, open_.tolist(), covered.tolist(), strict=True) if o and not c)
-
-
-def extract(pages: DataFrame, run: int = RUN, copy: float = COPY) -> DataFrame:
+            count = np.repeat(np.add.reduceat(new.astype(np.int64), starts), sizes)
+            touched = np.repeat(np.maximum.reduceat(place & 1, starts), sizes)
+            keep = (count > 1) & (np.where(place >> 1 & 3 == ANCHORS, touched, place & 1) > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part["key"].to_numpy()[keep]), pa.array(place[keep]), pa.array(count[keep])], ["key", "place", "n"])
+
+    found = dealt.repartition("head").sortWithinPartitions("head", "page").mapInArrow(go, "key long, place long, n long")
+    return found.groupBy("key").agg(F.collect_set(F.struct("place", "n")).alias("marks"))  # as many as tokens
+
+
+def _kept(page: str | None, marks: list[dict], pages: int, copy: float) -> str:
+    """The page's text less what ``pages`` pages or more repeat, or all of it on a page that is a copy."""
+    tokens, _, text, _ = _cut(page)
+    if not marks:
+        return " ".join(w for w, t in zip(tokens, text.tolist(), strict=True) if t)
+    some, many = np.zeros(len(tokens) + 1, np.int64), np.zeros(len(tokens) + 1, np.int64)
+    edges = []
+    for m in marks:
+        start = m["place"] >> 32
+        end = start + ((m["place"] & 0xFFFFFFFF) >> 3)
+        if m["place"] >> 1 & 3 == EDGE:
+            edges.append((start, end))
+        for steps in (some, many) if m["n"] >= pages and m["place"] >> 1 & 3 == WHOLE else (some,):
+            steps[start] += 1
+            steps[end] -= 1
+    shared, gone = np.cumsum(some)[:-1] > 0, np.cumsum(many)[:-1] > 0
+    past = [start if gone[start + 1 : end].all() else end - 1 for start, end in edges if gone[start + 1 : end].all() or gone[start : end - 1].all()]
+    gone[past] = True
+    if (shared & text).sum() >= copy * text.sum():
+        gone[:] = False
+    return " ".join(w for w, t in zip(tokens, (text & ~gone).tolist(), strict=True) if t)
+
+
+def extract(pages: DataFrame, run: int = RUN, copy: float = COPY, long: int = LONG, least: int = PAGES, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``.
 
     ``pages`` needs ``page_id``, ``url`` and ``html``; other columns are ignored. Null or empty
     html gives an empty text; a null url is a host of its own name "". Rows of the same page_id,
     and rows without one that have the same html, are the same page, so they don't make each
-    other's text repeat. Texts that the markup decides are not shuffled; the pages are read once
-    for them and once for the hosts' token streams.
+    other's text repeat. Pages are read anew for each step; they are shuffled only where what
+    they repeat is too large to be broadcast.
     """
-    cut = _parsed(pages)
-    marks = _repeated(_suffixes(cut, run)).groupBy("key").agg(F.collect_set("at").alias("marks"))  # as many as tokens
-    open_ = cut.where("undecided").select("key", "page_id", "url", "rest").join(marks, "key", "left")
+    cut = _pages(pages)
     kind = cut.schema["page_id"].dataType.simpleString()
+    first = written(_repeated(_dealt(cut, run, long, False)), "html-first")
+
+    def of(anchors: bool) -> DataFrame:
+        return first.select("key", F.expr(f"filter(marks, m -> ((m.place & {ANCHORS << 1}) > 0) = {anchors})").alias("marks")).where("size(marks) > 0")
+
+    second = written(_repeated(_dealt(cut.join(of(True), "key"), run, long, True)), "html-second")
+    hosts = written(cut.groupBy("host").agg(F.countDistinct("page").alias("n")).where(F.col("n") * share > least), "html-hosts")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [_unique(rest, m, run, copy) for rest, m in zip(
-                batch.column("rest").to_pylist(), batch.column("marks").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                text = [_kept(page, [*(a or ()), *(b or ())], max(least, math.ceil((n or 0) * share)), copy) for page, a, b, n in zip(
+                    *(some.column(c).to_pylist() for c in ("html", "blocks", "windows", "n")), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("page_id"), some.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    told = open_.select("page_id", "url", "rest", "marks").mapInArrow(go, f"page_id {kind}, url string, text string")
-    sure = cut.where("not undecided").select("page_id", "url", F.col("sure").alias("text"))
-    return sure.unionByName(told).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    told = cut.join(of(False).withColumnRenamed("marks", "blocks"), "key", "left").join(
+        second.withColumnRenamed("marks", "windows"), "key", "left").join(hosts, "host", "left")
+    return told.select("page_id", "url", "html", "blocks", "windows", "n").mapInArrow(
+        go, f"page_id {kind}, url string, text string").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -87,3 +87,29 @@ def test_given_pages(spark):
 
 def test_empty(spark):
     assert h.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def texts_of(spark, pages, **kw):
+    return {r.page_id: r.text for r in h.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), **kw).collect()}
+
+
+def bodies(rng, n, size):
+    return [" ".join(f"w{rng.randrange(9000)}" for _ in range(size)) for _ in range(n)]
+
+
+def test_repeats_inside_the_main_element_go(spark):
+    """A notice without telling tag or class, in the article: as a block, in small blocks and within a block."""
+    body = bodies(random.Random(1), 160, 40)
+    notice = "Our readers keep this site alive so give what you can today"
+    within = " ".join(f"terms{i}" for i in range(30))
+    pages, want = [], {}
+    for i in range(40):
+        a, b, c, d = body[4 * i:4 * i + 4]
+        inner = [f"<p>{notice}</p>", "".join(f"<p>{w}</p>" for w in notice.split()), within, f"<p>{notice}</p>"][i // 10]
+        if i // 10 == 2:
+            page = f"<article><p>{a} {b}</p><p>{c} {inner} {d}</p></article>"
+        else:
+            page = f"<article><p>{a}</p>{inner}<p>{b}</p><p>{c} {d}</p></article>"
+        pages.append((i, f"http://{i // 10}.com/", page if i < 30 else page.replace("article>", "div>")))
+        want[i] = f"{a} {b} {c} {d}"
+    assert texts_of(spark, pages) == want
