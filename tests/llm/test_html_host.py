@@ -113,3 +113,39 @@ def test_repeats_inside_the_main_element_go(spark):
         pages.append((i, f"http://{i // 10}.com/", page if i < 30 else page.replace("article>", "div>")))
         want[i] = f"{a} {b} {c} {d}"
     assert texts_of(spark, pages) == want
+
+
+def test_phrases_and_partial_copies_stay(spark):
+    """Ordinary phrases inside blocks, bodies that share most of their text and exact copies, with and without main element."""
+    rng = random.Random(2)
+    phrases = bodies(rng, 12, 9)
+    body, shared = bodies(rng, 100, 30), bodies(rng, 1, 70)[0]
+    for tag in ("article", "div"):
+        pages, want = [], {}
+        for i in range(100):
+            text = f"{body[i]} {rng.choice(phrases)} {body[(i * 7 + 3) % 100][:40]} {rng.choice(phrases)} end{i}"
+            text += f" {shared}" if i in (5, 50, 90) else ""
+            pages.append((i, "http://b.com/", f"<{tag}><p>{text}</p></{tag}>"))
+            want[i] = " ".join(text.split())
+        pages += [(200 + i, "http://b.com/copy", pages[7][2]) for i in range(20)]
+        want |= {200 + i: want[7] for i in range(20)}
+        assert texts_of(spark, pages) == want
+
+
+def test_windows_equal_brute_force(spark):
+    """Long repeats against all windows of all pages: anchors lose none."""
+    rng = random.Random(3)
+    parts = bodies(rng, 6, 33)
+    pages = []
+    for i in range(60):
+        ws = " ".join(x for k in range(3) for x in (bodies(rng, 1, 12 + k)[0], " ".join(rng.choice(parts).split()[rng.randrange(9):])))
+        pages.append((i, "http://c.com/", f"<article><p>start{i} {ws} end{i}</p></article>"))
+    seen = {}
+    words = {i: re.sub("<[^>]*>", "", p).split() for i, _, p in pages}
+    for i, ws in words.items():
+        for k in range(len(ws) - h.LONG + 1):
+            seen.setdefault(tuple(ws[k:k + h.LONG]), set()).add(i)
+    got = texts_of(spark, pages, copy=2.0, share=0.1)
+    for i, ws in words.items():
+        gone = {k + j for k in range(len(ws) - h.LONG + 1) if len(seen[tuple(ws[k:k + h.LONG])]) >= 6 for j in range(h.LONG)}
+        assert gone and got[i].split() == [w for k, w in enumerate(ws) if k not in gone]
