@@ -84,18 +84,20 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int
         calibration_rows: int = CALIBRATION_ROWS) -> Model:
     """The model from labelled rows outside the held-out fold. With rows of one class only, the
     score is that class for all; with none it is 0.5."""
-    rows, rest = sampled(docs, training_ids(docs, labels, "quality", folds, fold), fit_rows, calibration_rows)
+    first, rest = sampled(docs, training_ids(docs, labels, "quality", folds, fold), fit_rows, calibration_rows)
+    rows = [(r.text, r.label) for r in first.orderBy("doc_id").collect()]
     good, bad = ([t for t, v in rows if v == want] for want in (1, 0))
     if not good or not bad:
         return Model(b"", b"", (0.0,) * 5 + (0.0 if not rows else 30.0 if good else -30.0,))
     d = _dictionary(_samples(good, bad)), _dictionary(_samples(bad, good))
-    c = Compressors(*d)
-    x = np.array([c.features(t.encode()) for t, _ in rest])
-    return Model(*d, tuple(logistic(expanded(x), np.array([v for _, v in rest], float)).tolist()))
+    sized = features(rest, Model(*d, ()), ["label"]).orderBy("doc_id").collect()
+    x = np.array([(r.difference, r.alone) for r in sized])
+    return Model(*d, tuple(logistic(expanded(x), np.array([r.label for r in sized], float)).tolist()))
 
 
-def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, columns of ``keep``, score): the probability of good quality of every whole text."""
+def features(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, difference, alone): the features of every whole text, and with the
+    weights of a fitted model the ``score`` they give."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries: bounded
 
     key = hashlib.sha256(model.good + b"/" + model.bad).hexdigest()
@@ -103,17 +105,23 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         c = process_cache("quality", key, lambda: Compressors(m.good, m.bad))
-        w = np.array(m.weights)
+        w = np.array(m.weights or (0.0,) * 6)
         for batch in batches:
             offsets, raw = text_bytes(batch.column("text"))
             view = memoryview(raw)
-            x = np.array([c.features(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+            x = np.array([c.features(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(probability(expanded(x.reshape(-1, 2)), w))],
-                ["doc_id", *keep, "score"])
+                [batch.column("doc_id"), *(batch.column(c) for c in keep), pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(probability(expanded(x), w))],
+                ["doc_id", *keep, "difference", "alone", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), *keep, *({"text"} - set(keep)))
-    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)),
+                                              *(T.StructField(c, T.DoubleType()) for c in ("difference", "alone", "score"))]))
+
+
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, score): the probability of good quality of every whole text."""
+    return features(docs, model, keep).select("doc_id", *keep, "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3,

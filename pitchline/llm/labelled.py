@@ -6,9 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of a sampled text that are used for fitting. Scoring always reads whole texts.
-FIT_BYTES = 1 << 15
-
+from pitchline.llm.common import written
 
 def held_out(folds: int, fold: int) -> Column:
     """crc32(doc_id as text) mod ``folds`` is ``fold``; false for a null id."""
@@ -23,21 +21,19 @@ def training_ids(docs: DataFrame, labels: DataFrame, column: str, folds: int, fo
     return once.where(~held_out(folds, fold)).join(docs.select("doc_id"), "doc_id", "left_semi")
 
 
-def sampled(docs: DataFrame, ids: DataFrame, per_class: int, natural: int
-            ) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
-    """Two disjoint bounded samples of (text, label): up to ``per_class`` of each label from two
-    thirds of the ids, and up to ``natural`` of the other third in their natural mixture. Chosen
-    by hashes of the id, so the choice does not depend on order or partitioning."""
+def sampled(docs: DataFrame, ids: DataFrame, per_class: int, natural: int) -> tuple[DataFrame, DataFrame]:
+    """Two disjoint samples (doc_id, label, text) of whole texts, bounded in rows: up to ``per_class`` of each
+    label from two thirds of the ids, and up to ``natural`` of the other third in their natural mixture (the
+    first again if there are none). Chosen by hashes of the id, so the choice does not depend on order or
+    partitioning. The texts stay in Spark; the driver is to get what tasks make of them."""
     first, third = F.xxhash64("doc_id", F.lit(17)), F.pmod(F.xxhash64("doc_id", F.lit(18)), F.lit(3)) == 0
     chosen = [ids.where(~third & (F.col("label") == v)).orderBy(first).limit(per_class).withColumn("fit", F.lit(True)) for v in (0, 1)]
     mixed = ids.where(third).orderBy(first).limit(natural).withColumn("fit", F.lit(False))
     picked = chosen[0].unionByName(chosen[1]).unionByName(mixed)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "fit").agg(
-        F.min(F.substring("text", 1, FIT_BYTES)).alias("text")).orderBy("doc_id").collect()
-    fit = [(r.text, r.label) for r in rows if r.fit]
-    rest = [(r.text, r.label) for r in rows if not r.fit]
-    return fit, rest or fit
+    rows = written(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "fit").agg(F.min("text").alias("text")), "sample")
+    fit, rest = (rows.where(F.col("fit") == v).drop("fit") for v in (True, False))
+    return fit, fit if rest.isEmpty() else rest
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:

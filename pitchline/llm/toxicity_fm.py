@@ -118,16 +118,25 @@ def logits(window: np.ndarray, row: np.ndarray, linear: np.ndarray, factors: np.
     return bias + np.add.reduceat(linear[row], starts) + pairs
 
 
+def numbered(text: str) -> tuple[str, bytes]:
+    """A text's distinct words and the 32-bit numbers of all of its words among them."""
+    number: dict[str, int] = {}
+    ws = words(text)
+    numbers = np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)).tobytes()
+    return " ".join(number), numbers
+
+
 class _Sample:
     """The words of the fitting sample as numbers, and the terms of each distinct word: a row of
     hashes, -1 where a word is too short for a head."""
 
-    def __init__(self, labelled: list[tuple[str, int]]) -> None:
+    def __init__(self, labelled: list[tuple[str | tuple[str, bytes], int]]) -> None:
         number: dict[str, int] = {}
         self.texts = []
         for text, _ in labelled:
-            ws = words(text)
-            self.texts.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
+            distinct, own = numbered(text) if isinstance(text, str) else text
+            ws = distinct.split()
+            self.texts.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws))[np.frombuffer(own, np.int32)])
         self.labels = np.array([y for _, y in labelled])
         self.terms = np.full((len(number), 1 + len(HEADS)), -1, np.int64)
         for word, n in number.items():
@@ -160,7 +169,7 @@ class _Sample:
             yield windows(at, mine[at, column], len(text))
 
 
-def fit_machine(labelled: list[tuple[str, int]], epochs: int = EPOCHS, sharper: int = SHARPER, seed: int = 11
+def fit_machine(labelled: list[tuple[str | tuple[str, bytes], int]], epochs: int = EPOCHS, sharper: int = SHARPER, seed: int = 11
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(terms, linear, factors, bias) by AdaGrad on the windows of the texts."""
     sample = _Sample(labelled)
@@ -233,24 +242,39 @@ class Scorer:
         return max(float(z.max()), m.bias) if len(z) else m.bias
 
 
+def _numbered(sample: DataFrame) -> list[tuple[tuple[str, bytes], int]]:
+    """((distinct words, numbers), label) of whole texts, made in Spark tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                found = [numbered(t) for t in texts(some)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), some.column("label"), pa.array([d for d, _ in found], pa.string()), pa.array([n for _, n in found], pa.binary())],
+                    ["doc_id", "label", "distinct", "numbers"])
+
+    schema = T.StructType([sample.schema["doc_id"], sample.schema["label"], T.StructField("distinct", T.StringType()), T.StructField("numbers", T.BinaryType())])
+    return [((r.distinct, bytes(r.numbers)), r.label) for r in sample.select("doc_id", "label", "text").mapInArrow(run, schema).orderBy("doc_id").collect()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, fit_rows: int = FIT_ROWS,
         calibration_rows: int = CALIBRATION_ROWS) -> Model:
     """The model from labelled rows outside the held-out fold. With rows of one class only, the
     score is that class for all; with none it is 0.5."""
-    rows, rest = sampled(docs, training_ids(docs, labels, "toxic", folds, fold), fit_rows, calibration_rows)
+    first, rest = sampled(docs, training_ids(docs, labels, "toxic", folds, fold), fit_rows, calibration_rows)
+    rows = _numbered(first)
     seen = {y for _, y in rows}
     if len(seen) < 2:
         flat = 0.0 if not seen else 30.0 if 1 in seen else -30.0
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), 0.0, (0.0, flat))
     terms, linear, factors, bias = fit_machine(rows)
-    scorer = Scorer(Model(terms, linear, factors, bias, (1.0, 0.0)))
-    z = np.array([[scorer.logit(t)] for t, _ in rest])
-    w = logistic(z, np.array([y for _, y in rest], float))
+    scored = _scored(rest, Model(terms, linear, factors, bias, (1.0, 0.0)), ["label"]).orderBy("doc_id").collect()
+    w = logistic(np.array([[r.logit] for r in scored]), np.array([r.label for r in scored], float))
     return Model(terms, linear, factors, bias, (float(w[0]), float(w[1])))
 
 
-def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, columns of ``keep``, score): the probability that a whole text is toxic."""
+def _scored(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, logit, score) of whole texts."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # terms of a bounded sample
     key = hashlib.sha256(b"/".join(x.tobytes() for x in (model.terms, model.linear, model.factors))
                          + repr((model.bias, model.weights)).encode()).hexdigest()
@@ -263,11 +287,17 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
                 some = batch.slice(at, 512)
                 z = np.array([scorer.logit(t) for t in texts(some)])
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), *(some.column(c) for c in keep), pa.array(probability(z.reshape(-1, 1), w))],
-                    ["doc_id", *keep, "score"])
+                    [some.column("doc_id"), *(some.column(c) for c in keep), pa.array(z), pa.array(probability(z.reshape(-1, 1), w))],
+                    ["doc_id", *keep, "logit", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), *keep, *({"text"} - set(keep)))
-    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)),
+                                              *(T.StructField(c, T.DoubleType()) for c in ("logit", "score"))]))
+
+
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, score): the probability that a whole text is toxic."""
+    return _scored(docs, model, keep).select("doc_id", *keep, "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7,

@@ -65,3 +65,20 @@ def test_edge_cases(spark, classify, column):
     two = spark.createDataFrame([(1, 1, 0, "z"), (2, 0, 1, "z"), (2, 0, 1, "z"), (4, 0, 0, "z"), (5, 1, 1, "z"), (6, None, None, "z"), (None, 1, 1, "z")], none.schema)
     assert len(classify(docs, two).collect()) == 7
     assert classify(docs.limit(0), two).collect() == []
+
+
+@pytest.mark.parametrize("module,column,good", [(t, "toxic", 0), (q, "quality", 1)])
+def test_whole_texts_are_learned(spark, module, column, good):
+    """What tells the classes apart stands behind the first 40,000 characters of every text."""
+    rng = random.Random(5)
+    filler = [f"f{i}" for i in range(300)]
+    tell = {v: [f"{'bright' if v == good else 'gloomy'}{i}" for i in range(40)] for v in (0, 1)}
+    docs, labels = [], []
+    for i in range(120):
+        head = " ".join(rng.choice(filler) for _ in range(11_000))
+        docs.append((i, head + "\n" + "\n".join(" ".join(rng.choice(tell[i % 2]) for _ in range(12)) for _ in range(60))))
+        labels.append((i, i % 2))
+    assert min(len(x) for _, x in docs) > 40_000
+    rows = module.classify(spark.createDataFrame(docs, "doc_id long, text string").repartition(8),
+                           spark.createDataFrame(labels, f"doc_id long, {column} int"), threshold=0.5).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in rows if r.held_out) > 0.9 * sum(r.held_out for r in rows)
