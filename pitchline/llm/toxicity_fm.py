@@ -9,8 +9,10 @@ A word gives several terms, itself and its head, so forms of a word met for the
 too. Windows of a toxic text need not all be toxic: after a few rounds on all of them, only the
 most toxic window of such a text is still taken for a positive example.
 
-Terms are hashed to 32 bits and only those are kept whose share of texts differs between the
-classes of the fitting sample, which bounds the model by that sample.
+Terms are hashed to 32 bits; those of two or more texts of the fitting sample take part, which bounds
+the model by that sample. First those learn whose own share of texts differs between the classes, then all
+on what these leave unexplained: partners of a toxic pair may be as frequent in clean texts, and toxic
+words may be rare.
 """
 
 from __future__ import annotations
@@ -45,8 +47,10 @@ CACHE_ENTRIES = 200_000
 #: Weights below this, on both the linear and the pair side, are as good as none.
 SMALL = 0.02
 RIDGE = 0.01
-#: Standard errors by which a term's share must differ between the classes.
+#: Standard errors by which the share of a term that learns first differs between the classes.
 TELLING = 3.5
+#: Windows whose pair terms are summed at once.
+CHUNK = 20_000
 
 _WORD = re.compile(r"\w+")
 
@@ -143,9 +147,9 @@ class _Sample:
             found = terms_of(word)
             self.terms[n, : len(found)] = found
 
-    def telling(self) -> np.ndarray:
-        """Terms whose share of texts differs between the classes by ``TELLING`` standard errors.
-        Both partners of a toxic pair differ, if less than a word that is toxic alone."""
+    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of two or more texts, and whether their share of texts differs between the classes by
+        ``TELLING`` standard errors."""
         def distinct(text: np.ndarray) -> np.ndarray:
             found = np.unique(self.terms[np.unique(text)])
             return found[found >= 0].astype(np.uint32)
@@ -157,7 +161,8 @@ class _Sample:
         n = [max(1, int((self.labels == want).sum())) for want in (0, 1)]
         p = (clean + toxic) / sum(n)
         z = (toxic / n[1] - clean / n[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
-        return terms[(np.abs(z) > TELLING) & (clean + toxic > 1)].astype(np.int64)
+        keep = clean + toxic > 1
+        return terms[keep].astype(np.int64), np.abs(z[keep]) > TELLING
 
     def windows(self, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(window, row of ``terms``) of each text."""
@@ -173,13 +178,13 @@ def fit_machine(labelled: list[tuple[str | tuple[str, bytes], int]], epochs: int
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(terms, linear, factors, bias) by AdaGrad on the windows of the texts."""
     sample = _Sample(labelled)
-    terms = sample.telling()
+    terms, telling = sample.repeated()
     win, row, owner, base = [], [], [], 0
     for number, (a, b) in enumerate(sample.windows(terms)):
         n = int(a[-1]) + 1 if len(a) else 0
-        win.append(a + base)
-        row.append(b)
-        owner.append(np.full(n, number))
+        win.append((a + base).astype(np.int32))
+        row.append(b.astype(np.int32))
+        owner.append(np.full(n, number, np.int32))
         base += n
     rng = np.random.default_rng(seed)
     linear, factors, bias = np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS)), 0.0
@@ -188,14 +193,21 @@ def fit_machine(labelled: list[tuple[str | tuple[str, bytes], int]], epochs: int
     win, row, owner = np.concatenate(win), np.concatenate(row), np.concatenate(owner)
     toxic = sample.labels.astype(float)
     y = toxic[owner]
-    first = np.searchsorted(win, np.arange(base + 1))
-    filled = np.flatnonzero(np.diff(first))
-    g_linear, g_factors, g_bias = np.full(len(terms), 1e-2), np.full((len(terms), FACTORS), 1e-2), 1e-2
-    for epoch in range(epochs + sharper):
+    all_win, all_row = win, row
+    factors[~telling] *= 0.6
+    g_linear, g_factors, g_bias = np.where(telling, 1e-2, 1.0), np.full((len(terms), FACTORS), 1e-2), 1e-2
+    rounds = range(epochs + sharper)
+    for everything, epoch in [*((False, e) for e in rounds if telling.any()), *((True, e) for e in rounds)]:
+        if not epoch:
+            win, row = (all_win, all_row) if everything else (x[telling[all_row]] for x in (all_win, all_row))
+            first = np.searchsorted(win, np.arange(base + 1, dtype=win.dtype))
+            filled = np.flatnonzero(np.diff(first))
         use, weight = filled, np.ones(base)
         if epoch >= epochs:
             z = np.full(base, -np.inf)
-            z[filled] = logits(win, row, linear, factors, bias)
+            for some in np.split(filled, range(CHUNK, len(filled), CHUNK)):
+                part = slice(first[some[0]], first[some[-1] + 1])
+                z[some] = logits(win[part], row[part], linear, factors, bias)
             best = np.full(len(labelled), -np.inf)
             np.maximum.at(best, owner, z)
             use = filled[(y[filled] == 0) | (z[filled] >= best[owner[filled]])]

@@ -82,3 +82,21 @@ def test_whole_texts_are_learned(spark, module, column, good):
     rows = module.classify(spark.createDataFrame(docs, "doc_id long, text string").repartition(8),
                            spark.createDataFrame(labels, f"doc_id long, {column} int"), threshold=0.5).collect()
     assert sum(r.predicted == r.doc_id % 2 for r in rows if r.held_out) > 0.9 * sum(r.held_out for r in rows)
+
+
+def test_pairs_of_equally_frequent_words():
+    """Both words stand in every text, in one window of the toxic and in different windows of the clean ones."""
+    rng = random.Random(6)
+    filler = [f"f{i}" for i in range(300)]
+    rows = []
+    for i in range(3000):
+        ws = [rng.choice(filler) for _ in range(160)]
+        a = rng.randrange(40, 60)
+        ws[a] = "insult"
+        ws[a + 1 + rng.randrange(6) if i % 2 else a + 80] = "group"
+        rows.append((" ".join(ws), i % 2))
+    model = t.Model(*t.fit_machine(rows[:2000]), (1.0, 0.0))
+    s = t.Scorer(model)
+    z = [s.logit(x) for x, _ in rows[2000:]]
+    level = sorted(z)[500]
+    assert sum((v > level) == bool(y) for v, (_, y) in zip(z, rows[2000:])) / 1000 > 0.9
