@@ -10,7 +10,9 @@ from pitchline.llm import (
     compression_quality,
     golay_simhash,
     html_host,
+    periodic_runs,
     permutation_ann,
+    prefix_bpe,
     projection_neardup,
     repeat_tree,
     sentencepiece_bpe,
@@ -69,6 +71,21 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = prefix_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents")), least_length=6, least_turns=4)
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", periodic_runs.best_run()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece_bpe": op1_sentencepiece_bpe,
     "op2_toxicity_fm": op2_toxicity_fm,
@@ -80,6 +97,8 @@ QUERIES = {
     "op8_repeat_tree": op8_repeat_tree,
     "op9_swap_packing": op9_swap_packing,
     "op10_golay_simhash": op10_golay_simhash,
+    "op11_prefix_bpe": op11_prefix_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_stupid_backoff": r"""
