@@ -114,6 +114,19 @@ INCREMENTAL_ANTI = with_fb("""
 select match_id, competition_folder_name, season_year from fb_matches
 where match_id not in (select match_id from fb where season = 2022)""")
 
+INCREMENTAL_EVENTS = SCAN_SPARSE_UNION
+
+INCREMENTAL_LINEUPS = FLATTEN_LINEUPS
+
+QUARANTINE_FILES = with_fb("""
+select match_id, 'landed' as outcome, events, players
+from (select match_id, count(*) as events from fb group by match_id)
+join (select match_id, count(*) as players from fb_lineups group by match_id) using (match_id)
+where match_id not in (1, 2)
+union all
+select distinct match_id, case match_id when 1 then 'unreadable events' else 'unreadable lineups' end, null, null
+from fb where match_id in (1, 2)""")
+
 QUARANTINE_SPLIT = with_fb("""
 select outcome, count(*) as rows from (
   select case when start_x is null then 'missing_location'

@@ -58,6 +58,9 @@ def oracle_sql() -> dict[str, str]:
         "flatten_lineups": b.FLATTEN_LINEUPS,
         "union_all_matches": b.UNION_ALL_MATCHES,
         "incremental_anti": b.INCREMENTAL_ANTI,
+        "incremental_events": b.INCREMENTAL_EVENTS,
+        "incremental_lineups": b.INCREMENTAL_LINEUPS,
+        "quarantine_files": b.QUARANTINE_FILES,
         "quarantine_split": b.QUARANTINE_SPLIT,
         "stg_events": b.STG_EVENTS,
         "stg_matches": b.STG_MATCHES,

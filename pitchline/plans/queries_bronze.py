@@ -34,7 +34,7 @@ def land_all(spark, sf) -> tuple[str, Tables]:
 
 
 def _silver_matches(spark, root: str) -> DataFrame:
-    return sv.stg_matches(spark.read.parquet(f"{root}/matches"))
+    return sv.stg_matches(br.read_matches(spark, root))
 
 
 def _fields_as_text(names: list[str]):
@@ -59,10 +59,34 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _drifting(raw: DataFrame) -> dict[str, DataFrame]:
+    """Raw events cut into shapes, each without columns that are NULL in all of its rows and some
+    with other number types, as files written a match at a time differ."""
+    flags = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    places = ["location", "pass_end_location", "carry_end_location"]
+    known, named, flagged = ~F.isnan("player_id"), col("player").isNotNull(), F.coalesce(*[col(f"`{c}`") for c in flags]).isNotNull()
+    placed = F.coalesce(*places).isNotNull()
+    whole_id, real_minute = col("player_id").cast("long"), col("minute").cast("double")
+    return {
+        "nobody": raw.where(~known & ~named & ~flagged).drop("player", *flags).withColumn("player_id", col("player_id").cast("float")),
+        "unplaced": raw.where(known & ~flagged & ~placed).drop(*flags, *places).withColumn("period", col("period").cast("long")),
+        "unflagged": raw.where(known & ~flagged & placed).drop(*flags).withColumn("player_id", whole_id),
+        "flagged": raw.where(known & flagged).withColumn("player_id", whole_id).withColumn("minute", real_minute),
+        "unknown": raw.where(~known & flagged).withColumn("minute", real_minute),
+        "stray": raw.where(~known & named & ~flagged),
+    }
+
+
 @query("scan_sparse_union")
 def q_scan_sparse_union(spark, sf):
+    """A1: files of every kind in several shapes, with columns missing and numbers drifting between
+    whole and double inside a kind's folder, read back without losing a value."""
     root, _ = land_all(spark, sf)
-    return as_text(br.read_bronze_events(spark, root))
+    folder = _root(spark)
+    for shape, rows in _drifting(br.read_bronze_events(spark, root)).items():
+        rows.withColumn("shape", F.lit(shape)).write.mode("append").partitionBy("type", "competition", "season").parquet(folder)
+    parts = {"type": "string", "competition": "string", "season": "int"}
+    return as_text(br.read_sparse_union(spark, [folder], br.BRONZE_EVENT_SCHEMA, folder, parts).drop("shape"))
 
 
 @query("scan_hive_partitions")
@@ -79,7 +103,7 @@ def q_bronze_profile(spark, sf):
     the number of file groups whose footer holds the column (one aggregation pass)."""
     root, _ = land_all(spark, sf)
     b = br.read_bronze_events(spark, root)
-    groups = [set(spark.read.parquet(p).columns) for p in br.event_groups(spark, root) if br.has_data(spark, p)]
+    groups = list(br.event_groups(spark, root).values())
     fields = [f for f in b.schema.fields if f.name not in ("type", "competition", "season")]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):
@@ -99,7 +123,8 @@ def q_table_inventory(spark, sf):
     """Register every source table as a view, list the catalog and count each table."""
     for name in fbsrc.TABLES:
         fbsrc.read_table(spark, sf, name).createOrReplaceTempView(f"src_{name}")
-    views = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("src_"))
+    own = {f"src_{name}" for name in fbsrc.TABLES}  # the session may hold views of others
+    views = sorted(t.name for t in spark.catalog.listTables() if t.name in own)
     parts = [spark.table(v).agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(v[len("src_"):]).alias("table_name"), "row_count") for v in views]
     return br.union_all(parts)
@@ -118,7 +143,7 @@ def q_flatten_location(spark, sf):
 @query("flatten_lineups")
 def q_flatten_lineups(spark, sf):
     root, _ = land_all(spark, sf)
-    flat = br.flatten_lineups(spark.read.parquet(f"{root}/lineups"))
+    flat = br.flatten_lineups(br.read_lineups(spark, root))
     return as_text(flat)
 
 
@@ -126,27 +151,88 @@ def q_flatten_lineups(spark, sf):
 def q_union_all_matches(spark, sf):
     """C4: every landed competition's match files read one by one and concatenated."""
     root, _ = land_all(spark, sf)
-    frames = [spark.read.option("basePath", f"{root}/matches").parquet(p) for p in br.match_groups(spark, root)]
+    frames = [br.read_matches(spark, root, competition=c) for c in br.match_groups(spark, root)]
     return as_text(sv.stg_matches(br.union_all(frames)))
 
 
-@query("incremental_anti")
-def q_incremental_anti(spark, sf):
-    """An earlier run landed every 2022 match completely and crashed on comp_1
-    2024 after its events; the pending list is every incoming match not landed in all three
-    datasets."""
+def _matches_of(t, ids: DataFrame) -> dict[str, DataFrame]:
+    """The tables' rows of some matches."""
+    return {n: t[n].join(ids.select("match_id"), "match_id", "left_semi").select(*t[n].columns) for n in ("events", "lineups", "matches")}
+
+
+def _interrupted(spark, sf) -> tuple:
+    """A landing history: a first run landed every 2022 match; a second one crashed on comp_1 2024
+    after its events, before lineups, metadata and manifest."""
     t = silver_tables(spark, sf)
     root = _root(spark)
-    first = col("season") == 2022
-    br.land_events(t["events"].where(first), root)
-    br.land_matches(t["matches"].where(col("season_year") == 2022), root)
-    br.land_lineups(t["lineups"].where(col("season_year") == 2022), root)
-    # the interrupted run: events only; dynamic overwrite leaves the 2022 partitions in place
-    br.land_events(t["events"].where(col("competition") == "comp_1"), root)
+    br.land_run(_matches_of(t, t["matches"].where(col("season_year") == 2022)), root)
+    br.land_events(t["events"].where(col("competition") == "comp_1"), root, 1)
+    return t, root
+
+
+@query("incremental_anti")
+def q_incremental_anti(spark, sf):
+    """After the interrupted run the pending list is every incoming match not
+    landed in all three datasets."""
+    t, root = _interrupted(spark, sf)
     pending = br.pending_matches(t["matches"], br.complete_matches(spark, root))
     return pending.select("match_id", "competition_folder_name", "season_year")
 
 
+def _caught_up(spark, sf) -> str:
+    """The pending list landed in two more runs, by odd and even matches, so that each adds to
+    competitions and seasons that hold matches already; then 2022's are landed again."""
+    t, root = _interrupted(spark, sf)
+    for part in (0, 1):
+        pending = br.pending_matches(t["matches"].where(F.expr("match_id div 3") % 2 == part), br.complete_matches(spark, root))
+        br.land_run(_matches_of(t, pending), root)
+    br.land_run(_matches_of(t, t["matches"].where(col("season_year") == 2022)), root)
+    return root
+
+
+@query("incremental_events")
+def q_incremental_events(spark, sf):
+    """Every landed event after five runs, of which one crashed and one landed matches
+    a second time."""
+    return as_text(br.read_bronze_events(spark, _caught_up(spark, sf)))
+
+
+@query("incremental_lineups")
+def q_incremental_lineups(spark, sf):
+    """Every landed lineup row after the same five runs."""
+    return as_text(br.flatten_lineups(br.read_lineups(spark, _caught_up(spark, sf))))
+
+
+def _cut_file(spark, folder: str) -> None:
+    """Leaves the first bytes of one data file of a folder, as a broken transfer does."""
+    path, _, _ = br.data_files(spark, folder)[0]
+    p, fs = br.epochs.path_of(spark, path)
+    out = fs.create(p, True)
+    out.write(b"PAR1 cut")
+    out.close()
+
+
+@query("quarantine_files")
+def q_quarantine_files(spark, sf):
+    """Raw files of every match dropped, the events of match 1 and the lineups of match 2
+    cut short; what was landed of each match and what was quarantined for which dataset."""
+    t = silver_tables(spark, sf)
+    drop, root = _root(spark), _root(spark)
+    br.raw_events(t["events"]).repartition("match_id").write.partitionBy("match_id").parquet(f"{drop}/events")
+    br.nest_lineups(t["lineups"]).repartition("match_id").write.partitionBy("match_id").parquet(f"{drop}/lineups")
+    br.raw_matches(t["matches"]).write.parquet(f"{drop}/matches")
+    _cut_file(spark, f"{drop}/events/match_id=1")
+    _cut_file(spark, f"{drop}/lineups/match_id=2")
+    epoch = br.land_incoming(spark, drop, root)
+    events = br.read_bronze_events(spark, root).groupBy("match_id").agg(F.count(F.lit(1)).alias("events"))
+    players = br.flatten_lineups(br.read_lineups(spark, root)).groupBy("match_id").agg(F.count(F.lit(1)).alias("players"))
+    landed = br.read_matches(spark, root).select("match_id").join(events, "match_id").join(players, "match_id").withColumn(
+        "outcome", F.lit("landed"))
+    refused = spark.read.parquet(f"{root}/quarantine/epoch={epoch}").select(
+        "match_id", F.concat(F.lit("unreadable "), "dataset").alias("outcome"))
+    return landed.unionByName(refused, allowMissingColumns=True)
+
+
 @query("quarantine_split")
 def q_quarantine_split(spark, sf):
     """Bronze events by the reason they are quarantined for, or accepted; one pass."""
@@ -181,7 +267,7 @@ def q_stg_competitions(spark, sf):
 @query("stg_lineups")
 def q_stg_lineups(spark, sf):
     root, _ = land_all(spark, sf)
-    return as_text(sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{root}/lineups"))))
+    return as_text(sv.stg_lineups(br.flatten_lineups(br.read_lineups(spark, root))))
 
 
 @query("sink_roundtrip")

@@ -141,11 +141,11 @@ def staged(spark: SparkSession, sf_dir: str) -> str:
     (sv.stg_events(br.read_bronze_events(spark, bronze), sort_within_match=False)
      .sortWithinPartitions("competition", "season", "match_id", "period", "minute", "second", "event_index")
      .write.partitionBy("competition", "season").parquet(f"{tmp}/events"))
-    good, bad = sv.split_matches(spark.read.parquet(f"{bronze}/matches"))
+    good, bad = sv.split_matches(br.read_matches(spark, bronze))
     good.write.parquet(f"{tmp}/matches")
     bad.write.parquet(f"{tmp}/quarantine")
     sv.stg_competitions(spark.read.parquet(f"{tmp}/matches")).write.parquet(f"{tmp}/competitions")
-    sv.stg_lineups(br.flatten_lineups(spark.read.parquet(f"{bronze}/lineups"))).write.parquet(f"{tmp}/lineups")
+    sv.stg_lineups(br.flatten_lineups(br.read_lineups(spark, bronze))).write.parquet(f"{tmp}/lineups")
     done, fs = _fs(spark, f"{tmp}/_STAGED")
     fs.create(done).close()
     _publish(spark, tmp, path)

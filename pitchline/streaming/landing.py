@@ -4,15 +4,17 @@ The original loader re-runs over all matches and skips those already landed. Her
 files dropped into an incoming folder are a streaming file source: the checkpoint records which
 files were processed (each file exactly once), and every micro-batch
 
-1. drops the events it holds twice and those that EARLIER batches landed, by event id, so an
-   event that arrives again in a later drop is not landed twice, while a match whose files are
+1. puts rows without a match or event id aside under ``refused/epoch=<batch id>`` with the reason:
+   nothing tells whether they were met before;
+2. drops the events it holds twice and those that EARLIER batches landed, by match and event id, so
+   an event that arrives again in a later drop is not landed twice, while a match whose files are
    spread over any number of batches arrives whole;
-2. writes the new events under ``epoch=<batch id>`` with overwrite, so a retried batch replaces
+3. writes the new events under ``epoch=<batch id>`` with overwrite, so a retried batch replaces
    its own output instead of duplicating it;
-3. writes the ledger, one row per match of the batch, from the events it has just written.
+4. writes the ledger, one row per match of the batch, from the events it has just written.
 
-The ledger tells which matches have been met before: only their earlier events are read for the
-comparison, so a batch of new matches compares with nothing.
+The ledger tells which matches have been met before, and in which epochs: only those epochs' folders
+are read for the comparison, so a batch of new matches compares with nothing.
 """
 
 from __future__ import annotations
@@ -30,23 +32,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _landed(spark: SparkSession, root: str, before_epoch: int) -> DataFrame | None:
-    """(match_id, event_id) of earlier batches, for matches the ledger has from them."""
+def _landed(batch: DataFrame, root: str, before_epoch: int) -> DataFrame | None:
+    """(match_id, event_id) of earlier batches, for the batch's matches that the ledger has from them."""
+    spark = batch.sparkSession
     if before_epoch == 0 or not _exists(spark, f"{root}/ledger") or not _exists(spark, f"{root}/events"):
         return None
-    return spark.read.parquet(f"{root}/events").where(col("epoch") < before_epoch).select("match_id", "event_id")
+    ledger = spark.read.parquet(f"{root}/ledger").where(col("epoch") < before_epoch)
+    met = ledger.join(batch.select("match_id").distinct(), "match_id", "left_semi")
+    where = [r.epoch for r in met.select("epoch").distinct().collect()]  # one number a batch at most
+    if not where:
+        return None
+    old = spark.read.parquet(f"{root}/events").where(col("epoch").isin(where)).select("epoch", "match_id", "event_id")
+    return old.join(met, ["epoch", "match_id"], "left_semi").select("match_id", "event_id")
 
 
 def land_batch(batch: DataFrame, epoch_id: int, root: str, partitions=("competition", "season")) -> None:
-    """One micro-batch: land the events that no earlier batch has landed, once each, then the
-    ledger rows of their matches, both under ``epoch=<id>`` (overwrite: a retry replaces its own)."""
+    """One micro-batch: put rows without ids aside, land the events that no earlier batch has
+    landed, once each, then the ledger rows of their matches, all under ``epoch=<id>`` (overwrite:
+    a retry replaces its own)."""
     spark = batch.sparkSession
-    new = batch.dropDuplicates(["event_id"])  # a shuffle on a unique key, so no hot partition
-    landed = _landed(spark, root, epoch_id)
+    why = F.when(col("match_id").isNull(), "missing match_id").when(col("event_id").isNull(), "missing event_id")
+    batch.withColumn("reason", why).where("reason IS NOT NULL").write.mode("overwrite").parquet(f"{root}/refused/epoch={epoch_id}")
+    key = ["match_id", "event_id"]
+    new = batch.dropna(subset=key).dropDuplicates(key)  # a shuffle on a unique key, so no hot partition
+    landed = _landed(batch, root, epoch_id)
     if landed is not None:
-        met = spark.read.parquet(f"{root}/ledger").where(col("epoch") < epoch_id).select("match_id")
-        again = batch.select("match_id").distinct().join(met.distinct(), "match_id", "left_semi")
-        new = new.join(landed.join(again, "match_id", "left_semi"), "event_id", "left_anti").select(*batch.columns)
+        new = new.join(landed, key, "left_anti").select(*batch.columns)
     events = f"{root}/events/epoch={epoch_id}"
     new.write.mode("overwrite").partitionBy(*partitions).parquet(events)
     written = spark.read.schema(batch.schema).parquet(events)
@@ -67,3 +78,7 @@ def start_landing(spark: SparkSession, incoming: str, schema, root: str, checkpo
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/events")
+
+
+def read_refused(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/refused")

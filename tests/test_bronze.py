@@ -39,6 +39,18 @@ def test_nan_values_become_null(spark):
     assert got == [(None, None), (None, None), (7, "Leo")]
 
 
+def _only(t, cond):
+    """The view's tables for the matches that fulfil a condition."""
+    ids = t.matches.where(cond).select("match_id")
+    return {"events": t.ev.join(ids, "match_id", "left_semi").select(*t.ev.columns),
+            "lineups": t.lineups.join(ids, "match_id", "left_semi").select(*t.lineups.columns),
+            "matches": t.matches.where(cond)}
+
+
+def _events(spark, root, **kw):
+    return sorted((r.match_id, r.id) for r in br.read_bronze_events(spark, root, **kw).select("match_id", "id").collect())
+
+
 def test_incremental_landing_is_idempotent(spark):
     t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
@@ -46,20 +58,115 @@ def test_incremental_landing_is_idempotent(spark):
     br.land_events(t.ev, root)
     br.land_lineups(t.lineups.where(F.col("season_year") == 2022), root)
     br.land_matches(t.matches.where(F.col("season_year") == 2022), root)
+    assert br.complete_matches(spark, root).count() == 0  # nothing counts before the manifest
+    br.commit(spark, root)
     pending = br.pending_matches(t.matches, br.complete_matches(spark, root))
     want = {r.match_id for r in t.matches.where(F.col("season_year") != 2022).collect()}
     assert {r.match_id for r in pending.collect()} == want and want
     # land the rest; a re-run then finds nothing to do
-    br.land_lineups(t.lineups, root)
-    br.land_matches(t.matches, root)
+    assert br.land_run(_only(t, F.col("season_year") != 2022), root) == 1
     assert br.pending_matches(t.matches, br.complete_matches(spark, root)).count() == 0
+    assert _events(spark, root) == sorted((r.match_id, r.event_id) for r in t.ev.collect())
+
+
+def test_a_later_landing_keeps_what_was_landed(spark):
+    """One match, then another of the same competition and season, then the first again."""
+    t = Fb(spark, SF0001)
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    same = t.matches.groupBy("competition_folder_name", "season_year").agg(F.sort_array(F.collect_list("match_id")).alias("m")).orderBy(F.size("m").desc()).first()
+    one, two = same.m[0], same.m[1]
+    sizes = {r.match_id: r["count"] for r in t.ev.groupBy("match_id").count().collect()}
+    players = {r.match_id: r["count"] for r in t.lineups.groupBy("match_id").count().collect()}
+    for epoch, m in enumerate((one, two, one)):
+        assert br.land_run(_only(t, F.col("match_id") == m), root) == epoch
+        landed = {m for m in (one, two)[: epoch + 1]}
+        got = {r.match_id: r["count"] for r in br.read_bronze_events(spark, root).groupBy("match_id").count().collect()}
+        assert got == {m: sizes[m] for m in landed}
+        flat = br.flatten_lineups(br.read_lineups(spark, root))
+        assert {r.match_id: r["count"] for r in flat.groupBy("match_id").count().collect()} == {m: players[m] for m in landed}
+        assert {r.match_id for r in br.read_matches(spark, root).collect()} == landed
+    assert len(_events(spark, root, committed=False)) == 2 * sizes[one] + sizes[two]
+    import pytest
+    with pytest.raises(ValueError):  # a committed epoch is never written again
+        br.land_events(t.ev, root, 0)
+    # a run that crashed before its commit is tried again in its own epoch
+    br.land_events(_only(t, F.col("match_id") == two)["events"], root, 3)
+    assert br.epochs.next_epoch(spark, root) == 4
+    assert br.land_run(_only(t, F.col("match_id") == two), root, 3) == 3
+    assert len(_events(spark, root)) == sizes[one] + sizes[two]
+
+
+def test_files_of_one_folder_with_other_columns_and_types(spark):
+    """Five column sets and drifting numbers inside one folder: no value is lost."""
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    rows = [("id long, n long, s string", [(1, 5, "a"), (2, None, "b")]), ("id int, n double", [(3, 2.5)]), ("id long", [(4,)]),
+            ("id long, n int, extra long", [(5, 7, 8)]), ("id long, extra double, more array<int>", [(6, 0.5, [1, 2])]),
+            ("id long, more array<double>", [(7, [0.5])])]
+    for schema, some in rows:
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{root}/p")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.DoubleType()), T.StructField("s", T.StringType()),
+                           T.StructField("never", T.IntegerType())])
+    for late in (False, True):
+        got = br.read_sparse_union(spark, [f"{root}/p"], schema)
+        assert dict(got.dtypes) == {"id": "bigint", "n": "double", "s": "string", "never": "int", "extra": "double", "more": "array<double>",
+                                    **({"late": "int"} if late else {})}
+        assert sorted(map(tuple, got.select("id", "n", "s", "never", "extra", "more").collect())) == [
+            (1, 5.0, "a", None, None, None), (2, None, "b", None, None, None), (3, 2.5, None, None, None, None), (4, None, None, None, None, None),
+            (5, 7.0, None, None, 8.0, None), (6, None, None, None, 0.5, [1.0, 2.0]), (7, None, None, None, None, [0.5])]
+        # a new file is seen: the footers known are those of the same files
+        spark.createDataFrame([], "id long, s string, late int").write.mode("append").parquet(f"{root}/p")
+
+
+def _local(path):
+    return path.removeprefix("file:")
+
+
+def _drop(spark, t, folder):
+    br.raw_events(t.ev).repartition("match_id").write.partitionBy("match_id").parquet(f"{folder}/events")
+    br.nest_lineups(t.lineups).repartition("match_id").write.partitionBy("match_id").parquet(f"{folder}/lineups")
+    br.raw_matches(t.matches).write.parquet(f"{folder}/matches")
+
+
+def test_unreadable_files_are_isolated(spark):
+    import glob
+
+    t = Fb(spark, SF0001)
+    drop, root = (shared_scratch(spark, f"test/{uuid.uuid4().hex}") for _ in range(2))
+    _drop(spark, t, drop)
+    sizes = {r.match_id: r["count"] for r in t.ev.groupBy("match_id").count().collect()}
+    cut = glob.glob(f"{_local(drop)}/events/match_id=0/*.parquet")[0]
+    with open(cut, "rb") as f:
+        whole = f.read()
+    with open(cut, "wb") as f:  # a cut file: its footer is gone
+        f.write(whole[: len(whole) // 2])
+    os.remove(glob.glob(f"{_local(drop)}/events/match_id=0/.*.crc")[0])
+    torn = glob.glob(f"{_local(drop)}/events/match_id=1/*.parquet")[0]
+    with open(torn, "r+b") as f:  # its footer is whole, its pages aren't
+        f.seek(4)
+        f.write(b"\xff" * 2000)
+    os.remove(glob.glob(f"{_local(drop)}/events/match_id=1/.*.crc")[0])
+    epoch = br.land_incoming(spark, drop, root)
+    bad = {(r.match_id, r.dataset): (r.path, r.reason) for r in spark.read.parquet(f"{root}/quarantine/epoch={epoch}").collect()}
+    assert {m for m, _ in bad} == {0, 1}
+    path, reason = bad[0, "events"]
+    assert len([k for k in bad if k[0] == 0]) == 1 and path.endswith(os.path.basename(cut)) and reason.startswith("unreadable footer")
+    assert bad[1, "events"][1].startswith("rows lost")
+    good = {m: n for m, n in sizes.items() if m not in (0, 1)}
+    assert {r.match_id: r["count"] for r in br.read_bronze_events(spark, root).groupBy("match_id").count().collect()} == good
+    assert {r.match_id for r in br.read_matches(spark, root).collect()} == {r.match_id for r in br.read_lineups(spark, root).collect()} == set(good)
+    # the next drop brings the files whole
+    again = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    _drop(spark, t, again)
+    assert br.land_incoming(spark, again, root) == epoch + 1
+    assert len(_events(spark, root)) == sum(sizes.values())
+    assert spark.read.parquet(f"{root}/quarantine/epoch={epoch + 1}").count() == 0
 
 
 def test_silver_events_round_trip(spark):
     t = Fb(spark, SF0001)
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     br.land_events(t.ev, root)
-    silver = sv.stg_events(br.read_bronze_events(spark, root))
+    silver = sv.stg_events(br.read_bronze_events(spark, root, committed=False))
     cols = [c for c in t.ev.columns if c not in ("home_team", "away_team")]
     assert len(silver.columns) == 104 + 3
     a = sorted(tuple(r) for r in silver.select(*cols).collect())
@@ -89,7 +196,7 @@ def test_unlisted_kinds_and_null_kinds_are_landed(spark):
     kind = F.when(F.col("event_type") == "Duel", "Half Start").when(F.col("event_type") != "Dribble", F.col("event_type"))
     ev = t.ev.withColumn("event_type", kind)
     br.land_events(ev, root)
-    for back in (br.read_bronze_events(spark, root), br.read_bronze_merged(spark, root)):
+    for back in (br.read_bronze_events(spark, root, committed=False), br.read_bronze_merged(spark, root, committed=False)):
         got = {r["type"]: r["count"] for r in back.groupBy("type").count().collect()}
         want = {r["event_type"]: r["count"] for r in ev.groupBy("event_type").count().collect()}
         assert got == want and "Half Start" in got and None in got
@@ -124,6 +231,21 @@ def test_written_event_files_are_sorted_by_match(spark):
         assert m == sorted(m)
 
 
+def test_streaming_landing_keeps_rows_without_id_and_equal_ids_of_matches(spark):
+    from pitchline.streaming import landing
+    base = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    schema = "event_id long, match_id long, competition string, season int, v int"
+    for drop, rows in enumerate([[(1, 10, "c", 1, 1), (1, 11, "c", 1, 2), (1, 10, "c", 1, 1), (None, 10, "c", 1, 3)],
+                                 [(1, 10, "c", 1, 1), (2, 10, "c", 1, 4), (None, 10, "c", 1, 3), (None, 10, "c", 1, 5), (3, None, "c", 1, 6)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/in/drop={drop}")
+    start = landing.start_landing(spark, f"{base}/in/drop=*", T._parse_datatype_string(schema), f"{base}/out", f"{base}/ckpt", files_per_batch=1)
+    start.awaitTermination()
+    got = sorted((r.match_id, r.event_id, r.v) for r in landing.read_landed(spark, f"{base}/out").collect())
+    assert got == [(10, 1, 1), (10, 2, 4), (11, 1, 2)]
+    refused = sorted((r.v, r.reason) for r in landing.read_refused(spark, f"{base}/out").collect())
+    assert refused == [(3, "missing event_id"), (3, "missing event_id"), (5, "missing event_id"), (6, "missing match_id")]
+
+
 def test_a_rewritten_nested_file_changes_the_fingerprint(spark, tmp_path):
     import os
 
