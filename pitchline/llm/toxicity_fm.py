@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -50,7 +51,7 @@ RIDGE = 0.01
 #: Standard errors by which the share of a term that learns first differs between the classes.
 TELLING = 3.5
 #: Windows whose pair terms are summed at once.
-CHUNK = 20_000
+CHUNK = 2_000
 
 _WORD = re.compile(r"\w+")
 
@@ -150,19 +151,18 @@ class _Sample:
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:
         """Terms of two or more texts, and whether their share of texts differs between the classes by
         ``TELLING`` standard errors."""
-        def distinct(text: np.ndarray) -> np.ndarray:
-            found = np.unique(self.terms[np.unique(text)])
-            return found[found >= 0].astype(np.uint32)
-
-        of = [np.concatenate([np.zeros(0, np.uint32), *(distinct(t) for t, y in zip(self.texts, self.labels, strict=True) if y == want)])
-              for want in (0, 1)]
-        terms, back = np.unique(np.concatenate(of), return_inverse=True)
-        clean, toxic = (np.bincount(x, minlength=len(terms)) for x in np.split(back, [len(of[0])]))
+        terms, back = np.unique(self.terms, return_inverse=True)
+        back = back.reshape(self.terms.shape).astype(np.int32)
+        counts = np.zeros((2, len(terms)), np.int64)
+        for text, label in zip(self.texts, self.labels, strict=True):
+            counts[label, np.unique(back[np.unique(text)])] += 1
+        held = terms >= 0
+        terms, (clean, toxic) = terms[held], counts[:, held]
         n = [max(1, int((self.labels == want).sum())) for want in (0, 1)]
         p = (clean + toxic) / sum(n)
         z = (toxic / n[1] - clean / n[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
         keep = clean + toxic > 1
-        return terms[keep].astype(np.int64), np.abs(z[keep]) > TELLING
+        return terms[keep], np.abs(z[keep]) > TELLING
 
     def windows(self, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(window, row of ``terms``) of each text."""
@@ -179,35 +179,38 @@ def fit_machine(labelled: list[tuple[str | tuple[str, bytes], int]], epochs: int
     """(terms, linear, factors, bias) by AdaGrad on the windows of the texts."""
     sample = _Sample(labelled)
     terms, telling = sample.repeated()
-    win, row, owner, base = [], [], [], 0
-    for number, (a, b) in enumerate(sample.windows(terms)):
-        n = int(a[-1]) + 1 if len(a) else 0
-        win.append((a + base).astype(np.int32))
-        row.append(b.astype(np.int32))
-        owner.append(np.full(n, number, np.int32))
-        base += n
+    sizes, rows, owner = array("i"), array("i"), array("i")  # grow in place: one copy of the windows is held
+    for number, (window, row) in enumerate(sample.windows(terms)):
+        count = np.bincount(window).astype(np.int32)  # windows behind a text's last known term are left out
+        sizes.frombytes(count.tobytes())
+        rows.frombytes(row.astype(np.int32).tobytes())
+        owner.frombytes(np.full(len(count), number, np.int32).tobytes())
+    base = len(sizes)
     rng = np.random.default_rng(seed)
     linear, factors, bias = np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS)), 0.0
     if not base or not len(terms):
         return terms, linear, factors * 0, bias
-    win, row, owner = np.concatenate(win), np.concatenate(row), np.concatenate(owner)
+    all_row, owner = np.frombuffer(rows, np.int32), np.frombuffer(owner, np.int32)
+    all_first = np.concatenate(([0], np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)))
     toxic = sample.labels.astype(float)
     y = toxic[owner]
-    all_win, all_row = win, row
     factors[~telling] *= 0.6
     g_linear, g_factors, g_bias = np.where(telling, 1e-2, 1.0), np.full((len(terms), FACTORS), 1e-2), 1e-2
     rounds = range(epochs + sharper)
     for everything, epoch in [*((False, e) for e in rounds if telling.any()), *((True, e) for e in rounds)]:
         if not epoch:
-            win, row = (all_win, all_row) if everything else (x[telling[all_row]] for x in (all_win, all_row))
-            first = np.searchsorted(win, np.arange(base + 1, dtype=win.dtype))
+            row, first = all_row, all_first
+            if not everything:
+                tells = np.flatnonzero(telling[all_row]).astype(np.int32)
+                row, first = all_row[tells], np.searchsorted(tells, all_first)
+                del tells
             filled = np.flatnonzero(np.diff(first))
         use, weight = filled, np.ones(base)
         if epoch >= epochs:
             z = np.full(base, -np.inf)
             for some in np.split(filled, range(CHUNK, len(filled), CHUNK)):
                 part = slice(first[some[0]], first[some[-1] + 1])
-                z[some] = logits(win[part], row[part], linear, factors, bias)
+                z[some] = logits(np.repeat(some, first[some + 1] - first[some]), row[part], linear, factors, bias)
             best = np.full(len(labelled), -np.inf)
             np.maximum.at(best, owner, z)
             use = filled[(y[filled] == 0) | (z[filled] >= best[owner[filled]])]
@@ -215,19 +218,19 @@ def fit_machine(labelled: list[tuple[str | tuple[str, bytes], int]], epochs: int
         if 0 < share < len(use):  # either class weighs a half, no one window over 20 times
             weight = np.where(y > 0, min(20.0, len(use) / (2 * share)), min(20.0, len(use) / (2 * (len(use) - share))))
         for some in np.array_split(rng.permutation(use), max(1, len(use) // 256)):
-            sizes = first[some + 1] - first[some]
-            starts = np.cumsum(sizes) - sizes
-            at = np.arange(sizes.sum()) - np.repeat(starts, sizes) + np.repeat(first[some], sizes)
+            size = first[some + 1] - first[some]
+            starts = np.cumsum(size) - size
+            at = np.arange(size.sum()) - np.repeat(starts, size) + np.repeat(first[some], size)
             r = row[at]
             v = factors[r]
             total = np.add.reduceat(v, starts, axis=0)
             z = bias + np.add.reduceat(linear[r], starts) + 0.5 * (
                 (total * total).sum(1) - np.add.reduceat((v * v).sum(1), starts))
             d = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[some]) * weight[some]
-            each = np.repeat(d, sizes)
+            each = np.repeat(d, size)
             used, back = np.unique(r, return_inverse=True)
             dl = np.bincount(back, each, len(used)) + RIDGE * linear[used]
-            push = each[:, None] * (np.repeat(total, sizes, axis=0) - v)
+            push = each[:, None] * (np.repeat(total, size, axis=0) - v)
             dv = np.stack([np.bincount(back, push[:, f], len(used)) for f in range(FACTORS)], 1) + RIDGE * factors[used]
             g_linear[used] += dl * dl
             g_factors[used] += dv * dv
