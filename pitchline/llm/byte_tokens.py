@@ -28,8 +28,8 @@ def _byte_of_symbol() -> dict[str, int]:
 
 
 class Encoder:
-    """``packed(texts)``: each text's ids as little-endian unsigned 32-bit integers. The strings
-    of special tokens in a text are ordinary text."""
+    """``packed(texts)``: each text's ids as little-endian unsigned 32-bit integers. As the library does
+    by itself, strings of tokens that the file adds to the vocabulary become those tokens."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,10 +37,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model, pre = file["model"], file["pre_tokenizer"] or {}
+        self.added = [t["content"] for t in file.get("added_tokens") or []]
         byte = _byte_of_symbol()
         merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         in_order = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
@@ -52,7 +52,7 @@ class Encoder:
         ) if in_order else None
 
     def _one(self, text: str) -> bytes:
-        if self.fast is not None:
+        if self.fast is not None and not any(t in text for t in self.added):
             try:
                 text.encode("latin-1")
                 ids = self.fast.encode_ordinary(text)
