@@ -31,8 +31,6 @@ ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text a block holds, which bounds a task's memory.
 BLOCK_BYTES = 10 << 20
-#: Most parts of the hash range; each holds about as many keys as a block while there are fewer.
-BUCKETS = 8192
 
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -146,7 +144,7 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_b
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    buckets = min(blocks, BUCKETS)
+    buckets = blocks  # keys of a bucket stay as many as those of a block, whatever the corpus
     width = -(-(1 << 64) // buckets)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)), F.lit(blocks)).cast("int"))
 
