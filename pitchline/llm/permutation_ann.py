@@ -102,11 +102,11 @@ def search(vectors: DataFrame, query: Column, k: int = 5, pivot_count: int = PIV
 
     ``vectors`` needs ``vec_id`` and ``embedding``; other columns are ignored. Rows whose id is
     null and vectors that are null, empty, zero or hold null or non-finite components take no
-    part, as query or candidate; nor do vectors of a length other than a query's. Repeated rows
-    of an id count once.
+    part, as query or candidate; nor do vectors of a length other than a query's. Of rows that
+    share an id the one with the least vector counts.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding")).where("vec_id is not null").where(usable())
-    rows = written(rows.groupBy("vec_id").agg(F.first("embedding").alias("embedding")), "vectors")
+    rows = written(rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
     sizes = {r.d: r.n for r in rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).collect()}
     found = None
     for dim, n in sorted(sizes.items()):

@@ -218,14 +218,14 @@ def neardup(vectors: DataFrame, threshold: float = 0.9, depth: int = DEPTH, widt
 
     ``vectors`` needs ``vec_id`` and ``embedding``; other columns are ignored. Vectors that are
     null, empty, zero or hold null or non-finite components link with nothing, and so do vectors
-    of different lengths. Equal vectors are compared once, as one class. Repeated rows of an id are the same
-    vector. A null id takes no part: no links, null component. ``projections`` follows from the
+    of different lengths. Equal vectors are compared once, as one class. Of rows that share an id
+    the one with the least vector counts. A null id takes no part: no links, null component. ``projections`` follows from the
     number of vectors unless given.
     """
     if projections is not None and not 0 < projections < 1 << 14:
         raise ValueError("projections must lie between 1 and 16383")
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding")).where("vec_id is not null")
-    members = written(rows.where(usable()).distinct().groupBy("vec_id").agg(F.first("embedding").alias("embedding")), "vectors")
+    members = written(rows.where(usable()).distinct().groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
     # a zero may have either sign: adding zero gives the positive one, so that equal vectors have equal keys
     members = members.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0).cast("float")))
     classes = written(members.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "classes")
