@@ -10,6 +10,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitchline.session import temporary_folder
 
@@ -27,6 +28,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a ``row_key`` of its own for every row, in the order of ``doc_id``: the id itself where
+    ids are unique, else a number that follows the id, then the text, null ids last."""
+    ids = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1")
+    if ids.isEmpty():
+        return docs.withColumn("row_key", F.col("doc_id").cast("long"))
+    order = [F.col("doc_id").asc_nulls_last(), "text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
+    return written(docs.orderBy(*order).withColumn("row_key", F.monotonically_increasing_id()), name)
+
+
 def process_cache(kind: str, key: Any, build: Callable[[], Any]) -> Any:
     """One object of each kind for each Python worker process, built on first use and anew when
     ``key`` changes; workers serve many tasks. ``key`` must tell different contents apart."""

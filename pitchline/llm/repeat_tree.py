@@ -26,14 +26,15 @@ contexts is not sorted in one task: its windows are hashed and dealt out one by
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitchline.llm.common import group_starts, sorted_groups, text_bytes, written
+from pitchline.llm.common import group_starts, row_keyed, sorted_groups, text_bytes, written
 
 LENGTH = 100
 K = 20
@@ -378,15 +379,17 @@ def _window_marks(cut: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): ``texts`` is (doc_id, text) dealt by doc_id, ``spans`` (doc_id, low, high)
-    the byte spans that also occur earlier, overlapping ones included."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text")).where("doc_id is not null")
+    """(texts, spans): ``texts`` has every row with its own ``row_key`` in place of ``doc_id``, ``spans``
+    (doc_id, low, high) the byte spans, by that key, that also occur earlier, overlapping ones included."""
+    rows = row_keyed(docs, "keyed").withColumn("own_id", F.col("doc_id").cast("long"))
+    whole = rows.withColumn("doc_id", F.col("row_key"))
+    texts = whole.select("doc_id", "text")
     marks = written(_classed(anchors(texts, length, k), hot), "marks")
     cut = _cut(texts, marks.where(f"contexts > 1 and contexts <= {hot}"))
     spans = marks.where("contexts = 0").select("doc_id", "low", "high").unionByName(_tree_marks(cut, length))
     if not marks.where(f"contexts > {hot}").isEmpty():
         spans = spans.unionByName(_window_marks(_cut(texts, marks.where(f"contexts > {hot}")), length))
-    return texts, spans
+    return whole, spans
 
 
 def _joined(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -397,16 +400,19 @@ def _joined(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[first], reach[np.append(first[1:] - 1, len(low) - 1)]
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT, whole_characters: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept) for each row of ``docs``: ``kept`` is the rest
-    of the bytes. With ``whole_characters`` removed runs are drawn in to whole characters first,
+def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT, whole_characters: bool = False,
+          keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, columns of ``keep``, n_bytes, n_removed, n_spans, kept) for each row of ``docs``: ``kept``
+    is the rest of the bytes. With ``whole_characters`` removed runs are drawn in to whole characters first,
     so ``kept`` is valid UTF-8.
 
-    ``docs`` needs ``doc_id`` (unique, else the rows of an id are taken for the same document)
-    and ``text``; other columns are ignored. A null text counts as empty; a null doc_id takes no part and
-    is left out. A text shorter than ``length`` bytes is kept whole.
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Every row is a document of its
+    own: rows that share an id come in the order of their texts, rows without an id behind all others.
+    So of repeated rows the first keeps its text. A null text counts as empty. A text shorter than
+    ``length`` bytes is kept whole. An empty table gives an empty result.
     """
-    texts, spans = repeated_spans(docs, length, k, hot)
+    rows, spans = repeated_spans(docs.select("doc_id", "text", *keep), length, k, hot)
+    texts = rows.select("doc_id", "own_id", "text", *keep)
     per_doc = spans.groupBy("doc_id").agg(F.collect_list(_span()).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,11 +436,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT, who
                 out["n_spans"].append(len(runs[0]))
                 out["kept"].append(kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")),
-                 pa.array(out["kept"], pa.binary())], ["doc_id", *out])
+                [batch.column("own_id"), *(batch.column(c) for c in keep), *(pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")),
+                 pa.array(out["kept"], pa.binary())], ["doc_id", *keep, *out])
 
-    return texts.join(per_doc, "doc_id", "left").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    joined = texts.join(per_doc, "doc_id", "left")
+    return joined.select("own_id", *keep, "text", "spans").mapInArrow(run, T.StructType([
+        T.StructField("doc_id", T.LongType()), *(joined.schema[c] for c in keep),
+        *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())]))
 
 
 def _without(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> bytes:

@@ -33,7 +33,6 @@ def test_run_matches_brute_force(spark):
     rest = p.substring_dedup(spark, stage, SF)
     assert rest.columns == docs.columns and rest.dtypes == docs.dtypes
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     for r in rest.collect():
         n, gone, _, _ = cut[r.doc_id]
         assert 0 <= len(r.text.encode()) - (n - gone) <= 6 * (gone > 0) * cut[r.doc_id][2]
@@ -42,6 +41,26 @@ def test_run_matches_brute_force(spark):
         assert sum(x.length for x in mine) == len(tok.encode(r.text, add_special_tokens=False).ids) + 1
 
 
+def test_rows_are_kept_for_their_texts_not_their_ids(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    words = [" ".join(f"{w}{i * i}" for i in range(60)) for w in ("one", "two", "three", "four")]
+    rows = [(1, words[0]), (1, words[0]), (1, words[1]), (None, words[2]), (None, words[2]), (None, words[3]), (2, words[0])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], schema)
+    left = p.simhash_dedup(spark, docs, SF)
+    assert left.columns == docs.columns
+    want = [(1, words[0]), (1, words[1]), (None, words[2]), (None, words[3])]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+    cut = p.substring_dedup(spark, left, SF)
+    assert cut.columns == docs.columns and sorted(((r.doc_id, r.text) for r in cut.collect()), key=str) == sorted(want, key=str)
+
+
+def test_clashing_columns_are_left_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: p.F.lit(1) for c in ("key", "id", "label", "score", "fingerprint", "kept")})
+    for _, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == p.COLUMNS and out.count() > 0
+
+
 def test_stages_take_empty_tables_and_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame(

@@ -60,6 +60,17 @@ def test_hot_anchor_path_gives_the_same(spark):
     assert answer(r.dedup(docs, hot=2)) == brute(rows)
 
 
+def test_repeated_rows_and_null_ids_are_documents_of_their_own(spark):
+    rng = random.Random(9)
+    text, other = "".join(rng.choice("abcdefgh") for _ in range(409)), "y" + "z" * 20
+    rows = [(1, text), (1, text), (None, text + "!"), (1, other), (0, "before"), (None, None)]
+    docs = spark.createDataFrame([(*x, 7) for x in rows], "doc_id long, text string, key int")
+    got = sorted(((x.doc_id, x.n_bytes, x.n_removed, bytes(x.kept).decode()) for x in r.dedup(docs).collect()), key=str)
+    assert got == sorted([(1, 409, 0, text), (1, 409, 409, ""), (None, 410, 409, "!"), (1, 21, 0, other), (0, 6, 0, "before"), (None, 0, 0, "")], key=str)
+    kept = r.dedup(docs, keep=["key"])
+    assert kept.columns == ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "kept"] and {x.key for x in kept.collect()} == {7}
+
+
 def test_empty_table(spark):
     assert r.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
