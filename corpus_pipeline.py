@@ -1,8 +1,8 @@
 """Training-data pipeline over ``documents``; each stage's result is written and reread.
 
 Every stage takes all that its predecessor kept and needs ``doc_id`` and ``text``. Null texts count
-as empty; rows without an id pass the filters and leave with the near-duplicate stage, since they
-can't stand for a group; of repeated rows of an id one stays there. Empty tables pass through.
+as empty. Every row is a document of its own: rows without an id and rows that share one are
+compared like others, and only those go whose texts are near copies. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.llm import compression_quality, golay_simhash, repeat_tree, swap_packing, toxicity_fm
-from pitchline.llm.common import table, written
+from pitchline.llm.common import row_keyed, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,17 +30,18 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group."""
-    found = golay_simhash.simhash_components(docs, shingle=4, max_bits=4)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Keeps the document with the smallest id of each near-duplicate group, those without an id last."""
+    rows = row_keyed(docs, "keyed")
+    found = golay_simhash.simhash_components(rows.select(F.col("row_key").alias("doc_id"), "text"), shingle=4, max_bits=4)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("row_key"))
+    return rows.join(keep, "row_key", "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 100 bytes or more that also occur earlier out of the texts, drawn in to
     whole characters. A document that loses all of its text stays, with an empty one."""
-    kept = repeat_tree.dedup(docs, length=100, whole_characters=True).select("doc_id", F.col("kept").cast("string").alias("text"))
-    return docs.select("doc_id", "lang", "source").join(kept, "doc_id").withColumn(
+    kept = repeat_tree.dedup(docs, length=100, whole_characters=True, keep=["lang", "source"])
+    return kept.withColumn("text", F.col("kept").cast("string")).withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
