@@ -57,59 +57,56 @@ def per_second(timed: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     return timed.groupBy(*SECOND_KEYS).agg(*[e.alias(n) for n, e in metrics.items()])
 
 
-def match_frame(timed: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per match: (match_id, match_end_seconds, home_team, away_team).
-
-    ``max`` is partially aggregated map-side (one row per match per task crosses the shuffle)
-    and computed before the join, so only one row per match meets the matches table.
+def match_seconds(sec: DataFrame, matches: DataFrame) -> DataFrame:
+    """The per-second rows of ``sec`` (with ``_goals``, the goals of that team in that second) and one
+    anchor row a match at second 0 (``_o`` 0), each with its match's teams and last second and the
+    running score up to and including its second.
+
+    One scan, one exchange and one sort by (match, second) give all of it: scores are plain running
+    sums (all rows of a second see all its goals, each goal once), teams come from the anchor.
+    Matches without events and events of unknown matches drop out.
     """
-    length = timed.groupBy("match_id").agg(F.max("abs_seconds").alias("match_end_seconds"))
-    return length.join(home_away(matches), "match_id", "inner")
-
-
-def scoring_seconds(timed: DataFrame, frame: DataFrame, goal: Column | None = None) -> DataFrame:
-    """Goals per (match, scoring second) split by home/away.
-
-    The goal predicate is applied before any shuffle (and pushed to the Parquet scan), so only
-    goal rows move. Goals sharing a second are summed first, so each tied goal is counted once
-    (the SQL original joins goal rows to goal rows and would count each of them twice).
+    anchor = home_away(matches).select("match_id", F.lit(0).cast("long").alias("abs_seconds"), F.lit(0).alias("_o"),
+                                       "home_team", "away_team")
+    rows = sec.withColumn("_o", F.lit(1)).unionByName(anchor, allowMissingColumns=True)
+    order = Window.partitionBy("match_id").orderBy("abs_seconds")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"home_team": F.max("home_team").over(whole), "away_team": F.max("away_team").over(whole),
+                             "match_end_seconds": F.max(F.when(col("_o") == 1, col("abs_seconds"))).over(whole)})
+    goals = lambda side: F.sum(F.when(col("team") == col(side), col("_goals")).otherwise(0)).over(order)
+    return (rows.where("home_team IS NOT NULL AND match_end_seconds IS NOT NULL")
+            .withColumns({"home_score": goals("home_team").cast("long"), "away_score": goals("away_team").cast("long")}))
+
+
+def score_segments(seconds: DataFrame) -> DataFrame:
+    """Half-open constant-score segments tiling [0, match_end): a 0-0 anchor at second 0 (``_o`` 0),
+    then one segment per scoring second with the score after it, each ending at the next change or
+    at match end.
+
+    The anchor sorts before a goal at second 0, which yields the zero-length [0, 0) 0-0 segment
+    followed by [0, next) -- never a doubled interval; goals of both teams in one second give one
+    segment.
     """
-    g = (timed.where(goal_pred() if goal is None else goal)
-         .groupBy("match_id", "abs_seconds", "team").agg(F.count(F.lit(1)).alias("goals")))
-    g = g.join(frame.select("match_id", "home_team", "away_team"), "match_id", "inner")
-    return (g.groupBy("match_id", col("abs_seconds").alias("goal_seconds"))
-            .agg(F.sum(F.when(col("team") == col("home_team"), col("goals")).otherwise(0)).alias("home_goals"),
-                 F.sum(F.when(col("team") == col("away_team"), col("goals")).otherwise(0)).alias("away_goals")))
-
-
-def score_timeline(scoring: DataFrame) -> DataFrame:
+    nothing = F.lit(0).cast("long")
+    rows = seconds.where("_o = 0 OR _goals > 0").select(
+        "match_id", "_o", "abs_seconds", "match_end_seconds", "home_team", "away_team",
+        *[F.when(col("_o") == 0, nothing).otherwise(col(c)).alias(c) for c in ("home_score", "away_score")])
+    following = F.struct("abs_seconds", "_o")
+    w = Window.partitionBy("match_id").orderBy("abs_seconds", "_o")
+    rows = rows.withColumn("_next", F.lead(following).over(w)).where("_next IS NULL OR _next > struct(abs_seconds, _o)")
+    return rows.select(
+        "match_id", "_o", "match_end_seconds", "home_team", "away_team", col("abs_seconds").cast("double").alias("seg_start"),
+        F.coalesce("_next.abs_seconds", "match_end_seconds").cast("double").alias("seg_end"), "home_score", "away_score")
+
+
+def score_timeline(segments: DataFrame) -> DataFrame:
     """Cumulative (home_score, away_score) after each scoring second."""
-    w = (Window.partitionBy("match_id").orderBy("goal_seconds")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return scoring.select("match_id", "goal_seconds",
-                          F.sum("home_goals").over(w).cast("long").alias("home_score"),
-                          F.sum("away_goals").over(w).cast("long").alias("away_score"))
+    return segments.where("_o = 1").select("match_id", col("seg_start").cast("long").alias("goal_seconds"), "home_score", "away_score")
 
 
-def score_segments(timeline: DataFrame, frame: DataFrame) -> DataFrame:
-    """Half-open constant-score segments tiling [0, match_end): a 0-0 anchor at second 0, then one
-    segment per scoring second, each ending at the next change or at match end.
-
-    The anchor sorts before a goal at second 0 (tie-breaker ``_o``), which yields the zero-length
-    [0, 0) 0-0 segment followed by [0, next) -- never a doubled interval.
-    """
-    anchor = frame.select("match_id", F.lit(0).cast("long").alias("seg_start"), F.lit(0).alias("_o"),
-                          F.lit(0).cast("long").alias("home_score"),
-                          F.lit(0).cast("long").alias("away_score"))
-    changes = timeline.select("match_id", col("goal_seconds").alias("seg_start"), F.lit(1).alias("_o"),
-                              "home_score", "away_score")
-    u = anchor.unionByName(changes).join(frame, "match_id", "inner")
-    w = Window.partitionBy("match_id").orderBy("seg_start", "_o")
-    return u.select(
-        "match_id", "match_end_seconds", "home_team", "away_team",
-        col("seg_start").cast("double").alias("seg_start"),
-        F.coalesce(F.lead("seg_start").over(w), col("match_end_seconds")).cast("double").alias("seg_end"),
-        "home_score", "away_score")
+def match_frame(segments: DataFrame) -> DataFrame:
+    """One row per match: (match_id, match_end_seconds, home_team, away_team)."""
+    return segments.where("_o = 0").select("match_id", "match_end_seconds", "home_team", "away_team")
 
 
 def game_state(for_score: Column, against_score: Column) -> Column:
@@ -168,27 +165,93 @@ def attribute_seconds(sec_rows: DataFrame, timeline: DataFrame, frame: DataFrame
                                                   "home_team", "away_team")
 
 
+def own_state(team: str = "team") -> Column:
+    """Game state of a row's team by the row's score."""
+    return F.when(col(team) == col("home_team"), game_state(col("home_score"), col("away_score"))).when(
+        col(team) == col("away_team"), game_state(col("away_score"), col("home_score")))
+
+
+def state_of_events(timed: DataFrame, matches: DataFrame, goal: Column | None = None) -> DataFrame:
+    """Per-event game state, an event in a goal's second seeing the score after it: the states of
+    all (match, team, second) come from one scan, the events of a second one are joined to them."""
+    goals = F.count_if(goal_pred() if goal is None else goal)
+    seconds = match_seconds(timed.groupBy("match_id", "team", "abs_seconds").agg(goals.alias("_goals")), matches)
+    states = seconds.where("_o = 1 AND abs_seconds < match_end_seconds").select(
+        "match_id", "team", "abs_seconds", own_state().alias("game_state")).where("game_state IS NOT NULL")
+    return timed.join(states, ["match_id", "team", "abs_seconds"])
+
+
 def attribute_events(timed: DataFrame, timeline: DataFrame, frame: DataFrame,
                      attribute: str = "after") -> DataFrame:
-    """Per-event game state: resolve the state once per distinct (match, team, second) -- a
-    table bounded per match by the clock -- then equi-join the events back on those three keys.
-    The join is an equi-join, so a hot match is split by AQE's skew handling, and the window
+    """Per-event game state from a given timeline: resolve the state once per distinct (match, team,
+    second) -- a table bounded per match by the clock -- then equi-join the events back on those three
+    keys. The join is an equi-join, so a hot match is split by AQE's skew handling, and the window
     never sees raw events."""
     secs = timed.select("match_id", "team", "abs_seconds").distinct()
     states = attribute_seconds(secs, timeline, frame, attribute)
     return timed.join(states, ["match_id", "team", "abs_seconds"], "inner")
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at: str,
-                  start: str = "seg_start", end: str = "seg_end") -> DataFrame:
+#: Children of a node of the tree that intervals are laid out on.
+FAN = 8
+
+
+def _nodes(low: Column, high: Column, levels: int, fan: int) -> Column:
+    """The fewest nodes (level, number) of a tree of cells that cover the cells from ``low`` up to,
+    but without, ``high``: at each level those that no node above covers."""
+    def at_level(k: Column) -> Column:
+        width = F.pow(F.lit(fan), k).cast("long")
+        first, last = F.ceil(low / width), F.floor(high / width)  # whole nodes of this level
+        up_first, up_last = F.ceil(first / F.lit(fan)) * fan, F.floor(last / F.lit(fan)) * fan  # what the next level takes
+        run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        own = F.when((up_first < up_last) & (k < levels - 1), F.concat(run(first, up_first), run(up_last, last))).otherwise(run(first, last))
+        return F.transform(own, lambda n: F.struct(k.alias("level"), n.alias("node")))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), at_level))
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str = "seg_start", end: str = "seg_end",
+                  cell: float = 1.0, fan: int = FAN) -> DataFrame:
     """General half-open interval containment join: equi keys plus ``start <= at < end``.
 
-    Planned as a sort-merge (or AQE broadcast) join on the equi keys with the range as a residual
-    condition. Use it when intervals per key are few; for per-match timelines prefer
-    ``attribute_events``, whose work does not grow with the number of intervals per key.
+    The line is cut into cells of width ``cell``, and ``fan`` neighbours make a node of the level
+    above. An interval is laid out on the few nodes that cover its cells; a point looks up its own
+    node on each level in use. So the join is an equi join on (keys, level, node), every containing
+    interval meets a point exactly once, and the work is bounded by the points, the intervals' nodes
+    and the result, however many intervals a key has. The range itself is checked only for the
+    interval's first and last cell, which it may cover in part.
+
+    Rows with a NULL or NaN bound, point or key, empty intervals (``end <= start``) and points
+    outside all intervals give nothing; bounds beyond 2**53 cells aren't supported.
     """
-    p, i = points.alias("p"), intervals.alias("i")
+    usable = intervals.where(f"`{start}` < `{end}` AND NOT isnan(`{start}`) AND NOT isnan(`{end}`)").withColumns({
+        "_low": F.floor(col(start).cast("double") / cell), "_high": F.ceil(col(end).cast("double") / cell)})
+    longest = usable.agg(F.max(col("_high") - col("_low"))).first()[0] or 1
+    levels = 1
+    while fan**levels <= longest:
+        levels += 1
+    laid = usable.withColumn("_n", F.explode(_nodes(col("_low"), col("_high"), levels, fan))).select(
+        *[c for c in intervals.columns if c in keys or c in (start, end) or c not in points.columns], "_n.level", "_n.node")
+    cells = F.floor(col(at).cast("double") / cell)
+    looked = points.where(col(at).isNotNull() & ~F.isnan(col(at).cast("double"))).withColumn("_n", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("level"), F.floor(cells / F.lit(fan**k)).alias("node")) for k in range(levels)])))
+    p, i = looked.alias("p"), laid.alias("i")
     cond = [col(f"p.{k}") == col(f"i.{k}") for k in keys]
-    cond += [col(f"p.{at}") >= col(f"i.{start}"), col(f"p.{at}") < col(f"i.{end}")]
+    cond += [col("p._n.level") == col("i.level"), col("p._n.node") == col("i.node"),
+             col(f"p.{at}") >= col(f"i.{start}"), col(f"p.{at}") < col(f"i.{end}")]
     extra = [col(f"i.{c}") for c in intervals.columns if c not in keys and c not in points.columns]
-    return p.join(i, cond, "inner").select("p.*", *extra)
+    return p.join(i, cond, "inner").select(*[col(f"p.{c}") for c in points.columns], *extra)
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], start: str = "seg_start", end: str = "seg_end",
+                 cell: float = 1.0) -> DataFrame:
+    """Pairs of overlapping half-open intervals of equal keys, as (keys, ``left``, ``right`` structs
+    of the other columns). Two intervals overlap if the later start lies in the other one: each pair
+    comes from that containment once, so the work is bounded as in ``interval_join``."""
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        rest = F.struct(*[col(c) for c in df.columns if c not in keys]).alias(name)
+        return df.where(f"`{start}` < `{end}`").select(*keys, rest, col(start).alias(f"{name}_start"), col(end).alias(f"{name}_end"))
+
+    a, b = packed(left, "left"), packed(right, "right")
+    inside_right = interval_join(a, b, keys, "left_start", "right_start", "right_end", cell)
+    inside_left = interval_join(b, a, keys, "right_start", "left_start", "left_end", cell).where("left_start < right_start")
+    return inside_right.select(*keys, "left", "right").unionByName(inside_left.select(*keys, "left", "right"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitchline.functions.exprs import (
     FINAL_THIRD_X, count_when, ratio, round_half_away as rnd, team_key,
@@ -19,15 +18,15 @@ def timeline_parts(ev: DataFrame, matches: DataFrame, convention: str = "per_per
                    metrics: dict | None = None, goal=None):
     """(timed events, per-second metrics or None, match frame, score timeline, per-team segments).
 
-    The match frame is one DataFrame reused by every branch, so Spark plans its exchange once
-    (ReusedExchange). ``goal`` overrides what counts as a scoring event (default: a shot whose
+    Frame, timeline and segments are each one scan of the events, reduced to one row per (match,
+    team, second). ``goal`` overrides what counts as a scoring event (default: a shot whose
     outcome is Goal, penalties included -- e.g. to add own goals when the feed has them, T12)."""
     timed = tl.events_clock(ev, convention)
+    goals = count_when(tl.goal_pred() if goal is None else goal)
+    seconds = tl.match_seconds(timed.groupBy("match_id", "team", "abs_seconds").agg(goals.alias("_goals")), matches)
+    segments = tl.score_segments(seconds)
     sec = tl.per_second(timed, metrics) if metrics else None
-    frame = tl.match_frame(timed, matches)
-    timeline = tl.score_timeline(tl.scoring_seconds(timed, frame, goal))
-    per_team = tl.mirror_segments(tl.score_segments(timeline, frame))
-    return timed, sec, frame, timeline, per_team
+    return timed, sec, tl.match_frame(segments), tl.score_timeline(segments), tl.mirror_segments(segments)
 
 
 def state_metrics() -> dict:
@@ -55,49 +54,38 @@ def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
     come from the events, so a state without events keeps NULL labels.
 
     The events are read once. Reduced to one row per (match, team, second), which the clock bounds,
-    every row gets its match's goals (a few structs) and last second by a window over the match. The
-    row's own state follows from the goals so far; the first row of a match gives out its segments."""
+    they get the running score by one window over the match (``timeline.match_seconds``). A row's
+    score stands until the next row's second, so time by lead is a plain difference of neighbours;
+    metrics of both teams and the time are then summed by (match, lead), with no further exchange."""
     goals_here = count_when(tl.goal_pred() if goal is None else goal)
-    sec = tl.per_second(tl.events_clock(ev, convention), {**state_metrics(), "_goals": goals_here})
-    match = Window.partitionBy("match_id")
-    scorer = F.struct(col("abs_seconds").alias("at"), "team", col("_goals").alias("n"))
-    sec = (sec.join(tl.home_away(matches), "match_id")
-           .withColumn("_scored", F.collect_list(F.when(col("_goals") > 0, scorer)).over(match))
-           .withColumn("_end", F.max("abs_seconds").over(match))
-           .withColumn("_first", F.row_number().over(match.orderBy("abs_seconds", "team", "competition", "season")) == 1))
-
-    def tally(team, upto):
-        return F.aggregate(F.filter("_scored", lambda g: (g["at"] <= upto) & (g["team"] == team)),
-                           F.lit(0).cast("long"), lambda total, g: total + g["n"])
-
-    def state(team, upto):
-        other = F.when(team == col("home_team"), col("away_team")).otherwise(col("home_team"))
-        return tl.game_state(tally(team, upto), tally(other, upto))
-
-    metric_cols = list(state_metrics())
-    labels = ["competition", "season"]
-    nothing = [F.lit(None).cast(sec.schema[c].dataType).alias(c) for c in (*labels, *metric_cols)]
-    seen = col("abs_seconds") if attribute == "after" else col("abs_seconds") - 1
-    event = F.struct("team", state(col("team"), seen).alias("game_state"),
-                     F.lit(None).cast("long").alias("seconds"), *labels, *metric_cols)
-    inside = (col("abs_seconds") < col("_end")) & col("team").isin(col("home_team"), col("away_team"))
-    starts = F.array_sort(F.array_distinct(F.transform("_scored", lambda g: g["at"])))
-    # a 0-0 segment from second 0, then one from each scoring second, each up to the next or the end
-    spans = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(-1).cast("long").alias("upto"))),
-                     F.transform(starts, lambda x: F.struct(x.alias("low"), x.alias("upto"))))
-    ends = F.concat(starts, F.array(col("_end")))
-    segment = lambda team: F.transform(spans, lambda x, i: F.struct(
-        team.alias("team"), state(team, x["upto"]).alias("game_state"), (F.get(ends, i) - x["low"]).alias("seconds"), *nothing))
-    none = F.array().cast(T.ArrayType(sec.select(event.alias("r")).schema["r"].dataType))
-    rows = F.concat(F.when(inside, F.array(event)).otherwise(none),
-                    F.when(col("_first"), F.concat(segment(col("home_team")), segment(col("away_team")))).otherwise(none))
-    both = (sec.select("match_id", F.explode(rows).alias("r")).select("match_id", "r.*")
-            .groupBy("match_id", "team", "game_state")
-            .agg((F.sum("seconds").cast("double") / F.lit(60.0)).alias("minutes_in_state"),
-                 F.max("competition").alias("competition"), F.max("season").alias("season"),
-                 *[F.sum(c).alias(c) for c in metric_cols])
-            # NULL minutes (no segment) fail the gate like the original's left join from durations
-            .where(col("minutes_in_state") >= min_minutes))
+    sec = tl.match_seconds(tl.per_second(tl.events_clock(ev, convention), {**state_metrics(), "_goals": goals_here}), matches)
+    order = Window.partitionBy("match_id").orderBy("abs_seconds")
+    own = F.when(col("_o") == 1, F.lit(1))  # the anchor has time only
+    sec = sec.withColumn("_time", F.lead("abs_seconds").over(order) - col("abs_seconds"))
+    lead = F.signum(col("home_score") - col("away_score")).cast("int")
+    metric_cols, labels = list(state_metrics()), ["competition", "season"]
+    if attribute == "after":
+        rows = sec.withColumn("lead", lead)
+    else:  # events see the score before their second's goals, time the one after them
+        until = order.rangeBetween(Window.unboundedPreceding, -1)
+        before = [F.coalesce(F.sum(F.when(col("team") == col(t), col("_goals"))).over(until), F.lit(0)) for t in ("home_team", "away_team")]
+        sec = sec.withColumn("_before", F.signum(before[0] - before[1]).cast("int"))
+        rows = sec.withColumn("_part", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+            "lead", F.when(col("_part") == 0, lead).otherwise(col("_before"))).withColumn(
+            "_time", F.when(col("_part") == 0, col("_time"))).withColumn("_o", F.when(col("_part") == 1, col("_o")))
+    inside = own.isNotNull() & (col("abs_seconds") < col("match_end_seconds"))
+    sides = {"home": 1, "away": -1}
+    sums = [(F.max if c in labels else F.sum)(F.when(inside & (col("team") == col(f"{side}_team")), col(c))).alias(f"{side}_{c}")
+            for side in sides for c in (*labels, *metric_cols)]
+    by_lead = rows.groupBy("match_id", "lead").agg(
+        F.first("home_team").alias("home"), F.first("away_team").alias("away"),
+        (F.sum("_time").cast("double") / F.lit(60.0)).alias("minutes_in_state"), *sums)
+    names = F.create_map(*[F.lit(x) for x in (1, "Winning", 0, "Drawing", -1, "Losing")])
+    of_team = [F.struct(col(side).alias("team"), names[col("lead") * sign].alias("game_state"),
+                        *[col(f"{side}_{c}").alias(c) for c in (*labels, *metric_cols)]) for side, sign in sides.items()]
+    both = (by_lead.where(col("minutes_in_state") >= min_minutes)  # NULL minutes fail the gate too
+            .select("match_id", "minutes_in_state", F.explode(F.array(*of_team)).alias("r"))
+            .select("match_id", "minutes_in_state", "r.*"))
     j = both.join(comps, (col("competition") == col("competition_folder_name"))
                   & (col("season") == col("season_year")), "left")
     mins = col("minutes_in_state")

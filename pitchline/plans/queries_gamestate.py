@@ -44,8 +44,7 @@ def q_state_durations(spark, sf):
 @query("gamestate_events")
 def q_gamestate_events(spark, sf):
     t = Tables(spark, sf)
-    timed, _, frame, timeline, _ = gs.timeline_parts(t.ev, t.matches)
-    return tl.attribute_events(timed, timeline, frame).select(
+    return tl.state_of_events(tl.events_clock(t.ev), t.matches).select(
         "event_id", "match_id", "team", "abs_seconds", "game_state")
 
 

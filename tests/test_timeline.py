@@ -105,3 +105,64 @@ def test_interval_join_matches_window_attribution(make_events, make_matches):
     pts = timed.select("event_id", "match_id", "team", F.col("abs_seconds").cast("double").alias("at"))
     ij = tl.interval_join(pts, per_team, ["match_id", "team"], "at")
     assert {r.event_id: r.game_state for r in ij.collect()} == states(ev, m)
+
+
+def _brute_join(points, intervals):
+    return sorted((p, i) for p, k, at in points for i, kk, s, e in intervals if k == kk and at is not None and s is not None and e is not None and s <= at < e)
+
+
+def test_interval_join_of_ten_thousand_intervals_of_one_key(spark):
+    """Long, short, nested and touching intervals of one key against brute force; the plan's join has
+    the node in its keys, so no point meets all intervals of its key."""
+    import random
+    rng = random.Random(5)
+    intervals = []
+    for i in range(10_000):
+        s = rng.randint(-50_000, 50_000)
+        intervals.append((i, 1, float(s), float(s + rng.choice([0, 1, 2, 7, 8, 9, 64, 100, rng.randint(1, 500)]))))
+    intervals += [(10_000, 1, -60_000.0, 60_000.0), (10_001, 2, 0.0, 10.0), (10_002, 1, None, 5.0), (10_003, 1, 5.0, None), (10_004, 1, float("nan"), 5.0)]
+    points = [(p, 1, float(rng.randint(-50_100, 50_100))) for p in range(400)] + [(400, 2, 9.0), (401, 2, 10.0), (402, 1, None), (403, None, 1.0)]
+    pts = spark.createDataFrame(points, "p long, k long, at double")
+    ivs = spark.createDataFrame(intervals, "i long, k long, s double, e double")
+    got = tl.interval_join(pts, ivs, ["k"], "at", "s", "e")
+    assert sorted((r.p, r.i) for r in got.collect()) == _brute_join(points, intervals)
+    join = next(line for line in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in line)
+    assert "node" in join.split("Inner")[0]
+
+
+def test_interval_join_with_fractions_and_other_cells(spark):
+    import random
+    rng = random.Random(6)
+    intervals = [(i, 1, s, s + rng.choice([0.1, 0.5, 1.0, 3.7, 40.0])) for i, s in enumerate(round(rng.uniform(-30, 30), 2) for _ in range(300))]
+    points = [(p, 1, round(rng.uniform(-40, 80), 2)) for p in range(300)] + [(900 + n, 1, iv[2]) for n, iv in enumerate(intervals[:20])] + [
+        (950 + n, 1, iv[3]) for n, iv in enumerate(intervals[:20])]
+    pts, ivs = spark.createDataFrame(points, "p long, k long, at double"), spark.createDataFrame(intervals, "i long, k long, s double, e double")
+    for cell, fan in ((1.0, 8), (0.25, 2), (5.0, 3)):
+        got = tl.interval_join(pts, ivs, ["k"], "at", "s", "e", cell, fan)
+        assert sorted((r.p, r.i) for r in got.collect()) == _brute_join(points, intervals), (cell, fan)
+    assert tl.interval_join(pts.limit(0), ivs, ["k"], "at", "s", "e").count() == tl.interval_join(pts, ivs.limit(0), ["k"], "at", "s", "e").count() == 0
+
+
+def test_overlap_join_gives_each_pair_once(spark):
+    import random
+    rng = random.Random(7)
+
+    def some(n):
+        return [(i, rng.randint(1, 2), float(s), float(s + rng.randint(0, 30))) for i, s in enumerate(rng.randint(0, 300) for _ in range(n))]
+
+    a, b = some(150), some(150)
+    left = spark.createDataFrame(a, "i long, k long, seg_start double, seg_end double")
+    right = spark.createDataFrame(b, "j long, k long, seg_start double, seg_end double")
+    got = sorted((r.left.i, r.right.j) for r in tl.overlap_join(left, right, ["k"]).collect())
+    want = sorted((i, j) for i, k, s, e in a for j, kk, s2, e2 in b if k == kk and s < e and s2 < e2 and max(s, s2) < min(e, e2))
+    assert got == want and len(want) > 500
+
+
+def test_mart_states_before_and_after_a_goal(spark, make_events, make_matches):
+    ev = make_events([ev_row(1, 1, 1, 0, 0), goal(2, 1, 1, 10, 0, "H"), ev_row(3, 1, 1, 10, 0), ev_row(4, 1, 1, 20, 0)])
+    comps = spark.createDataFrame([("c", 2024, "C")], "competition_folder_name string, season_year int, competition_name string")
+    for attribute, passes in (("after", {"Drawing": 1, "Winning": 1}), ("before", {"Drawing": 2, "Winning": 0})):
+        mart = {(r.team_name, r.game_state): r for r in gs.mart_gamestate(ev, make_matches([1]), comps, attribute=attribute).collect()}
+        assert {s: mart["H", s].passes_attempted for s in passes} == passes
+        assert all(r.minutes_in_state == 10.0 for r in mart.values()) and set(mart) == {
+            ("H", "Drawing"), ("A", "Drawing"), ("H", "Winning"), ("A", "Losing")}
