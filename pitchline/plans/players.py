@@ -91,28 +91,75 @@ def player_event_stats(ev: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in sums])
 
 
+def _assist_links(ev: DataFrame) -> DataFrame:
+    """One row a shot that counts or an assisting pass, keyed by (match, shot): the shot's xG or the
+    passer. A pass whose shot isn't there, or is a penalty, stays without xG."""
+    assist = (col("event_type") == "Pass") & col("pass_shot_assist") & col("pass_assisted_shot_id").isNotNull() & col("player_id").isNotNull()
+    shot = col("shot_type") != "Penalty"
+    return ev.where(assist | shot).select(
+        "match_id", F.when(shot, col("event_id")).otherwise(col("pass_assisted_shot_id")).alias("shot_event_id"),
+        F.when(shot, F.struct(col("xg"))).alias("shot"), F.when(~F.coalesce(shot, F.lit(False)), F.struct(*PLAYER_KEYS)).alias("passer"))
+
+
 def expected_assists(ev: DataFrame) -> DataFrame:
     """xA: xG of the non-penalty shot a pass assisted, credited to the passer.
 
-    Both sides are filtered and pruned before an equi-join on (match_id, shot event id); the
-    key is unique per shot, so no key is hot however skewed matches are.
+    Shots and assisting passes meet in one aggregate keyed by (match, shot event id) instead of a
+    self-join, so the events are read once; the key is a shot's, so no key is hot however skewed
+    matches are. The passes of a shot (one, as a rule) share its xG each.
     """
-    passes = (ev.where((col("event_type") == "Pass") & col("pass_shot_assist")
-                       & col("pass_assisted_shot_id").isNotNull() & col("player_id").isNotNull())
-              .select("match_id", col("pass_assisted_shot_id").alias("shot_event_id"), *PLAYER_KEYS))
-    shots = (ev.where(col("shot_type") != "Penalty")
-             .select("match_id", col("event_id").alias("shot_event_id"), col("xg").alias("assisted_xg")))
-    return (passes.join(shots, ["match_id", "shot_event_id"], "inner")
-            .groupBy(*PLAYER_KEYS).agg(F.sum("assisted_xg").alias("total_xa")))
+    met = _assist_links(ev).groupBy("match_id", "shot_event_id").agg(
+        F.count("shot").alias("shots"), F.sum("shot.xg").alias("xg"), F.collect_list("passer").alias("passers"))
+    return (met.where("shots > 0").select("xg", F.explode("passers").alias("p")).groupBy(*[col(f"p.{k}").alias(k) for k in PLAYER_KEYS])
+            .agg(F.sum("xg").alias("total_xa")))
+
+
+def player_facts(ev: DataFrame) -> DataFrame:
+    """``player_event_stats`` with ``total_xa`` (NULL without any assisted shot), from one scan.
+
+    An event gives one row to its player's counts and, if it is a shot or an assisting pass, one to
+    the shot's key. Both kinds are first summed by (player and position) or (match, shot); what the
+    shots' keys then know of passers is summed into the players' rows."""
+    et = col("event_type")
+    np_shot = (et == "Shot") & (col("shot_type") != "Penalty")
+    assist = (et == "Pass") & col("pass_shot_assist") & col("pass_assisted_shot_id").isNotNull() & col("player_id").isNotNull()
+    shot = F.coalesce(col("shot_type") != "Penalty", F.lit(False))
+    nothing = lambda *names: [F.lit(None).cast(ev.schema[n].dataType).alias(n) for n in names]
+    own = F.struct(*PLAYER_KEYS, "player_position", *[x.alias(n) for n, x in (("_match", F.lit(None).cast("long")), ("_shot", F.lit(None).cast("long")))])
+    link = F.struct(*nothing(*PLAYER_KEYS, "player_position"), col("match_id").cast("long").alias("_match"),
+                    F.when(shot, col("event_id")).otherwise(col("pass_assisted_shot_id")).cast("long").alias("_shot"))
+    keys = F.concat(F.when(col("player_id").isNotNull(), F.array(own)).otherwise(F.array().cast(f"array<{ev.select(own).schema[0].dataType.simpleString()}>")),
+                    F.when(shot | F.coalesce(assist, F.lit(False)), F.array(link)).otherwise(
+                        F.array().cast(f"array<{ev.select(link).schema[0].dataType.simpleString()}>")))
+    rows = ev.withColumn("_k", F.explode(keys))
+    mine = col("_k._match").isNull()
+    count = lambda cond: F.count_if(mine & cond)
+    by_key = rows.groupBy("_k").agg(
+        F.min(F.when(mine, col("player_name"))).alias("player_name"), F.count_if(mine).alias("_n"),
+        count(np_shot & (col("shot_outcome") == "Goal")).alias("np_goals"),
+        F.sum(F.when(mine & np_shot, col("xg")).otherwise(F.lit(0.0))).alias("np_xg"),
+        count((et == "Carry") & is_progressive(col("start_x"), col("end_x"))).alias("progressive_carries"),
+        count((et == "Dribble") & (col("dribble_outcome") == "Complete")).alias("successful_dribbles"),
+        count(et == "Pressure").alias("pressures"), count(et == "Ball Recovery").alias("ball_recoveries"),
+        F.count_if(~mine & shot).alias("_shots"), F.sum(F.when(~mine & shot, col("xg"))).alias("_xg"),
+        F.collect_list(F.when(~mine & ~shot, F.struct(*PLAYER_KEYS))).alias("_passers"))
+    credited = F.when(col("_shots") > 0, col("_passers"))
+    who = F.when(col("_k._match").isNull(), F.array(F.struct(*[col(f"_k.{k}").alias(k) for k in PLAYER_KEYS]))).otherwise(credited)
+    sums = ["np_goals", "np_xg", "progressive_carries", "successful_dribbles", "pressures", "ball_recoveries"]
+    known = col("_k._match").isNull() & col("_k.player_position").isNotNull()
+    out = by_key.withColumn("p", F.explode(who)).groupBy(*[col(f"p.{k}").alias(k) for k in PLAYER_KEYS]).agg(
+        F.min("player_name").alias("player_name"),
+        F.min_by(col("_k.player_position"), F.when(known, F.struct(-col("_n"), col("_k.player_position")))).alias("primary_position"),
+        *[F.sum(c).alias(c) for c in sums], F.sum("_n").alias("_events"), F.sum("_xg").alias("total_xa"))
+    return out.where("_events > 0").drop("_events")
 
 
 def mart_player_impact(ev: DataFrame, lineups: DataFrame, comps: DataFrame,
                        min_minutes: float = MIN_MINUTES) -> DataFrame:
     """M5, grain (player, team, competition, season): per-90 rates for players with at least
-    ``min_minutes`` from their lineup segments; xA is optional (left join, 0 when absent)."""
+    ``min_minutes`` from their lineup segments; xA is 0 when absent. The events are read once."""
     pm = player_minutes(lineups).where(col("total_minutes") >= min_minutes)
-    j = (pm.join(player_event_stats(ev), PLAYER_KEYS, "inner")
-         .join(expected_assists(ev), PLAYER_KEYS, "left")
+    j = (pm.join(player_facts(ev), PLAYER_KEYS, "inner")
          .join(comps, (col("competition") == col("competition_folder_name"))
                & (col("season") == col("season_year")), "inner"))
     mins = col("total_minutes")

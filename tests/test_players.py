@@ -50,3 +50,23 @@ def test_open_segment_can_end_at_match_end(spark):
     to_end = pl.player_minutes(lu, match_end=ends).collect()[0].total_minutes
     assert by_default == 120.0 + 110.0
     assert to_end == 94.5 + 110.0      # match 2 has no known end: falls back to 120:00
+
+
+def test_facts_are_the_counts_and_assists_of_one_scan(spark, make_events):
+    import random
+    rng = random.Random(3)
+    rows = []
+    for i in range(1, 1200):
+        kind = rng.choice(["Pass", "Shot", "Carry", "Dribble", "Pressure", "Ball Recovery"])
+        rows.append(ev_row(i, rng.choice([1, 1, 1, 2]), 1, 0, 0, kind, team=rng.choice("HA"), player_id=rng.choice([None, 1, 2, 3]), player_name="x",
+                           player_position=rng.choice([None, "A", "B"]), dribble_outcome=rng.choice(["Complete", None]),
+                           shot_type=rng.choice(["Penalty", "Open Play", "Open Play", None]) if kind == "Shot" else None,
+                           shot_outcome=rng.choice(["Goal", "Saved"]) if kind == "Shot" else None,
+                           pass_assisted_shot_id=rng.randint(1, 1200) if kind == "Pass" and rng.random() < 0.7 else None))
+    ev = make_events(rows)
+    facts = ev.sparkSession.createDataFrame(pl.player_facts(ev).collect(), pl.player_facts(ev).schema)
+    both = pl.player_event_stats(ev).join(pl.expected_assists(ev), pl.PLAYER_KEYS, "left").select(*facts.columns)
+    assert sorted(map(str, facts.collect())) == sorted(map(str, both.collect()))
+    assert any(r.total_xa for r in facts.collect())
+    plan = pl.player_facts(ev.sparkSession.createDataFrame(ev.collect(), ev.schema))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
