@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 col = F.col
@@ -25,10 +25,32 @@ class TableChecks:
     accepted_values: dict[str, list] = field(default_factory=dict)
 
 
-def _one_pass(table: str, df: DataFrame, spec: TableChecks) -> DataFrame | None:
-    exprs = [("not_null", c, col(c).isNull()) for c in spec.not_null]
+def _row_checks(spec: TableChecks) -> list[tuple]:
+    """(check, column, condition of a failing row) of the checks that look at one row at a time."""
+    checks = [("not_null", c, col(c).isNull()) for c in spec.not_null]
     # as the SQL original: NULL is neither accepted nor a failure here (not_null covers it)
-    exprs += [("accepted_values", c, ~col(c).isin(*v)) for c, v in spec.accepted_values.items()]
+    return checks + [("accepted_values", c, ~col(c).isin(*v)) for c, v in spec.accepted_values.items()]
+
+
+def write_observed(table: str, df: DataFrame, spec: TableChecks, write) -> list[tuple[str, str, str | None, int]]:
+    """Writes ``df`` (``write`` gets its writer) and returns what was observed of the rows on their way
+    to the files: (table, 'rows', None, number of rows) and a row like ``run_checks`` for every not-null
+    and accepted-values check. Nothing is read again; a task that is tried again counts once."""
+    checks = _row_checks(spec)
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(checks)]]
+    write(df.observe(seen, *metrics).write)
+    found = seen.get
+    return [(table, "rows", None, int(found["rows"])),
+            *[(table, check, c, int(found[f"f{i}"])) for i, (check, c, _) in enumerate(checks)]]
+
+
+def observed_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, "table_name string, check_name string, column_name string, failures long")
+
+
+def _one_pass(table: str, df: DataFrame, spec: TableChecks) -> DataFrame | None:
+    exprs = _row_checks(spec)
     if not exprs:
         return None
     row = df.agg(*[F.count_if(bad).cast("long").alias(f"f{i}") for i, (_, _, bad) in enumerate(exprs)])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,64 +10,35 @@ from pitchline.operators import timeline as tl
 from pitchline.plans import ml, outcomes, serving
 from pitchline.plans.catalog import Tables, query
 from pitchline.session import temporary_folder
+from pitchline.sources.constraints import MARTS, SPECS
+from pitchline.sources.warehouse import observed
 
 col = F.col
 
-# Accepted competitions of the FB view and accepted game states.
-FB_COMPETITIONS = ["comp_0", "comp_1", "comp_2"]
-GAME_STATES = ["Winning", "Drawing", "Losing"]
-
-NOT_NULL = {
-    "stg_events": ["event_id", "match_id", "competition", "event_type"],
-    "stg_matches": ["match_id", "home_team_name", "away_team_name", "match_date"],
-    "stg_competitions": ["competition_name", "competition_folder_name"],
-    "stg_lineups": ["match_id", "player_id", "team_name"],
-    "mart_team_attack_quality": ["team_name", "competition_name", "matches_played", "xg_per_match"],
-    "mart_team_ball_progression": ["team_name", "progressive_passes_per_match"],
-    "mart_team_defensive_pressure": ["team_name", "ppda"],
-    "mart_team_set_piece_effectiveness": ["team_name", "sp_xg_per_match"],
-    "mart_player_impact": ["player_id", "player_name", "minutes_played", "np_xg_per_90"],
-    "mart_team_gamestate_behavior": ["team_name", "game_state", "minutes_in_state"],
-}
-UNIQUE = {"stg_events": ["event_id"], "stg_matches": ["match_id"],
-          "stg_competitions": ["competition_folder_name"]}
-ACCEPTED = {"stg_events": {"competition": FB_COMPETITIONS},
-            "mart_team_gamestate_behavior": {"game_state": GAME_STATES}}
-
-EXPORT_NAMES = {"m1": "mart_team_attack_quality", "m2": "mart_team_ball_progression",
-                "m3": "mart_team_defensive_pressure", "m4": "mart_team_set_piece_effectiveness",
-                "m5": "mart_player_impact", "m6": "mart_team_gamestate_behavior"}
-
-
-def _named_tables(t: Tables, names) -> dict[str, DataFrame]:
-    out = {}
-    builders = {"stg_events": lambda: t.ev, "stg_matches": lambda: t.matches,
-                "stg_competitions": lambda: t.comps, "stg_lineups": lambda: t.lineups}
-    builders.update({v: getattr(t, k) for k, v in EXPORT_NAMES.items()})
-    for n in names:
-        out[n] = builders[n]()
-    return out
+EXPORT_NAMES = MARTS
+
+
+def _observed(spark, sf, check: str) -> DataFrame:
+    """A check's results for all tables, as observed while they were written."""
+    Tables(spark, sf).marts()  # built, if they aren't yet
+    return observed(spark, sf).where(col("check_name") == check)
 
 
 @query("check_not_null")
 def q_check_not_null(spark, sf):
-    t = Tables(spark, sf)
-    specs = {n: dq.TableChecks(not_null=c) for n, c in NOT_NULL.items()}
-    return dq.run_checks(_named_tables(t, specs), specs)
+    return _observed(spark, sf, "not_null")
 
 
 @query("check_unique")
 def q_check_unique(spark, sf):
     t = Tables(spark, sf)
-    specs = {n: dq.TableChecks(unique=c) for n, c in UNIQUE.items()}
-    return dq.run_checks(_named_tables(t, specs), specs)
+    tables = {"stg_events": t.ev, "stg_matches": t.matches, "stg_competitions": t.comps}
+    return dq.run_checks(tables, {n: dq.TableChecks(unique=SPECS[n].unique) for n in tables})
 
 
 @query("check_accepted")
 def q_check_accepted(spark, sf):
-    t = Tables(spark, sf)
-    specs = {n: dq.TableChecks(accepted_values=v) for n, v in ACCEPTED.items()}
-    return dq.run_checks(_named_tables(t, specs), specs)
+    return _observed(spark, sf, "accepted_values")
 
 
 def _features(t: Tables) -> DataFrame:
@@ -151,23 +120,16 @@ def q_first_value_window(spark, sf):
 
 @query("export_manifest")
 def q_export_manifest(spark, sf):
-    """Write the six marts and the team dimension as Parquet under the shared scratch folder,
-    then count each export from the written files."""
+    """Write the six marts and the team dimension as Parquet under the shared scratch folder and
+    list the rows of each export, counted on their way to the files."""
     t = Tables(spark, sf)
     root = temporary_folder(spark, "exports")
-    marts = t.marts()
-    outputs = {EXPORT_NAMES[k]: df for k, df in marts.items()}
-    # the dimension is read back from the exported attack mart instead of recomputing it
-    outputs["dim_team_competition"] = None
-    parts = []
-    for name, df in outputs.items():
-        path = f"{root}/{name}.parquet"
-        if df is None:
-            df = serving.dim_team_competition(spark.read.parquet(f"{root}/{EXPORT_NAMES['m1']}.parquet"))
-        df.write.mode("overwrite").parquet(path)
-        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-                     .select(F.lit(name).alias("export_name"), "rows"))
-    return reduce(DataFrame.unionByName, parts)
+    outputs = {EXPORT_NAMES[k]: df for k, df in t.marts().items()}
+    outputs["dim_team_competition"] = serving.dim_team_competition(t.m1())
+    none = dq.TableChecks()
+    seen = [row for name, df in outputs.items()
+            for row in dq.write_observed(name, df, none, lambda w, name=name: w.parquet(f"{root}/{name}.parquet"))]
+    return dq.observed_table(spark, seen).select(col("table_name").alias("export_name"), col("failures").alias("rows"))
 
 
 @query("stage_rank")

@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchline.operators import quality as dq
 from pitchline.session import shared_scratch
 from pitchline.sources import bronze as br
 from pitchline.sources import fb as fbsrc
 from pitchline.sources import silver as sv
+from pitchline.sources.constraints import MARTS, SPECS
 
 SILVER = ("events", "matches", "competitions", "lineups")
 
@@ -64,6 +67,7 @@ def _publish(spark: SparkSession, tmp: str, final: str) -> None:
     rename into an existing folder nests instead of failing, the nested copy is taken out again."""
     src, fs = _fs(spark, tmp)
     dst, _ = _fs(spark, final)
+    fs.mkdirs(dst.getParent())
     if not fs.exists(dst) and fs.rename(src, dst):
         nested, _ = _fs(spark, f"{final}/{src.getName()}")
         if fs.exists(nested):
@@ -138,14 +142,26 @@ def staged(spark: SparkSession, sf_dir: str) -> str:
     if _exists(spark, f"{path}/_STAGED"):
         return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    (sv.stg_events(br.read_bronze_events(spark, bronze), sort_within_match=False)
-     .sortWithinPartitions("competition", "season", "match_id", "period", "minute", "second", "event_index")
-     .write.partitionBy("competition", "season").parquet(f"{tmp}/events"))
-    good, bad = sv.split_matches(br.read_matches(spark, bronze))
-    good.write.parquet(f"{tmp}/matches")
-    bad.write.parquet(f"{tmp}/quarantine")
-    sv.stg_competitions(spark.read.parquet(f"{tmp}/matches")).write.parquet(f"{tmp}/competitions")
-    sv.stg_lineups(br.flatten_lineups(br.read_lineups(spark, bronze))).write.parquet(f"{tmp}/lineups")
+    seen: list[tuple] = []
+
+    def write(name: str, df: DataFrame, *parts: str) -> None:
+        model = f"stg_{name}"
+        seen.extend(dq.write_observed(model, df, SPECS[model], lambda w: w.partitionBy(*parts).parquet(f"{tmp}/{name}")))
+
+    def matches() -> None:
+        good, bad = sv.split_matches(br.read_matches(spark, bronze))
+        write("matches", good)
+        bad.write.parquet(f"{tmp}/quarantine")
+        write("competitions", sv.stg_competitions(spark.read.parquet(f"{tmp}/matches")))
+
+    events = sv.stg_events(br.read_bronze_events(spark, bronze), sort_within_match=False).sortWithinPartitions(
+        "competition", "season", "match_id", "period", "minute", "second", "event_index")
+    models = [lambda: write("events", events, "competition", "season"), matches,
+              lambda: write("lineups", sv.stg_lineups(br.flatten_lineups(br.read_lineups(spark, bronze))))]
+    with ThreadPoolExecutor(len(models)) as pool:  # independent models are built side by side
+        for done in [pool.submit(m) for m in models]:
+            done.result()
+    dq.observed_table(spark, seen).coalesce(1).write.parquet(f"{tmp}/observed")
     done, fs = _fs(spark, f"{tmp}/_STAGED")
     fs.create(done).close()
     _publish(spark, tmp, path)
@@ -165,11 +181,22 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     path = f"{root}/gold/{name}"
     if not _exists(spark, f"{path}/_SUCCESS"):
         tmp = f"{root}/gold/.tmp-{name}-{uuid.uuid4().hex}"
-        build().write.parquet(tmp)
-        _publish(spark, tmp, path)
+        mart = MARTS[name]
+        seen = dq.write_observed(mart, build(), SPECS[mart], lambda w: w.parquet(f"{tmp}/rows"))
+        dq.observed_table(spark, seen).coalesce(1).write.parquet(f"{tmp}/observed")
+        _publish(spark, f"{tmp}/observed", f"{root}/observed/{name}")
+        _publish(spark, f"{tmp}/rows", path)
     return read_silver(spark, root, f"gold/{name}")
 
 
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, check_name, column_name, failures) as observed while the staging models and the
+    marts that were built so far were written; ``check_name`` 'rows' has their numbers of rows."""
+    root = materialise(spark, sf_dir)
+    paths = [f"{staged(spark, sf_dir)}/observed", *[p for m in MARTS if _exists(spark, p := f"{root}/observed/{m}")]]
+    return spark.read.schema("table_name string, check_name string, column_name string, failures long").parquet(*paths)
+
+
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """The raw-shaped bronze landing of this input, written once and published by renaming the
     finished folder; returns its path."""

@@ -15,6 +15,18 @@ def test_bad_checks(spark):
                    ("accepted_values", "kind"): 1}
 
 
+def test_checks_are_observed_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "x"), (1, None, "y"), (2, "b", "bad"), (3, "c", None)],
+                               "id long, name string, kind string").repartition(3)
+    spec = dq.TableChecks(not_null=["name", "id"], unique=["id"], accepted_values={"kind": ["x", "y"]})
+    seen = dq.write_observed("t", df, spec, lambda w: w.parquet(str(tmp_path / "t")))
+    assert sorted(seen, key=str) == sorted([("t", "rows", None, 4), ("t", "not_null", "name", 1), ("t", "not_null", "id", 0),
+                                            ("t", "accepted_values", "kind", 1)], key=str)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+    assert dq.observed_table(spark, seen).where("check_name = 'rows'").first().failures == 4
+    assert dq.write_observed("e", df.limit(0), spec, lambda w: w.parquet(str(tmp_path / "e")))[0] == ("e", "rows", None, 0)
+
+
 def test_quarantine_split(spark):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "not a date"), (None, "2024-02-01")],
                                "id long, d string")
