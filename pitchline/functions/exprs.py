@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 # Match-clock offsets in seconds for periods 1-4 (0, 45, 90 and 105 minutes).
@@ -113,6 +113,14 @@ def period_clock(period="period", minute="minute", second="second",
     return offset + base
 
 
+def measured_offsets(periods, match="match_id", period="period", last="last_second"):
+    """Second at which each period of a match begins on the measured clock: the running sum of the
+    periods before it, each as long as its last event's second and one more, so that stoppage time
+    never overlaps the next period. ``periods`` has one row per (match, period)."""
+    before = Window.partitionBy(match).orderBy(period).rowsBetween(Window.unboundedPreceding, -1)
+    return periods.withColumn("period_start", F.coalesce(F.sum(c(last) + 1).over(before), F.lit(0)))
+
+
 def is_progressive(start_x, end_x, gain: float = PROGRESSIVE_GAIN,
                    line: float = FINAL_THIRD_X) -> Column:
     """Forward gain >= gain and ending at or beyond the final-third line."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchline.functions.exprs import period_clock
+from pitchline.functions.exprs import measured_offsets, period_clock
 
 col = F.col
 
@@ -37,6 +37,17 @@ def events_clock(ev: DataFrame, convention: str = "per_period") -> DataFrame:
             .withColumn("abs_seconds", period_clock("period", "minute", "second", convention)))
 
 
+def measured_clock(ev: DataFrame) -> DataFrame:
+    """Events of periods 1-4 with a known clock and ``measured_seconds``, which never lets a period's
+    stoppage time run into the next one (T14): a period begins when all events of the one before are
+    over. The offsets are one row per (match, period); only they are numbered per match."""
+    timed = events_clock(ev, "cumulative").withColumnRenamed("abs_seconds", "_in_period")
+    periods = timed.groupBy("match_id", "period").agg(F.max("_in_period").alias("last_second"))
+    starts = measured_offsets(periods).select("match_id", "period", "period_start")
+    return timed.join(starts, ["match_id", "period"]).withColumn("measured_seconds", col("_in_period") + col("period_start")).drop(
+        "_in_period", "period_start")
+
+
 def home_away(matches: DataFrame) -> DataFrame:
     return matches.select("match_id", col("home_team_name").alias("home_team"),
                           col("away_team_name").alias("away_team"))

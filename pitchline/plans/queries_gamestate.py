@@ -20,6 +20,11 @@ def q_events_timed(spark, sf):
         "home_team", "away_team")
 
 
+@query("events_measured_clock")
+def q_events_measured_clock(spark, sf):
+    return tl.measured_clock(Tables(spark, sf).ev).select("event_id", "match_id", "period", "measured_seconds")
+
+
 @query("score_timeline")
 def q_score_timeline(spark, sf):
     t = Tables(spark, sf)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.exprs import exact_mean, ratio
 from pitchline.functions.exprs import round_half_away as rnd
@@ -97,18 +98,43 @@ def q_players_sliced(spark, sf):
 
 @query("catalog_sample")
 def q_catalog_sample(spark, sf):
-    """Five rows of every source table, those with the smallest keys, as (table, place, key)."""
-    keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
-            "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id",
-            "benchmark": "item_id", "labels": "doc_id"}
+    """The first five rows of every source table, found in the session's catalogue, as (table,
+    place, row): the columns as text, long ones by their length and digest."""
     parts = []
-    for name, key in keys.items():
-        five = fbsrc.read_table(spark, sf, name).select(key).orderBy(key).limit(5)
-        place = F.row_number().over(Window.orderBy(key))  # numbers five rows
-        parts.append(five.select(F.lit(name).alias("table_name"), place.cast("long").alias("place"), col(key).cast("string").alias("key_value")))
+    for name, keys in SAMPLE_KEYS.items():
+        view = f"src_{name}"
+        fbsrc.read_table(spark, sf, name).createOrReplaceTempView(view)
+        rows = spark.table(view)
+        five = rows.orderBy(*keys).limit(5)
+        place = F.row_number().over(Window.orderBy(*keys))  # numbers five rows
+        parts.append(five.withColumn("place", place.cast("long")).select(
+            F.lit(name).alias("table_name"), "place", F.concat_ws("|", *[_shown(f) for f in rows.schema.fields]).alias("row")))
     return reduce(DataFrame.unionByName, parts)
 
 
+#: The order in which each table's sample is taken.
+SAMPLE_KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"],
+               "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "events": ["event_id"], "documents": ["doc_id"],
+               "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
+
+
+def _shown(field) -> F.Column:
+    """A column as text that engines agree on: whole numbers, dates and short texts as they are, other
+    numbers in thousandths, long or nested values by size."""
+    c, kind = col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.ArrayType):
+        text = F.concat(F.size(c).cast("string"), F.lit(" values"))
+    elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        text = F.floor(c.cast("double") * 1000 + F.lit(0.5)).cast("string")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(kind, T.StringType):
+        text = F.when(F.length(c) <= 40, c).otherwise(F.concat(F.length(c).cast("string"), F.lit(" "), F.md5(c.cast("binary"))))
+    else:
+        text = c.cast("string")
+    return F.coalesce(text, F.lit("null"))
+
+
 @query("ml_export")
 def q_ml_export(spark, sf):
     """The feature table written as Parquet and read back the way a model reads it."""

@@ -157,6 +157,16 @@ def q_ml_cv(spark, sf):
     return ml.cross_validate(_features(Tables(spark, sf)))
 
 
+@query("ml_optimality")
+def q_ml_optimality(spark, sf):
+    return ml.optimality(_features(Tables(spark, sf))).select("n_rows", "n_classes", "n_features", "optimal")
+
+
+@query("ml_forest_nodes")
+def q_ml_forest_nodes(spark, sf):
+    return ml.forest_agreement(_features(Tables(spark, sf)))
+
+
 @query("ml_importance")
 def q_ml_importance(spark, sf):
     """Random-forest importances; also written as CSV with a header (the original's export)."""
