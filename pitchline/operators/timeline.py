@@ -68,18 +68,24 @@ def per_second(timed: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     return timed.groupBy(*SECOND_KEYS).agg(*[e.alias(n) for n, e in metrics.items()])
 
 
-def match_seconds(sec: DataFrame, matches: DataFrame) -> DataFrame:
+def anchored(sec: DataFrame, matches: DataFrame) -> DataFrame:
+    """The per-second rows of ``sec`` and one anchor row a match at second 0 (``_o`` 0) with its teams."""
+    anchor = home_away(matches).select("match_id", F.lit(0).cast("long").alias("abs_seconds"), F.lit(0).alias("_o"),
+                                       "home_team", "away_team")
+    return sec.withColumn("_o", F.lit(1)).unionByName(anchor, allowMissingColumns=True)
+
+
+def match_seconds(sec: DataFrame, matches: DataFrame | None) -> DataFrame:
     """The per-second rows of ``sec`` (with ``_goals``, the goals of that team in that second) and one
     anchor row a match at second 0 (``_o`` 0), each with its match's teams and last second and the
     running score up to and including its second.
 
     One scan, one exchange and one sort by (match, second) give all of it: scores are plain running
     sums (all rows of a second see all its goals, each goal once), teams come from the anchor.
-    Matches without events and events of unknown matches drop out.
+    Matches without events and events of unknown matches drop out. Without ``matches``, ``sec`` holds
+    the anchors already; a table of them bucketed by match needs no exchange here.
     """
-    anchor = home_away(matches).select("match_id", F.lit(0).cast("long").alias("abs_seconds"), F.lit(0).alias("_o"),
-                                       "home_team", "away_team")
-    rows = sec.withColumn("_o", F.lit(1)).unionByName(anchor, allowMissingColumns=True)
+    rows = sec if matches is None else anchored(sec, matches)
     order = Window.partitionBy("match_id").orderBy("abs_seconds")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({"home_team": F.max("home_team").over(whole), "away_team": F.max("away_team").over(whole),

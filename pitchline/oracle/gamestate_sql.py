@@ -67,6 +67,11 @@ STATE_CTE = """sd as (
 
 STATE_DURATIONS = tl_sql("from sd", STATE_CTE)
 
+CATALOG_TABLES = with_fb("""
+select 'seconds' as table_name, 'EXTERNAL' as kind, count(*) as rows, count(distinct match_id) as matches
+from (select distinct match_id, team, competition, season, period, minute * 60 + second as at from fb where period between 1 and 4
+      union all select match_id, null, null, null, null, null from fb_matches)""")
+
 EVENTS_MEASURED_CLOCK = with_fb("""
 select event_id, match_id, period,
   minute * 60 + second + (select coalesce(sum(late + 1), 0)::bigint from

@@ -35,6 +35,8 @@ def oracle_sql() -> dict[str, str]:
         "conditional_aggs": t.CONDITIONAL_AGGS,
         "ratio_metrics": t.RATIO_METRICS,
         "events_timed": g.EVENTS_TIMED,
+        "catalog_tables": g.CATALOG_TABLES,
+        "mart_gamestate_bucketed": g.MART_GAMESTATE,
         "events_measured_clock": g.EVENTS_MEASURED_CLOCK,
         "ml_optimality": d.ML_OPTIMALITY,
         "ml_forest_nodes": d.ML_FOREST_NODES,

@@ -57,8 +57,19 @@ def mart_gamestate(ev: DataFrame, matches: DataFrame, comps: DataFrame,
     they get the running score by one window over the match (``timeline.match_seconds``). A row's
     score stands until the next row's second, so time by lead is a plain difference of neighbours;
     metrics of both teams and the time are then summed by (match, lead), with no further exchange."""
-    goals_here = count_when(tl.goal_pred() if goal is None else goal)
-    sec = tl.match_seconds(tl.per_second(tl.events_clock(ev, convention), {**state_metrics(), "_goals": goals_here}), matches)
+    return mart_from_seconds(mart_seconds(ev, convention, goal), matches, comps, attribute, min_minutes)
+
+
+def mart_seconds(ev: DataFrame, convention: str = "per_period", goal=None) -> DataFrame:
+    """The events reduced to what M6 needs of each (match, team, second)."""
+    goals = count_when(tl.goal_pred() if goal is None else goal)
+    return tl.per_second(tl.events_clock(ev, convention), {**state_metrics(), "_goals": goals})
+
+
+def mart_from_seconds(seconds: DataFrame, matches: DataFrame | None, comps: DataFrame, attribute: str = "after",
+                      min_minutes: float = MIN_STATE_MINUTES) -> DataFrame:
+    """M6 from ``mart_seconds``, or without ``matches`` from its anchored, bucketed table."""
+    sec = tl.match_seconds(seconds, matches)
     order = Window.partitionBy("match_id").orderBy("abs_seconds")
     own = F.when(col("_o") == 1, F.lit(1))  # the anchor has time only
     sec = sec.withColumn("_time", F.lead("abs_seconds").over(order) - col("abs_seconds"))

@@ -8,6 +8,8 @@ from pitchline.operators import timeline as tl
 from pitchline.plans import gamestate as gs
 from pitchline.plans.catalog import Tables, query
 from pitchline.plans.team_marts import match_sides
+from pitchline.sources.bronze import union_all
+from pitchline.sources.warehouse import bucketed_by_match, table_name
 
 col = F.col
 
@@ -70,6 +72,29 @@ def q_mart_gamestate(spark, sf):
     return gs.mart_gamestate(t.ev, t.matches, t.comps)
 
 
+def _seconds_table(t: Tables):
+    return bucketed_by_match(t.spark, t.sf_dir, "seconds", lambda: tl.anchored(gs.mart_seconds(t.ev), t.matches), "abs_seconds")
+
+
+@query("mart_gamestate_bucketed")
+def q_mart_gamestate_bucketed(spark, sf):
+    """M6 from the catalogue's per-second table, bucketed by match: no exchange by match."""
+    t = Tables(spark, sf)
+    return gs.mart_from_seconds(_seconds_table(t), None, t.comps)
+
+
+@query("catalog_tables")
+def q_catalog_tables(spark, sf):
+    """The warehouse's tables as the session's catalogue lists them, with kind and rows."""
+    t = Tables(spark, sf)
+    _seconds_table(t)
+    own = table_name(spark, sf, "seconds")
+    names = [x.name for x in spark.catalog.listTables() if x.name == own and x.tableType == "EXTERNAL"]
+    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("match_id").alias("matches")).select(
+        F.lit("seconds").alias("table_name"), F.lit("EXTERNAL").alias("kind"), "rows", "matches") for n in names]
+    return union_all(parts)
+
+
 @query("check_symmetry")
 def q_check_symmetry(spark, sf):
     """The invariant test runs on the built mart table, as the original's data test does."""

@@ -59,14 +59,24 @@ MATCH_RENAMES = {"kick_off": "kick_off_time", "stadium": "stadium_name", "refere
                  "last_updated": "last_updated_at"}
 
 
+# The managers' birth dates and the format of update times.
+MANAGER_BIRTHS = ["home_manager_dob", "away_manager_dob"]
+UPDATED = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _updated(name: str) -> Column:
+    return F.try_to_timestamp(col(name), F.lit(UPDATED)).cast("timestamp_ntz")
+
+
 def stg_matches(raw: DataFrame) -> DataFrame:
-    """Dates and update times parsed, float ids and scores -> integers, 'nan' text -> NULL."""
+    """Dates and update times parsed, float ids and scores -> integers, 'nan' text -> NULL.
+    A date that doesn't parse is NULL here; ``split_matches`` puts its row aside before."""
     df = raw.withColumnsRenamed(MATCH_RENAMES)
     return df.withColumns({
         "season_year": col("season_year").cast("int"),
-        "match_date": F.to_date("match_date"),
-        "home_manager_dob": F.to_date("home_manager_dob"), "away_manager_dob": F.to_date("away_manager_dob"),
-        "last_updated_at": F.to_timestamp_ntz("last_updated_at", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        "match_date": F.try_to_date(col("match_date")),
+        **{c: F.try_to_date(col(c)) for c in MANAGER_BIRTHS},
+        "last_updated_at": _updated("last_updated_at"),
         "home_score": col("home_score").cast("int"), "away_score": col("away_score").cast("int"),
         "referee_id": float_id_to_long(col("referee_id")),
         "referee_country_id": float_id_to_long(col("referee_country_id")),
@@ -90,12 +100,14 @@ def stg_lineups(flat: DataFrame) -> DataFrame:
 
 
 def split_matches(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """D5 + B10 for match metadata: rows whose date does not parse (``try_to_date``, which never
-    raises) or which lack a team name go to quarantine with a reason; the rest are cleaned by
-    ``stg_matches``. One pass; nothing is dropped silently."""
+    """D5 + B10 for match metadata: rows whose match date is missing, whose other dates are there but
+    don't parse (the ``try_`` forms never raise), or which lack a team name go to quarantine with a
+    reason; the rest are cleaned by ``stg_matches``. One pass; nothing is dropped silently."""
     from pitchline.operators.quality import bad_record_split
     good, bad = bad_record_split(raw, {
         "bad_match_date": F.try_to_date(col("match_date"), "yyyy-MM-dd").isNull(),
         "missing_team": col("home_team_name").isNull() | col("away_team_name").isNull(),
+        **{f"bad_{c}": col(c).isNotNull() & F.try_to_date(col(c)).isNull() for c in MANAGER_BIRTHS},
+        "bad_last_updated": col("last_updated").isNotNull() & _updated("last_updated").isNull(),
     })
     return stg_matches(good), bad

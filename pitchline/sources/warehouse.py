@@ -189,6 +189,41 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return read_silver(spark, root, f"gold/{name}")
 
 
+#: Rows of a bucket of the per-second table, and its least number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 1 << 20, 8
+
+
+def table_name(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """An input's table in the session's catalogue."""
+    return f"pitchline_{name}_{materialise(spark, sf_dir).rstrip('/').rsplit('/', 1)[1]}"
+
+
+def bucketed_by_match(spark: SparkSession, sf_dir: str, name: str, build, sort: str) -> DataFrame:
+    """B3 + I3: a table of the session's catalogue, bucketed by match and sorted inside the buckets, written
+    once per input; windows and joins by match over it need no exchange. It is for tables that the match
+    clock bounds: a hot match must not fill its bucket, so raw events are never bucketed so."""
+    root, table = materialise(spark, sf_dir), table_name(spark, sf_dir, name)
+    if spark.catalog.tableExists(table):
+        return spark.table(table)
+    p, fs = _fs(spark, f"{root}/buckets")
+    found = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    ready = next((f for f in found if f.startswith(f"{name}-") and _exists(spark, f"{root}/buckets/{f}/_SUCCESS")), None)
+    if ready is None:
+        rows = build()
+        copy = f"{root}/buckets/.rows-{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(copy)  # counted and bucketed from here, so the build runs once
+        rows = spark.read.schema(rows.schema).parquet(copy)
+        n = max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
+        path = f"{root}/buckets/{name}-{n}"
+        (rows.repartition(n, "match_id").write.bucketBy(n, "match_id").sortBy("match_id", sort)
+         .option("path", path).saveAsTable(table))
+        return spark.table(table)
+    path, n = f"{root}/buckets/{ready}", int(ready.rsplit("-", 1)[1])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (match_id) SORTED BY (match_id, {sort}) INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(table_name, check_name, column_name, failures) as observed while the staging models and the
     marts that were built so far were written; ``check_name`` 'rows' has their numbers of rows."""

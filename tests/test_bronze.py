@@ -306,9 +306,44 @@ def test_bad_match_dates_are_quarantined_not_fatal(spark):
     raw = raw.withColumns({"away_manager_dob": F.lit(None).cast("string"), "last_updated": F.lit("2024-01-01T10:00:00.250000"),
                            "referee_country_id": F.lit(3.0), "home_manager_nickname": F.lit("nan"),
                            "away_manager_nickname": F.lit("Nick")})
+    late = raw.where("match_id = 1")
+    more = late.withColumns({"match_id": F.lit(4).cast("long"), "home_manager_dob": F.lit("1950")}).unionByName(
+        late.withColumns({"match_id": F.lit(5).cast("long"), "away_manager_dob": F.lit("no date")})).unionByName(
+        late.withColumns({"match_id": F.lit(6).cast("long"), "last_updated": F.lit("yesterday")}))
+    _, others = sv.split_matches(more.withColumn("home_manager_dob", F.when(F.col("match_id") == 4, "195x").otherwise(F.col("home_manager_dob"))))
+    assert sorted((r.match_id, r.reject_reason) for r in others.collect()) == [
+        (4, "bad_home_manager_dob"), (5, "bad_away_manager_dob"), (6, "bad_last_updated")]
     good, bad = sv.split_matches(raw)
     g = good.collect()
     assert [(r.match_id, str(r.match_date), r.home_score, r.referee_name, r.referee_id, str(r.home_manager_dob),
              r.home_manager_nickname, r.away_manager_nickname, str(r.last_updated_at)) for r in g] == [
         (1, "2024-06-14", 1, None, None, "1950-01-02", None, "Nick", "2024-01-01 10:00:00.250000")]
     assert sorted((r.match_id, r.reject_reason) for r in bad.collect()) == [(2, "bad_match_date"), (3, "missing_team")]
+
+
+def test_staged_event_columns_against_rows_written_by_hand(spark):
+    """Renames, flags, casts and coordinates of staging, stated value by value."""
+    schema = T.StructType([*br.BRONZE_EVENT_SCHEMA.fields, T.StructField("type", T.StringType()), T.StructField("competition", T.StringType()),
+                           T.StructField("season", T.IntegerType())])
+    nan = float("nan")
+    given = [{"id": 7, "match_id": 3, "period": 1, "minute": 2, "second": 3, "possession": 4, "team": "H", "player_id": 11.0, "player": "Ann",
+              "position": "Goalkeeper", "play_pattern": "From Kick Off", "location": [60.5, 40.0], "type": "Pass", "competition": "c", "season": 2024,
+              "pass_end_location": [71.0, 30.0], "pass_assisted_shot_id": 9.0, "pass_shot_assist": True, "pass_recipient_id": 12.0, "out": True,
+              "50_50": None, "pass_recipient": "Bea", "index": 5},
+             {"id": 8, "match_id": 3, "player_id": nan, "pass_assisted_shot_id": nan, "type": "Shot", "shot_expected_goals": 0.25,
+              "shot_end_location": [118.0, 39.0, 1.5], "location": [110.0], "competition": "c", "season": 2024},
+             {"id": 9, "match_id": 3, "type": "Carry", "carry_end_location": [50.0, 20.0], "counterpress": True, "competition": "c", "season": 2024}]
+    raw = spark.createDataFrame([tuple(g.get(f.name) for f in schema.fields) for g in given], schema)
+    staged = sv.stg_events(raw)
+    flags = [f.name for f in staged.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    assert len(flags) == 37 and not [c for c in staged.columns if c in ("id", "type", "player", "out", "50_50", "index", "shot_expected_goals")]
+    one, two, three = (r.asDict() for r in staged.orderBy("event_id").collect())
+    assert (one["event_id"], one["event_type"], one["player_name"], one["player_position"], one["possession_sequence"], one["event_index"]) == (
+        7, "Pass", "Ann", "Goalkeeper", 4, 5)
+    assert (one["player_id"], one["pass_assisted_shot_id"], one["pass_recipient_id"], one["pass_recipient_name"]) == (11, 9, 12, "Bea")
+    assert (one["start_x"], one["end_x"], one["pass_end_location_x"], one["pass_end_location_y"], one["location"]) == (60.5, 71.0, 71.0, 30.0, [60.5, 40.0])
+    assert {f for f in flags if one[f]} == {"pass_shot_assist", "is_out"} and all(one[f] is False for f in flags if not one[f])
+    assert (two["player_id"], two["pass_assisted_shot_id"], two["xg"], two["start_x"], two["end_x"]) == (None, None, 0.25, 110.0, None)
+    assert (two["shot_end_location_x"], two["shot_end_location_y"], two["shot_end_location_z"]) == (118.0, 39.0, 1.5)
+    assert not any(two[f] for f in flags) and {f for f in flags if three[f]} == {"counterpress"}
+    assert (three["end_x"], three["carry_end_location_x"], three["start_x"]) == (50.0, 50.0, None)

@@ -166,3 +166,23 @@ def test_mart_states_before_and_after_a_goal(spark, make_events, make_matches):
         assert {s: mart["H", s].passes_attempted for s in passes} == passes
         assert all(r.minutes_in_state == 10.0 for r in mart.values()) and set(mart) == {
             ("H", "Drawing"), ("A", "Drawing"), ("H", "Winning"), ("A", "Losing")}
+
+
+def test_bucketed_seconds_need_no_exchange_by_match(spark):
+    from conftest import SF0001
+    from pitchline.plans.catalog import Tables, load_all
+
+    q = load_all()
+    bucketed = q["mart_gamestate_bucketed"](spark, SF0001)
+    plan = bucketed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(match_id" not in plan and "SelectedBucketsCount" in plan
+    assert sorted(map(str, bucketed.collect())) == sorted(map(str, q["mart_gamestate"](spark, SF0001).collect()))
+    # another session's catalogue gets the table from its files
+    from pitchline.sources import warehouse as w
+    name = w.table_name(spark, SF0001, "seconds")
+    rows = spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    again = q["mart_gamestate_bucketed"](spark, SF0001)
+    assert spark.table(name).count() == rows
+    assert "hashpartitioning(match_id" not in again._jdf.queryExecution().executedPlan().toString()
+    assert Tables(spark, SF0001).matches.count() > 0
