@@ -100,3 +100,66 @@ def test_pairs_of_equally_frequent_words():
     z = [s.logit(x) for x, _ in rows[2000:]]
     level = sorted(z)[500]
     assert sum((v > level) == bool(y) for v, (_, y) in zip(z, rows[2000:])) / 1000 > 0.9
+
+
+def test_logits_equal_the_double_sum_over_pairs():
+    import numpy as np
+
+    from pitchline.llm import toxicity_fm as t
+
+    rng = np.random.default_rng(4)
+    linear, factors, bias = rng.normal(size=40), rng.normal(size=(40, t.FACTORS)), 0.3
+    some = [np.sort(rng.choice(40, size=n, replace=False)) for n in (1, 2, 7, 25, 40)]
+    window = np.repeat([0, 3, 4, 9, 11], [len(x) for x in some])
+    got = t.logits(window, np.concatenate(some), linear, factors, bias)
+    want = [bias + sum(linear[i] for i in x) + sum(factors[i] @ factors[j] for a, i in enumerate(x) for j in x[a + 1 :]) for x in some]
+    assert np.allclose(got, want, rtol=1e-12, atol=1e-12)
+    assert len(t.logits(window[:0], window[:0], linear, factors, bias)) == 0
+
+
+def test_a_documents_score_is_its_largest_window():
+    """Scorer against windows and terms put together by definition."""
+    import random as r
+
+    import numpy as np
+
+    from pitchline.llm import toxicity_fm as t
+
+    rng, nrng = r.Random(5), np.random.default_rng(5)
+    vocabulary = [f"word{i}" for i in range(30)]
+    terms = np.array(sorted({x for w in vocabulary[:12] for x in t.terms_of(w)}), np.int64)
+    model = t.Model(terms, nrng.normal(size=len(terms)), nrng.normal(size=(len(terms), t.FACTORS)) * 0.3, -0.5, (1.0, 0.0))
+    scorer = t.Scorer(model)
+    place = {int(x): i for i, x in enumerate(terms)}
+    for n in (0, 1, 15, 16, 17, 33, 70, 200):
+        text = " ".join(rng.choice(vocabulary) for _ in range(n))
+        ws = t.words(text)
+        best = model.bias
+        for start in range(0, max(len(ws) - t.HALF, 1), t.HALF):
+            rows = sorted({place[x] for w in ws[start : start + 2 * t.HALF] for x in t.terms_of(w) if x in place})
+            z = model.bias + sum(model.linear[i] for i in rows) + sum(model.factors[i] @ model.factors[j] for a, i in enumerate(rows) for j in rows[a + 1 :])
+            best = max(best, z)
+        assert abs(scorer.logit(text) - best) < 1e-9, n
+
+
+def test_features_equal_one_shot_compression():
+    import random as r
+
+    import zstandard
+
+    from pitchline.llm import compression_quality as c
+
+    rng = r.Random(6)
+    good, bad = (" ".join(rng.choice(words) for _ in range(20_000)).encode() for words in (["alpha", "beta", "gamma"], ["junk", "spam", "buy"]))
+    compressors = c.Compressors(good[-50_000:], bad[-50_000:])
+
+    def size(block, dictionary):
+        kw = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        one = zstandard.ZstdCompressor(level=c.LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False, **kw)
+        return len(one.compress(block))
+
+    for text in (b"", b"x", good[:700], bad[:5000], (good[:300] + bad[:300]) * 4):
+        blocks = [text[i : i + c.BLOCK] for i in range(0, len(text), c.BLOCK)]
+        sizes = [sum(size(b, d) for b in blocks) for d in (good[-50_000:], bad[-50_000:], None)]
+        want = ((sizes[1] - sizes[0]) / len(text), sizes[2] / len(text)) if text else (0.0, 0.0)
+        assert compressors.features(text) == want
