@@ -252,7 +252,9 @@ class Streams:
             found += [np.stack((first[fits], last[to[fits]])), np.stack((first[since[reaches]], last[reaches]))]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        low, high = np.unique(np.concatenate(found, axis=1), axis=1)
+        n = len(self.tokens) + 1
+        pairs = np.concatenate(found, axis=1)
+        low, high = np.divmod(np.unique(pairs[0] * n + pairs[1]), n)
         before = np.concatenate(([0], np.cumsum(self.text)))
         touches = before[high] > before[low]
         return low[touches], (high - low)[touches]
@@ -283,27 +285,33 @@ class Streams:
 
 class SuffixArray:
     """The sorted suffixes of pages' streams, none reaching past its page, by prefix doubling: ``ranks[k]``
-    orders them by their first 2**k tokens."""
+    orders them by their first 2**k tokens, a rank being the place of the first of its equals. Suffixes
+    that differ from all others keep their place."""
 
     def __init__(self, streams: Streams) -> None:
-        n = len(streams.codes)
+        n, rows = len(streams.codes), len(streams.lines)
         self.end = np.array(streams.bounds[1:], np.int64)[streams.row] if n else np.zeros(0, np.int64)
-        self.ranks = [streams.codes]
-        at, step = np.arange(n), 1
-        while n:
-            rank = self.ranks[-1]
-            ahead = at + step
+        counts = np.bincount(streams.codes)
+        self.ranks = [(np.cumsum(counts) - counts)[streams.codes]]
+        live, step = np.flatnonzero(counts[streams.codes] > 1), 1  # suffixes that equal others so far
+        while len(live):
+            rank, ahead = self.ranks[-1], live + step
             # a page's end sorts before every token and differs from other pages' ends
-            key = np.stack((rank, np.where(ahead < self.end, rank[np.minimum(ahead, n - 1)] + n, self.end - 1 - n)))
-            order = np.lexsort(key[::-1])
-            new = np.concatenate(([False], (key[:, order][:, 1:] != key[:, order][:, :-1]).any(0)))
-            fresh = np.empty(n, np.int64)
-            fresh[order] = np.cumsum(new)
+            second = np.where(ahead < self.end[live], rank[np.minimum(ahead, n - 1)], -1 - streams.row[live])
+            key = rank[live] * (n + rows) + second + rows
+            order = np.argsort(key)
+            live, key, group = live[order], key[order], rank[live[order]]
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            start = np.flatnonzero(new)
+            size = np.diff(np.append(start, len(live)))
+            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))  # of each old group
+            inside = np.arange(len(live)) - np.repeat(first, np.diff(np.append(first, len(live))))
+            fresh = rank.copy()
+            fresh[live] = group + np.repeat(inside[start], size)
             self.ranks.append(fresh)
+            live = live[np.repeat(size > 1, size)]
             step *= 2
-            if int(fresh.max()) == n - 1:
-                break
-        self.order = np.argsort(self.ranks[-1], kind="stable")
+        self.order = np.argsort(self.ranks[-1], kind="stable") if n else np.zeros(0, np.int64)
 
     def common(self) -> np.ndarray:
         """Tokens that each suffix of the array shares with the one before it; the first with none."""
@@ -332,15 +340,16 @@ class SuffixArray:
             mine = level == k
             rank = self.ranks[min(k, len(self.ranks) - 1)]
             first[mine], last[mine] = rank[start[mine]], rank[start[mine] + size[mine] - (1 << k)]
-        return np.unique(np.stack((size, first, last)), axis=1, return_inverse=True)[1].reshape(-1)
+        _, both = np.unique(first * len(self.order) + last, return_inverse=True)
+        return np.unique(both * (int(size.max(initial=0)) + 1) + size, return_inverse=True)[1]
 
 
 def _on_pages(group: np.ndarray, page: np.ndarray) -> np.ndarray:
     """For each member of a group the number of distinct pages its group stands on."""
     if not len(group):
         return group
-    pairs = np.unique(np.stack((group, page)), axis=1)
-    return np.bincount(pairs[0], minlength=int(group.max()) + 1)[group]
+    n = int(page.max()) + 1
+    return np.bincount(np.unique(group * n + page) // n, minlength=int(group.max()) + 1)[group]
 
 
 def candidates(streams: Streams, host: str, run: int, long: int, share: float) -> np.ndarray:
@@ -348,12 +357,15 @@ def candidates(streams: Streams, host: str, run: int, long: int, share: float) -
     intervals and sequences of whole blocks."""
     if not len(streams.tokens):
         return np.zeros(0, np.int64)
-    array, of = SuffixArray(streams), streams.hashes(host)
+    array = SuffixArray(streams)
     at = streams.windows(long)
     starts, sizes = streams.units(run)
     need = share * streams.pages
     windows = at[_on_pages(array.interval(long)[at], streams.page[at]) >= need]
     often = _on_pages(array.equal(starts, sizes), streams.page[starts]) >= need
+    if not len(windows) and not often.any():
+        return np.zeros(0, np.int64)
+    of = streams.hashes(host)
     return np.unique(np.concatenate((of(windows, long), _unit(of(starts[often], sizes[often])))))
 
 
@@ -364,6 +376,8 @@ def _unit(h: np.ndarray) -> np.ndarray:
 
 def _places(streams: Streams, host: str, run: int, long: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, size) of the wanted repeats in the streams."""
+    if not len(wanted) or not len(streams.tokens):
+        return (np.zeros(0, np.int64),) * 3
     at, (starts, sizes) = streams.windows(long), streams.units(run)
     of = streams.hashes(host)
     h = np.concatenate((of(at, long), _unit(of(starts, sizes))))
@@ -434,8 +448,9 @@ def extract(pages: DataFrame, run: int = RUN, copy: float = COPY, long: int = LO
             for row in batch.to_pylist():
                 one = _batch_streams(row)
                 h, start, _ = _places(one, row["host"], run, long, np.array(row["wanted"], np.int64))
-                pairs = np.unique(np.stack((h, one.page[start])), axis=1)
-                heads, n = np.unique(pairs[0], return_counts=True)
+                known, number = np.unique(h, return_inverse=True)
+                on, n = np.unique(np.unique(number * (one.pages + 1) + one.page[start]) // (one.pages + 1), return_counts=True)
+                heads = known[on]
                 yield pa.RecordBatch.from_arrays([pa.array([row["host"]] * len(heads), pa.string()), pa.array(heads), pa.array(n.astype(np.int64))],
                                                  ["host", "h", "n"])
 
