@@ -23,9 +23,9 @@ SEED = 42
 N_FOLDS = 5
 
 
-class _Forest(RandomForestClassifier):
-    """A forest without its training summary. A summary of two classes holds the session, which can't be
-    sent to tasks any more once a write was observed in it; nothing here reads the summary."""
+class _WithoutSummary:
+    """A fitted model without its training summary. A summary of two classes holds the session, which can't
+    be sent to tasks any more once a write was observed in it; nothing here reads the summary."""
 
     def _fit(self, dataset):
         model = super()._fit(dataset)
@@ -33,6 +33,14 @@ class _Forest(RandomForestClassifier):
         return model
 
 
+class _Forest(_WithoutSummary, RandomForestClassifier):
+    pass
+
+
+class _Regression(_WithoutSummary, LogisticRegression):
+    pass
+
+
 def labelled(features: DataFrame) -> DataFrame:
     """The rows every model, fold and baseline is about: those with a known class."""
     return features.where(col("outcome_class").isNotNull())
@@ -81,7 +89,7 @@ def _stages(model: str, n_rows: int):
         # its default stopping tolerance is 1e-4 (Spark's is 1e-6), with the same 1000-step cap
         return [idx, asm, StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
                                          withStd=True),
-                LogisticRegression(featuresCol="features", family="multinomial", maxIter=1000,
+                _Regression(featuresCol="features", family="multinomial", maxIter=1000,
                                    regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, tol=1e-4)]
     return [idx, asm, _Forest(featuresCol="raw_features", numTrees=100, maxDepth=4,
                                              seed=SEED)]
