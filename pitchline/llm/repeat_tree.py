@@ -381,15 +381,16 @@ def _window_marks(cut: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): ``texts`` has every row with its own ``row_key`` in place of ``doc_id``, ``spans``
     (doc_id, low, high) the byte spans, by that key, that also occur earlier, overlapping ones included."""
-    rows = row_keyed(docs, "keyed").withColumn("own_id", F.col("doc_id").cast("long"))
-    whole = rows.withColumn("doc_id", F.col("row_key"))
-    texts = whole.select("doc_id", "text")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = row_keyed(docs, "keyed").withColumn("own_id", F.col("doc_id").cast("long")).withColumn("doc_id", F.col("row_key"))
+    # no key is null; stated here, so that both joins by key share one exchange of the texts
+    texts = rows.select("doc_id", "own_id", "text", *others).where("doc_id IS NOT NULL")
     marks = written(_classed(anchors(texts, length, k), hot), "marks")
     cut = _cut(texts, marks.where(f"contexts > 1 and contexts <= {hot}"))
     spans = marks.where("contexts = 0").select("doc_id", "low", "high").unionByName(_tree_marks(cut, length))
     if not marks.where(f"contexts > {hot}").isEmpty():
         spans = spans.unionByName(_window_marks(_cut(texts, marks.where(f"contexts > {hot}")), length))
-    return whole, spans
+    return texts, spans
 
 
 def _joined(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -411,8 +412,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT, who
     So of repeated rows the first keeps its text. A null text counts as empty. A text shorter than
     ``length`` bytes is kept whole. An empty table gives an empty result.
     """
-    rows, spans = repeated_spans(docs.select("doc_id", "text", *keep), length, k, hot)
-    texts = rows.select("doc_id", "own_id", "text", *keep)
+    texts, spans = repeated_spans(docs.select("doc_id", "text", *keep), length, k, hot)
     per_doc = spans.groupBy("doc_id").agg(F.collect_list(_span()).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
