@@ -131,10 +131,10 @@ def optimality(features: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     fitted = Pipeline(stages=_stages("logistic_regression", n)).fit(data)
     samples = fitted.transform(data).select(col("team_comp_key").alias("id"), "label", "features")
     slopes = mr.gradient(samples, mr.coefficients(spark, fitted.stages[-1]), 1.0 / n)
-    counted = data.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("outcome_class").alias("n_classes"))
-    steepest = slopes.agg(F.max(F.abs("slope")).alias("steepest_slope"), F.count_distinct("feature").alias("k"))
-    return counted.crossJoin(steepest).select(  # one row each
-        "n_rows", "n_classes", (col("k") - 1).alias("n_features"), "steepest_slope", (col("steepest_slope") < tolerance).alias("optimal"))
+    return slopes.agg(F.max(F.abs("slope")).alias("steepest_slope"), F.count_distinct("feature").alias("k"),
+                      F.count_distinct("class").alias("n_classes")).select(
+        F.lit(n).cast("long").alias("n_rows"), "n_classes", (col("k") - 1).alias("n_features"), "steepest_slope",
+        (col("steepest_slope") < tolerance).alias("optimal"))
 
 
 def forest_agreement(features: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def forest_agreement(features: DataFrame) -> DataFrame:
     importances = theirs.join(mr.node_importances(nodes), "feature", "left").select(
         "subject", (F.abs(F.coalesce("importance", F.lit(0.0)) - col("theirs")) < 1e-9).alias("agrees"))
     scored = fitted.transform(data).select("team_comp_key", vector_to_array("raw_features").alias("values"), col("prediction").alias("theirs"))
-    walked = mr.forest_predictions(nodes, scored, "team_comp_key", forest.getOrDefault("maxDepth"))
+    walked = mr.forest_predictions(nodes, scored, "team_comp_key", forest.getNumTrees, forest.getOrDefault("maxDepth"))
     teams = scored.join(walked, "team_comp_key", "left").select(col("team_comp_key").alias("subject"), col("theirs").eqNullSafe(col("prediction")).alias("agrees"))
     return importances.unionByName(teams)
 

@@ -41,11 +41,12 @@ def node_importances(nodes: DataFrame) -> DataFrame:
     return total.select("feature", (col("share") / F.sum("share").over(Window.partitionBy(F.lit(0)))).alias("importance"))  # a row a feature
 
 
-def forest_predictions(nodes: DataFrame, rows: DataFrame, key: str, depth: int) -> DataFrame:
+def forest_predictions(nodes: DataFrame, rows: DataFrame, key: str, trees: int, depth: int) -> DataFrame:
     """(key, prediction) for rows (key, ``values`` array): each row walks every tree, one join a level,
     the leaves' class shares are summed and the first of the largest wins."""
     split = nodes.select("tree", "node", "feature", "threshold", "left", "right", "stats")
-    at = rows.select(key, "values").join(F.broadcast(split.where("node = 0")))  # roots: as many as trees
+    at = rows.select(key, "values", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node")).join(
+        split, ["tree", "node"])
     for _ in range(depth):
         onward = F.when(col("left") < 0, col("node")).when(F.get("values", col("feature")) <= col("threshold"), col("left")).otherwise(col("right"))
         at = at.select(key, "values", "tree", onward.alias("node")).join(split, ["tree", "node"])
