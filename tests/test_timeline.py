@@ -130,6 +130,15 @@ def test_interval_join_of_ten_thousand_intervals_of_one_key(spark):
     assert "node" in join.split("Inner")[0]
 
 
+def test_interval_join_never_broadcasts_the_nodes_of_intervals(spark):
+    pts = spark.createDataFrame([(1, 10.0)], "k int, at double")
+    ivs = spark.createDataFrame([(1, 0.0, 6000.0)], "k int, s double, e double")
+    joined = tl.interval_join(pts, ivs, ["k"], "at", "s", "e")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == 1
+
+
 def test_interval_join_with_fractions_and_other_cells(spark):
     import random
     rng = random.Random(6)
