@@ -347,3 +347,41 @@ def test_staged_event_columns_against_rows_written_by_hand(spark):
     assert (two["shot_end_location_x"], two["shot_end_location_y"], two["shot_end_location_z"]) == (118.0, 39.0, 1.5)
     assert not any(two[f] for f in flags) and {f for f in flags if three[f]} == {"counterpress"}
     assert (three["end_x"], three["carry_end_location_x"], three["start_x"]) == (50.0, 50.0, None)
+
+
+def _rows_of_files(folder):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    return [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{folder.removeprefix('file:')}/**/*.parquet", recursive=True)]
+
+
+def test_no_landing_task_holds_more_rows_as_a_kind_grows(spark):
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    ev = Fb(spark, SF0001).ev.withColumn("event_type", F.lit("Pass")).withColumn("competition", F.lit("c")).withColumn("season", F.lit(1))
+    br.land_raw_events(br.raw_events(ev), root, rows_per_task=100)
+    files = _rows_of_files(f"{root}/events/epoch=0/type=Pass")
+    assert sum(files) == ev.count() == 1000
+    assert max(files) <= 200  # a task's rows, not those of all spread files that fit a split
+    assert br.read_bronze_events(spark, root, committed=False).select("id").distinct().count() == 1000
+
+
+def test_matches_are_grouped_in_a_hash_table_before_texts_are_compared(spark):
+    from pitchline.sources import fb
+    ev = Fb(spark, SF0001).ev
+    plan = fb.fb_matches(ev)._jdf.queryExecution().sparkPlan().toString()
+    aggregates = [x.strip(" :+-") for x in plan.splitlines() if "Aggregate" in x]
+    assert aggregates[-1].startswith("HashAggregate")  # next to the events
+    two = ev.where("match_id = 0").withColumn("competition", F.when(F.col("event_id") % 2 == 0, "b").otherwise("a"))
+    one, both = fb.fb_matches(ev.where("match_id = 0")).first(), fb.fb_matches(two).collect()
+    assert [r.competition_folder_name for r in both] == ["a"]  # the least, and one row a match
+    assert both[0].asDict() | {"competition_folder_name": 0} == one.asDict() | {"competition_folder_name": 0}
+
+
+def test_staged_input_is_dealt_out_by_rows(spark):
+    from pitchline.session import dealt
+    rows = spark.range(1000).coalesce(1)
+    parts = dealt(rows, 1000, ["id"], 100).rdd.glom().map(len).collect()
+    assert len(parts) == 10 and max(parts) <= 200
+    assert dealt(rows, 100, ["id"], 100) is rows
