@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pitchline.session import ROWS_PER_TASK
+
 col = F.col
 
 
@@ -54,7 +56,9 @@ def land_batch(batch: DataFrame, epoch_id: int, root: str, partitions=("competit
     why = F.when(col("match_id").isNull(), "missing match_id").when(col("event_id").isNull(), "missing event_id")
     batch.withColumn("reason", why).where("reason IS NOT NULL").write.mode("overwrite").parquet(f"{root}/refused/epoch={epoch_id}")
     key = ["match_id", "event_id"]
-    new = batch.dropna(subset=key).dropDuplicates(key)  # a shuffle on a unique key, so no hot partition
+    tasks = -(-batch.count() // ROWS_PER_TASK)  # footers have the count
+    known = batch.dropna(subset=key).repartition(max(1, tasks), *key)  # a nearly unique key, so no hot partition
+    new = known.dropDuplicates(key)  # sorts whole rows: after the shuffle, which bounds them, and not before it too
     landed = _landed(batch, root, epoch_id)
     if landed is not None:
         new = new.join(landed, key, "left_anti").select(*batch.columns)

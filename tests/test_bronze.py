@@ -367,6 +367,16 @@ def test_no_landing_task_holds_more_rows_as_a_kind_grows(spark):
     assert br.read_bronze_events(spark, root, committed=False).select("id").distinct().count() == 1000
 
 
+def test_no_streaming_task_holds_more_rows_as_a_batch_grows(spark, monkeypatch):
+    from pitchline.streaming import landing
+    monkeypatch.setattr(landing, "ROWS_PER_TASK", 50)
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    batch = Fb(spark, SF0001).ev.drop("ts").withColumn("competition", F.lit("c")).withColumn("season", F.lit(1)).coalesce(1)
+    landing.land_batch(batch, 0, root)
+    files = _rows_of_files(f"{root}/events")
+    assert sum(files) == 1000 and max(files) <= 100
+
+
 def test_matches_are_grouped_in_a_hash_table_before_texts_are_compared(spark):
     from pitchline.sources import fb
     ev = Fb(spark, SF0001).ev
