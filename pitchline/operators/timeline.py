@@ -195,7 +195,7 @@ def state_of_events(timed: DataFrame, matches: DataFrame, goal: Column | None =
     seconds = match_seconds(timed.groupBy("match_id", "team", "abs_seconds").agg(goals.alias("_goals")), matches)
     states = seconds.where("_o = 1 AND abs_seconds < match_end_seconds").select(
         "match_id", "team", "abs_seconds", own_state().alias("game_state")).where("game_state IS NOT NULL")
-    return timed.join(states, ["match_id", "team", "abs_seconds"])
+    return timed.join(states.hint("merge"), ["match_id", "team", "abs_seconds"])  # neither side fits a broadcast
 
 
 def attribute_events(timed: DataFrame, timeline: DataFrame, frame: DataFrame,
@@ -206,7 +206,7 @@ def attribute_events(timed: DataFrame, timeline: DataFrame, frame: DataFrame,
     never sees raw events."""
     secs = timed.select("match_id", "team", "abs_seconds").distinct()
     states = attribute_seconds(secs, timeline, frame, attribute)
-    return timed.join(states, ["match_id", "team", "abs_seconds"], "inner")
+    return timed.join(states.hint("merge"), ["match_id", "team", "abs_seconds"], "inner")
 
 
 #: Children of a node of the tree that intervals are laid out on.

@@ -139,6 +139,14 @@ def test_interval_join_never_broadcasts_the_nodes_of_intervals(spark):
     assert joined.count() == 1
 
 
+def test_states_of_events_are_merged_not_broadcast(make_events, make_matches):
+    ev, matches = make_events([goal(1, 1, 1, 2, 0, "H"), ev_row(2, 1, 1, 3, 0), ev_row(3, 1, 1, 4, 0)]), make_matches([1])
+    got = tl.state_of_events(tl.events_clock(ev), matches)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert {r.event_id: r.game_state for r in got.collect()} == {1: "Winning", 2: "Winning"}
+
+
 def test_interval_join_with_fractions_and_other_cells(spark):
     import random
     rng = random.Random(6)
