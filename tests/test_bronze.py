@@ -395,3 +395,13 @@ def test_staged_input_is_dealt_out_by_rows(spark):
     parts = dealt(rows, 1000, ["id"], 100).rdd.glom().map(len).collect()
     assert len(parts) == 10 and max(parts) <= 200
     assert dealt(rows, 100, ["id"], 100) is rows
+
+
+def test_the_manifest_is_counted_by_many_tasks(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from pitchline.sources import epochs
+    monkeypatch.setattr(DataFrame, "coalesce", lambda *_: 1 / 0)  # one task would hold every partition's hash tables
+    root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    counts = {d: spark.range(50).selectExpr("id AS match_id", "id % 3 AS rows") for d in epochs.DATASETS}
+    assert sorted(r.match_id for r in epochs.commit(spark, root, 0, counts).collect()) == [i for i in range(50) if i % 3]
