@@ -405,3 +405,9 @@ def test_the_manifest_is_counted_by_many_tasks(spark, monkeypatch):
     root = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
     counts = {d: spark.range(50).selectExpr("id AS match_id", "id % 3 AS rows") for d in epochs.DATASETS}
     assert sorted(r.match_id for r in epochs.commit(spark, root, 0, counts).collect()) == [i for i in range(50) if i % 3]
+
+
+def test_a_bucket_holds_no_more_rows_than_a_task():
+    from pitchline.session import ROWS_PER_TASK
+    from pitchline.sources import warehouse
+    assert warehouse.BUCKET_ROWS <= ROWS_PER_TASK  # a bucket is a task that sorts its rows
