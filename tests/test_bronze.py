@@ -3,12 +3,14 @@
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF0001
 from pitchline.session import shared_scratch
 from pitchline.sources import bronze as br
+from pitchline.sources import footers
 from pitchline.sources import silver as sv
 from pitchline.sources.warehouse import materialise, read_silver
 
@@ -411,3 +413,63 @@ def test_a_bucket_holds_no_more_rows_than_a_task():
     from pitchline.session import ROWS_PER_TASK
     from pitchline.sources import warehouse
     assert warehouse.BUCKET_ROWS <= ROWS_PER_TASK  # a bucket is a task that sorts its rows
+
+
+def test_a_match_a_file_is_dealt_by_files(spark):
+    """200 matches of one row each are written by several tasks, however few bytes they have."""
+    import glob
+
+    folder = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    br.drop_by_match(spark.range(200).select(F.col("id").alias("match_id"), F.lit(1).alias("n")), folder, 200)
+    files = glob.glob(f"{_local(folder)}/match_id=*/part-*.parquet")
+    assert len(files) == 200 and len({os.path.basename(f).split("-")[1] for f in files}) == 4
+    known = footers.footers(spark, folder)
+    assert len(known.rows) == 200 and [s.names for s in known.schemas.values()] == [["n"]] and len(known.groups) == 1
+
+
+def test_data_files_are_those_of_hadoops_listing(spark):
+    folder = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    spark.range(3).select("id", F.lit("a b%/é").alias("part")).write.partitionBy("part").parquet(folder)
+    local = _local(folder)
+    os.makedirs(f"{local}/empty/part=none")
+    open(f"{local}/cut.parquet", "w").close()
+    p, fs = br.epochs.path_of(spark, folder)
+    listed, found = fs.listFiles(p, True), []
+    while listed.hasNext():
+        f = listed.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    assert footers.data_files(spark, folder) == sorted(found) and len(found) > 1
+    assert footers.data_files(spark, found[0][0]) == [found[0]]
+    with pytest.raises(FileNotFoundError):
+        footers.data_files(spark, f"{folder}/missing")
+
+
+def test_groups_are_read_by_folder_where_no_other_group_lies():
+    root = "file:/d"
+    a = [f"{root}/match_id={i}/x.parquet" for i in range(5)]
+    b = [f"{root}/match_id=1/y.parquet"]
+    assert footers._folders(a, a, root) == [root]
+    assert footers._folders(a, a + b, root) == [f"{root}/match_id=0", a[1], *[f"{root}/match_id={i}" for i in range(2, 5)]]
+    assert footers._folders(b, a + b, root) == b
+    hidden = [f"{root}/.old/x.parquet"]
+    assert footers._folders(hidden, hidden, root) == hidden  # Spark lists no hidden folder
+
+
+def test_mixed_folders_are_read_whole_and_once(spark):
+    """Two groups side by side, one file cut: every other file's rows once, with the folders' values."""
+    import glob
+
+    folder = shared_scratch(spark, f"test/{uuid.uuid4().hex}")
+    both = spark.range(40).select(F.col("id").alias("n"), (F.col("id") % 8).alias("match_id"))
+    both.repartition(1).write.partitionBy("match_id").parquet(folder)
+    both.where("match_id in (2, 3)").withColumn("n", F.col("n") + 100.5).repartition(1).write.mode("append").partitionBy("match_id").parquet(folder)
+    cut = glob.glob(f"{_local(folder)}/match_id=5/*.parquet")[0]
+    with open(cut, "wb") as f:
+        f.write(b"PAR1 cut")
+    for skip_corrupt in (False, True):
+        rows = footers.read_groups(spark, folder, T.StructType([]), folder, True, {"match_id": "long"}, skip_corrupt=skip_corrupt)
+        got = sorted((r.n, r.match_id) for r in rows.collect())
+        assert got == sorted([(float(i), i % 8) for i in range(40) if i % 8 != 5] + [(i + 100.5, i % 8) for i in range(40) if i % 8 in (2, 3)])
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert spark.conf.get(key) == "10000"
