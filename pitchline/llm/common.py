@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -39,13 +41,26 @@ def row_keyed(docs: DataFrame, name: str) -> DataFrame:
 
 
 def process_cache(kind: str, key: Any, build: Callable[[], Any]) -> Any:
-    """One object of each kind for each Python worker process, built on first use and anew when
-    ``key`` changes; workers serve many tasks. ``key`` must tell different contents apart."""
+    """One object for each Python worker process, built on first use and anew when ``kind`` or ``key``
+    changes; workers serve many tasks. ``key`` must tell different contents apart. Workers outlive the
+    operator they were started for, so what the last one held goes before the next one's is built."""
     name = "pitchline_llm_process_cache"
     store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if kind not in store or store[kind][0] != key:
-        store[kind] = (key, build())
-    return store[kind][1]
+    if "held" not in store or store["held"][:2] != (kind, key):
+        if store.pop("held", None) is not None:
+            _give_back()
+        store["held"] = (kind, key, build())
+    return store["held"][2]
+
+
+def _give_back() -> None:
+    """Hands freed memory back to the system; the allocators would keep it for the process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc
+        return
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ earlier (smaller doc_id, or same document and earlier start).
 1. **Anchors.** In every window of ``length`` bytes the ``k``-gram with the least hash is its
    anchor. That depends on nothing but the window, so equal windows meet at equal anchors. Around
    an anchor lies its context: all bytes of the windows whose anchor it is.
-2. **Equal contexts.** Copies within a batch are told at once; the rest is sorted by (hash, 128-bit context hash, place). Every context
+2. **Equal contexts.** Copies within a lot of anchors are told at once; the rest is sorted by (hash, 128-bit context hash, place). Every context
    but the first of a class of equal ones is a copy from end to end. Only the first goes on, and
    only if the same anchor has other contexts too.
 3. **Suffix array.** The remaining contexts of an anchor are cut from the texts, and their
@@ -34,12 +34,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchline.llm.common import group_starts, row_keyed, sorted_groups, text_bytes, written
+from pitchline.llm.common import group_starts, process_cache, row_keyed, sorted_groups, text_bytes, written
 
 LENGTH = 100
 K = 20
-#: Bytes of text that are hashed in one go.
-CHUNK = 1 << 19
+#: Bytes of text that are hashed in one go, with a dozen numbers for each of them.
+CHUNK = 1 << 17
+#: Anchors that are looked through for copies at a time.
+ANCHORS = 1 << 17
+#: Contexts whose suffixes are sorted at a time, but for an anchor that has more.
+CONTEXTS = 1 << 12
 #: Differing contexts of one anchor that one task sorts.
 HOT = 50_000
 
@@ -92,6 +96,11 @@ class _Hasher:
         return _mixed((prefix[end] - prefix[start]) * self.down[start])
 
 
+def _hasher(size: int) -> _Hasher:
+    """A hasher of ``size`` bytes, the worker's own unless there are more than go in one go."""
+    return process_cache("repeat_tree", CHUNK, lambda: _Hasher(CHUNK)) if size <= CHUNK else _Hasher(size)
+
+
 def _anchors(data: np.ndarray, ends: np.ndarray, hasher: _Hasher, length: int, k: int
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text number, position in data, anchor hash, context start, context end) of all anchors of
@@ -139,32 +148,40 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     """(h, c, doc_id, low, high, copy): anchor hash, context hash and place of the context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher(CHUNK)
-        second = _U(0xA24BAED4963EE407)
-        for batch in batches:
-            offsets, raw = text_bytes(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            first, parts = 0, []
-            while first < len(ids):
-                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, side="right")) - 1)
-                data = raw[offsets[first] : offsets[last]]
-                ends = (offsets[first + 1 : last + 1] - offsets[first]).astype(np.int64)
-                text, _, h, low, high = _anchors(data, ends, hasher, length, k)
-                if len(text):
-                    prefix = hasher.prefix(data)
-                    c = hasher.of(prefix, low, high) + (high - low).astype(_U) * second
-                    start = np.concatenate(([0], ends[:-1]))[text]
-                    parts.append((h, c, ids[first:last][text], (low - start).astype(np.int32), (high - start).astype(np.int32)))
-                first = last
-            if parts:
-                yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return _found(batches, length, k)
 
     return docs.mapInArrow(run, "h long, c long, doc_id long, low int, high int, copy boolean")
 
 
+def _found(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
+    second = _U(0xA24BAED4963EE407)
+    for batch in batches:
+        offsets, raw = text_bytes(batch.column("text"))
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        first, parts, rows = 0, [], 0
+        while first < len(ids):
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, side="right")) - 1)
+            data = raw[offsets[first] : offsets[last]]
+            ends = (offsets[first + 1 : last + 1] - offsets[first]).astype(np.int64)
+            hasher = _hasher(len(data))
+            text, _, h, low, high = _anchors(data, ends, hasher, length, k)
+            if len(text):
+                prefix = hasher.prefix(data)
+                c = hasher.of(prefix, low, high) + (high - low).astype(_U) * second
+                start = np.concatenate(([0], ends[:-1]))[text]
+                parts.append((h, c, ids[first:last][text], (low - start).astype(np.int32), (high - start).astype(np.int32)))
+                rows += len(text)
+            first = last
+            if rows >= ANCHORS:
+                yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                parts, rows = [], 0
+        if parts:
+            yield _combined(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 def _combined(h: np.ndarray, c: np.ndarray, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-    """Pre-aggregation: of equal contexts in a batch all but the first are copies already. They
-    get a key of their own, so a frequent anchor sends one row a batch to its task."""
+    """Pre-aggregation: of equal contexts in a lot all but the first are copies already. They
+    get a key of their own, so a frequent anchor sends one row a lot to its task."""
     order = np.lexsort((low, ids, c, h))
     h, c, ids, low, high = h[order], c[order], ids[order], low[order], high[order]
     copy = np.concatenate(([False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
@@ -260,14 +277,25 @@ def _suffix_groups(strings: list[bytes], group: np.ndarray, length: int) -> Iter
     data = np.frombuffer(b"".join(strings), np.uint8)
     ends = np.cumsum(sizes)
     windows = np.maximum(sizes - length + 1, 0)
-    owner = np.repeat(np.arange(len(strings)), windows)
-    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = (ends - sizes)[owner] + start
-    if not len(at):
+    after = np.cumsum(windows)
+    total = int(after[-1]) if len(after) else 0
+    if not total:
         return
-    hasher = _Hasher(len(data))
-    key = hasher.of(hasher.prefix(data), at, at + length) ^ _mixed(group[owner].astype(_U) * _P)
-    left = np.where(start > 0, data[np.maximum(at - 1, 0)].astype(np.int64), -1)
+    key, left = np.empty(total, _U), np.empty(total, np.int16)  # by window; nothing else is held for all of them
+    salt = _mixed(group.astype(_U) * _P)
+    s = 0
+    while s < len(strings):
+        begin = int(ends[s] - sizes[s])
+        e = max(s + 1, int(np.searchsorted(ends, begin + CHUNK, side="right")))
+        part, many = data[begin : ends[e - 1]], windows[s:e]
+        its = slice(int(after[s] - windows[s]), int(after[e - 1]))
+        opens = ends[s:e] - sizes[s:e] - begin
+        at = np.arange(its.stop - its.start) + np.repeat(opens - (after[s:e] - many - its.start), many)
+        if len(at):
+            hasher = _hasher(len(part))
+            key[its] = hasher.of(hasher.prefix(part), at, at + length) ^ np.repeat(salt[s:e], many)
+            left[its] = np.where(at > np.repeat(opens, many), part[np.maximum(at - 1, 0)].astype(np.int16), np.int16(-1))
+        s = e
     order = np.argsort(key, kind="stable")
     runs = group_starts(key[order])
     many = np.diff(np.append(runs, len(key)))
@@ -277,10 +305,12 @@ def _suffix_groups(strings: list[bytes], group: np.ndarray, length: int) -> Iter
                            | (np.minimum.reduceat(lefts, runs) < 0))
     picked = order[np.repeat(useful, many)]
     lots = np.append(0, np.cumsum(many[useful])).tolist()
-    own, begin, before = owner[picked].tolist(), start[picked].tolist(), left[picked].tolist()
-    suffixes = [(strings[n][i:], b, n, i) for n, i, b in zip(own, begin, before, strict=True)]
+    del key, order, lefts, runs
+    own = np.searchsorted(after, picked, side="right")
+    start, before = picked - (after - windows)[own], left[picked]
     for s, e in zip(lots[:-1], lots[1:], strict=True):
-        lot = suffixes[s:e]
+        lot = [(strings[n][i:], b, n, i) for n, i, b in zip(
+            own[s:e].tolist(), start[s:e].tolist(), before[s:e].tolist(), strict=True)]
         lot.sort()
         yield lot
 
@@ -344,7 +374,8 @@ def _common(a: bytes, b: bytes) -> int:
 
 def _tree_marks(cut: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sorted_groups(batches, "h", 20_000):
+        slices = (b.slice(i, CONTEXTS) for b in batches for i in range(0, b.num_rows, CONTEXTS))
+        for part in sorted_groups(slices, "h", CONTEXTS):
             ids, low = part.column("doc_id").to_pylist(), part.column("low").to_pylist()
             out: set[tuple[int, int, int]] = set()
             for lot in _suffix_groups(part.column("context").to_pylist(), part.column("h").to_numpy().view(_U), length):

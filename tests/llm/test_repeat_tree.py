@@ -1,7 +1,14 @@
 import hashlib
 import random
+import tracemalloc
+import types
+import weakref
+
+import numpy as np
+import pyarrow as pa
 
 from pitchline.llm import repeat_tree as r
+from pitchline.llm.common import process_cache
 
 
 def brute(rows, n=100):
@@ -89,3 +96,41 @@ def test_maximal_repeats_have_all_occurrences():
     strings = [b"1" + b"abcdefgh" + b"2", b"3" + b"abcdefgh" + b"4", b"5" + b"abcdefgh" + b"2"]
     got = {(n, tuple(sorted(p))) for n, p in r.maximal_repeats(strings, np.zeros(3, np.int64), 4)}
     assert got == {(8, ((0, 1), (1, 1), (2, 1))), (9, ((0, 1), (2, 1)))}
+
+
+def peak(run):
+    """MB that numpy and Python held at once."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_anchors_does_not_follow_the_batch():
+    run = r.anchors(types.SimpleNamespace(mapInArrow=lambda run, _: run), 100, 20)
+
+    def batch(n):
+        texts = [random.Random(i).randbytes(1000).hex() for i in range(n)]
+        return pa.RecordBatch.from_pydict({"doc_id": pa.array(range(n), pa.int64()), "text": texts})
+
+    small, large = batch(4_000), batch(16_000)
+    most = peak(lambda: [None for _ in run(iter([small]))])
+    assert peak(lambda: [None for _ in run(iter([large]))]) < 1.3 * most
+
+
+def test_memory_of_suffix_groups():
+    strings = [random.Random(i).randbytes(180) for i in range(20_000)]  # 1.6 million windows
+    assert peak(lambda: list(r._suffix_groups(strings, np.arange(20_000) // 20, 100))) < 80
+
+
+def test_a_worker_holds_one_operators_object():
+    class Model:
+        pass
+
+    first = weakref.ref(process_cache("first", 1, Model))
+    assert process_cache("first", 1, Model) is first()
+    process_cache("second", 1, lambda: (Model(), first() is None)[1])
+    assert first() is None
+    assert process_cache("second", 1, Model) is True
