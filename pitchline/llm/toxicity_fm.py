@@ -21,8 +21,9 @@ import hashlib
 import re
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchline.llm.common import process_cache, texts
+from pitchline.llm.common import group_starts, process_cache, texts
 from pitchline.llm.labelled import held_out, logistic, probability, sampled, training_ids
 
 #: Words of a half window; a window is two neighbours.
@@ -40,6 +41,8 @@ FACTORS = 8
 EPOCHS, SHARPER = 2, 4
 #: Lengths of the heads of words that are terms beside the word.
 HEADS = (4, 5, 6)
+#: Terms of a word at most.
+WIDTH = 1 + len(HEADS)
 #: Rows of each class the machine is fitted on, and rows the calibration is fitted on.
 FIT_ROWS = 2500
 CALIBRATION_ROWS = 4000
@@ -54,6 +57,7 @@ TELLING = 3.5
 CHUNK = 2_000
 
 _WORD = re.compile(r"\w+")
+_NO_HEADS = array("i", [-1] * len(HEADS))
 
 
 @dataclass(frozen=True)
@@ -78,29 +82,50 @@ def terms_of(word: str) -> list[int]:
     return [hashed(word), *(hashed("^" + word[:n]) for n in HEADS if len(word) >= n)]
 
 
+class _Learned(dict):
+    """What is known of words; of a new word it is found out when it is first asked for."""
+
+    def __init__(self, learn: Callable[[str], Any]) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> Any:
+        value = self[word] = self.learn(word)
+        return value
+
+
 class Rows:
-    """Rows of the known terms of words, each word looked up once."""
+    """Rows of the known terms of words, each word looked up once, and the heads of words that begin alike."""
 
     def __init__(self, terms: np.ndarray) -> None:
         self.place = {int(t): i for i, t in enumerate(terms.tolist())}
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.known: list[list[int]] = [[]]  # 0: no known term
+        self.number, self.heads = _Learned(self._number), _Learned(self._heads)
+        self.known = array("i", [-1] * WIDTH)  # the rows of each number, -1 for a term that isn't known; 0: none is
+
+    def _heads(self, head: str) -> array:
+        """Rows of the heads of all words that begin with the longest, empty if none is known."""
+        rows = [self.place.get(t, -1) for t in terms_of(head)[1:]]
+        return array("i", rows + [-1] * (len(HEADS) - len(rows)) if max(rows, default=-1) >= 0 else [])
+
+    def _number(self, word: str) -> int:
+        own, heads = self.place.get(hashed(word), -1), self.heads[word[: HEADS[-1]]]
+        if own < 0 and not heads:
+            return 0
+        number = len(self.known) // WIDTH
+        self.known.append(own)
+        self.known.extend(heads or _NO_HEADS)
+        return number
 
     def of(self, ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(position of word, row) of all known terms in a list of words."""
-        for w in set(ws).difference(self.number):
-            found = [self.place[t] for t in terms_of(w) if t in self.place]
-            self.number[w] = len(self.known) if found else 0
-            if found:
-                self.known.append(found)
         number = np.fromiter(map(self.number.__getitem__, ws), np.int64, len(ws))
         at = np.flatnonzero(number)
-        lists = [self.known[i] for i in number[at].tolist()]
-        return (np.repeat(at, np.fromiter(map(len, lists), np.int64, len(lists))),
-                np.array([r for x in lists for r in x], np.int64))
+        rows = np.frombuffer(self.known, np.int32).reshape(-1, WIDTH)[number[at]]
+        word, column = np.nonzero(rows >= 0)
+        return at[word], rows[word, column].astype(np.int64)
 
 
 def windows(at: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +133,8 @@ def windows(at: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, n
     ``Rows.of`` finds in ``count`` words; window i covers half windows i and i + 1."""
     half, last = at // HALF, max((count - 1) // HALF - 1, 0)
     first, second = np.maximum(half - 1, 0), np.minimum(half, last)
-    key = np.unique(np.concatenate((first << 32 | rows, second << 32 | rows)))
+    key = np.sort(np.concatenate((first << 32 | rows, second << 32 | rows)))
+    key = key[group_starts(key)]
     return key >> 32, key & 0xFFFFFFFF
 
 
@@ -143,7 +169,7 @@ class _Sample:
             ws = distinct.split()
             self.texts.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws))[np.frombuffer(own, np.int32)])
         self.labels = np.array([y for _, y in labelled])
-        self.terms = np.full((len(number), 1 + len(HEADS)), -1, np.int64)
+        self.terms = np.full((len(number), WIDTH), -1, np.int64)
         for word, n in number.items():
             found = terms_of(word)
             self.terms[n, : len(found)] = found

@@ -163,3 +163,27 @@ def test_features_equal_one_shot_compression():
         sizes = [sum(size(b, d) for b in blocks) for d in (good[-50_000:], bad[-50_000:], None)]
         want = ((sizes[1] - sizes[0]) / len(text), sizes[2] / len(text)) if text else (0.0, 0.0)
         assert compressors.features(text) == want
+
+
+def test_rows_of_words_are_those_of_their_terms(monkeypatch):
+    """Equal to the definition; words that begin alike share the hashes of their heads."""
+    import numpy as np
+
+    rng = random.Random(9)
+    vocabulary = ["", "a", "abc", "abéd", "abcd", "abcde", "abcdef", "ééééééé", "\ud800lone",
+                  *("prefix" + "".join(rng.choice("abcé日") for _ in range(8)) for _ in range(300))]
+    chosen = sorted({x for w in vocabulary for x in t.terms_of(w)})
+    terms = np.array(sorted(rng.sample(chosen, len(chosen) // 2)), np.int64)
+    place, asked = {int(x): i for i, x in enumerate(terms)}, []
+    hashed = t.hashed
+    rows = t.Rows(terms)
+    for _ in range(2):
+        for n in (0, 1, 500, 500):
+            ws = [rng.choice(vocabulary) for _ in range(n)]
+            want = sorted((i, place[x]) for i, w in enumerate(ws) for x in t.terms_of(w) if x in place)
+            at, row = rows.of(ws)
+            assert sorted(zip(at.tolist(), row.tolist())) == want
+        rows.forget()
+    monkeypatch.setattr(t, "hashed", lambda term: asked.append(term) or hashed(term))
+    rows.of(vocabulary[-300:])
+    assert len(asked) < 320  # four for each word before
