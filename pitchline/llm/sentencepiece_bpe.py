@@ -6,6 +6,9 @@ neighbours join the agenda, and pairs whose symbols are gone are passed over. Ch
 piece become byte pieces. Where no piece has a space mark behind other characters, merges never
 cross into the next space-led chunk, so each distinct chunk is encoded once per worker.
 
+The short atoms that are new in a lot of texts are merged side by side: their agendas lie in one array, and
+in every turn each atom merges its own top pair.
+
 In every Arrow batch the ids of all chunks that are new to the worker are checked against the
 sentencepiece library; ``matches_library`` tells the texts all of whose chunks agree.
 """
@@ -13,10 +16,14 @@ sentencepiece library; ``matches_library`` tells the texts all of whose chunks a
 from __future__ import annotations
 
 import re
+import sys
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,22 +36,16 @@ SPACE = "▁"
 CACHE_ENTRIES = 600_000
 #: Texts that are encoded, checked and sent on in one go.
 ROWS = 256
+#: Characters of texts whose new chunks are encoded together, but for the last text.
+LOT = 1 << 20
+#: Characters of atoms that are merged side by side; longer ones get a heap each.
+SHORT = 64
+#: Rank of a pair that is no piece.
+NEVER = 2**31 - 1
 
 _CHUNK = re.compile(r" +[^ ]*")
 
 
-class _Learned(dict):
-    """Packed ids of what has been met; anything new is learned when it is asked for."""
-
-    def __init__(self, learn: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.learn = learn
-
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.learn(key)
-        return value
-
-
 class Codec:
     """Encodes and decodes with the pieces and scores of a model file."""
 
@@ -70,7 +71,8 @@ class Codec:
         self.bos, self.eos = sp.bos_id(), sp.eos_id()
         self.unchecked: list[str] = []
         self.wrong: set[str] = set()
-        self.chunks, self.atoms = _Learned(self._chunk), _Learned(self._atom)
+        self.chunks: dict[str, bytes] = {}
+        self.atoms: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a text whose spaces are marked."""
@@ -109,13 +111,92 @@ class Codec:
             ids += [known] if known is not None else [self.byte_id[b] for b in piece.encode()]
         return array("I", ids).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        self.unchecked.append(chunk)
-        text, pairs = SPACE + chunk.replace(" ", SPACE), self.pairs
-        cuts = [i for i, (a, b) in enumerate(zip(text[:-1], text[1:], strict=True), 1) if a + b not in pairs]
-        if not cuts:
-            return self.atoms[text]
-        return b"".join([self.atoms[text[s:e]] for s, e in zip([0, *cuts], [*cuts, len(text)], strict=True)])
+    @cached_property
+    def _joints(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(symbol of each code point, -1 if in no piece; id of each symbol and of -1, -1 if none; pairs of symbols that form a
+        piece, sorted, and one that is none; the piece's rank and symbol)."""
+        number = {s: i for i, s in enumerate(dict.fromkeys([*self.rank, *(c for p in self.rank for c in p)]))}
+        symbol = np.full(sys.maxunicode + 1, -1, np.int64)
+        for s, i in number.items():
+            if len(s) == 1:
+                symbol[ord(s)] = i
+        order = {r: i for i, r in enumerate(sorted(set(self.rank.values())))}
+        pairs = sorted((number[p[:k]] << 32 | number[p[k:]], order[r], number[p])
+                       for p, r in self.rank.items() for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        key, rank, joint = np.array([*pairs, (2**62, NEVER, 0)], np.int64).T.copy()
+        return symbol, np.array([*(self.id.get(s, -1) for s in number), -1], np.int64), key, rank, joint
+
+    @cached_property
+    def _beside(self) -> np.ndarray:
+        """Pairs of symbols of one character that stand side by side in some piece, sorted, and one that is none."""
+        symbol = self._joints[0]
+        return np.array(sorted([*(int(symbol[ord(a)]) << 32 | int(symbol[ord(b)]) for a, b in self.pairs), 2**62]), np.int64)
+
+    def _side_by_side(self, atoms: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(atom, packed ids) of atoms of one character or more, but for those left with a character that is no piece."""
+        symbol, id_of, keys, ranks, joints = self._joints
+
+        def agenda(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            pair = left << 32 | right
+            at = np.searchsorted(keys, pair)
+            return np.where(keys[at] == pair, ranks[at], NEVER), joints[at]
+
+        count = np.fromiter(map(len, atoms), np.int64, len(atoms))
+        symbols = symbol[np.frombuffer("".join(atoms).encode("utf-32-le"), np.uint32)]
+        which, first = np.arange(len(atoms)), np.cumsum(count) - count
+        rank, joint = agenda(symbols, np.append(symbols[1:], -1))
+        rank[first + count - 1] = NEVER
+        ready: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(which):
+            top = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), first)
+            go = top < NEVER << 32
+            left = top[go] & 0xFFFFFFFF
+            symbols[left] = joint[left]
+            over = np.repeat(~go, count)
+            ready.append((which[~go], count[~go], symbols[over]))
+            stay = ~over
+            stay[left + 1] = False
+            left = (np.cumsum(stay) - 1)[left]
+            symbols, rank, joint, which, count = symbols[stay], rank[stay], joint[stay], which[go], count[go] - 1
+            first = np.cumsum(count) - count
+            for at in (left[left + 1 < first + count], left[left > first] - 1):
+                rank[at], joint[at] = agenda(symbols[at], symbols[at + 1])
+            rank[first + count - 1] = NEVER
+        which, count, symbols = (np.concatenate(x) for x in zip(*ready, strict=True))
+        ids = id_of[symbols]
+        end = np.cumsum(count)
+        whole = np.minimum.reduceat(ids, end - count) >= 0
+        packed = ids.astype(np.uint32).tobytes()
+        for k, e, n in zip(which[whole].tolist(), end[whole].tolist(), count[whole].tolist(), strict=True):
+            yield atoms[k], packed[4 * (e - n) : 4 * e]
+
+    def _cut(self, chunks: list[str]) -> tuple[list[str], list[int]]:
+        """The atoms of chunks, one after the other, and their number in each chunk: no piece joins characters of
+        two of them."""
+        symbol, beside = self._joints[0], self._beside
+        text = "".join([SPACE + c for c in chunks]).replace(" ", SPACE)
+        symbols = symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        pair = symbols[:-1] << 32 | symbols[1:]
+        count = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+        first = np.cumsum(count) - count
+        cuts = np.append(True, beside[np.searchsorted(beside, pair)] != pair)
+        cuts[first] = True
+        at = np.flatnonzero(cuts).tolist()
+        return [text[s:e] for s, e in zip(at, [*at[1:], len(text)], strict=True)], np.add.reduceat(cuts.astype(np.int64), first).tolist()
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes chunks that are new."""
+        if not chunks:
+            return
+        atoms, count = self._cut(chunks)
+        new = set(atoms).difference(self.atoms)
+        short = [a for a in new if len(a) <= SHORT]
+        if short:
+            self.atoms.update(self._side_by_side(short))
+        self.atoms.update([(a, self._atom(a)) for a in new if a not in self.atoms])
+        coded = map(self.atoms.__getitem__, atoms)
+        self.chunks.update((c, next(coded) if n == 1 else b"".join(islice(coded, n))) for c, n in zip(chunks, count, strict=True))
+        self.unchecked += chunks
 
     def _chunks(self, text: str) -> list[str]:
         """The text cut before each run of spaces, less the first space of each chunk."""
@@ -134,9 +215,19 @@ class Codec:
         for learned in (self.chunks, self.atoms):
             if len(learned) > CACHE_ENTRIES:
                 learned.clear()
+        return [(ids, self._decoded(array("I", ids))) for ids in self._coded(some)]
+
+    def _coded(self, some: list[str]) -> Iterator[bytes]:
         begin, end, find = array("I", [self.bos]).tobytes(), array("I", [self.eos]).tobytes(), self.chunks.__getitem__
-        coded = [begin + b"".join(map(find, self._chunks(t))) + end for t in some]
-        return [(ids, self._decoded(array("I", ids))) for ids in coded]
+        lot: list[list[str]] = []
+        characters = 0
+        for k, text in enumerate(some, 1):
+            lot.append(self._chunks(text))
+            characters += len(text)
+            if characters >= LOT or k == len(some):
+                self._learn(list(set().union(*lot).difference(self.chunks)))
+                yield from (begin + b"".join(map(find, chunks)) + end for chunks in lot)
+                lot, characters = [], 0
 
     def _decoded(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.piece_bytes.__getitem__, ids)).removeprefix(b" ")

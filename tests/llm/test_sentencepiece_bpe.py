@@ -55,3 +55,23 @@ def test_query_columns(spark):
             ids = lib.encode(text, add_bos=True, add_eos=True)
             assert bytes(r.ids) == np.array(ids, "<u4").tobytes() and r.decoded == lib.decode(ids)
     assert s.encode(docs.limit(0), PATH).collect() == []
+
+
+def test_new_atoms_of_a_lot_are_merged_side_by_side(monkeypatch):
+    """Equal to one agenda an atom, whatever the lots; only long atoms and odd characters still get one of their own."""
+    rng = random.Random(8)
+    alphabet = list("aabcdeeefghiinoorstt") + ["th", "ing", "é", "ß", "日", "▁", "  "]
+    texts = [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 90))) for _ in range(rng.randint(0, 12))) for _ in range(300)] + ["\0🙃a", ""]
+    codec, merged = s.Codec(PATH), []
+    merge = codec.merge
+    monkeypatch.setattr(codec, "merge", lambda text: merged.append(text) or merge(text))
+    want = codec.round_trip(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in want] == library().encode(texts, add_bos=True, add_eos=True)
+    assert all(codec.library_agrees(texts))
+    assert len(codec.atoms) > 1000 and len(merged) < len(codec.atoms) / 2
+    assert all(len(a) > s.SHORT or any(p not in codec.id for p in merge(a)) for a in merged)
+    for a, ids in codec.atoms.items():
+        assert ids == codec._atom(a), a
+    for name in ("LOT", "SHORT"):
+        monkeypatch.setattr(s, name, 1)
+        assert s.Codec(PATH).round_trip(texts) == want
